@@ -8,40 +8,57 @@ from tallyward.checks.registry import query, table
 from tallyward.checks.scalars import date_sql, date_text
 from tallyward.functions.text import clean_text
 from tallyward.plans import core
-from tallyward.session import work_path
+from tallyward.session import materialise, work_path
 from tallyward.streaming.incremental import clean_stream
 
-# Raw incident columns over the joined lineitem, part, orders and customer tables.
+# Raw incident columns, by the table that they are made from.
 RAW = {
-    "agente_causador_acidente": f"case when l_suppkey % 9 = 0 then '{{ñ class}}' else {MISSPELT} end",
-    "data_acidente": date_text("l_shipdate", "l_orderkey"),
-    "cid_10_codigo": """case when l_orderkey % 97 = 0 then 'S61.23' when l_orderkey % 13 = 0 then null
-      else ' ' || l_returnflag || cast(l_linenumber as varchar(4)) end""",
-    "cnae_empregador_codigo": "cast(l_suppkey as int)",
-    "indica_obito_acidente": "case when l_linestatus = 'O' then 'Sim' else ' Não ' end",
-    "municipio_empregador": """case when l_partkey % 101 = 0 then 'x1-' || c_name
-      when l_partkey % 53 = 0 then '999-' || c_name when l_partkey % 19 = 0 then null
-      else cast(o_custkey + 100000 as varchar(20)) || '-' || c_name end""",
-    "natureza_lesao": "substr(p_type, 1, length(p_type) - 1) || cast(p_size as varchar(4))",
-    "parte_corpo_atingida": "p_brand",
-    "sexo": "o_orderstatus",
-    "tipo_acidente": "o_orderpriority",
-    "uf_municipio_acidente": "c_mktsegment",
-    "uf_municipio_empregador": "' nan '",
-    "data_nascimento": date_text("o_orderdate", "o_orderkey"),
+    "lineitem": {
+        "data_acidente": date_text("l_shipdate", "l_orderkey"),
+        "cid_10_codigo": """case when l_orderkey % 97 = 0 then 'S61.23' when l_orderkey % 13 = 0 then null
+          else ' ' || l_returnflag || cast(l_linenumber as varchar(4)) end""",
+        "cnae_empregador_codigo": "cast(l_suppkey as int)",
+        "indica_obito_acidente": "case when l_linestatus = 'O' then 'Sim' else ' Não ' end",
+        "uf_municipio_empregador": "' nan '",
+    },
+    "part": {
+        "agente_causador_acidente": f"case when p_size % 9 = 0 then '{{ñ class}}' else {MISSPELT} end",
+        "natureza_lesao": "substr(p_type, 1, length(p_type) - 1) || cast(p_size as varchar(4))",
+        "parte_corpo_atingida": "p_brand",
+    },
+    "orders": {
+        "sexo": "o_orderstatus",
+        "tipo_acidente": "o_orderpriority",
+        "data_nascimento": date_text("o_orderdate", "o_orderkey"),
+    },
+    "customer": {
+        "municipio_empregador": """case when c_custkey % 101 = 0 then 'x1-' || c_name
+          when c_custkey % 53 = 0 then '999-' || c_name when c_custkey % 19 = 0 then null
+          else cast(c_custkey + 100000 as varchar(20)) || '-' || c_name end""",
+        "uf_municipio_acidente": "c_mktsegment",
+    },
+}
+_KEYS = {
+    "lineitem": ["l_orderkey", "l_partkey"],
+    "part": ["p_partkey"],
+    "orders": ["o_orderkey", "o_custkey"],
+    "customer": ["c_custkey"],
 }
 
 
 def raw_incidents(spark, folder) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
-    parts = table(spark, folder, "part")
-    orders = table(spark, folder, "orders")
-    customers = table(spark, folder, "customer")
+    """Raw columns are made before the joins, on the table that has them."""
+    lines, parts, orders, customers = (
+        table(spark, folder, name).select(
+            *_KEYS[name], *[F.expr(text).alias(column) for column, text in columns.items()]
+        )
+        for name, columns in RAW.items()
+    )
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(customers, orders.o_custkey == customers.c_custkey)
         .join(parts, lines.l_partkey == parts.p_partkey)
-        .select([F.expr(text).alias(name) for name, text in RAW.items()])
+        .drop(*[key for keys in _KEYS.values() for key in keys])
     )
 
 
@@ -70,7 +87,9 @@ def _clean(text: str) -> str:
 
 
 def _core_sql() -> str:
-    raw = ", ".join(f"{text} as {name}" for name, text in RAW.items())
+    raw = ", ".join(
+        f"{text} as {name}" for columns in RAW.values() for name, text in columns.items()
+    )
     plain = ["cid_10_codigo", "indica_obito_acidente", "parte_corpo_atingida", "sexo",
              "tipo_acidente", "uf_municipio_acidente", "uf_municipio_empregador"]
     cleaned = ", ".join(f"{_clean(c)} as {c}" for c in plain)
@@ -112,7 +131,8 @@ def _core_sql() -> str:
 @query("incident_core", _core_sql())
 def incident_core(spark, folder):
     places, agents, natures = dimensions(spark, folder)
-    tagged = core.incidents(raw_incidents(spark, folder), places, agents, natures)
+    stage = materialise(raw_incidents(spark, folder), "stage")
+    tagged = core.incidents(stage, places, agents, natures)
     return core.split_tagged(tagged).valid
 
 

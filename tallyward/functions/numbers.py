@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyward.fixed_values import BLANK_NUMERIC_TOKENS
-from tallyward.functions.text import clean_text, default_code, leading_code
+from tallyward.fixed_values import BLANK_NUMERIC_TOKENS, WHITE_SPACE
+from tallyward.functions.text import clean_text, default_code, leading_code, strip
+
+_INTEGER = f"^[{WHITE_SPACE}]*[+-]?[0-9]+[{WHITE_SPACE}]*$"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -15,8 +17,12 @@ def blank_to_null(c: Column) -> Column:
 
 
 def strict_int(c: Column) -> Column:
-    """The integer a text spells, NULL when it spells none (no decimals, no overflow)."""
-    return c.try_cast("int")
+    """The integer a text spells, NULL when it spells none (no decimals, no overflow).
+
+    The pattern test comes first, since a failed cast costs an exception per row.
+    """
+    text = c.cast("string")
+    return F.when(text.rlike(_INTEGER), strip(text).try_cast("int"))
 
 
 def not_an_int(c: Column) -> Column:

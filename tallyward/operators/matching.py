@@ -58,7 +58,7 @@ def _place(
     )
 
     def pieces(df: DataFrame, size: int, name: str) -> DataFrame:
-        # One row per band: bounded by the number of bands, so safe to broadcast.
+        # One row per band, at most 31: a proven bound for the broadcast.
         n = F.ceil(F.count(F.lit(1)) / size).cast("int")
         return F.broadcast(df.groupBy("band").agg(n.alias(name)))
 
@@ -186,11 +186,15 @@ def match_values(
     """
     if not 0 < cutoff <= 1:
         raise ValueError("cutoff must be above 0 and at most 1")
-    own = F.col("value") == F.col("entry")
-    same = values.join(entries, own, "left_semi").select(
+    known = F.col("entry").isNotNull().alias("known")
+    values = materialise(
+        values.join(entries, F.col("value") == F.col("entry"), "left").select("value", known),
+        "values",
+    )
+    same = values.filter("known").select(
         "value", F.col("value").alias("entry"), F.lit(1.0).alias("score")
     )
-    searched = values.join(entries, own, "left_anti")
+    searched = values.filter("not known").select("value")
     placed = _place(searched, entries, _LENGTH_RATIO[scorer](cutoff))
     best = (
         _SCORERS[scorer](*placed, cutoff)
@@ -217,7 +221,7 @@ def canonical_map(
         values = values.filter(~F.col("value").isin(*protected))
     entries = dictionary.select(F.upper(entry).alias("entry")).filter(F.col("entry").isNotNull())
     mapping = match_values(
-        materialise(values.distinct(), "values"),
+        values.distinct(),
         materialise(entries.distinct(), "entries"),
         cutoff=cutoff,
         scorer=scorer,

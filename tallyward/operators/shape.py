@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.functions.numbers import not_an_int, strict_int
 
 
+def col(name: str) -> Column:
+    """A column by its plain name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename what is there; other columns pass, absent ones are ignored."""
     return df.withColumnsRenamed(dict(names))
@@ -19,7 +24,7 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 def subset(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """The wanted columns that exist, in the wanted order."""
     present = set(df.columns)
-    return df.select([F.col(f"`{c}`") for c in wanted if c in present])
+    return df.select([col(c) for c in wanted if c in present])
 
 
 def typed(df: DataFrame, table: T.StructType) -> DataFrame:
@@ -27,17 +32,17 @@ def typed(df: DataFrame, table: T.StructType) -> DataFrame:
     types = {f.name: f.dataType for f in table}
     return df.select(
         [
-            strict_int(F.col(c)).alias(c) if types.get(c) == T.IntegerType() else F.col(c)
+            strict_int(col(c)).alias(c) if types.get(c) == T.IntegerType() else col(c)
             for c in df.columns
         ]
     )
 
 
-def int_fault(table: T.StructType):
+def int_fault(table: T.StructType) -> Column:
     """Name of the first integer column whose text is no integer, else NULL."""
     return F.coalesce(
         *[
-            F.when(not_an_int(F.col(f.name)), F.lit(f"{f.name} is not an integer"))
+            F.when(not_an_int(col(f.name)), F.lit(f"{f.name} is not an integer"))
             for f in table
             if f.dataType == T.IntegerType()
         ],

@@ -12,12 +12,11 @@ from tallyward.functions.dates import parse_date
 from tallyward.functions.numbers import (
     blank_to_null,
     drop_check_digit,
-    municipality_code,
     no_check_digit_to_drop,
     not_an_int,
     strict_int,
 )
-from tallyward.functions.text import clean_text
+from tallyward.functions.text import clean_text, default_code, leading_code
 from tallyward.operators.dimensions import dense_keys, with_unknown
 from tallyward.operators.matching import fuzzy_join
 from tallyward.operators.quality import Split, fk_flag, split_on_pk, tag, too_long
@@ -58,22 +57,22 @@ def clean_incidents(stage: DataFrame) -> DataFrame:
     ``_bad_place`` and ``_bad_activity`` mark texts that should hold an integer and do not.
     """
     place, activity = "municipio_empregador", "cnae_empregador_codigo"
-    kinds = dict(stage.dtypes)
+    fact = subset(stage, fx.CORE_INCIDENT.names)
+    kinds = dict(fact.dtypes)
     cleaned = {c: clean_text(F.col(c)) for c in fx.INCIDENT_TEXTS if c in kinds}
     cleaned |= {c: parse_date(F.col(c)) for c in fx.INCIDENT_DATES if c in kinds}
-    marks = {}
+    if kinds.get(activity) == "string":
+        cleaned[activity] = blank_to_null(F.col(activity))
+    fact = fact.withColumns(cleaned)
+    marks = {"_bad_place": F.lit(False), "_bad_activity": F.lit(False)}
     if place in kinds:
-        cleaned[place] = municipality_code(F.col(place))
-        marks["_bad_place"] = cleaned[place].isNull()
+        code = strict_int(default_code(leading_code(F.col(place))))
+        fact = fact.withColumn(place, code)
+        marks["_bad_place"] = F.col(place).isNull()
     if kinds.get(activity) == "string":
-        text = blank_to_null(F.col(activity))
-        cleaned[activity] = strict_int(text)
-        marks["_bad_activity"] = not_an_int(text)
-    wanted = subset(stage, fx.CORE_INCIDENT.names)
-    return wanted.select(
-        [cleaned.get(c, F.col(c)).alias(c) for c in wanted.columns]
-        + [mark.alias(name) for name, mark in marks.items()]
-    )
+        marks["_bad_activity"] = not_an_int(F.col(activity))
+        return fact.withColumns(marks).withColumn(activity, strict_int(F.col(activity)))
+    return fact.withColumns(marks)
 
 
 def incidents(
@@ -107,9 +106,8 @@ def incidents(
     rules |= {
         "municipio_empregador not an integer": F.col("_bad_place"),
         "municipio_empregador not in municipio": F.col("_no_place"),
+        "cnae_empregador_codigo not an integer": F.col("_bad_activity"),
     }
-    if "_bad_activity" in fact.columns:
-        rules["cnae_empregador_codigo not an integer"] = F.col("_bad_activity")
     return tag(fact, rules).drop("_bad_place", "_bad_activity", "_no_place")
 
 

@@ -37,8 +37,7 @@ def rate(rows: DataFrame, group: Column, flag: Column, positive: Sequence[str])
 
 def age_in_years(born: Column, at: Column) -> Column:
     """Completed years; negative ages become 0, an unknown date gives NULL."""
-    day_of_year = lambda c: F.month(c) * 100 + F.dayofmonth(c)
-    years = F.year(at) - F.year(born) - F.when(day_of_year(at) < day_of_year(born), 1).otherwise(0)
+    years = F.floor(F.months_between(at.cast("date"), born.cast("date")) / 12).cast("int")
     return F.when(years.isNotNull(), F.greatest(years, F.lit(0)))
 
 

@@ -24,6 +24,12 @@ def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _no_rows(spark: SparkSession, names: list[str]) -> DataFrame:
+    """An empty relation that the optimizer drops from a union."""
+    nothing = F.lit(None).cast("string")
+    return spark.range(1).limit(0).select(*[nothing.alias(n) for n in names])
+
+
 def _too_wide(line: Column, width: int, sep: str) -> Column:
     """True if a line the reader flagged has more cells than the header (fewer is fine).
 
@@ -93,13 +99,11 @@ def scan(
             surplus = [c for c in part.columns if c not in known]
             if surplus and lineage:
                 reason = "unexpected column " + ", ".join(surplus)
-                part = part.withColumn(FAULT, F.lit(reason)).drop(*[f"`{c}`" for c in surplus])
+                part = part.withColumn(FAULT, F.lit(reason)).drop(*surplus)
             elif surplus:
                 raise ValueError(f"unexpected columns in {files[0]}: {surplus}")
         parts.append(part)
-    tail = [SOURCE, FAULT] if lineage else []
-    if expected is not None:
-        parts.insert(0, spark.createDataFrame([], _strings([*expected.names, *tail])))
-    if not parts:
-        return spark.createDataFrame([], _strings(["_none", *tail])).drop("_none")
+    if expected is not None or not parts:
+        names = expected.names if expected is not None else []
+        parts.insert(0, _no_rows(spark, [*names, *([SOURCE, FAULT] if lineage else [])]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

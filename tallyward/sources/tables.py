@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward import fixed_values as fx
+from tallyward.operators.shape import col
 
 _ID = T.StructField("id", T.LongType())
 _LOADED = T.StructField("data_carga", T.TimestampType())
@@ -57,7 +58,7 @@ def conform(df: DataFrame, columns: T.StructType) -> DataFrame:
         raise ValueError(f"columns not in the table: {sorted(unknown)}")
     return df.select(
         [
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in columns
         ]
     )

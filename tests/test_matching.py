@@ -105,7 +105,7 @@ def test_join_keeps_unmatched_null_and_protected(spark):
         [(1, "QUEDA DE ESCAD"), (2, "@@@"), (3, None), (4, "DESCONHECIDO"), (5, "Tubo"), (6, "TUBO")],
         "k int, t string",
     )
-    words = spark.createDataFrame([("Queda de escada",), ("ácido",), ("tubo",), (None,)], "d string")
+    words = spark.createDataFrame([("Queda de escada",), ("Acido",), ("tubo",), (None,)], "d string")
     out = fuzzy_join(rows, "t", words, "d", protected=["DESCONHECIDO"], score_column="s")
     got = {r.k: (r.t, r.s) for r in out.collect()}
     assert out.columns == ["k", "t", "s"]
@@ -113,7 +113,7 @@ def test_join_keeps_unmatched_null_and_protected(spark):
     assert got[2] == ("@@@", None) and got[3] == (None, None)
     assert got[4] == ("DESCONHECIDO", None) and got[6] == ("TUBO", 1.0)
     unprotected = fuzzy_join(rows, "t", words, "d").filter(F.col("k") == 4).first()
-    assert unprotected.t == "ÁCIDO" or unprotected.t == "DESCONHECIDO"
+    assert unprotected.t == "ACIDO"
 
 
 def test_empty_dictionary_changes_nothing(spark):

@@ -28,7 +28,9 @@ from tallyward.fixed_values import MATCH_CUTOFF
 from tallyward.session import materialise
 
 ENTRIES_PER_BLOCK = 1024
-VALUES_PER_CHUNK = 256
+# Chunks grow from the small to the large size once there are enough of them to keep every
+# task busy: larger chunks mean fewer copies of the entries.
+SMALL_CHUNK, LARGE_CHUNK = 256, 4096
 
 _BLOCK = ["band", "block", "chunk"]
 _RESULT = "value string, entry string, score double"
@@ -57,13 +59,20 @@ def _place(
         "band", F.explode(F.sequence(_band(low, width), _band(high, width)))
     )
 
-    def pieces(df: DataFrame, size: int, name: str) -> DataFrame:
+    def per_band(df: DataFrame, pieces: Callable[[Column], Column], name: str) -> DataFrame:
         # One row per band, at most 31: a proven bound for the broadcast.
-        n = F.ceil(F.count(F.lit(1)) / size).cast("int")
+        n = pieces(F.count(F.lit(1))).cast("int")
         return F.broadcast(df.groupBy("band").agg(n.alias(name)))
 
-    blocks = pieces(banded, ENTRIES_PER_BLOCK, "blocks")
-    chunks = pieces(routed, VALUES_PER_CHUNK, "chunks")
+    enough = 4 * int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = per_band(banded, lambda n: F.ceil(n / ENTRIES_PER_BLOCK), "blocks")
+    chunks = per_band(
+        routed,
+        lambda n: F.greatest(
+            F.least(F.ceil(n / SMALL_CHUNK), F.lit(enough)), F.ceil(n / LARGE_CHUNK)
+        ),
+        "chunks",
+    )
 
     def piece_of(column: str, count: str) -> Column:
         return F.pmod(F.xxhash64(column), F.col(count)).cast("int")

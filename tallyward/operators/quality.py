@@ -35,25 +35,14 @@ def split_on_pk(df: DataFrame, keys: list[str]) -> Split:
     return Split(df.join(bad, same, "left_anti"), df.join(bad, same, "left_semi"))
 
 
-def fk_split(df: DataFrame, column: str, dim: DataFrame, key: str) -> Split:
-    """Rows whose reference exists (or is NULL), and the orphans.
+def fk_flag(df: DataFrame, column: str, dim: DataFrame, key: str, flag: str) -> DataFrame:
+    """Mark rows whose reference is missing from ``dim``; a NULL refers to nothing and is fine.
 
+    One pass over the rows, whose number does not change: the key of ``dim`` must be unique.
     Spark broadcasts the keys when they are small; otherwise adaptive execution splits the
     hot partitions of the row side. Neither side is collected.
     """
     keys = dim.select(F.col(key).alias("_key"))
-    known = df[column] == keys["_key"]
-    orphans = df.filter(df[column].isNotNull()).join(keys, known, "left_anti")
-    valid = df.filter(df[column].isNotNull()).join(keys, known, "left_semi")
-    return Split(valid.unionByName(df.filter(df[column].isNull())), orphans)
-
-
-def fk_flag(df: DataFrame, column: str, dim: DataFrame, key: str, flag: str) -> DataFrame:
-    """Mark orphans instead of splitting: one pass where a row has several rules.
-
-    The key of ``dim`` must be unique.
-    """
-    keys = dim.select(F.col(key).alias("_key"))
     return (
         df.join(keys, df[column] == keys["_key"], "left")
         .withColumn(flag, F.col(column).isNotNull() & F.col("_key").isNull())
@@ -61,6 +50,14 @@ def fk_flag(df: DataFrame, column: str, dim: DataFrame, key: str, flag: str) ->
     )
 
 
+def fk_split(df: DataFrame, column: str, dim: DataFrame, key: str) -> Split:
+    """Rows whose reference exists (or is NULL), and the orphans."""
+    flagged = fk_flag(df, column, dim, key, "_orphan")
+    return Split(
+        flagged.filter("not _orphan").drop("_orphan"), flagged.filter("_orphan").drop("_orphan")
+    )
+
+
 def tag(df: DataFrame, rules: Mapping[str, Column], column: str = "violations") -> DataFrame:
     """Add the names of the rules a row breaks (an empty array for a good row)."""
     broken = [F.when(rule, F.lit(name)) for name, rule in rules.items()]

@@ -72,7 +72,8 @@ def test_many_cells_give_the_same_result(spark, monkeypatch):
     entries = phrases(rng, 60)
     values = [dirty(rng, rng.choice(entries)) for _ in range(90)]
     monkeypatch.setattr(matching, "ENTRIES_PER_BLOCK", 5)
-    monkeypatch.setattr(matching, "VALUES_PER_CHUNK", 4)
+    monkeypatch.setattr(matching, "SMALL_CHUNK", 2)
+    monkeypatch.setattr(matching, "LARGE_CHUNK", 4)
     assert result(match_values(*frames(spark, values, entries))) == expected(values, entries, 0.3)
 
 
@@ -88,7 +89,7 @@ def edit_distance(a, b):
 @pytest.mark.parametrize("cutoff", [0.3, 0.7])
 def test_levenshtein_equals_brute_force(spark, monkeypatch, cutoff):
     monkeypatch.setattr(matching, "ENTRIES_PER_BLOCK", 7)
-    monkeypatch.setattr(matching, "VALUES_PER_CHUNK", 9)
+    monkeypatch.setattr(matching, "SMALL_CHUNK", 9)
     rng = random.Random(10)
     entries = sorted(set(phrases(rng, 40)))
     values = sorted({dirty(rng, rng.choice(entries)) for _ in range(60)})

@@ -33,24 +33,26 @@ def with_unknown(
 def dense_keys(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
     """Number rows 1..n in the order of a unique key, without one task seeing all rows.
 
-    Rows are cut into ranges of the key and written with the number of their range. Each
-    range is numbered on its own, then shifted by the sizes of the ranges before it; that
-    last table has one row per range.
+    Rows are cut into sorted ranges of the key and written with the number of their range and
+    their place in it: one shuffle. The sizes of the ranges before it then shift each place;
+    that table has one row per range.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
     placed = materialise(
-        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()),
+        df.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .select("*", F.spark_partition_id().alias("_range"), place.alias("_place")),
         "ranges",
     )
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = placed.groupBy("_range").agg(F.max("_place").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift")
     )
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     # At most ``ranges`` rows, whatever the size of the data.
-    return placed.withColumn("_within", within).join(F.broadcast(shifts), "_range").select(
-        (F.col("_within") + F.col("_shift")).cast("int").alias(name), *df.columns
+    return placed.join(F.broadcast(shifts), "_range").select(
+        (F.col("_place") + F.col("_shift")).cast("int").alias(name), *df.columns
     )
 
 

@@ -12,10 +12,10 @@ _local_root: dict[str, str] = {}
 
 def work_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a private one only on a local master without it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     return _local_root.setdefault(
@@ -23,10 +23,14 @@ def work_root(spark: SparkSession) -> str:
     )
 
 
+def work_folder(spark: SparkSession) -> str:
+    """The folder of this application below the work root."""
+    return f"{work_root(spark)}/tallyward/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the work root."""
-    app = spark.sparkContext.applicationId
-    return f"{work_root(spark)}/tallyward/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -39,3 +43,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application wrote, once no DataFrame needs it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyward.checks.registry import query, table
 from tallyward.fixed_values import UNKNOWN
 from tallyward.functions.text import clean_text
+from tallyward.operators.attach import attach
 from tallyward.plans import marts
 from tallyward.plans.adhoc import run_sql
 
@@ -23,7 +24,8 @@ def _(spark, folder):
 def _order_places(spark, folder):
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    return orders.join(customers, orders.o_custkey == customers.c_custkey)
+    nation = {"c_nationkey": "c_nationkey"}
+    return attach(orders, "o_custkey", customers, "c_custkey", nation).filter("c_nationkey is not null")
 
 
 @query(
@@ -87,7 +89,8 @@ def _(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_shipdate")
     age = marts.age_in_years(F.col("o_orderdate"), F.col("l_shipdate"))
     band = marts.age_band(age, [1, 2, 4], UNKNOWN).alias("band")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    dated = attach(lines, "l_orderkey", orders, "o_orderkey", {"o_orderdate": "o_orderdate"})
+    joined = dated.filter("o_orderdate is not null")
     return joined.groupBy(band).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -7,6 +7,7 @@ from tallyward.checks.matches import MISSPELT, RATIO_SQL, closest_sql
 from tallyward.checks.registry import query, table
 from tallyward.checks.scalars import date_sql, date_text
 from tallyward.functions.text import clean_text
+from tallyward.operators.attach import attach
 from tallyward.plans import core
 from tallyward.session import materialise, work_path
 from tallyward.streaming.incremental import clean_stream
@@ -48,18 +49,18 @@ _KEYS = {
 
 def raw_incidents(spark, folder) -> DataFrame:
     """Raw columns are made before the joins, on the table that has them."""
-    lines, parts, orders, customers = (
-        table(spark, folder, name).select(
+    rows = {
+        name: table(spark, folder, name).select(
             *_KEYS[name], *[F.expr(text).alias(column) for column, text in columns.items()]
         )
         for name, columns in RAW.items()
-    )
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
-        .drop(*[key for keys in _KEYS.values() for key in keys])
-    )
+    }
+    incidents = rows["lineitem"]
+    for column, side in (("l_orderkey", "orders"), ("o_custkey", "customer"), ("l_partkey", "part")):
+        key, *links = _KEYS[side]
+        found = {name: name for name in [*links, *RAW[side]]}
+        incidents = attach(incidents, column, rows[side], key, found)
+    return incidents.select([name for columns in RAW.values() for name in columns])
 
 
 def dimensions(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -106,8 +107,8 @@ def _core_sql() -> str:
         )
     )
     return f"""with recursive raw as (select {raw} from lineitem
-    join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
-    join part on l_partkey = p_partkey),
+    left join orders on l_orderkey = o_orderkey left join customer on o_custkey = c_custkey
+    left join part on l_partkey = p_partkey),
   cleaned as (select {_clean('agente_causador_acidente')} as agente_causador_acidente,
     {date_sql('data_acidente')} as data_acidente, cnae_empregador_codigo, {cleaned},
     trim(split_part({_clean('municipio_empregador')}, '-', 1)) as place,

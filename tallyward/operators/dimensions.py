@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.fixed_values import UNKNOWN, UNKNOWN_CODE
+from tallyward.operators.attach import attach
 from tallyward.session import materialise
 
 
@@ -58,17 +59,12 @@ def dense_keys(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
 
 def lookup(
     rows: DataFrame,
+    column: str,
     dim: DataFrame,
-    on: Column,
+    key: str,
     labels: Mapping[str, str],
     unknown: str = UNKNOWN,
 ) -> DataFrame:
-    """Attach text labels of a dimension; rows without a member keep the unknown word.
-
-    No broadcast is forced: the planner takes one if the dimension is small, and adaptive
-    execution splits hot keys of the row side if it is not.
-    """
-    found = [
-        F.coalesce(dim[column], F.lit(unknown)).alias(alias) for column, alias in labels.items()
-    ]
-    return rows.join(dim, on, "left").select(*[rows[c] for c in rows.columns], *found)
+    """Attach ``{new name: text column}`` of a dimension; without a member, the unknown word."""
+    found = attach(rows, column, dim, key, labels)
+    return found.withColumns({a: F.coalesce(F.col(a), F.lit(unknown)) for a in labels})

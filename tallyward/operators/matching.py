@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.fixed_values import MATCH_CUTOFF
+from tallyward.operators.attach import attach
 from tallyward.session import materialise
 
 ENTRIES_PER_BLOCK = 1024
@@ -253,16 +254,13 @@ def fuzzy_join(
 
     ``protected`` values are left as they are. ``score_column`` adds the similarity. The
     mapping is a written table of known size, so a small one is broadcast by the planner and
-    the rows do not shuffle; for a large one adaptive execution splits hot values.
+    the rows do not shuffle.
     """
     mapping = canonical_map(
         rows, column, dictionary, entry, cutoff=cutoff, scorer=scorer, protected=protected
-    ).select(
-        F.col("value").alias("_value"), F.col("entry").alias("_entry"), F.col("score").alias("_score")
-    )
-    joined = rows.join(mapping, F.col(column) == F.col("_value"), "left").withColumn(
-        column, F.coalesce("_entry", column)
     )
+    joined = attach(rows, column, mapping, "value", {"_entry": "entry", "_score": "score"})
+    joined = joined.withColumn(column, F.coalesce("_entry", column))
     if score_column:
         joined = joined.withColumn(score_column, F.col("_score"))
-    return joined.drop("_value", "_entry", "_score")
+    return joined.drop("_entry", "_score")

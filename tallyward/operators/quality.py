@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.fixed_values import UNKNOWN
+from tallyward.operators.attach import attach
 
 
 class Split(NamedTuple):
@@ -17,6 +18,10 @@ class Split(NamedTuple):
     violations: DataFrame
 
 
+def _split(flagged: DataFrame, flag: str) -> Split:
+    return Split(flagged.filter(~F.col(flag)).drop(flag), flagged.filter(flag).drop(flag))
+
+
 def too_long(c: Column, limit: int, exempt: Iterable[str] = (UNKNOWN,)) -> Column:
     """True for texts over the limit. The unknown word is allowed in any column."""
     return F.coalesce((F.length(c) > limit) & ~c.isin(*exempt), F.lit(False))
@@ -28,34 +33,32 @@ def pk_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(missing | (F.col("n") > 1))
 
 
+def pk_flag(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
+    """Mark all rows whose key is NULL or repeated."""
+    as_text = F.to_json(F.struct(*keys))
+    bad = pk_violations(df, keys).select(as_text.alias("_pk"), F.lit(True).alias("_bad"))
+    marked = attach(df.withColumn("_pk", as_text), "_pk", bad, "_pk", {"_bad": "_bad"})
+    return marked.withColumn(flag, F.col("_bad").isNotNull()).drop("_pk", "_bad")
+
+
 def split_on_pk(df: DataFrame, keys: list[str]) -> Split:
     """Rows with a good key, and all rows of the bad keys."""
-    bad = pk_violations(df, keys).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(bad[f"_{k}"]) for k in keys])
-    return Split(df.join(bad, same, "left_anti"), df.join(bad, same, "left_semi"))
+    return _split(pk_flag(df, keys, "_repeated"), "_repeated")
 
 
 def fk_flag(df: DataFrame, column: str, dim: DataFrame, key: str, flag: str) -> DataFrame:
     """Mark rows whose reference is missing from ``dim``; a NULL refers to nothing and is fine.
 
     One pass over the rows, whose number does not change: the key of ``dim`` must be unique.
-    Spark broadcasts the keys when they are small; otherwise adaptive execution splits the
-    hot partitions of the row side. Neither side is collected.
     """
-    keys = dim.select(F.col(key).alias("_key"))
-    return (
-        df.join(keys, df[column] == keys["_key"], "left")
-        .withColumn(flag, F.col(column).isNotNull() & F.col("_key").isNull())
-        .drop("_key")
-    )
+    keys = dim.select(key, F.lit(True).alias("_found"))
+    found = attach(df, column, keys, key, {"_found": "_found"})
+    return found.withColumn(flag, F.col(column).isNotNull() & F.col("_found").isNull()).drop("_found")
 
 
 def fk_split(df: DataFrame, column: str, dim: DataFrame, key: str) -> Split:
     """Rows whose reference exists (or is NULL), and the orphans."""
-    flagged = fk_flag(df, column, dim, key, "_orphan")
-    return Split(
-        flagged.filter("not _orphan").drop("_orphan"), flagged.filter("_orphan").drop("_orphan")
-    )
+    return _split(fk_flag(df, column, dim, key, "_orphan"), "_orphan")
 
 
 def tag(df: DataFrame, rules: Mapping[str, Column], column: str = "violations") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward import fixed_values as fx
-from tallyward.operators.quality import pk_violations, too_long
+from tallyward.operators.quality import pk_flag, too_long
 from tallyward.operators.shape import int_fault, typed
 from tallyward.session import materialise
 from tallyward.sources.delimited import FAULT, SOURCE, scan
@@ -44,11 +44,11 @@ def load_files(
     fault = F.coalesce(F.col(FAULT), int_fault(table), *long_texts)
     landed = materialise(typed(rows.withColumn(FAULT, fault), table), "landed")
     if key:
-        bad = pk_violations(landed, [key]).select(F.col(key).alias("_key"), F.lit(True).alias("_bad"))
+        repeated = F.when(F.col("_repeated"), F.lit(f"{key} is not a key"))
         landed = (
-            landed.join(bad, landed[key].eqNullSafe(bad["_key"]), "left")
-            .withColumn(FAULT, F.coalesce(FAULT, F.when(F.col("_bad"), F.lit(f"{key} is not a key"))))
-            .drop("_key", "_bad")
+            pk_flag(landed, [key], "_repeated")
+            .withColumn(FAULT, F.coalesce(FAULT, repeated))
+            .drop("_repeated")
         )
     load = isolate(landed)
     if strict and (fault := load.stats.filter("n_faulty > 0").first()):

@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.operators.attach import attach
 from tallyward.session import materialise
 from tallyward.sources.delimited import FAULT, SOURCE
 
@@ -35,9 +36,10 @@ def isolate(rows: DataFrame, source: str = SOURCE, fault: str = FAULT) -> Load:
     size and broadcasts it when small. The rows then never shuffle on the source.
     """
     stats = materialise(load_stats(rows, source, fault), "load-stats")
-    faulty = stats.filter("n_faulty > 0").select(source)
+    faulty = stats.filter("n_faulty > 0").select(source, F.lit(True).alias("_faulty"))
+    marked = attach(rows, source, faulty, source, {"_faulty": "_faulty"})
     return Load(
-        rows=rows.join(faulty, source, "left_anti"),
-        rejected=rows.join(faulty, source, "left_semi"),
+        rows=marked.filter("_faulty is null").drop("_faulty"),
+        rejected=marked.filter("_faulty").drop("_faulty"),
         stats=stats,
     )

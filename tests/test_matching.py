@@ -4,6 +4,7 @@ from difflib import SequenceMatcher, get_close_matches
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.operators import attach as attach_module
 from tallyward.operators import matching
 from tallyward.operators.matching import fuzzy_join, match_values
 
@@ -128,3 +129,16 @@ def test_plan_has_no_cross_join(spark):
     plan = match_values(values, entries)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "FlatMapCoGroupsInPandas" in plan
+
+
+def test_join_beside_a_large_mapping(spark, monkeypatch):
+    rng = random.Random(11)
+    entries = sorted(set(phrases(rng, 30)))
+    texts = ["DESCONHECIDO"] * 200 + [dirty(rng, rng.choice(entries)) for _ in range(200)] + [None] * 50
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    words = spark.createDataFrame([(e,) for e in entries], "d string")
+    plain = fuzzy_join(rows, "t", words, "d", protected=["DESCONHECIDO"], score_column="s")
+    want = sorted((tuple(r) for r in plain.collect()))
+    monkeypatch.setattr(attach_module, "SMALL_SIDE", 5)
+    spread = fuzzy_join(rows, "t", words, "d", protected=["DESCONHECIDO"], score_column="s")
+    assert sorted((tuple(r) for r in spread.collect())) == want

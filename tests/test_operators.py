@@ -3,6 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.operators import attach as attach_module
+from tallyward.operators.attach import attach, hot_values
 from tallyward.operators.dimensions import dense_keys, lookup, with_unknown
 from tallyward.operators.paging import page
 from tallyward.operators.quality import (
@@ -41,21 +43,56 @@ def test_foreign_key(spark):
     assert flagged.count() == rows.count()
 
 
-def test_foreign_key_with_a_hot_key_and_no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+@pytest.fixture
+def large_sides(spark, monkeypatch):
+    """Every side counts as large and nothing is broadcast by size."""
+    monkeypatch.setattr(attach_module, "SMALL_SIDE", -1)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def skewed(spark):
+    hot = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, 100_000)
+    key = F.when(F.col("id") % 5 != 0, hot.otherwise(F.col("id") % 700))
+    return spark.range(0, 9000, 1, 6).select(key.cast("int").alias("k"), "id")
+
+
+def test_attach_beside_a_large_side(spark, large_sides):
+    rows = skewed(spark)
+    side = spark.range(600).selectExpr("cast(id as int) as key", "if(id % 2 = 0, null, 'n' || id) as name")
+    got = attach(rows, "k", side, "key", {"label": "name", "found": "key"})
+    assert got.columns == ["k", "id", "label", "found"]
+    want = rows.join(side, rows.k == side.key, "left").select("k", "id", "name", "key")
+    assert values(got) == values(want) and got.count() == 9000
+
+
+def test_hot_rows_are_spread(spark, large_sides):
+    rows = skewed(spark)
+    hot = {r[0] for r in hot_values(rows, "k").collect()}
+    assert {7, 100_000} <= hot and len(hot) <= attach_module.HOT_VALUES
+    side = spark.range(600).selectExpr("cast(id as int) as key")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        rows = spark.range(9000).select(
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("k"), "id"
-        )
-        dim = spark.range(600).withColumnRenamed("id", "key")
-        split = fk_split(rows, "k", dim, "key")
-        assert split.valid.count() + split.violations.count() == 9000
-        assert split.violations.filter("k < 600").isEmpty()
-        assert split.valid.filter("k >= 600").isEmpty()
+        got = attach(rows, "k", side, "key", {"found": "key"})
+        sizes = got.groupBy(F.spark_partition_id()).count()
+        assert sizes.agg(F.max("count")).first()[0] < 9000 / 4 * 1.3
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_checks_beside_large_sides(spark, large_sides):
+    rows, dim = skewed(spark), spark.range(600).selectExpr("cast(id as int) as key")
+    split = fk_split(rows, "k", dim, "key")
+    assert split.valid.count() + split.violations.count() == 9000
+    assert split.violations.filter("k is null or k < 600").isEmpty()
+    assert split.valid.filter("k >= 600").isEmpty()
+    keyed = split_on_pk(rows, ["k"])
+    assert keyed.valid.isEmpty() and keyed.violations.count() == 9000
+    assert split_on_pk(rows, ["id", "k"]).violations.filter("k is not null").isEmpty()
 
 
 def test_length_and_report(spark):
@@ -85,7 +122,7 @@ def test_dense_keys(spark, partitions):
 def test_lookup_keeps_every_row(spark):
     rows = spark.createDataFrame([(1,), (1,), (3,), (None,)], "k int")
     dim = spark.createDataFrame([(1, "one"), (2, None)], "id int, name string")
-    out = lookup(rows, dim, rows.k == dim.id, {"name": "label"})
+    out = lookup(rows, "k", dim, "id", {"label": "name"})
     assert values(out) == [(1, "one"), (1, "one"), (3, "DESCONHECIDO"), (None, "DESCONHECIDO")]
 
 

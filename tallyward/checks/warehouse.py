@@ -9,7 +9,7 @@ from tallyward.checks.scalars import date_sql, date_text
 from tallyward.functions.text import clean_text
 from tallyward.operators.attach import attach
 from tallyward.plans import core
-from tallyward.session import materialise, work_path
+from tallyward.session import materialise, use_all_cores, work_path
 from tallyward.streaming.incremental import clean_stream
 
 # Raw incident columns, by the table that they are made from.
@@ -55,7 +55,7 @@ def raw_incidents(spark, folder) -> DataFrame:
         )
         for name, columns in RAW.items()
     }
-    incidents = rows["lineitem"]
+    incidents = use_all_cores(rows["lineitem"])
     for column, side in (("l_orderkey", "orders"), ("o_custkey", "customer"), ("l_partkey", "part")):
         key, *links = _KEYS[side]
         found = {name: name for name in [*links, *RAW[side]]}
@@ -132,7 +132,7 @@ def _core_sql() -> str:
 @query("incident_core", _core_sql())
 def incident_core(spark, folder):
     places, agents, natures = dimensions(spark, folder)
-    stage = materialise(raw_incidents(spark, folder), "stage")
+    stage = use_all_cores(materialise(raw_incidents(spark, folder), "stage"))
     tagged = core.incidents(stage, places, agents, natures)
     return core.split_tagged(tagged).valid
 

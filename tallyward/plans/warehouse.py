@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyward import fixed_values as fx
 from tallyward.plans import core, staging
+from tallyward.session import use_all_cores
 from tallyward.sources.isolation import Load
 from tallyward.sources.tables import create_layers, read_table, write_table
 
@@ -19,7 +20,7 @@ def _publish(df: DataFrame, name: str) -> None:
 
 
 def _set_aside(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"{name}_{REJECTED}")
+    write_table(df, f"{name}_{REJECTED}", mode="overwrite")
 
 
 def to_stage(spark: SparkSession, incident_folder: str, dictionary_folder: str) -> dict[str, Load]:
@@ -60,7 +61,7 @@ def to_core(
     _publish(core.disease(read_table(spark, f"{fx.STAGE}.cid10")), f"{fx.CORE}.cid10")
 
     tagged = core.incidents(
-        read_table(spark, f"{fx.STAGE}.acidente_trabalho"),
+        use_all_cores(read_table(spark, f"{fx.STAGE}.acidente_trabalho")),
         read_table(spark, f"{fx.CORE}.municipio"),
         read_table(spark, f"{fx.CORE}.agente_causador"),
         read_table(spark, f"{fx.CORE}.natureza_lesao"),

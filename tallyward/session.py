@@ -45,6 +45,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a table scan that has fewer input splits than there are cores.
+
+    Only for work that is heavy per row. A large table has many splits and passes unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application wrote, once no DataFrame needs it any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))

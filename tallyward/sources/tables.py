@@ -33,13 +33,21 @@ TABLES = {
 }
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """Where a table's files are, so that a later session finds them without a metastore."""
+    layer, table = name.split(".")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/{layer}.db/{table}"
+
+
 def create_layers(spark: SparkSession) -> None:
-    """The three layer databases and the ten empty tables, where they do not exist yet."""
+    """The three layer databases and the ten tables, where they do not exist yet."""
     for layer in (fx.STAGE, fx.CORE, fx.MART):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for name, columns in TABLES.items():
         if not spark.catalog.tableExists(name):
-            spark.catalog.createTable(name, schema=columns, source="parquet")
+            spark.catalog.createTable(
+                name, path=location(spark, name), schema=columns, source="parquet"
+            )
 
 
 def with_defaults(df: DataFrame, columns: T.StructType) -> DataFrame:
@@ -66,8 +74,15 @@ def conform(df: DataFrame, columns: T.StructType) -> DataFrame:
 
 def write_table(df: DataFrame, name: str, mode: str = "append") -> None:
     """Append to (or overwrite) a table of the catalog, by column name."""
-    columns = TABLES.get(name) or df.sparkSession.table(name).schema
-    conform(with_defaults(df, columns), columns).write.mode(mode).format("parquet").saveAsTable(name)
+    spark = df.sparkSession
+    columns = TABLES.get(name) or (spark.table(name).schema if mode == "append" else df.schema)
+    (
+        conform(with_defaults(df, columns), columns)
+        .write.mode(mode)
+        .format("parquet")
+        .option("path", location(spark, name))
+        .saveAsTable(name)
+    )
 
 
 def append_files(df: DataFrame, path: str) -> None:

@@ -239,6 +239,21 @@ def canonical_map(
     return materialise(mapping, "mapping")
 
 
+def apply_map(
+    rows: DataFrame, column: str, mapping: DataFrame, score_column: str | None = None
+) -> DataFrame:
+    """Replace ``column`` by its entry in a mapping; values without one stay as they are.
+
+    The mapping is a written table of known size: the planner broadcasts a small one, and the
+    rows do not shuffle.
+    """
+    joined = attach(rows, column, mapping, "value", {"_entry": "entry", "_score": "score"})
+    joined = joined.withColumn(column, F.coalesce("_entry", column))
+    if score_column:
+        joined = joined.withColumn(score_column, F.col("_score"))
+    return joined.drop("_entry", "_score")
+
+
 def fuzzy_join(
     rows: DataFrame,
     column: str,
@@ -252,15 +267,9 @@ def fuzzy_join(
 ) -> DataFrame:
     """Replace ``column`` by the closest upper-cased dictionary entry; keep it without one.
 
-    ``protected`` values are left as they are. ``score_column`` adds the similarity. The
-    mapping is a written table of known size, so a small one is broadcast by the planner and
-    the rows do not shuffle.
+    ``protected`` values are left as they are. ``score_column`` adds the similarity.
     """
     mapping = canonical_map(
         rows, column, dictionary, entry, cutoff=cutoff, scorer=scorer, protected=protected
     )
-    joined = attach(rows, column, mapping, "value", {"_entry": "entry", "_score": "score"})
-    joined = joined.withColumn(column, F.coalesce("_entry", column))
-    if score_column:
-        joined = joined.withColumn(score_column, F.col("_score"))
-    return joined.drop("_entry", "_score")
+    return apply_map(rows, column, mapping, score_column)

@@ -18,7 +18,7 @@ from tallyward.functions.numbers import (
 )
 from tallyward.functions.text import clean_text, default_code, leading_code
 from tallyward.operators.dimensions import dense_keys, with_unknown
-from tallyward.operators.matching import fuzzy_join
+from tallyward.operators.matching import apply_map, canonical_map
 from tallyward.operators.quality import Split, fk_flag, split_on_pk, tag, too_long
 from tallyward.operators.shape import subset
 from tallyward.session import materialise
@@ -90,11 +90,18 @@ def incidents(
     """
     protected = tuple(protected)
     fact = clean_incidents(stage)
-    for column, dim, text in (
-        ("agente_causador_acidente", agent_dim, "agente_descricao"),
-        ("natureza_lesao", nature_dim, "natureza_descricao"),
-    ):
-        fact = fuzzy_join(fact, column, dim, text, cutoff=cutoff, protected=protected)
+    dictionaries = {
+        "agente_causador_acidente": (agent_dim, "agente_descricao"),
+        "natureza_lesao": (nature_dim, "natureza_descricao"),
+    }
+    # Each mapping reads one column of the stage; only then are the rows joined, once.
+    mappings = {
+        column: canonical_map(fact, column, dim, text, cutoff=cutoff, protected=protected)
+        for column, (dim, text) in dictionaries.items()
+        if column in fact.columns
+    }
+    for column, mapping in mappings.items():
+        fact = apply_map(fact, column, mapping)
     fact = fk_flag(
         fact, "municipio_empregador", municipality_dim, "municipio_ibge_codigo", "_no_place"
     )

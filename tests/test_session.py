@@ -27,3 +27,25 @@ def test_written_tables_start_a_new_plan(spark):
     assert df.count() == 10 and [f.name for f in df.schema] == ["id", "k"]
     plan = df._jdf.queryExecution().analyzed().toString()
     assert "Range" not in plan
+
+
+def test_work_can_be_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "work_folder", lambda _: str(tmp_path / "work"))
+    session.materialise(spark.range(3), "gone")
+    assert any((tmp_path / "work").iterdir())
+    session.clear_work(spark)
+    assert not (tmp_path / "work").exists()
+
+
+def test_few_splits_are_spread(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(0, 100, 1, 9).write.parquet(str(tmp_path / "many"))
+    assert session.use_all_cores(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        many = spark.read.parquet(str(tmp_path / "many"))
+        assert session.use_all_cores(many) is many
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -40,12 +40,12 @@ def _(spark, folder):
 
 @query(
     "unknown_member",
-    """select n_nationkey + 1 as code, n_name as label from nation
+    """select c_custkey + 1 as code, c_name as label from customer
     union all select 0, 'DESCONHECIDO'""",
 )
 def _(spark, folder):
-    dim = table(spark, folder, "nation").select(
-        (F.col("n_nationkey") + 1).alias("code"), F.col("n_name").alias("label")
+    dim = table(spark, folder, "customer").select(
+        (F.col("c_custkey") + 1).alias("code"), F.col("c_name").alias("label")
     )
     return with_unknown(dim, "code", "label")
 

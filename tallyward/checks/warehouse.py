@@ -1,16 +1,21 @@
-"""The stage-to-core fact and the incremental load."""
+"""Stage and core of the incident fact, and incremental loads."""
+
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyward import fixed_values as fx
+from tallyward.checks.files import write_delimited
 from tallyward.checks.matches import MISSPELT, RATIO_SQL, closest_sql
 from tallyward.checks.registry import query, table
 from tallyward.checks.scalars import date_sql, date_text
 from tallyward.functions.text import clean_text
 from tallyward.operators.attach import attach
-from tallyward.plans import core
+from tallyward.plans import core, staging
 from tallyward.session import materialise, use_all_cores, work_path
-from tallyward.streaming.incremental import clean_stream
+from tallyward.streaming.incremental import clean_stream, load_new_files
 
 # Raw incident columns, by the table that they are made from.
 RAW = {
@@ -39,6 +44,9 @@ RAW = {
         "uf_municipio_acidente": "c_mktsegment",
     },
 }
+_RAW_TEXT = {name: text for columns in RAW.values() for name, text in columns.items()}
+_JOINS = """lineitem left join orders on l_orderkey = o_orderkey
+    left join customer on o_custkey = c_custkey left join part on l_partkey = p_partkey"""
 _KEYS = {
     "lineitem": ["l_orderkey", "l_partkey"],
     "part": ["p_partkey"],
@@ -88,9 +96,7 @@ def _clean(text: str) -> str:
 
 
 def _core_sql() -> str:
-    raw = ", ".join(
-        f"{text} as {name}" for columns in RAW.values() for name, text in columns.items()
-    )
+    raw = ", ".join(f"{text} as {name}" for name, text in _RAW_TEXT.items())
     plain = ["cid_10_codigo", "indica_obito_acidente", "parte_corpo_atingida", "sexo",
              "tipo_acidente", "uf_municipio_acidente", "uf_municipio_empregador"]
     cleaned = ", ".join(f"{_clean(c)} as {c}" for c in plain)
@@ -106,9 +112,7 @@ def _core_sql() -> str:
             ("natureza_lesao", "p_type", "_nature"),
         )
     )
-    return f"""with recursive raw as (select {raw} from lineitem
-    left join orders on l_orderkey = o_orderkey left join customer on o_custkey = c_custkey
-    left join part on l_partkey = p_partkey),
+    return f"""with recursive raw as (select {raw} from {_JOINS}),
   cleaned as (select {_clean('agente_causador_acidente')} as agente_causador_acidente,
     {date_sql('data_acidente')} as data_acidente, cnae_empregador_codigo, {cleaned},
     trim(split_part({_clean('municipio_empregador')}, '-', 1)) as place,
@@ -137,6 +141,61 @@ def incident_core(spark, folder):
     return core.split_tagged(tagged).valid
 
 
+
+
+def _stage_sql() -> str:
+    """All stage columns; the ones without a source are NULL, as are empty cells."""
+    columns = []
+    for field in fx.STAGE_INCIDENT:
+        kind = "integer" if field.dataType == T.IntegerType() else "varchar"
+        text = _RAW_TEXT.get(field.name, "null")
+        value = text if kind == "integer" else f"nullif({text}, '')"
+        columns.append(f"cast({value} as {kind}) as {field.name}")
+    return f"select {', '.join(columns)} from {_JOINS}"
+
+
+@query("stage_incidents", _stage_sql())
+def _(spark, folder):
+    path = work_path(spark, "incident-files")
+    raw = raw_incidents(spark, folder)
+    columns = [
+        (F.col(name) if name in _RAW_TEXT else F.lit(None)).cast("string").alias(header)
+        for header, name in fx.INCIDENT_HEADERS.items()
+    ]
+    write_delimited(raw.select(columns), path, ";")
+    return staging.table_rows(staging.incidents(spark, f"{path}/*.csv"))
+
+
+_DELIVERED = T.StructType(
+    [
+        T.StructField("c_custkey", T.IntegerType()),
+        T.StructField("c_name", T.StringType()),
+        T.StructField("c_mktsegment", T.StringType()),
+    ]
+)
+
+
+@query(
+    "incremental_files",
+    "select cast(c_custkey as integer) as c_custkey, c_name, c_mktsegment from customer",
+)
+def _(spark, folder):
+    """Two deliveries into one folder, a load after each and one without news."""
+    root, target, checkpoint = (work_path(spark, x) for x in ("arrivals", "loaded", "progress"))
+    customers = table(spark, folder, "customer").select(_DELIVERED.names)
+    early = F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
+
+    def load(paths: list[str], batch: int) -> None:
+        rows = staging.load_files(spark, paths, ";", {}, _DELIVERED).rows
+        rows.select(_DELIVERED.names).write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+    for delivery in (customers.filter(early), customers.filter(~early), None):
+        if delivery is not None:
+            write_delimited(delivery, f"{root}/{uuid.uuid4().hex}", ";")
+        load_new_files(spark, f"{root}/*", checkpoint, load)
+    return spark.read.schema(_DELIVERED).parquet(f"{target}/batch=*")
+
+
 @query(
     "incremental_stream",
     """select upper(event_type) as event_type, user_id, count(*) as n, max(ts) as latest

@@ -1,7 +1,10 @@
 import random
 from difflib import SequenceMatcher, get_close_matches
 
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyward.operators import attach as attach_module
@@ -60,6 +63,17 @@ def test_ratio_equals_the_standard_matcher(spark, cutoff):
     )
 
 
+TEXTS = st.lists(st.text("AB CÉ", min_size=1, max_size=12), min_size=1, max_size=8, unique=True)
+
+
+@settings(max_examples=300, deadline=None)
+@given(values=TEXTS, entries=TEXTS, cutoff=st.sampled_from([0.1, 0.3, 0.5, 0.8, 1.0]))
+def test_pruning_is_exact(values, entries, cutoff):
+    cell = matching._best_by_ratio(cutoff)
+    best = cell(pd.DataFrame({"value": values}), pd.DataFrame({"entry": entries}))
+    assert {v: (e, s) for v, e, s in best.itertuples(index=False)} == expected(values, entries, cutoff)
+
+
 def test_long_values_and_ties(spark):
     rng = random.Random(8)
     entries = phrases(rng, 12, 60) + ["AB", "BA", "AC"]

@@ -140,6 +140,15 @@ def test_parameters_in_every_spelling(spark):
     ]:
         assert list(rows_as_dicts(run_sql(spark, query, params))) == [{"a": 2, "b": "x' or 1=1", "c": 3}]
     assert run_sql(spark, "select 'a%s' as t").first().t == "a%s"
+    day, codes = dt.date(2025, 1, 2), (1, 3, 5)
+    for query, params in [
+        ("select count(*) as n from range(10) where id in %s and %s > date'2025-01-01'", (codes, day)),
+        ("select count(*) as n from range(10) where id in %(c)s and %(d)s is not null", {"c": codes, "d": day}),
+    ]:
+        assert run_sql(spark, query, params).first().n == 3
+    assert run_sql(spark, "select %s is null as n", [None]).first().n is True
+    with pytest.raises(ValueError, match="more parameter marks"):
+        run_sql(spark, "select %s, %s", [1])
 
 
 def test_age(spark):

@@ -41,8 +41,8 @@ def attach(
     """``rows`` plus ``{new name: side column}``, NULL where ``side`` has no such key.
 
     Beside a large side, rows of hot values take their columns from a broadcast of only those
-    values. They still pass the shuffle of the others, but under spread keys that match nothing,
-    as do NULLs: no task gets more of them than its share. Names must not clash.
+    values. They still pass the shuffle of the others, but spread over many ways that match
+    nothing, as do NULLs: no task gets more of them than its share. Names must not clash.
     """
     side = side.select(col(key).alias("_key"), *[col(c).alias(a) for a, c in columns.items()])
     if side.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE:
@@ -53,16 +53,17 @@ def attach(
     hot_side = hot.join(F.broadcast(found), F.col("_hot") == F.col("_key"), "left").select(
         "_hot", F.struct(*[col(c) for c in columns]).alias("_from_hot")
     )
-    # Many more spread keys than tasks, so that hashing levels out.
+    # Many more ways than tasks, so that hashing levels out. Way 0 is the only one of the side,
+    # computed from its key since a constant would be folded out of the join keys.
     ways = 16 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    way = F.pmod(F.monotonically_increasing_id(), F.lit(ways))
-    spread = F.concat(F.lit("*"), way.cast("string"))
-    own = F.concat(F.lit("="), col(column).cast("string"))
+    way = (1 + F.pmod(F.monotonically_increasing_id(), F.lit(ways))).cast("int")
+    apart = F.col("_hot").isNotNull() | col(column).isNull()
     marked = rows.join(F.broadcast(hot_side), col(column) == F.col("_hot"), "left").withColumn(
-        "_join", F.when(F.col("_hot").isNotNull() | col(column).isNull(), spread).otherwise(own)
+        "_way", F.when(apart, way).otherwise(F.lit(0))
     )
-    side = side.withColumn("_side", F.concat(F.lit("="), F.col("_key").cast("string")))
-    joined = marked.join(side, F.col("_join") == F.col("_side"), "left")
+    side = side.withColumn("_side_way", F.pmod(F.hash("_key"), F.lit(1)))
+    same = (col(column) == F.col("_key")) & (F.col("_way") == F.col("_side_way"))
+    joined = marked.join(side, same, "left")
     return joined.select(
         *[col(c) for c in rows.columns],
         *[

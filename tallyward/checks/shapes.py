@@ -113,7 +113,8 @@ def _(spark, folder):
     return parts.filter(too_long(F.col("name"), 9))
 
 
-MOVED = "case when o_orderkey % 10 = 0 then o_custkey + 1000000000 when o_orderkey % 17 = 0 then null else o_custkey end"
+MOVED = """case when o_orderkey % 10 = 0 then o_custkey + 1000000000
+  when o_orderkey % 17 = 0 then null else o_custkey end"""
 _ORDERS = f"(select o_orderkey, {MOVED} as o_custkey, o_orderpriority from orders) o"
 
 

@@ -130,6 +130,13 @@ def test_files_to_core(spark, folders):
     assert unprotected == {"ESCADA MÓVEL", *(closest or ["DESCONHECIDO"])}
 
 
+def test_no_files_at_all(spark, tmp_path):
+    loads = warehouse.run(spark, str(tmp_path), str(tmp_path))
+    assert all(load.stats.isEmpty() for load in loads.values())
+    # Without a source not even the unknown member is written.
+    assert all(spark.table(name).isEmpty() for name in TABLES)
+
+
 def test_absent_and_faulty_dictionaries(spark, tmp_path):
     folder = str(tmp_path)
     assert staging.agents(spark, folder).rows.isEmpty()

@@ -31,7 +31,9 @@ def with_unknown(
     return dim.unionByName(member, allowMissingColumns=True)
 
 
-def dense_keys(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
+def dense_keys(
+    df: DataFrame, order: list[str], name: str = "id", kind: str = "int"
+) -> DataFrame:
     """Number rows 1..n in the order of a unique key, without one task seeing all rows.
 
     Rows are cut into sorted ranges of the key and written with the number of their range and
@@ -53,7 +55,7 @@ def dense_keys(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
     )
     # At most ``ranges`` rows, whatever the size of the data.
     return placed.join(F.broadcast(shifts), "_range").select(
-        (F.col("_place") + F.col("_shift")).cast("int").alias(name), *df.columns
+        (F.col("_place") + F.col("_shift")).cast(kind).alias(name), *df.columns
     )
 
 

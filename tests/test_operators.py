@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallyward.operators import attach as attach_module
 from tallyward.operators.attach import attach, hot_values
 from tallyward.operators.dimensions import dense_keys, lookup, with_unknown
+from tallyward.operators import paging
 from tallyward.operators.paging import page
 from tallyward.operators.quality import (
     count_violations,
@@ -126,6 +127,14 @@ def test_lookup_keeps_every_row(spark):
     assert values(out) == [(1, "one"), (1, "one"), (3, "DESCONHECIDO"), (None, "DESCONHECIDO")]
 
 
+def test_deep_page(spark, monkeypatch):
+    monkeypatch.setattr(paging, "SHALLOW", 10)
+    rows = spark.range(500).select((F.col("id") * 7 % 500).alias("k"), "id").repartition(6)
+    deep = page(rows, ["k"], 5, 300)
+    assert deep.columns == ["k", "id"] and [r.k for r in deep.collect()] == [300, 301, 302, 303, 304]
+    assert page(rows, ["k"], 5, 600).isEmpty()
+
+
 def test_page(spark):
     assert [r.id for r in page(spark.range(50).repartition(5), ["id"], 4, 10).collect()] == [10, 11, 12, 13]
     assert page(spark.range(5), ["id"], 4, 10).isEmpty()

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: dict[str, str] = {}
-
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only on a local master without it."""
+    """The shared folder the cluster names; on a local master without it, one in the warehouse."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_root.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="tallyward-work-")
-    )
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -7,7 +7,9 @@ from tallyward import session
 
 def fake(named=None, set_later=None, master="local[2]"):
     context = SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: set_later)
-    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: named))
+    settings = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": "file:/shared/warehouse/"}
+    conf = SimpleNamespace(get=lambda key, default=None: settings[key] or default)
+    return SimpleNamespace(sparkContext=context, conf=conf)
 
 
 def test_the_named_folder_is_used(spark):
@@ -17,7 +19,7 @@ def test_the_named_folder_is_used(spark):
 
 
 def test_only_a_local_master_may_do_without():
-    assert session.work_root(fake()) == session.work_root(fake())
+    assert session.work_root(fake()) == "file:/shared/warehouse/_work"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.work_root(fake(master="spark://host"))
 

@@ -134,16 +134,21 @@ def binary_array(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
     )
 
 
-Work = Callable[[pa.Array], list[pa.Array]]
+Work = Callable[..., list[pa.Array]]
 
 
 def add_columns(
-    docs: DataFrame, make: Callable[[], Work], fields: list[T.StructField], text: str = "text"
+    docs: DataFrame,
+    make: Callable[[], Work],
+    fields: list[T.StructField],
+    text: str = "text",
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
     """``docs`` plus columns computed from a text column, a bounded piece at a time.
 
-    ``make`` runs once in each task; what it returns gets the texts of a piece and returns one
-    Arrow array per new column. Columns of ``docs`` with the names of new ones give way to them.
+    ``make`` runs once in each task; what it returns gets the texts of a piece, and the columns
+    named in ``also``, and returns one Arrow array per new column. Columns of ``docs`` with the
+    names of new ones give way to them.
     """
     new = {f.name.lower() for f in fields}
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new or c == text])
@@ -154,7 +159,7 @@ def add_columns(
         work = make()
         for batch in batches:
             for part in pieces(batch, text):
-                out = work(part.column(text))
+                out = work(part.column(text), *[part.column(c) for c in also])
                 names = [*passed, *[f.name for f in fields]]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in passed], *out], names)
 

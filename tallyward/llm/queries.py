@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import tokens
+from tallyward.llm import decontaminate, language, lines, near, pii, quality, substrings, tokens, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,137 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_decontamination")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = decontaminate.find_contamination(docs, table(spark, folder, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+SQL["op1_decontamination"] = r"""
+with words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), items as (
+    select item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark where item_id is not null
+), windows as (
+    select distinct item_id, least(13, len(w)) as size, w[i : i + least(13, len(w)) - 1] as words
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from items where len(w) > 0)
+), sizes as (
+    select distinct size from windows
+), starts as (
+    select doc_id, size, i, w[i : i + size - 1] as words
+    from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i
+          from words, sizes where len(w) >= size)
+), hits as (
+    select doc_id, item_id, i, size from starts join windows using (size, words)
+), covered as (
+    select doc_id, count(distinct k) as n_hit
+    from (select doc_id, unnest(range(i, i + size)) as k from hits) group by doc_id
+), named as (
+    select doc_id, count(distinct item_id) as n_items,
+        string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+    from hits group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+    coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from words left join covered using (doc_id) left join named using (doc_id)
+""".replace("\\", "\\")
+
+
+@query("op2_repeated_substrings")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = substrings.remove_repeats(docs)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out("doc_id"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def held_out(doc_id: str) -> Column:
+    return F.coalesce(toxicity.fold(doc_id) == 1, F.lit(False)).alias("held_out")
+
+
+@query("op4_pii")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.learn(docs))
+
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [
+        F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in pii.KINDS
+    ]
+    base = F.sha2(joined("base_spans").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, joined("spans").alias("spans"))
+
+
+RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+
+@query("op5_url_trust")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), RULES)
+
+
+@query("op6_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.filter(toxicity.fold("doc_id") != 1))
+    named = language.identify(docs.drop("lang"), model)
+    return named.select("doc_id", held_out("doc_id"), "lang_pred", "score")
+
+
+@query("op7_line_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = lines.dedup_lines(docs)
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return cut.select("doc_id", "n_lines", "n_removed", "removed", kept.alias("kept_sha256"))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs).drop("text", "lang", "source")
+
+
+@query("op9_near_duplicates")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op10_byte_bpe")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

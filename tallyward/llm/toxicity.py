@@ -1,7 +1,7 @@
 """Toxicity scores from positive and unlabelled texts.
 
 Confirmed toxic texts are the positives; any other text is unlabelled, whatever its label says.
-Features are the presence of a word or of its first few letters. Those that stand out among the
+Features are that a word, or its first few letters, occurs once, twice or three times. Those that stand out among the
 positives are found by document frequencies counted in Spark. A linear classifier over them is
 trained with the non-negative risk estimator: the risk of calling a text clean is measured on the
 unlabelled texts, corrected by the share of toxic ones among them, and kept from going negative.
@@ -23,13 +23,16 @@ from tallyward.session import materialise
 PREFIXES = (4, 5, 6, 7)
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 12_000  # texts learned from
 MAX_FEATURES = 4_000
-MIN_TEXTS, MIN_LIFT = 4, 3.0  # a feature must be in so many positives, and so much denser there
+MIN_TEXTS, MIN_LIFT = 5, 3.0  # a feature must be in so many positives, and so much denser there
+MIN_SURPRISE = 6.0  # standard deviations above what chance would put into the positives
+PENALTY = 1e-4  # on squared weights
+LEVELS = (1, 2, 3)  # occurrences that count
 THRESHOLD = 0.7
 
 
 class Model(NamedTuple):
     keys: np.ndarray  # sorted feature hashes
-    weights: np.ndarray
+    weights: np.ndarray  # of all keys for the first level, then for the next
     bias: float
 
 
@@ -51,13 +54,16 @@ def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _present(texts: pa.Array, known: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, place in ``known``) of the known features in each text."""
+    """(text number, feature) of what each text has: a place in ``known`` for each level reached."""
     owner, keys = text_features(texts)
     near = np.flatnonzero(bitmap[keys >> np.uint64(44)])
     at = np.minimum(np.searchsorted(known, keys[near]), len(known) - 1)
     hit = known[at] == keys[near]
-    pairs = np.unique(owner[near][hit] * len(known) + at[hit])
-    return pairs // len(known), pairs % len(known)
+    pairs, counts = np.unique(owner[near][hit] * len(known) + at[hit], return_counts=True)
+    owners = [pairs[counts >= level] // len(known) for level in LEVELS]
+    features = [pairs[counts >= level] % len(known) + i * len(known) for i, level in enumerate(LEVELS)]
+    order = np.argsort(np.concatenate(owners), kind="stable")
+    return np.concatenate(owners)[order], np.concatenate(features)[order]
 
 
 def _bitmap(known: np.ndarray) -> np.ndarray:
@@ -124,10 +130,12 @@ def choose_features(rows: DataFrame) -> np.ndarray:
         F.sum(F.when(F.col("positive"), 0).otherwise(F.col("n"))).alias("u"),
     )
     share_p, share_u = F.col("p") / n_pos, (F.col("u") + 0.5) / n_all
+    surprise = (share_p - share_u) * n_pos / F.sqrt(share_u * n_pos)
     best = (
         both.filter(F.col("p") >= MIN_TEXTS)
         .filter(share_p >= MIN_LIFT * share_u)
-        .orderBy(((share_p - share_u) / F.sqrt(share_u)).desc(), "key")
+        .filter(surprise >= MIN_SURPRISE)
+        .orderBy(surprise.desc(), "key")
         .limit(MAX_FEATURES)
     )
     return np.sort(np.array([r.key for r in best.select("key").collect()], np.int64).view(np.uint64))
@@ -156,7 +164,7 @@ def train(rows: DataFrame, share: float, rounds: int = 400) -> Model:
                 yield pa.RecordBatch.from_arrays([part.column("positive"), lists], ["positive", "found"])
 
     sparse = rows.select("positive", "text").mapInArrow(find, "positive boolean, found array<int>").collect()
-    weights, bias = fit([r.found for r in sparse], np.array([r.positive for r in sparse], bool), len(keys), prior, rounds)
+    weights, bias = fit([r.found for r in sparse], np.array([r.positive for r in sparse], bool), len(keys) * len(LEVELS), prior, rounds)
     return Model(keys, weights, bias)
 
 
@@ -182,7 +190,7 @@ def fit(
         slope = np.where(positive, prior * (chance - 1) / n_pos, 0.0)
         correction = np.where(positive, -prior * chance / n_pos, chance / n_all)
         slope = slope + correction if negative >= 0 else -correction
-        gradient = np.append(np.bincount(column, slope[row], n_features) + 1e-5 * weights, slope.sum())
+        gradient = np.append(np.bincount(column, slope[row], n_features) + PENALTY * weights, slope.sum())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         move = 0.1 * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)

@@ -55,22 +55,33 @@ def luhn(digits: str) -> bool:
     return sum(doubled) % 10 == 0
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """``(start, kind number, end)`` in order; leftmost matches of each kind that pass its check."""
-    spans = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
-    if TRIGGER.search(text):
-        for m in _IP.finditer(text):
-            if all(int(part) <= 255 for part in (p[-400:] if len(p.lstrip("0")) < 4 else "999" for p in m.group().split("."))):
-                spans.append((m.start(), 1, m.end()))
-        for m in _CARD.finditer(text):
-            digits = re.sub("[^0-9]", "", m.group())
-            if 14 <= len(digits) <= 19 and luhn(digits):
-                spans.append((m.start(), 2, m.end()))
-        if "+" in text:
-            for m in _PHONE.finditer(text):
-                if 10 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
-                    spans.append((m.start(), 3, m.end()))
-    return sorted(spans)
+def _valid_ip(text: str) -> bool:
+    parts = [p.lstrip("0") or "0" for p in text.split(".")]
+    return all(len(p) <= 3 and int(p) <= 255 for p in parts)
+
+
+def _valid_card(text: str) -> bool:
+    digits = re.sub("[^0-9]", "", text)
+    return 14 <= len(digits) <= 19 and luhn(digits)
+
+
+def _valid_phone(text: str) -> bool:
+    return 10 <= len(re.sub("[^0-9]", "", text)) <= 15
+
+
+_CHECKED = ((1, _IP, _valid_ip), (2, _CARD, _valid_card), (3, _PHONE, _valid_phone))
+
+Span = tuple[int, int, int]
+
+
+def base_spans(text: str) -> tuple[list[Span], list[Span]]:
+    """``(start, kind number, end)`` of the leftmost matches of each kind, in order: those that pass
+    their check, and those that do not."""
+    spans, refused = [(a, 0, b) for a, b in _emails(text)], []
+    for kind, pattern, valid in _CHECKED:
+        for m in pattern.finditer(text):
+            (spans if valid(m.group()) else refused).append((m.start(), kind, m.end()))
+    return sorted(spans), sorted(refused)
 
 
 def _classes(text: str) -> np.ndarray:
@@ -89,7 +100,7 @@ def window_starts(text: str) -> list[int]:
     return sorted(starts)
 
 
-def _tags(size: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
+def _tags(size: int, spans: list[Span]) -> np.ndarray:
     tags = np.zeros(size, np.int8)
     for start, kind, end in reversed(spans):  # of overlapping spans the first counts
         tags[start:end] = 2 * kind + 2
@@ -263,7 +274,7 @@ def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
                 for value in part.column("text").to_pylist():
                     starts = window_starts(value or "")
                     if starts:
-                        codes, tags = _classes(value), _tags(len(value), base_spans(value))
+                        codes, tags = _classes(value), _tags(len(value), base_spans(value)[0])
                         for start in starts:
                             codes_out.append(codes[start : start + WINDOW].astype(np.uint8).tobytes())
                             tags_out.append(tags[start : start + WINDOW].tobytes())
@@ -293,13 +304,12 @@ def learn(docs: DataFrame, text: str = "text") -> Tagger | None:
     return train(codes, tags)
 
 
-def added_spans(
-    size: int, starts: list[int], decoded: np.ndarray, taken: list[tuple[int, int, int]], text: str
-) -> list[tuple[int, int, int]]:
-    """Spans of the tagger that touch no span in ``taken``, from decoded windows of one text."""
+def added_spans(text: str, starts: list[int], decoded: np.ndarray, taken: list[Span]) -> list[Span]:
+    """Spans of the tagger that touch none in ``taken``, from decoded windows of one text: neither
+    those found already nor matches that failed a check."""
     tags, depth = {}, {}
     for start, row in zip(starts, decoded):
-        for k in range(min(WINDOW, size - start)):
+        for k in range(min(WINDOW, len(text) - start)):
             at, deep = start + k, min(k, WINDOW - 1 - k)
             if deep > depth.get(at, -1):
                 depth[at], tags[at] = deep, int(row[k])
@@ -341,7 +351,8 @@ def find(docs: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFram
 
         def work(texts: pa.Array) -> list[pa.Array]:
             values = [t or "" for t in texts.to_pylist()]
-            base = [base_spans(t) if TRIGGER.search(t) else [] for t in values]
+            both = [base_spans(t) if TRIGGER.search(t) else ([], []) for t in values]
+            base = [spans for spans, _ in both]
             starts = [window_starts(t) if tagger else [] for t in values]
             rows = []
             for value, own in zip(values, starts):
@@ -349,9 +360,9 @@ def find(docs: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFram
                     codes = _classes(value)
                     rows += [_cut(codes, start) for start in own]
             decoded, at, found = decode(rows), 0, []
-            for value, own, taken in zip(values, starts, base):
-                more = added_spans(len(value), own, decoded[at : at + len(own)], taken, value)
-                found.append(sorted([*taken, *more]))
+            for value, own, (spans, refused) in zip(values, starts, both):
+                more = added_spans(value, own, decoded[at : at + len(own)], [*spans, *refused])
+                found.append(sorted([*spans, *more]))
                 at += len(own)
             return [pa.array([[(KINDS[k], a, b) for a, k, b in row] for row in s], kind) for s in (base, found)]
 

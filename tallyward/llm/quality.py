@@ -19,7 +19,7 @@ MIN_WORDS, MAX_REPEATED = 10, 20  # base rules: words, percent of words in repea
 WINDOW = 5
 
 #: Measures with a fence: name and the least distance that a fence has from the quartile.
-MEASURES = {"word_length": 2.0, "symbol_share": 0.05, "dup_line_share": 0.3}
+MEASURES = {"word_length": 4.0, "symbol_share": 0.05, "dup_line_share": 0.5}
 SPREAD = 6.0  # fences are so many interquartile ranges outside the quartiles
 MIN_GROUP = 50  # texts; a smaller group takes the fences of its language, then those of all
 

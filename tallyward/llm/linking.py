@@ -63,11 +63,12 @@ def shared_groups(groups: DataFrame) -> DataFrame:
     return materialise(found.join(sizes, "key"), "groups")
 
 
-def link(shared: DataFrame, verify: Verify) -> DataFrame:
+def link(shared: DataFrame, verify: Verify, refine: Verify | None = None) -> DataFrame:
     """``(a, b)`` edges that connect whatever verified links within the groups connect.
 
     ``shared`` comes from ``shared_groups``; ``verify`` takes distinct candidate pairs ``(a, b)``,
-    a < b, and returns those that are links.
+    a < b, and returns those that are links. ``refine`` may give narrower groups ``(key, node)`` for
+    nodes whose groups did not end in one component; any two of them that are linked must share one.
     """
     # The member that meets most others is the best one to compare all with.
     fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
@@ -79,7 +80,21 @@ def link(shared: DataFrame, verify: Verify) -> DataFrame:
     pairs = _pairs(shared.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b")))
     pairs = materialise(pairs, "pairs")
     near = materialise(verify(pairs), "links")
-    placed = shared.join(components(near), "node", "left").select(
+    labels = components(near)
+    mixed = _mixed(shared, labels)
+    if refine:
+        narrow = shared_groups(refine(materialise(mixed.select("node").distinct(), "apart")))
+        mixed = _mixed(narrow, labels)
+    others = mixed.filter("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
+    rest = others.join(mixed.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key")
+    rest = _pairs(rest.filter("ca <> cb").select("a", "b")).join(pairs, ["a", "b"], "left_anti")
+    more = materialise(verify(materialise(rest, "pairs")), "links")
+    return near.unionByName(more)
+
+
+def _mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(key, node, component, main)`` of the groups that have several components."""
+    placed = groups.join(labels, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
     placed = materialise(placed, "placed")
@@ -90,12 +105,7 @@ def link(shared: DataFrame, verify: Verify) -> DataFrame:
         .filter("parts > 1")
         .select("key", "main")
     )
-    mixed = materialise(placed.join(main, "key"), "mixed")
-    others = mixed.filter("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    rest = others.join(mixed.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key")
-    rest = _pairs(rest.filter("ca <> cb").select("a", "b")).join(pairs, ["a", "b"], "left_anti")
-    more = materialise(verify(materialise(rest, "pairs")), "links")
-    return near.unionByName(more)
+    return materialise(placed.join(main, "key"), "mixed")
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:

@@ -4,7 +4,11 @@ A signature is ``SYMBOLS`` minimum hashes cut to ``BITS`` bits. Two texts are ca
 signatures differ in at most ``ERRORS`` symbols. The signature is split into ``CHUNKS`` chunks: by
 the pigeonhole principle one chunk of such a pair has at most one error, so every chunk is
 indexed once for each place of that error, with the place left out. Texts with one and the same
-shingle set are one node, and candidates are confirmed on their full sets.
+shingle set are one node. Candidates must also agree in a longer signature, and are confirmed on
+their full sets.
+
+Texts that share a frequent passage share keys without being similar. Of those, only pairs that
+have one of their rarest shingles in common can be links, and only they are compared.
 """
 
 from __future__ import annotations
@@ -25,9 +29,13 @@ SHINGLE = 5
 SYMBOLS, BITS, CHUNKS = 40, 16, 10
 ERRORS = 2 * CHUNKS - 1  # one error for each chunk, and one less than a second for each
 
+CHECKS = 128  # symbols of one byte in the longer signature
+MAX_CHECK_ERRORS = 42  # a link of similarity 0.85 has more with probability 1e-8
+COUNTERS = 1 << 20  # of the shingle frequencies that are broadcast
+
 # A link of similarity 0.85 differs in a symbol with probability 0.15, so that more than ERRORS
 # of 40 symbols differ with probability 1e-7.
-_SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_SEEDS = mix(np.arange(1, CHECKS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +56,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.n
 def signatures(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A row of symbols for each non-empty set: the low bits of the minimum of each hash."""
     begin = bounds[:-1][np.diff(bounds) > 0]
-    symbols = np.zeros((len(begin), SYMBOLS), np.uint64)
+    symbols = np.zeros((len(begin), CHECKS), np.uint64)
     if len(begin):
         for i, seed in enumerate(_SEEDS):
             value = (flat ^ seed) * (seed | np.uint64(1))
@@ -61,7 +69,7 @@ def signatures(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def index_keys(symbols: np.ndarray) -> np.ndarray:
     """For each row, chunk and place in the chunk, a key of the chunk without that place."""
     width = SYMBOLS // CHUNKS
-    chunks = symbols.reshape(-1, CHUNKS, width)
+    chunks = symbols[:, :SYMBOLS].reshape(-1, CHUNKS, width)
     keys = np.zeros(chunks.shape, np.uint64)
     for left_out in range(width):
         for place in range(width):
@@ -72,17 +80,18 @@ def index_keys(symbols: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``n_shingles``, ``set_key`` (a digest of the shingle set, null if it is empty)
-    and ``index_keys``."""
+    """``docs`` plus ``n_shingles``, ``set_key`` (a digest of the shingle set, null if it is empty),
+    ``index_keys`` and ``checks``, the longer signature."""
 
     def make():
         def work(texts: pa.Array) -> list[pa.Array]:
             flat, bounds = shingle_sets(texts)
             sizes = np.diff(bounds)
-            keys = index_keys(signatures(flat, bounds)).view(np.int64)
-            ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, SYMBOLS, 0))))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel(), pa.int64()))
-            return [pa.array(sizes, pa.int64()), _digests(flat, bounds), lists]
+            symbols = signatures(flat, bounds)
+            keys, some = index_keys(symbols).view(np.int64), np.concatenate(([0], np.cumsum(sizes > 0)))
+            lists = pa.ListArray.from_arrays(pa.array(some * SYMBOLS, pa.int32()), pa.array(keys.ravel(), pa.int64()))
+            checks = binary_array(symbols.astype(np.uint8).ravel(), some * CHECKS)
+            return [pa.array(sizes, pa.int64()), _digests(flat, bounds), lists, checks]
 
         return work
 
@@ -90,6 +99,7 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
         T.StructField("n_shingles", T.LongType()),
         T.StructField("set_key", T.BinaryType()),
         T.StructField("index_keys", T.ArrayType(T.LongType())),
+        T.StructField("checks", T.BinaryType()),
     ]
     return add_columns(docs, make, fields, text)
 
@@ -114,6 +124,69 @@ def _add_sets(docs: DataFrame) -> DataFrame:
     return add_columns(docs, make, fields)
 
 
+def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose longer signatures differ little enough."""
+    left = nodes.select(F.col("node").alias("a"), F.col("checks").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("checks").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            x, y = (_all_bytes(batch.column(c)).reshape(-1, CHECKS) for c in ("x", "y"))
+            near = (x != y).sum(1) <= MAX_CHECK_ERRORS
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, pairs.schema)
+
+
+def _all_bytes(column: pa.Array) -> np.ndarray:
+    """All bytes of a binary column without nulls."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+
+
+def _rare_shingles(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(key, node)`` of each set's rarest shingles, as many as two similar sets must overlap in.
+
+    Any one order of all shingles is right; frequencies, counted into a table of fixed size, make
+    it one that puts the shingles of frequent passages last.
+    """
+    wanted = materialise(sets.join(nodes, "node", "left_semi"), "apart-sets")
+
+    def count(batches):
+        table = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            table += np.bincount(_slots(_all_bytes(batch.column("shingles")).view(np.uint64)), minlength=COUNTERS)
+        used = np.flatnonzero(table)
+        for at in range(0, len(used), 100_000):
+            some = used[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(table[some])], ["slot", "n"])
+
+    counted = wanted.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()
+    table = np.zeros(COUNTERS, np.int64)
+    table[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(table)
+
+    def choose(batches):
+        table = shared.value
+        for batch in batches:
+            keys, owners = [], []
+            for node, packed in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist()):
+                shingles = np.frombuffer(packed, np.uint64)
+                order = np.lexsort((shingles, table[_slots(shingles)]))
+                keys.append(shingles[order[: len(shingles) + (-percent * len(shingles)) // 100 + 1]].view(np.int64))
+                owners += [node] * len(keys[-1])
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), pa.array(owners, pa.binary())], ["key", "node"]
+                )
+
+    return wanted.mapInArrow(choose, "key long, node binary")
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -163,18 +236,23 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     nodes = (
         described.filter("set_key is not null")
         .groupBy(F.col("set_key").alias("node"))
-        .agg(F.min("_id").alias("least"), F.first("index_keys").alias("index_keys"))
+        .agg(F.min("_id").alias("least"), F.first("index_keys").alias("index_keys"), F.first("checks").alias("checks"))
     )
     nodes = materialise(nodes, "nodes")
     shared = shared_groups(nodes.select("node", F.explode("index_keys").alias("key")))
     # Texts are fetched by id, once for each set; an id that has several texts fetches them all.
-    wanted = materialise(nodes.select("node", "least").join(shared, "node", "left_semi"), "wanted")
+    wanted = materialise(nodes.select("node", "least", "checks").join(shared, "node", "left_semi"), "wanted")
     ids = wanted.select(F.col("least").alias("_wanted")).distinct()
     texts = rows.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("text")
     sets = _add_sets(texts).drop("text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     sets = materialise(sets, "sets")
-    labels = components(link(shared, lambda pairs: _confirm(pairs, sets, percent)))
-    placed = described.drop("index_keys").withColumnRenamed("set_key", "node").join(labels, "node", "left")
+    edges = link(
+        shared,
+        lambda pairs: _confirm(materialise(_alike(pairs, wanted), "alike"), sets, percent),
+        lambda nodes: _rare_shingles(sets, nodes, percent),
+    )
+    labels = components(edges)
+    placed = described.drop("index_keys", "checks").withColumnRenamed("set_key", "node").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     names = placed.filter("node is not null").groupBy("component").agg(F.min("_id").alias("name"))
     return placed.join(names, "component", "left").withColumn("name", F.coalesce("name", "_id"))

@@ -59,7 +59,7 @@ def shared_groups(groups: DataFrame) -> DataFrame:
     spread = groups.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     several = materialise(spread.filter("least <> most").select("key"), "shared-keys")
     found = materialise(groups.join(several, "key", "left_semi").distinct(), "shared")
-    sizes = found.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    sizes = materialise(found.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "sizes")
     return materialise(found.join(sizes, "key"), "groups")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tallyward.llm.linking import components, link, shared_groups
 from tallyward.llm.text import INK_BYTES, LOWER, add_columns, binary_array, mix, split_words, utf8, window_keys
-from tallyward.session import materialise
+from tallyward.session import discard, materialise
 
 SHINGLE = 5
 SYMBOLS, BITS, CHUNKS = 40, 16, 10
@@ -242,6 +242,7 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     shared = shared_groups(nodes.select("node", F.explode("index_keys").alias("key")))
     # Texts are fetched by id, once for each set; an id that has several texts fetches them all.
     wanted = materialise(nodes.select("node", "least", "checks").join(shared, "node", "left_semi"), "wanted")
+    discard(nodes)
     ids = wanted.select(F.col("least").alias("_wanted")).distinct()
     texts = rows.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("text")
     sets = _add_sets(texts).drop("text").join(wanted, "node", "left_semi").dropDuplicates(["node"])

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.llm.text import add_columns, binary_array, mix, pieces, utf8
-from tallyward.session import materialise
+from tallyward.session import discard, materialise
 
 SPAN = 400  # bytes that must repeat
-GRAM = 100  # bytes that choose an anchor
+GRAM = 64  # bytes that choose an anchor
 MAX_RUNS = 4_000  # different runs of one anchor that a task takes, some 2 MB
 SHORT_RUN = 16  # windows of the runs that longer ones are cut into
 SORT_BYTES = 1 << 19  # runs sorted together
@@ -255,12 +255,14 @@ def _resolve(texts: DataFrame, runs: DataFrame, length: int, span: int, max_runs
         F.count(F.lit(1)).alias("_n"), F.min("run").alias("_low"), F.max("run").alias("_high")
     )
     seen = seen.filter("_n > 1").select("anchor", (F.col("_low") != F.col("_high")).alias("mixed"))
-    hits = materialise(runs.join(seen, "anchor"), "repeated-anchors")
+    # Written, so that the join may split the rows of a frequent anchor.
+    hits = materialise(runs.join(materialise(seen, "seen-anchors"), "anchor"), "repeated-anchors")
+    discard(runs)
     equal = hits.filter("not mixed").select("key", "start", "n")
     mixed = hits.filter("mixed").drop("mixed")
     one = F.min(F.struct("key", "start", "n")).alias("one")
-    distinct = mixed.groupBy("anchor", "run").agg(F.count(F.lit(1)).alias("weight"), one)
-    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs"))
+    distinct = materialise(mixed.groupBy("anchor", "run").agg(F.count(F.lit(1)).alias("weight"), one), "weights")
+    sizes = materialise(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs")), "sizes")
     distinct = materialise(distinct.join(sizes, "anchor"), "distinct-runs")
     few = distinct.filter(F.col("runs") <= max_runs).select("one.*", "anchor", "run", "weight")
     verdicts = materialise(_sort_runs(_cut_runs(texts, few, span), span), "sorted-runs")

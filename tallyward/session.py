@@ -40,6 +40,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialise`` wrote and that no later job reads."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if f"/{work_folder(spark).split('://')[-1].lstrip('/')}/" in folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def use_all_cores(scan: DataFrame) -> DataFrame:
     """Spread the rows of a table scan that has fewer input splits than there are cores.
 

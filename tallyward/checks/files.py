@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.checks.registry import query, table
-from tallyward.operators.shape import int_fault, typed
+from tallyward.operators.shape import typed
 from tallyward.session import materialise, work_path
-from tallyward.sources.delimited import FAULT, SOURCE, scan
+from tallyward.sources.delimited import FAULT, ORIGINAL, SOURCE, scan
 from tallyward.sources.isolation import isolate, load_stats
 from tallyward.sources.tables import append_files
 
@@ -134,8 +134,7 @@ def _pieces(spark, folder) -> DataFrame:
         write_delimited(part.select(columns), f"{root}/piece-{piece}", ";")
     rows = scan(spark, f"{root}/*/*.csv", ";", expected=_TABLE, lineage=True)
     delivery = F.regexp_extract(SOURCE, "(piece-[0-9])", 1)
-    fault = F.coalesce(F.col(FAULT), int_fault(_TABLE))
-    return typed(rows.withColumn(SOURCE, delivery).withColumn(FAULT, fault), _TABLE)
+    return typed(rows.withColumn(SOURCE, delivery).drop(ORIGINAL), _TABLE, FAULT)
 
 
 _SQL_PIECES = f"""(select cast(o_orderkey as integer) as o_orderkey,

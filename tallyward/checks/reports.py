@@ -81,8 +81,8 @@ def _(spark, folder):
     "mart_age_band",
     """select case when age is null then 'DESCONHECIDO' when age < 1 then '0-0' when age < 2 then '1-1'
         when age < 4 then '2-3' else '4+' end as band, count(*) as n
-    from (select greatest(date_sub('year', cast(o_orderdate as date), cast(l_shipdate as date)), 0)
-      as age from lineitem join orders on o_orderkey = l_orderkey) group by 1""",
+    from (select case when l_shipdate >= o_orderdate
+      then date_sub('year', cast(o_orderdate as date), cast(l_shipdate as date)) end as age from lineitem join orders on o_orderkey = l_orderkey) group by 1""",
 )
 def _(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyward.fixed_values import BLANK_NUMERIC_TOKENS, WHITE_SPACE
 from tallyward.functions.text import clean_text, default_code, leading_code, strip
 
+_NUMBER = f"^[{WHITE_SPACE}]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?[{WHITE_SPACE}]*$"
 _INTEGER = f"^[{WHITE_SPACE}]*[+-]?[0-9]+[{WHITE_SPACE}]*$"
 
 
@@ -25,6 +26,13 @@ def strict_int(c: Column) -> Column:
     return F.when(text.rlike(_INTEGER), strip(text).try_cast("int"))
 
 
+def loaded_int(c: Column) -> Column:
+    """The integer that a table column takes from a numeric text: decimals are rounded, halves to
+    the even neighbour. NULL for other texts and for numbers that do not fit."""
+    number = F.when(c.rlike(_NUMBER), F.rint(strip(c).try_cast("double")))
+    return F.when(number.between(-(2**31), 2**31 - 1), number.cast("int"))
+
+
 def not_an_int(c: Column) -> Column:
     """True where a value is present but is not an integer."""
     return c.isNotNull() & strict_int(c).isNull()

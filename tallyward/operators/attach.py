@@ -1,73 +1,75 @@
-"""Left join to a side that is unique per key, whatever the skew of the rows."""
+"""Left join of rows to a side by key, whatever the skew of the rows."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.operators.shape import col
+from tallyward.session import materialise
 
-# A side of up to this many rows joins plainly: the planner broadcasts it, or adaptive execution
-# does once it has seen its size.
-SMALL_SIDE = 100_000
+# A value is hot when it has more rows than a shuffle partition's share. Its rows are dealt out
+# in so many parts for each share, which level out over the partitions.
+_PARTS = 16
 
-# At most this many values are treated as hot, so their rows of the side may be broadcast.
-HOT_VALUES = 64
 
-# Counters of the sketch that finds them; any value above a thousandth of the rows is seen.
-_COUNTERS = 10_000
+def _partitions(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_values(rows: DataFrame, column: str) -> DataFrame:
-    """The most frequent values of a column (one column, at most ``HOT_VALUES`` rows).
+def hot_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, parts)`` of the values above a partition's share of the rows; written.
 
-    One pass over one column with a sketch of fixed size per task. A value that is not hot
-    may be among them, which does no harm.
+    One pass over the columns, counted before the shuffle. A column has fewer such values than
+    there are shuffle partitions, however large the rows are.
     """
-    top = F.call_function("approx_top_k", col(column), F.lit(HOT_VALUES), F.lit(_COUNTERS))
-    return (
-        rows.agg(top.alias("top"))
-        .select(F.inline("top"))
-        .select(F.col("item").alias("_hot"))
-        .filter(F.col("_hot").isNotNull())
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]
     )
+    counts = rows.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))  # a row for each column
+    share = F.col("total") / _partitions(rows)
+    hot = (
+        counts.join(F.broadcast(totals), "column")
+        .filter(F.col("value").isNotNull() & (F.col("n") > share))
+        .select("column", "value", F.ceil(_PARTS * F.col("n") / share).cast("int").alias("parts"))
+    )
+    return materialise(hot, "hot-values")
 
 
 def attach(
-    rows: DataFrame, column: str, side: DataFrame, key: str, columns: Mapping[str, str]
+    rows: DataFrame,
+    column: str,
+    side: DataFrame,
+    key: str,
+    columns: Mapping[str, str],
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` plus ``{new name: side column}``, NULL where ``side`` has no such key.
 
-    Beside a large side, rows of hot values take their columns from a broadcast of only those
-    values. They still pass the shuffle of the others, but spread over many ways that match
-    nothing, as do NULLs: no task gets more of them than its share. Names must not clash.
+    Rows of hot values, and rows without a key, are dealt out in parts; the side's rows of those
+    values are repeated once for each part. A key that the side has several times gives a row for
+    each. Names must not clash. ``rows`` is read once to find hot values and once for the join, so
+    it should be written if it is dear; ``hot`` has them if they were found for several columns.
     """
-    side = side.select(col(key).alias("_key"), *[col(c).alias(a) for a, c in columns.items()])
-    if side.limit(SMALL_SIDE + 1).count() <= SMALL_SIDE:
-        return rows.join(side, col(column) == F.col("_key"), "left").drop("_key")
-
-    hot = hot_values(rows, column)
-    found = side.join(F.broadcast(hot), F.col("_key") == F.col("_hot")).drop("_hot")
-    hot_side = hot.join(F.broadcast(found), F.col("_hot") == F.col("_key"), "left").select(
-        "_hot", F.struct(*[col(c) for c in columns]).alias("_from_hot")
+    hot = hot_values(rows, [column]) if hot is None else hot
+    # At most as many rows as there are shuffle partitions.
+    hot = F.broadcast(hot.filter(F.col("column") == column).select("value", "parts"))
+    number = F.monotonically_increasing_id()
+    nowhere = _PARTS * _partitions(rows)
+    part = F.when(col(column).isNull(), F.pmod(number, F.lit(nowhere))).otherwise(
+        F.pmod(number, F.coalesce(F.col("parts"), F.lit(1)))
     )
-    # Many more ways than tasks, so that hashing levels out. Way 0 is the only one of the side,
-    # computed from its key since a constant would be folded out of the join keys.
-    ways = 16 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    way = (1 + F.pmod(F.monotonically_increasing_id(), F.lit(ways))).cast("int")
-    apart = F.col("_hot").isNotNull() | col(column).isNull()
-    marked = rows.join(F.broadcast(hot_side), col(column) == F.col("_hot"), "left").withColumn(
-        "_way", F.when(apart, way).otherwise(F.lit(0))
-    )
-    side = side.withColumn("_side_way", F.pmod(F.hash("_key"), F.lit(1)))
-    same = (col(column) == F.col("_key")) & (F.col("_way") == F.col("_side_way"))
-    joined = marked.join(side, same, "left")
-    return joined.select(
-        *[col(c) for c in rows.columns],
-        *[
-            F.when(F.col("_hot").isNotNull(), F.col("_from_hot")[c]).otherwise(col(c)).alias(c)
-            for c in columns
-        ],
+    marked = rows.join(hot, col(column).cast("string") == F.col("value"), "left")
+    marked = marked.withColumn("_part", part).drop("value", "parts")
+    side = side.select(col(key).alias("_key"), *[col(c).alias(a) for a, c in columns.items()])
+    parts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("parts"), F.lit(1)).cast("long") - 1)
+    dealt = (
+        side.join(hot, F.col("_key").cast("string") == F.col("value"), "left")
+        .withColumn("_side_part", F.explode(parts))
+        .drop("value", "parts")
     )
+    same = (col(column) == F.col("_key")) & (F.col("_part") == F.col("_side_part"))
+    return marked.join(dealt, same, "left").drop("_key", "_part", "_side_part")

@@ -36,26 +36,31 @@ def dense_keys(
 ) -> DataFrame:
     """Number rows 1..n in the order of a unique key, without one task seeing all rows.
 
-    Rows are cut into sorted ranges of the key and written with the number of their range and
-    their place in it: one shuffle. The sizes of the ranges before it then shift each place;
-    that table has one row per range.
+    Rows are cut into sorted ranges of the key: one shuffle.
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return number_rows(ranged, name).withColumn(name, F.col(name).cast(kind))
+
+
+def number_rows(df: DataFrame, name: str = "id", after: int = 0) -> DataFrame:
+    """Rows numbered ``after + 1``, ``after + 2``... in the order of their partitions.
+
+    They are written with the number of their partition and their place in it, which the sizes of
+    the partitions before it then shift.
+    """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
     placed = materialise(
-        df.repartitionByRange(ranges, *order)
-        .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_range"), place.alias("_place")),
-        "ranges",
+        df.select("*", F.spark_partition_id().alias("_range"), place.alias("_place")), "ranges"
     )
     sizes = placed.groupBy("_range").agg(F.max("_place").alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
-        "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift")
+        "_range", (F.coalesce(F.sum("_size").over(before), F.lit(0)) + after).alias("_shift")
     )
-    # At most ``ranges`` rows, whatever the size of the data.
+    # A row for each partition, whatever the size of the data.
     return placed.join(F.broadcast(shifts), "_range").select(
-        (F.col("_place") + F.col("_shift")).cast(kind).alias(name), *df.columns
+        (F.col("_place") + F.col("_shift")).alias(name), *df.columns
     )
 
 

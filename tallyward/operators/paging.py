@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyward.operators.dimensions import dense_keys
 
-# Up to this many rows before the end of the page, each task keeps its own best rows and one
-# task merges them. Deeper pages number the rows instead.
-SHALLOW = 100_000
-
 
 def page(df: DataFrame, order: list[str], limit: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset + 1 .. offset + limit`` in the order of a unique key."""
-    if offset + limit <= SHALLOW:
-        return df.orderBy(*order).offset(offset).limit(limit)
+    """Rows ``offset + 1 .. offset + limit`` in the order of a unique key.
+
+    Rows are numbered in sorted ranges, at any depth: no task gets more than one range.
+    """
     numbered = dense_keys(df, order, "_number", "long")
     wanted = F.col("_number").between(offset + 1, offset + limit)
     return numbered.filter(wanted).orderBy("_number").drop("_number")

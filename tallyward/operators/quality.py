@@ -49,9 +49,9 @@ def split_on_pk(df: DataFrame, keys: list[str]) -> Split:
 def fk_flag(df: DataFrame, column: str, dim: DataFrame, key: str, flag: str) -> DataFrame:
     """Mark rows whose reference is missing from ``dim``; a NULL refers to nothing and is fine.
 
-    One pass over the rows, whose number does not change: the key of ``dim`` must be unique.
+    One pass over the rows, whose number does not change: keys of ``dim`` count once.
     """
-    keys = dim.select(key, F.lit(True).alias("_found"))
+    keys = dim.select(key).distinct().withColumn("_found", F.lit(True))
     found = attach(df, column, keys, key, {"_found": "_found"})
     return found.withColumn(flag, F.col(column).isNotNull() & F.col("_found").isNull()).drop("_found")
 

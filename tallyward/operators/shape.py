@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.functions.numbers import not_an_int, strict_int
+from tallyward.functions.numbers import loaded_int
 
 
 def col(name: str) -> Column:
@@ -27,24 +27,20 @@ def subset(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df.select([col(c) for c in wanted if c in present])
 
 
-def typed(df: DataFrame, table: T.StructType) -> DataFrame:
-    """String columns cast to the types of ``table``; texts that are no integer become NULL."""
-    types = {f.name: f.dataType for f in table}
-    return df.select(
-        [
-            strict_int(col(c)).alias(c) if types.get(c) == T.IntegerType() else col(c)
-            for c in df.columns
+def typed(df: DataFrame, table: T.StructType, fault: str | None = None) -> DataFrame:
+    """String columns cast to the types of ``table``; texts that are no number become NULL.
+
+    With ``fault`` that column names the first such column of a row, unless it has a reason already.
+    Each cell is parsed once.
+    """
+    numbers = [f.name for f in table if f.dataType == T.IntegerType() and f.name in df.columns]
+    parsed = df.withColumns({f"_{c}_parsed": loaded_int(col(c)) for c in numbers})
+    columns = [(col(f"_{c}_parsed") if c in numbers else col(c)).alias(c) for c in df.columns]
+    if fault:
+        wrong = [
+            F.when(col(c).isNotNull() & col(f"_{c}_parsed").isNull(), F.lit(f"{c} is not an integer"))
+            for c in numbers
         ]
-    )
-
-
-def int_fault(table: T.StructType) -> Column:
-    """Name of the first integer column whose text is no integer, else NULL."""
-    return F.coalesce(
-        *[
-            F.when(not_an_int(col(f.name)), F.lit(f"{f.name} is not an integer"))
-            for f in table
-            if f.dataType == T.IntegerType()
-        ],
-        F.lit(None).cast("string"),
-    )
+        reason = F.coalesce(col(fault) if fault in df.columns else F.lit(None).cast("string"), *wrong)
+        columns = [c for c, name in zip(columns, df.columns) if name != fault] + [reason.alias(fault)]
+    return parsed.select(columns)

@@ -7,6 +7,28 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyward import fixed_values as fx
+from tallyward.functions.text import clean_text
+
+
+def incident_reports(
+    fact: DataFrame, places: DataFrame, diseases: DataFrame, unknown: str = fx.UNKNOWN, k: int = 10
+) -> dict[str, DataFrame]:
+    """The report tables of the incident fact, by name. Every one counts before it joins."""
+    agent, kind, died = "agente_causador_acidente", "tipo_acidente", F.col("indica_obito_acidente")
+    codes = diseases.select(clean_text(F.col("cid10_codigo")).alias("code"), "cid10_descricao").distinct()
+    age = age_band(age_in_years(F.col("data_nascimento"), F.col("data_acidente")), fx.AGE_EDGES, unknown)
+    return {
+        "acidentes_por_mes": monthly(fact, F.col("data_acidente"), [F.col(kind)]),
+        "acidentes_por_municipio": by_dimension(
+            fact, "municipio_empregador", places, "municipio_ibge_codigo", "municipio_ibge_descricao", unknown
+        ),
+        "acidentes_por_doenca": by_dimension(fact, "cid_10_codigo", codes, "code", "cid10_descricao", unknown),
+        "obitos_por_agente": rate(fact, F.col(agent), died, ["SIM"]),
+        "acidentes_por_idade": fact.groupBy(age.alias("faixa")).agg(F.count(F.lit(1)).alias("n")),
+        "agentes_por_tipo": top_k(fact, kind, agent, k),
+    }
+
 
 def monthly(rows: DataFrame, date: Column, by: Iterable[Column] = ()) -> DataFrame:
     """Rows per calendar month and group."""
@@ -36,9 +58,9 @@ def rate(rows: DataFrame, group: Column, flag: Column, positive: Sequence[str])
 
 
 def age_in_years(born: Column, at: Column) -> Column:
-    """Completed years; negative ages become 0, an unknown date gives NULL."""
+    """Completed years; an unknown date or one before birth gives NULL."""
     years = F.floor(F.months_between(at.cast("date"), born.cast("date")) / 12).cast("int")
-    return F.when(years.isNotNull(), F.greatest(years, F.lit(0)))
+    return F.when(years >= 0, years)
 
 
 def age_band(age: Column, edges: Sequence[int], unknown: str) -> Column:

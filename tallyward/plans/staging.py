@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tallyward import fixed_values as fx
 from tallyward.operators.quality import pk_flag, too_long
-from tallyward.operators.shape import int_fault, typed
+from tallyward.operators.shape import typed
 from tallyward.session import materialise
-from tallyward.sources.delimited import FAULT, SOURCE, scan
+from tallyward.sources.delimited import FAULT, ORIGINAL, SOURCE, original, scan
+from tallyward.sources.headers import list_files
 from tallyward.sources.isolation import Load, isolate
 
 
@@ -30,7 +31,8 @@ def load_files(
     """Load every file behind ``pattern``; a file with any fault loads no row.
 
     Faults are a line with too many cells, a column the table does not have, a text in an
-    integer column, a text over its length, and (with ``key``) a missing or repeated key.
+    integer column, a text over its length, and (with ``key``) a missing or repeated key. Rejected
+    rows with a fault keep their original text; statistics have a line for files without rows too.
     Parsed once into Parquet; checks and results read that. ``strict`` raises instead.
     """
     rows = scan(
@@ -41,8 +43,11 @@ def load_files(
         for c, n in fx.STAGE_MAX_LENGTHS.items()
         if c in table.names
     ]
-    fault = F.coalesce(F.col(FAULT), int_fault(table), *long_texts)
-    landed = materialise(typed(rows.withColumn(FAULT, fault), table), "landed")
+    cells = [c for c in rows.columns if c not in (SOURCE, FAULT, ORIGINAL)]
+    raw = rows.withColumn("_raw", original(cells)).withColumn(FAULT, F.coalesce(FAULT, *long_texts))
+    landed = typed(raw, table, FAULT)
+    text = F.coalesce(ORIGINAL, F.when(F.col(FAULT).isNotNull(), F.col("_raw")))
+    landed = materialise(landed.withColumn(ORIGINAL, text).drop("_raw"), "landed")
     if key:
         repeated = F.when(F.col("_repeated"), F.lit(f"{key} is not a key"))
         landed = (
@@ -50,7 +55,7 @@ def load_files(
             .withColumn(FAULT, F.coalesce(FAULT, repeated))
             .drop("_repeated")
         )
-    load = isolate(landed)
+    load = isolate(landed, files=list_files(spark, pattern))
     if strict and (fault := load.stats.filter("n_faulty > 0").first()):
         raise ValueError(f"{fault[SOURCE]}: {fault.reason}")
     return load
@@ -62,31 +67,32 @@ def incidents(spark: SparkSession, pattern: str | Sequence[str], **options) -> L
 
 def municipalities(spark: SparkSession, folder: str) -> Load:
     return load_files(
-        spark, f"{folder}/municipios.csv", ";", fx.MUNICIPALITY_HEADERS, fx.STAGE_MUNICIPALITY
-    )
+        spark, f"{folder}/municipios.csv", ";", fx.MUNICIPALITY_HEADERS, fx.STAGE_MUNICIPALITY,
+        multi_line=True,
+    )
 
 
 def agents(spark: SparkSession, folder: str) -> Load:
     return load_files(
         spark, f"{folder}/agente_causador.csv", ",", fx.AGENT_HEADERS, fx.STAGE_AGENT,
-        key="agente_codigo",
+        key="agente_codigo", multi_line=True,
     )
 
 
 def natures(spark: SparkSession, folder: str) -> Load:
     return load_files(
         spark, f"{folder}/natureza_lesao.csv", ",", fx.NATURE_HEADERS, fx.STAGE_NATURE,
-        key="natureza_codigo",
+        key="natureza_codigo", multi_line=True,
     )
 
 
 def diseases(spark: SparkSession, folder: str) -> Load:
     return load_files(
         spark, f"{folder}/cid10.csv", ",", fx.DISEASE_HEADERS, fx.STAGE_DISEASE,
-        key="cid10_codigo", strict=True,
+        key="cid10_codigo", strict=True, multi_line=True,
     )
 
 
 def table_rows(load: Load) -> DataFrame:
     """The loaded rows without their lineage."""
-    return load.rows.drop(SOURCE, FAULT)
+    return load.rows.drop(SOURCE, FAULT, ORIGINAL)

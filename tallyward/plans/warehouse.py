@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward import fixed_values as fx
-from tallyward.plans import core, staging
+from tallyward.plans import core, marts, staging
 from tallyward.session import use_all_cores
 from tallyward.sources.isolation import Load
 from tallyward.sources.tables import create_layers, read_table, write_table
@@ -44,8 +44,12 @@ def to_core(
     *,
     on_violation: str = "quarantine",
     protected: Iterable[str] = (fx.UNKNOWN,),
+    drop_repeats: bool = False,
 ) -> None:
-    """Fill the core tables from the stage tables; dimensions first, the fact needs them."""
+    """Fill the core tables from the stage tables; dimensions first, the fact needs them.
+
+    With ``drop_repeats`` incidents that agree in every column of the fact load once.
+    """
     create_layers(spark)
     places = core.municipality(read_table(spark, f"{fx.STAGE}.municipio"))
     if on_violation == "fail" and not places.violations.isEmpty():
@@ -68,12 +72,24 @@ def to_core(
         protected=protected,
     )
     checked = core.split_tagged(tagged, on_violation)
-    _publish(checked.valid, f"{fx.CORE}.acidente_trabalho")
+    valid = checked.valid.dropDuplicates() if drop_repeats else checked.valid
+    _publish(valid, f"{fx.CORE}.acidente_trabalho")
     _set_aside(checked.violations, f"{fx.CORE}.acidente_trabalho")
 
 
+def to_mart(spark: SparkSession) -> None:
+    """Fill the report tables from the core tables."""
+    create_layers(spark)
+    fact, places, diseases = (
+        read_table(spark, f"{fx.CORE}.{name}") for name in ("acidente_trabalho", "municipio", "cid10")
+    )
+    for name, report in marts.incident_reports(fact, places, diseases).items():
+        _publish(report, f"{fx.MART}.{name}")
+
+
 def run(spark: SparkSession, incident_folder: str, dictionary_folder: str, **options) -> dict[str, Load]:
-    """Both steps; gives the load statistics of the stage."""
+    """All steps; gives the load statistics of the stage."""
     loads = to_stage(spark, incident_folder, dictionary_folder)
     to_core(spark, **options)
+    to_mart(spark)
     return loads

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.functions.text import missing_to_null
-from tallyward.operators.shape import rename
+from tallyward.operators.shape import col, rename
 from tallyward.sources.headers import layouts, list_files
 
 SOURCE = "arquivo_origem"  # the file a row came from
 FAULT = "motivo_rejeicao"  # why a row cannot be loaded, NULL if it can
+ORIGINAL = "texto_original"  # all cells of a row with a fault as they were read, else NULL
 
 _BAD_LINE = "_bad_line"
 _END = "\x02"
@@ -45,14 +46,14 @@ def _too_wide(line: Column, width: int, sep: str) -> Column:
     return line.isNotNull() & ~F.coalesce(ends_within, F.lit(False))
 
 
-def _scan_layout(spark, files, names, sep, encoding, multi_line, lineage):
+def _scan_layout(spark, layout, sep, encoding, multi_line, lineage):
+    names, paths, open_quotes = layout
     # Positional names first: header names may hold dots.
     positions = [f"c{i}" for i in range(len(names))]
-    wanted = _strings([*positions, _BAD_LINE] if lineage else positions)
     # The width of a line is only seen when all of it is parsed.
-    raw = spark.read.option("columnPruning", not lineage).csv(
-        files,
-        schema=wanted,
+    raw = spark.read.option("columnPruning", False).csv(
+        paths,
+        schema=_strings([*positions, _BAD_LINE]),
         sep=sep,
         header=True,
         encoding=encoding,
@@ -60,19 +61,30 @@ def _scan_layout(spark, files, names, sep, encoding, multi_line, lineage):
         multiLine=multi_line,
         columnNameOfCorruptRecord=_BAD_LINE,
     )
-    columns = [missing_to_null(F.col(p)).alias(n) for p, n in zip(positions, names)]
-    if lineage:
-        wide = _too_wide(F.col(_BAD_LINE), len(names), sep)
-        columns += [
-            F.col("_metadata.file_path").alias(SOURCE),
-            F.when(wide, F.lit("too many cells")).alias(FAULT),
-        ]
-    return raw.select(*columns)
+    wide = _too_wide(F.col(_BAD_LINE), len(names), sep)
+    cells = [missing_to_null(F.col(p)) for p in positions]
+    if not lineage:
+        problem = F.concat(F.lit("too many cells: "), F.col(_BAD_LINE))
+        cells[0] = F.when(wide, F.raise_error(problem)).otherwise(cells[0])
+        return raw.select(*[c.alias(n) for c, n in zip(cells, names)])
+    unclosed = F.lit("a quote is not closed in its line" if open_quotes else None).cast("string")
+    fault = F.when(wide, F.lit("too many cells")).otherwise(unclosed)
+    return raw.select(
+        *[c.alias(n) for c, n in zip(cells, names)],
+        F.col("_metadata.file_path").alias(SOURCE),
+        fault.alias(FAULT),
+        F.when(wide, F.col(_BAD_LINE)).alias(ORIGINAL),
+    )
+
+
+def original(columns: Sequence[str]) -> Column:
+    """The cells of a row as JSON text, for rows that are set aside."""
+    return F.to_json(F.struct(*[col(c) for c in columns]))
 
 
 def scan(
     spark: SparkSession,
-    pattern: str,
+    pattern: str | Sequence[str],
     sep: str = ";",
     *,
     renames: Mapping[str, str] | None = None,
@@ -80,30 +92,33 @@ def scan(
     encoding: str = "ISO-8859-1",
     multi_line: bool = False,
     lineage: bool = False,
-    same_header: bool = False,
 ) -> DataFrame:
     """All files behind ``pattern`` appended by column name; every column is a string.
 
-    Nothing there gives no rows (with the ``expected`` columns). With ``lineage`` each row
-    names its file and what is wrong with it: too many cells, or a file whose header has
-    columns outside ``expected``.
+    Nothing there gives no rows (with the ``expected`` columns); a list names files that must
+    exist. With ``lineage`` each row names its file, what is wrong with it (too many cells, a file
+    whose header has columns outside ``expected``, or one with a quote that is not closed in its
+    line, unless ``multi_line``), and then its original text. Without it, such files are an error.
     """
-    groups = layouts(spark, list_files(spark, pattern), sep, encoding, same_header)
-    groups.pop((), None)  # files without a header line hold no rows
+    files = list_files(spark, pattern)
     parts = []
-    for names, files in groups.items():
-        part = _scan_layout(spark, files, names, sep, encoding, multi_line, lineage)
+    for layout in layouts(spark, pattern, files, sep, encoding, multi_line):
+        if layout.open_quotes and not lineage:
+            raise ValueError(f"a quote is not closed in its line: {layout.paths}")
+        part = _scan_layout(spark, layout, sep, encoding, multi_line, lineage)
         part = rename(part, renames or {})
         if expected is not None:
-            known = {*expected.names, SOURCE, FAULT}
+            known = {*expected.names, SOURCE, FAULT, ORIGINAL}
             surplus = [c for c in part.columns if c not in known]
             if surplus and lineage:
                 reason = "unexpected column " + ", ".join(surplus)
-                part = part.withColumn(FAULT, F.lit(reason)).drop(*surplus)
+                cells = [c for c in part.columns if c not in (SOURCE, FAULT, ORIGINAL)]
+                part = part.withColumns({FAULT: F.lit(reason), ORIGINAL: F.coalesce(ORIGINAL, original(cells))})
+                part = part.drop(*surplus)
             elif surplus:
-                raise ValueError(f"unexpected columns in {files[0]}: {surplus}")
+                raise ValueError(f"unexpected columns in {layout.paths}: {surplus}")
         parts.append(part)
     if expected is not None or not parts:
         names = expected.names if expected is not None else []
-        parts.insert(0, _no_rows(spark, [*names, *([SOURCE, FAULT] if lineage else [])]))
+        parts.insert(0, _no_rows(spark, [*names, *([SOURCE, FAULT, ORIGINAL] if lineage else [])]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 _NO_SEPARATOR = "\x01"  # makes the reader hand back whole lines
 
 
+class Layout(NamedTuple):
+    names: tuple[str, ...]
+    paths: str | list[str]  # as Spark's readers take them
+    open_quotes: bool  # a line of these files ends inside quotes
+
+
 def unique_names(names: list[str]) -> list[str]:
     """Repeated names get ``.1``, ``.2``...; a suffix that the header itself uses is skipped."""
     taken, count, result = set(names), defaultdict(int), []
@@ -33,36 +42,70 @@ def split_header(line: str, sep: str) -> tuple[str, ...]:
     return tuple(unique_names(next(csv.reader([line], delimiter=sep))))
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files behind a path or glob; none if nothing is there."""
+def literal(path: str) -> str:
+    """A file's path as a pattern that matches only this file."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def list_files(spark: SparkSession, source: str | Sequence[str]) -> list[str]:
+    """Paths of the files behind a path or pattern; none if nothing is there.
+
+    A list names files as they are, not patterns. One that is not there is an error, since the
+    rows that it should have given would be lost without a word.
+    """
+    wanted = source if isinstance(source, str) else [literal(path) for path in source]
+    if not wanted:
+        return []
     try:
-        found = spark.read.text(pattern).inputFiles()
+        found = spark.read.text(wanted).inputFiles()
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        if isinstance(source, str):
             return []
-        raise
+        raise FileNotFoundError(str(error)) from error
     return sorted(unquote(path) for path in found)
 
 
+def _ends_in_quotes(line: Column, sep: str) -> Column:
+    """True if a cell of the line opens a quote that the line does not close."""
+    sep = re.escape(sep)
+    odd = (F.length(line) - F.length(F.translate(line, '"', ""))) % 2 == 1
+    rest = F.regexp_replace(line, f'(^|{sep})"(?:[^"]|"")*"(?={sep}|$)', "$1")
+    return odd & rest.rlike(f'(^|{sep})"')
+
+
 def layouts(
-    spark: SparkSession, files: list[str], sep: str, encoding: str, same_header: bool = False
-) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their column names. Only the first line of each file is fetched.
+    spark: SparkSession,
+    source: str | Sequence[str],
+    files: list[str],
+    sep: str,
+    encoding: str,
+    multi_line: bool = False,
+) -> list[Layout]:
+    """Files grouped by their column names, found in one scan of all of them.
 
-    ``same_header`` trusts the first file for all of them, for folders of very many files.
+    Files without any line are in no group. If all agree, the group is ``source`` itself.
     """
-
-    def first_line(path: str) -> str | None:
-        row = spark.read.csv(
-            path, schema="line string", sep=_NO_SEPARATOR, quote="", encoding=encoding
-        ).first()
-        return row.line if row else None
-
-    probed = files[:1] if same_header else files
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(16) as pool:
-        for path, line in zip(probed, pool.map(first_line, probed)):
-            groups[split_header(line, sep) if line is not None else ()].append(path)
-    if same_header and files:
-        return {next(iter(groups)): files}
-    return dict(groups)
+    if not files:
+        return []
+    lines = spark.read.csv(
+        [literal(path) for path in files],
+        schema="line string", sep=_NO_SEPARATOR, quote="", encoding=encoding,
+    )
+    at_start = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+    open_quotes = F.lit(False) if multi_line else _ends_in_quotes(F.col("line"), sep)
+    found = (
+        lines.select("line", F.col("_metadata.file_path").alias("file"), at_start.alias("at"), open_quotes.alias("open"))
+        .groupBy("file")
+        .agg(F.min_by("line", "at").alias("header"), F.max("open").alias("open"))
+        .groupBy("header", "open")
+        .agg(F.array_sort(F.collect_list("file")).alias("files"))
+        .collect()
+    )
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for row in found:
+        groups[split_header(row.header, sep), row.open].extend(unquote(path) for path in row.files)
+    if len(groups) == 1 and isinstance(source, str):
+        return [Layout(*key[:1], source, key[1]) for key in groups]
+    return [Layout(names, [literal(p) for p in sorted(paths)], quotes) for (names, quotes), paths in sorted(groups.items())]

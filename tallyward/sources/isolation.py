@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from typing import NamedTuple
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +30,28 @@ def load_stats(rows: DataFrame, source: str = SOURCE, fault: str = FAULT) -> Dat
     )
 
 
-def isolate(rows: DataFrame, source: str = SOURCE, fault: str = FAULT) -> Load:
+def with_all_files(stats: DataFrame, files: list[str], source: str = SOURCE) -> DataFrame:
+    """``stats`` plus a line of zeros for each of the files that has no row."""
+    spark = stats.sparkSession
+    same = F.regexp_replace(F.url_decode("_file"), "^file:/+", "file:/") == F.regexp_replace(
+        F.url_decode(source), "^file:/+", "file:/"
+    )
+    listed = spark.createDataFrame([(quote(f),) for f in files], "_file string")
+    joined = listed.join(stats, same, "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_read", "n_faulty", "n_loaded")]
+    return joined.select(F.coalesce(source, "_file").alias(source), *counts, "reason")
+
+
+def isolate(
+    rows: DataFrame, source: str = SOURCE, fault: str = FAULT, files: list[str] | None = None
+) -> Load:
     """Split by source. ``rows`` should already be written, since it is read three times.
 
     The list of faulty sources is written too: one row per file, so the planner knows its
     size and broadcasts it when small. The rows then never shuffle on the source.
     """
-    stats = materialise(load_stats(rows, source, fault), "load-stats")
+    stats = load_stats(rows, source, fault)
+    stats = materialise(stats if files is None else with_all_files(stats, files, source), "load-stats")
     faulty = stats.filter("n_faulty > 0").select(source, F.lit(True).alias("_faulty"))
     marked = attach(rows, source, faulty, source, {"_faulty": "_faulty"})
     return Load(

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward import fixed_values as fx
+from tallyward.operators.dimensions import number_rows
 from tallyward.operators.shape import col
 
 _ID = T.StructField("id", T.LongType())
 _LOADED = T.StructField("data_carga", T.TimestampType())
+_YEAR = T.StructField("ano", T.IntegerType())  # of the incident
 
 
 def _table(columns: T.StructType, first=(), last=()) -> T.StructType:
@@ -25,7 +27,7 @@ TABLES = {
     f"{fx.STAGE}.agente_causador": fx.STAGE_AGENT,
     f"{fx.STAGE}.natureza_lesao": fx.STAGE_NATURE,
     f"{fx.STAGE}.cid10": fx.STAGE_DISEASE,
-    f"{fx.CORE}.acidente_trabalho": _table(fx.CORE_INCIDENT, [_ID], [_LOADED]),
+    f"{fx.CORE}.acidente_trabalho": _table(fx.CORE_INCIDENT, [_ID], [_LOADED, _YEAR]),
     f"{fx.CORE}.municipio": fx.CORE_MUNICIPALITY,
     f"{fx.CORE}.agente_causador": fx.CORE_AGENT,
     f"{fx.CORE}.natureza_lesao": fx.CORE_NATURE,
@@ -33,6 +35,9 @@ TABLES = {
 }
 
 
+PARTITIONS = {f"{fx.CORE}.acidente_trabalho": ["ano"]}  # so that dated reports read their years
+
+
 def location(spark: SparkSession, name: str) -> str:
     """Where a table's files are, so that a later session finds them without a metastore."""
     layer, table = name.split(".")
@@ -45,15 +50,19 @@ def create_layers(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for name, columns in TABLES.items():
         if not spark.catalog.tableExists(name):
-            spark.catalog.createTable(
-                name, path=location(spark, name), schema=columns, source="parquet"
-            )
+            kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+            parts = f"PARTITIONED BY ({', '.join(PARTITIONS[name])})" if name in PARTITIONS else ""
+            path = location(spark, name).replace("'", "\\'")
+            spark.sql(f"CREATE TABLE {name} ({kinds}) USING parquet {parts} LOCATION '{path}'")
 
 
-def with_defaults(df: DataFrame, columns: T.StructType) -> DataFrame:
-    """Fill the generated columns of a table: a unique row id and the time of the load."""
+def with_defaults(df: DataFrame, columns: T.StructType, after: int = 0) -> DataFrame:
+    """Fill the generated columns of a table: row ids from ``after + 1`` on, the time of the load
+    and the year of the incident."""
+    if "ano" in columns.names and "ano" not in df.columns and "data_acidente" in df.columns:
+        df = df.withColumn("ano", F.year("data_acidente"))
     if "id" in columns.names and "id" not in df.columns:
-        df = df.withColumn("id", F.monotonically_increasing_id())
+        df = number_rows(df, after=after)
     if "data_carga" in columns.names and "data_carga" not in df.columns:
         df = df.withColumn("data_carga", F.current_timestamp())
     return df
@@ -72,17 +81,26 @@ def conform(df: DataFrame, columns: T.StructType) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, name: str, mode: str = "append") -> None:
-    """Append to (or overwrite) a table of the catalog, by column name."""
+def write_table(
+    df: DataFrame, name: str, mode: str = "append", columns: T.StructType | None = None
+) -> None:
+    """Append to (or overwrite) a table of the catalog, by column name.
+
+    Row ids go on from the largest in the table, so they stay unique over appends.
+    """
     spark = df.sparkSession
-    columns = TABLES.get(name) or (spark.table(name).schema if mode == "append" else df.schema)
-    (
-        conform(with_defaults(df, columns), columns)
+    exists = mode == "append" and spark.catalog.tableExists(name)
+    columns = columns or TABLES.get(name) or (spark.table(name).schema if exists else df.schema)
+    after = spark.table(name).agg(F.max("id")).first()[0] if exists and "id" in columns.names else None
+    writer = (
+        conform(with_defaults(df, columns, after or 0), columns)
         .write.mode(mode)
         .format("parquet")
         .option("path", location(spark, name))
-        .saveAsTable(name)
     )
+    if name in PARTITIONS:
+        writer = writer.partitionBy(*PARTITIONS[name])
+    writer.saveAsTable(name)
 
 
 def append_files(df: DataFrame, path: str) -> None:

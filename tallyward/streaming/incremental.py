@@ -8,7 +8,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyward import fixed_values as fx
 from tallyward.plans import core, staging
+from tallyward.sources.tables import TABLES, conform, with_defaults
 
 # Layout of the built-in file listing source; the content column is never read here.
 _LISTING = T.StructType(
@@ -93,8 +95,11 @@ def incremental_incidents(
             staging.table_rows(staged), municipality_dim, agent_dim, nature_dim
         )
         checked = core.split_tagged(tagged)
+        columns = TABLES[f"{fx.CORE}.acidente_trabalho"]
+        # Ids of a batch follow its number, so a repeated batch has the same ones.
+        fact = conform(with_defaults(checked.valid, columns, batch << 40), columns)
         for name, df in {
-            "fact": checked.valid,
+            "fact": fact,
             "violations": checked.violations,
             "rejected": staged.rejected,
             "stats": staged.stats,

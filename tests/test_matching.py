@@ -7,7 +7,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyward.operators import attach as attach_module
 from tallyward.operators import matching
 from tallyward.operators.matching import fuzzy_join, match_values
 
@@ -145,7 +144,7 @@ def test_plan_has_no_cross_join(spark):
     assert "FlatMapCoGroupsInPandas" in plan
 
 
-def test_join_beside_a_large_mapping(spark, monkeypatch):
+def test_join_beside_a_large_mapping(spark):
     rng = random.Random(11)
     entries = sorted(set(phrases(rng, 30)))
     texts = ["DESCONHECIDO"] * 200 + [dirty(rng, rng.choice(entries)) for _ in range(200)] + [None] * 50
@@ -153,6 +152,9 @@ def test_join_beside_a_large_mapping(spark, monkeypatch):
     words = spark.createDataFrame([(e,) for e in entries], "d string")
     plain = fuzzy_join(rows, "t", words, "d", protected=["DESCONHECIDO"], score_column="s")
     want = sorted((tuple(r) for r in plain.collect()))
-    monkeypatch.setattr(attach_module, "SMALL_SIDE", 5)
-    spread = fuzzy_join(rows, "t", words, "d", protected=["DESCONHECIDO"], score_column="s")
-    assert sorted((tuple(r) for r in spread.collect())) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = fuzzy_join(rows, "t", words, "d", protected=["DESCONHECIDO"], score_column="s")
+        assert sorted((tuple(r) for r in spread.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

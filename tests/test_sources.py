@@ -2,10 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.operators.shape import int_fault, rename, subset, typed
+from tallyward.operators.shape import rename, subset, typed
 from tallyward.session import materialise
-from tallyward.sources.delimited import FAULT, SOURCE, scan
-from tallyward.sources.headers import split_header, unique_names
+from tallyward.sources.delimited import FAULT, ORIGINAL, SOURCE, scan
+from tallyward.plans import staging
+from tallyward.sources.headers import layouts, list_files, split_header, unique_names
 from tallyward.sources.isolation import isolate
 
 TABLE = T.StructType(
@@ -47,20 +48,69 @@ def test_newline_in_quotes(spark, tmp_path):
 def test_files_join_by_name(spark, tmp_path):
     path = write(tmp_path, one="a;a;b\n1;x;y\n", two="b;a;a\nY;2;X\n", three="a\n3\n", empty="")
     read = scan(spark, path, ";", expected=TABLE, lineage=True)
-    assert read.columns == ["a", "a.1", "b", SOURCE, FAULT]
-    assert rows(read.drop(SOURCE)) == [("1", "x", "y", None), ("2", "X", "Y", None), ("3", None, None, None)]
+    assert read.columns == ["a", "a.1", "b", SOURCE, FAULT, ORIGINAL]
+    assert rows(read.drop(SOURCE, ORIGINAL)) == [("1", "x", "y", None), ("2", "X", "Y", None), ("3", None, None, None)]
     assert {r[SOURCE].rsplit("/", 1)[1] for r in read.collect()} == {"one.csv", "two.csv", "three.csv"}
 
 
 def test_nothing_there(spark, tmp_path):
     read = scan(spark, f"{tmp_path}/absent.csv", ";", expected=TABLE, lineage=True)
-    assert read.columns == ["a", "a.1", "b", SOURCE, FAULT] and read.isEmpty()
+    assert read.columns == ["a", "a.1", "b", SOURCE, FAULT, ORIGINAL] and read.isEmpty()
     assert scan(spark, f"{tmp_path}/no/*.csv", ";", expected=TABLE).isEmpty()
 
 
-def test_same_header(spark, tmp_path):
-    path = write(tmp_path, one="a;b\n1;x\n", two="a;b\n2;y\n")
-    assert rows(scan(spark, path, ";", same_header=True)) == [("1", "x"), ("2", "y")]
+def test_one_job_for_all_headers(spark, tmp_path):
+    """As many jobs for many files as for two, and a pattern goes on where all agree."""
+    counts = []
+    for n in (2, 9):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        path = write(folder, **{f"f{i}": f"a;b\n{i};x\n" for i in range(n)}, empty="")
+        spark.sparkContext.setJobGroup(f"headers-{n}", "")
+        files = list_files(spark, path)
+        assert len(files) == n + 1
+        assert layouts(spark, path, files, ";", "ISO-8859-1") == [(("a", "b"), path, False)]
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers-{n}")))
+    assert counts[0] == counts[1]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_named_files_must_exist(spark, tmp_path):
+    write(tmp_path, **{"cat[2025] {a}": "a\n1\n", "cat2": "a\n2\n"})
+    named = [f"{tmp_path}/cat[2025] {{a}}.csv", f"{tmp_path}/cat2.csv"]
+    assert rows(scan(spark, named, ";")) == [("1",), ("2",)]
+    assert rows(scan(spark, f"{tmp_path}/*.csv", ";")) == [("1",), ("2",)]
+    with pytest.raises(FileNotFoundError):
+        scan(spark, [*named, f"{tmp_path}/gone.csv"], ";")
+
+
+def test_surplus_cells_are_never_cut_silently(spark, tmp_path):
+    with pytest.raises(Exception, match="too many cells"):
+        scan(spark, write(tmp_path, one="a;b\n1;x\n1;x;LOST\n"), ";").collect()
+
+
+def test_open_quotes_are_a_fault(spark, tmp_path):
+    text = 'a;b\n1;"x\ny"\n2;z"\n'
+    with pytest.raises(ValueError, match="not closed"):
+        scan(spark, write(tmp_path, one=text), ";")
+    faults = {r[FAULT] for r in scan(spark, f"{tmp_path}/*.csv", ";", lineage=True).collect()}
+    assert faults == {"a quote is not closed in its line"}
+    assert rows(scan(spark, f"{tmp_path}/*.csv", ";", multi_line=True)) == [("1", "x\ny"), ("2", 'z"')]
+
+
+def test_rejects_keep_their_text(spark, tmp_path):
+    path = write(
+        tmp_path, good="a;b\n1.0;x\n2.5;\n", bad="a;b\n12x;y\n7;z\n", wide="a;b\n1;x;LOST\n", extra="a;q\n1;KEPT\n",
+        header="a;b\n", empty="",
+    )
+    load = staging.load_files(spark, path, ";", {}, TABLE)
+    assert rows(staging.table_rows(load).select("a", "b")) == [(1, "x"), (2, None)]
+    kept = {r[SOURCE].rsplit("/", 1)[1]: r[ORIGINAL] for r in load.rejected.filter(f"{ORIGINAL} is not null").collect()}
+    assert "12x" in kept["bad.csv"] and kept["wide.csv"] == "1;x;LOST" and "KEPT" in kept["extra.csv"]
+    stats = {r[SOURCE].rsplit("/", 1)[1]: (r.n_read, r.n_loaded) for r in load.stats.collect()}
+    assert stats == {
+        "good.csv": (2, 2), "bad.csv": (2, 0), "wide.csv": (1, 0), "extra.csv": (1, 0), "header.csv": (0, 0), "empty.csv": (0, 0),
+    }
 
 
 def test_blank_in_file_name(spark, tmp_path):
@@ -75,14 +125,13 @@ def test_a_faulty_file_is_left_out_whole(spark, tmp_path):
         short="a;a;b\n3\n4;x\n",
         wide="a;b\n5;x\n6;y;z\n",
         trailing="a;b\n7;x;\n",
-        bad_int="a;b\n8;x\n9.5;y\n",
+        bad_int="a;b\n8;x\n9,5;y\n",
         extra="a;q\n10;z\n",
         quoted='a;b\n11;"x;y"\n12;"x;y";z\n',
         dots="a;a;q.1;q.2\n13;z;1;2\n",
     )
     read = scan(spark, path, ";", expected=TABLE, lineage=True)
-    landed = read.withColumn(FAULT, F.coalesce(F.col(FAULT), int_fault(TABLE)))
-    load = isolate(materialise(typed(landed, TABLE), "test"))
+    load = isolate(materialise(typed(read, TABLE, FAULT), "test"))
     assert sorted(r.a for r in load.rows.collect()) == [1, 2, 3, 4]
     assert load.rows.schema["a"].dataType == T.IntegerType()
     stats = {r[SOURCE].rsplit("/", 1)[1][:-4]: r for r in load.stats.collect()}

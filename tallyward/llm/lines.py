@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.linking import components, link, shared_groups
+from tallyward.llm.linking import link, shared_groups
 from tallyward.session import materialise
 
 THRESHOLD = 1  # edits
@@ -150,7 +150,7 @@ def dedup_lines(
     wanted = materialise(shared.select("node").distinct(), "wanted")
     lines = found.select(node.alias("node"), "line").join(wanted, "node", "left_semi")
     lines = materialise(lines.groupBy("node").agg(F.min("line").alias("line")), "line-texts")
-    labels = components(link(shared, lambda pairs: _verify(pairs, lines, threshold)))
+    labels = link(shared, lambda pairs: _verify(pairs, lines, threshold))
 
     classes = firsts.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")

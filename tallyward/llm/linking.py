@@ -64,7 +64,7 @@ def shared_groups(groups: DataFrame) -> DataFrame:
 
 
 def link(shared: DataFrame, verify: Verify, refine: Verify | None = None) -> DataFrame:
-    """``(a, b)`` edges that connect whatever verified links within the groups connect.
+    """``(node, component)`` of all nodes that verified links within the groups connect.
 
     ``shared`` comes from ``shared_groups``; ``verify`` takes distinct candidate pairs ``(a, b)``,
     a < b, and returns those that are links. ``refine`` may give narrower groups ``(key, node)`` for
@@ -77,19 +77,35 @@ def link(shared: DataFrame, verify: Verify, refine: Verify | None = None) -> Dat
         .groupBy("key")
         .agg(F.max_by("node", F.struct("fame", "node")).alias("first"))
     )
-    pairs = _pairs(shared.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b")))
-    pairs = materialise(pairs, "pairs")
-    near = materialise(verify(pairs), "links")
-    labels = components(near)
+    seen = _pairs(shared.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b")))
+    seen = materialise(seen, "pairs")
+    labels = components(materialise(verify(seen), "links"))
     mixed = _mixed(shared, labels)
     if refine:
         narrow = shared_groups(refine(materialise(mixed.select("node").distinct(), "apart")))
         mixed = _mixed(narrow, labels)
+    # Members that stay apart meet one of the main component in each group, another one in each, so
+    # that hardly any is left for the comparison with all.
+    apart = mixed.filter("component <> main")
+    chosen = mixed.filter("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("b"))
+    pairs = _pairs(apart.select("key", F.col("node").alias("a")).join(chosen, "key").select("a", "b"))
+    pairs = materialise(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
+    labels, grown = _grow(labels, verify(pairs))
+    if grown:
+        mixed = _mixed(mixed.select("key", "node"), labels)
     others = mixed.filter("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
     rest = others.join(mixed.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key")
-    rest = _pairs(rest.filter("ca <> cb").select("a", "b")).join(pairs, ["a", "b"], "left_anti")
-    more = materialise(verify(materialise(rest, "pairs")), "links")
-    return near.unionByName(more)
+    rest = _pairs(rest.filter("ca <> cb").select("a", "b")).join(seen.union(pairs), ["a", "b"], "left_anti")
+    return _grow(labels, verify(materialise(rest, "pairs")))[0]
+
+
+def _grow(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+    """Components with more links, and whether there are any more."""
+    links = materialise(links, "links")
+    if links.isEmpty():
+        return labels, False
+    known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(known.unionByName(links)), True
 
 
 def _mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.linking import components, link, shared_groups
+from tallyward.llm.linking import link, shared_groups
 from tallyward.llm.text import INK_BYTES, LOWER, add_columns, binary_array, mix, split_words, utf8, window_keys
 from tallyward.session import discard, materialise
 
@@ -247,12 +247,11 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     texts = rows.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("text")
     sets = _add_sets(texts).drop("text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     sets = materialise(sets, "sets")
-    edges = link(
+    labels = link(
         shared,
         lambda pairs: _confirm(materialise(_alike(pairs, wanted), "alike"), sets, percent),
         lambda nodes: _rare_shingles(sets, nodes, percent),
     )
-    labels = components(edges)
     placed = described.drop("index_keys", "checks").withColumnRenamed("set_key", "node").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     names = placed.filter("node is not null").groupBy("component").agg(F.min("_id").alias("name"))

@@ -21,11 +21,11 @@ def _(spark, folder):
     return run_sql(spark, text, {"status": "F", "price": 1000.5})
 
 
-def _order_places(spark, folder):
-    orders = table(spark, folder, "orders")
+def _order_places(spark, folder, *by):
+    """Orders counted by customer and ``by``, then with the nation: one row per group is joined."""
+    counts = table(spark, folder, "orders").groupBy("o_custkey", *by).agg(F.count(F.lit(1)).alias("orders"))
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    nation = {"c_nationkey": "c_nationkey"}
-    return attach(orders, "o_custkey", customers, "c_custkey", nation).filter("c_nationkey is not null")
+    return counts.join(customers, F.col("o_custkey") == F.col("c_custkey"))
 
 
 @query(
@@ -34,7 +34,8 @@ def _order_places(spark, folder):
     from orders join customer on c_custkey = o_custkey group by 1, 2""",
 )
 def _(spark, folder):
-    return marts.monthly(_order_places(spark, folder), F.col("o_orderdate"), [F.col("c_nationkey")])
+    month = F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")
+    return marts.monthly(_order_places(spark, folder, month), F.col("month"), [F.col("c_nationkey")], "orders")
 
 
 @query(
@@ -45,10 +46,11 @@ def _(spark, folder):
     left join nation on n_nationkey = place group by 1""",
 )
 def _(spark, folder):
-    place = F.when(F.col("o_orderkey") % 10 == 0, -1).otherwise(F.col("c_nationkey"))
-    rows = _order_places(spark, folder).select(place.alias("place"))
+    tenth = (F.col("o_orderkey") % 10 == 0).alias("tenth")
+    place = F.when(F.col("tenth"), -1).otherwise(F.col("c_nationkey"))
+    rows = _order_places(spark, folder, tenth).withColumn("place", place)
     nations = table(spark, folder, "nation")
-    return marts.by_dimension(rows, "place", nations, "n_nationkey", "n_name", UNKNOWN)
+    return marts.by_dimension(rows, "place", nations, "n_nationkey", "n_name", UNKNOWN, "orders")
 
 
 @query(
@@ -74,7 +76,8 @@ def _(spark, folder):
     where rank <= 3""",
 )
 def _(spark, folder):
-    return marts.top_k(_order_places(spark, folder), "c_nationkey", "o_orderpriority", 3)
+    rows = _order_places(spark, folder, "o_orderpriority")
+    return marts.top_k(rows, "c_nationkey", "o_orderpriority", 3, "orders")
 
 
 @query(

@@ -8,7 +8,6 @@ from tallyward.functions.numbers import (
     blank_to_null,
     drop_check_digit,
     municipality_code,
-    not_an_int,
     strict_int,
 )
 from tallyward.functions.text import clean_text, leading_code, missing_to_null
@@ -80,11 +79,10 @@ NUMBER = """case cast(l_orderkey % 9 as int) when 0 then '12a' when 1 then '' wh
       from (select l_orderkey, l_linenumber, {NUMBER} as t from lineitem))""",
 )
 def _(spark, folder):
-    text = F.expr(NUMBER)
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", strict_int(text).alias("quantity"),
-        not_an_int(text).alias("bad"),
-    )
+    texts = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.expr(NUMBER).alias("text"))
+    read = texts.withColumn("quantity", strict_int(F.col("text")))  # parsed once, judged by the result
+    bad = F.col("text").isNotNull() & F.col("quantity").isNull()
+    return read.select("l_orderkey", "l_linenumber", "quantity", bad.alias("bad"))
 
 
 def date_text(column: str, key: str) -> str:

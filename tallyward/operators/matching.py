@@ -163,13 +163,15 @@ def _score_by_levenshtein(values: DataFrame, entries: DataFrame, cutoff: float)
     # A block is one row with a bounded array of entries; scoring stays in the JVM.
     n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = entries.groupBy(*_BLOCK).agg(F.collect_list("entry").alias("entries"))
-    longer = lambda e: F.greatest(F.length("value"), F.length(e))
-    scored = F.transform(
-        "entries",
-        lambda e: F.struct(
-            (1 - F.levenshtein(F.col("value"), e) / longer(e)).alias("score"), e.alias("entry")
-        ),
-    )
+
+    def score(e: Column) -> Column:
+        longer = F.greatest(F.length("value"), F.length(e))
+        # Distances beyond the limit, which cannot reach the cutoff, are given up early as -1.
+        limit = F.ceil((1 - cutoff) * longer).cast("int")
+        distance = F.call_function("levenshtein", F.col("value"), e, limit)
+        return F.when(distance >= 0, 1 - distance / longer)
+
+    scored = F.transform("entries", lambda e: F.struct(score(e).alias("score"), e.alias("entry")))
     return (
         values.repartition(n, *_BLOCK)
         .join(blocks, _BLOCK)

@@ -30,17 +30,32 @@ def incident_reports(
     }
 
 
-def monthly(rows: DataFrame, date: Column, by: Iterable[Column] = ()) -> DataFrame:
+# Reports count rows, or add up a column of rows that were counted before, e.g. ahead of a join.
+
+
+def _total(counted: str | None) -> Column:
+    return F.sum(counted) if counted else F.count(F.lit(1))
+
+
+def monthly(
+    rows: DataFrame, date: Column, by: Iterable[Column] = (), counted: str | None = None
+) -> DataFrame:
     """Rows per calendar month and group."""
     month = F.trunc(date.cast("date"), "month").alias("month")
-    return rows.groupBy(month, *by).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(month, *by).agg(_total(counted).alias("n"))
 
 
 def by_dimension(
-    rows: DataFrame, key: str, dim: DataFrame, dim_key: str, label: str, unknown: str
+    rows: DataFrame,
+    key: str,
+    dim: DataFrame,
+    dim_key: str,
+    label: str,
+    unknown: str,
+    counted: str | None = None,
 ) -> DataFrame:
     """Rows per dimension label. Counting by key first makes the join one row per key."""
-    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(F.col(key).alias("_key")).agg(_total(counted).alias("_n"))
     labels = dim.select(F.col(dim_key).alias("_dim_key"), F.col(label).alias("_label"))
     return (
         counts.join(labels, F.col("_key") == F.col("_dim_key"), "left")
@@ -71,9 +86,11 @@ def age_band(age: Column, edges: Sequence[int], unknown: str) -> Column:
     return band.otherwise(f"{edges[-1]}+")
 
 
-def top_k(rows: DataFrame, group: str, item: str, k: int) -> DataFrame:
+def top_k(
+    rows: DataFrame, group: str, item: str, k: int, counted: str | None = None
+) -> DataFrame:
     """The k most frequent items per group; ties go by name."""
-    counts = rows.groupBy(group, item).agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(group, item).agg(_total(counted).alias("n"))
     order = Window.partitionBy(group).orderBy(F.desc("n"), F.asc(item))
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 

@@ -5,6 +5,9 @@ one of them is untouched in any line within that distance. Segments are indexed
 number and content; every line probes the lengths up to its own with the few substrings that the
 edits left and right of a segment allow. Candidates are verified by a bit-parallel edit distance
 within the band of the threshold.
+
+Many lines may share a segment and little else. At one edit those that did not end in one class are
+indexed again by all but one of several parts, since the edit is in one part only.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from tallyward.llm.linking import link, shared_groups
 from tallyward.session import materialise
 
 THRESHOLD = 1  # edits
+PARTS = 8  # of which one is left out
 CHARS_PER_EDIT = 20  # a line may have one edit for so many characters; shorter lines stay as they are
 
 
@@ -52,6 +56,17 @@ def segment_keys(line: Column, size: Column, threshold: int) -> Column:
     return F.concat(*lists)
 
 
+def part_keys(line: Column, size: Column) -> Column:
+    """Keys of a line without each of its parts, and of its probes for lines one character shorter."""
+    keys = []
+    for less in (0, 1):
+        for i, (start, width) in enumerate(segments(size - less, PARTS)):
+            end = start + width + less + 1
+            rest = F.substring(line, end, size)
+            keys.append(F.xxhash64(size - less, F.lit(i), F.substring(line, F.lit(1), start), rest))
+    return F.array(*keys)
+
+
 def edits_within(a: Column, b: Column, threshold: int) -> Column:
     """True if two texts are at most ``threshold`` edits apart, for ``len(a) <= len(b)``.
 
@@ -150,7 +165,12 @@ def dedup_lines(
     wanted = materialise(shared.select("node").distinct(), "wanted")
     lines = found.select(node.alias("node"), "line").join(wanted, "node", "left_semi")
     lines = materialise(lines.groupBy("node").agg(F.min("line").alias("line")), "line-texts")
-    labels = link(shared, lambda pairs: _verify(pairs, lines, threshold))
+
+    def narrow(nodes: DataFrame) -> DataFrame:
+        key = F.explode(part_keys(F.col("line"), F.length("line"))).alias("key")
+        return lines.join(nodes, "node", "left_semi").select(key, "node")
+
+    labels = link(shared, lambda pairs: _verify(pairs, lines, threshold), narrow if threshold == 1 else None)
 
     classes = firsts.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")

@@ -48,6 +48,28 @@ def test_close_lines_share_a_key(spark):
     assert df.select(F.arrays_overlap(key("a"), key("b")).alias("met")).filter("met").count() == len(rows) > 200
 
 
+def test_lines_one_edit_apart_share_a_part_key(spark):
+    pick, rows = random.Random(7), []
+    for n in range(300):
+        one = [pick.choice("ab") for _ in range(pick.randrange(20, 45))]
+        two = list(one)
+        at, kind = pick.randrange(len(two)), pick.randrange(3)
+        two[at : at + (kind != 1)] = ["x"] if kind < 2 else []
+        rows.append((n, "".join(one), "".join(two)))
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    key = lambda c: lines.part_keys(F.col(c), F.length(c))
+    assert df.filter(F.arrays_overlap(key("a"), key("b"))).count() == 300
+
+
+def test_many_lines_that_share_half(spark):
+    half = "".join(random.Random(3).choice("abcdef") for _ in range(40))
+    rows = [(n, half + hashlib.sha256(bytes([n])).hexdigest()[:40]) for n in range(120)]
+    rows += [(200 + n, rows[n][1][:70] + "?" + rows[n][1][71:]) for n in range(0, 120, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text, r.n_lines, [tuple(x) for x in r.removed or []]) for r in lines.dedup_lines(docs).collect()]
+    assert sorted(got, key=repr) == brute(rows, 1) and sum(len(g[3]) for g in got) == 12
+
+
 def brute(rows, threshold):
     found = {}
     for doc, text in rows:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,7 @@ def discard(df: DataFrame) -> None:
     spark = df.sparkSession
     files = df.inputFiles()
     folder = files[0].rsplit("/", 1)[0] if files else ""
-    if f"/{work_folder(spark).split('://')[-1].lstrip('/')}/" in folder:
+    if f"/{re.sub(r'^[a-z0-9]+:/*', '', work_folder(spark)).lstrip('/')}/" in folder:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -31,6 +31,17 @@ def test_written_tables_start_a_new_plan(spark):
     assert "Range" not in plan
 
 
+def test_only_own_tables_are_discarded(spark, tmp_path):
+    kept = session.materialise(spark.range(3), "kept")
+    gone = session.materialise(spark.range(3), "gone")
+    spark.range(3).write.parquet(str(tmp_path / "input"))
+    for df in (gone, spark.read.parquet(str(tmp_path / "input"))):
+        session.discard(df)
+    assert kept.count() == 3 and spark.read.parquet(str(tmp_path / "input")).count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        gone.count()
+
+
 def test_work_can_be_cleared(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "work_folder", lambda _: str(tmp_path / "work"))
     session.materialise(spark.range(3), "gone")

@@ -145,7 +145,61 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cut = lines.dedup_lines(docs)
     kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    return cut.select("doc_id", "n_lines", "n_removed", "removed", kept.alias("kept_sha256"))
+    # Each line left out as number:id:number, the last two of the line that stands for its class.
+    parts = F.transform("removed", lambda r: F.concat_ws(":", r["line"], r["first_id"], r["first_line"]))
+    removed = F.coalesce(F.array_join(parts, ","), F.lit("")).alias("removed")
+    return cut.select("doc_id", "n_lines", "n_removed", removed, kept.alias("kept_sha256"))
+
+
+SQL["op7_line_dedup"] = r"""
+with recursive lines as (
+    select doc_id, unnest(split) as line, unnest(range(0, len(split))) as place
+    from (select doc_id, string_split(text, chr(10)) as split from documents where text is not null)
+), texts as (
+    select line, length(line) as n, min({'id': doc_id, 'place': place}) as first,
+        row_number() over (order by line) as node
+    from lines where length(line) >= 20 group by line
+), halves as (
+    select node, line, n, n as m, substr(line, 1, n // 2) as front, substr(line, n // 2 + 1) as back from texts
+    union all
+    select node, line, n, n - 1, substr(line, 1, (n - 1) // 2), substr(line, (n - 1) // 2 + 2) from texts
+), met as (
+    select a.node as x, b.node as y, a.line as s, b.line as t, b.n - a.n as more
+    from halves a join halves b on a.n = a.m and b.m = a.m and a.front = b.front and a.node <> b.node
+    union
+    select a.node, b.node, a.line, b.line, b.n - a.n
+    from halves a join halves b on a.n = a.m and b.m = a.m and a.back = b.back and a.node <> b.node
+), compared as (
+    select *, list_position(list_transform(list_zip(string_split(s, ''), string_split(t, '')),
+        lambda c: c[1] = c[2]), false) as p
+    from met
+), links as (
+    select x, y from compared where p is null or substr(s, p + 1 - more) = substr(t, p + 1)
+), both_ways as (
+    select x, y from links union select y, x from links
+), reached(node, other) as (
+    select node, node from texts union select node, y from reached join both_ways on other = x
+), classes as (
+    select node, min(other) as class from reached group by node
+), heads as (
+    select line, min(first) over (partition by class) as head from texts join classes using (node)
+), gone as (
+    select doc_id, place, head from lines join heads using (line)
+    where doc_id <> head.id or place <> head.place
+), removed as (
+    select doc_id, count(*) as n_removed,
+        string_agg(place || ':' || head.id || ':' || head.place, ',' order by place) as removed
+    from gone group by doc_id
+), kept as (
+    select doc_id, string_agg(line, chr(10) order by place) as text
+    from lines l where not exists (select 1 from gone g where g.doc_id = l.doc_id and g.place = l.place)
+    group by doc_id
+)
+select d.doc_id, case when d.text is null then 0 else len(string_split(d.text, chr(10))) end as n_lines,
+    coalesce(n_removed, 0) as n_removed, coalesce(removed, '') as removed,
+    sha256(coalesce(k.text, '')) as kept_sha256
+from documents d left join removed using (doc_id) left join kept k on k.doc_id = d.doc_id
+"""
 
 
 @query("op8_quality_rules")
@@ -159,6 +213,36 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents"))
 
 
+SQL["op9_near_duplicates"] = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), shingles as (
+    select distinct doc_id, array_to_string(w[i : i + 4], ' ') as shingle
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+    select a.doc_id as x, b.doc_id as y, count(*) as n
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+), links as (
+    select x, y from shared join sizes sx on sx.doc_id = x join sizes sy on sy.doc_id = y
+    where 100 * shared.n >= 85 * (sx.n + sy.n - shared.n)
+), both_ways as (
+    select x, y from links union all select y, x from links
+), reached(doc_id, other) as (
+    select doc_id, doc_id from documents
+    union select reached.doc_id, y from reached join both_ways on other = x
+), named as (
+    select doc_id, min(other) as component_id from reached group by doc_id
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from documents join named using (doc_id) left join sizes using (doc_id)
+"""
+
+
 @query("op10_byte_bpe")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

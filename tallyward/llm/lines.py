@@ -67,12 +67,43 @@ def part_keys(line: Column, size: Column) -> Column:
     return F.array(*keys)
 
 
+def common_prefix(a: Column, b: Column) -> Column:
+    """How many characters two texts begin with in common, by ever smaller steps."""
+    shorter = F.least(F.length(a), F.length(b))
+
+    def longer(done: Column, step: Column) -> Column:
+        fits = done + step <= shorter
+        same = F.substring(a, done + 1, step) == F.substring(b, done + 1, step)
+        return F.when(fits & same, done + step).otherwise(done)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(27, -1, -1)]), F.lit(0), longer)
+
+
 def edits_within(a: Column, b: Column, threshold: int) -> Column:
     """True if two texts are at most ``threshold`` edits apart, for ``len(a) <= len(b)``.
 
-    The column of the edit matrix is two bit vectors, of steps up and of steps down, that cover
-    only the ``2 * threshold + 1`` rows around the diagonal and move down by one row each time.
+    What both begin and end with is cut off first. The column of the edit matrix is two bit
+    vectors, of steps up and of steps down, that cover only the ``2 * threshold + 1`` rows around
+    the diagonal and move down by one row each time, until the score cannot come back.
     """
+
+    def without_start(p: Column) -> Column:
+        x, y = F.substring(p["a"], p["n"] + 1, F.length(p["a"])), F.substring(p["b"], p["n"] + 1, F.length(p["b"]))
+        tail = common_prefix(F.reverse(x), F.reverse(y))
+        return F.struct(x.alias("a"), y.alias("b"), tail.alias("n"))
+
+    def without_end(p: Column) -> Column:
+        x = F.substring(p["a"], F.lit(1), F.length(p["a"]) - p["n"])
+        y = F.substring(p["b"], F.lit(1), F.length(p["b"]) - p["n"])
+        return F.struct(x.alias("a"), y.alias("b"))
+
+    whole = F.struct(a.alias("a"), b.alias("b"), common_prefix(a, b).alias("n"))
+    middle = _let(whole, lambda p: _let(without_start(p), without_end))
+    close = _let(middle, lambda p: _banded(p["a"], p["b"], threshold))
+    return F.when(F.length(b) - F.length(a) > threshold, False).otherwise(close)
+
+
+def _banded(a: Column, b: Column, threshold: int) -> Column:
     width = 2 * threshold + 1
     full = (1 << width) - 1
     m, n = F.length(a), F.length(b)
@@ -87,7 +118,9 @@ def edits_within(a: Column, b: Column, threshold: int) -> Column:
             match = equal[0]
             for e in equal[1:]:
                 match = match.bitwiseOR(e)
-            return _let(F.struct(match.alias("pm"), state.alias("s"), j.alias("j")), column)
+            # Along the last row the score falls by one in each of the few columns left at most.
+            moved = _let(F.struct(match.alias("pm"), state.alias("s"), j.alias("j")), column)
+            return F.when(state["score"] > 2 * threshold + n - m, state).otherwise(moved)
 
         def column(v: Column) -> Column:
             pm, up, down = v["pm"], v["s"]["up"], v["s"]["down"]
@@ -117,7 +150,7 @@ def edits_within(a: Column, b: Column, threshold: int) -> Column:
         return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["score"] <= threshold)
 
     banded = _let(F.split(a, ""), lambda x: _let(F.split(b, ""), lambda y: run(x, y)))
-    return F.when(n - m > threshold, False).when(m <= threshold, F.levenshtein(a, b) <= threshold).otherwise(banded)
+    return F.when(m <= threshold, F.levenshtein(a, b) <= threshold).otherwise(banded)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyward import fixed_values as fx
 from tallyward.plans import core, marts, staging
-from tallyward.session import use_all_cores
+from tallyward.session import use_all_cores, work_only_here
 from tallyward.sources.isolation import Load
 from tallyward.sources.tables import create_layers, read_table, write_table
 
 REJECTED = "rejeitado"  # suffix of the tables of rows that were set aside
+STATISTICS = "carga"  # and of those with a line for each file
 
 
 def _publish(df: DataFrame, name: str) -> None:
@@ -88,8 +89,15 @@ def to_mart(spark: SparkSession) -> None:
 
 
 def run(spark: SparkSession, incident_folder: str, dictionary_folder: str, **options) -> dict[str, Load]:
-    """All steps; gives the load statistics of the stage."""
-    loads = to_stage(spark, incident_folder, dictionary_folder)
-    to_core(spark, **options)
-    to_mart(spark)
-    return loads
+    """All steps; gives the loads of the stage as its tables have them. No work files are left."""
+    with work_only_here(spark):
+        loads = to_stage(spark, incident_folder, dictionary_folder)
+        to_core(spark, **options)
+        to_mart(spark)
+        for name, load in loads.items():
+            _publish(load.stats, f"{fx.STAGE}.{name}_{STATISTICS}")
+    tables = {name: f"{fx.STAGE}.{name}" for name in loads}
+    return {
+        name: Load(*[read_table(spark, t) for t in (table, f"{table}_{REJECTED}", f"{table}_{STATISTICS}")])
+        for name, table in tables.items()
+    }

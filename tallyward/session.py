@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,30 @@ def work_folder(spark: SparkSession) -> str:
     return f"{work_root(spark)}/tallyward/{spark.sparkContext.applicationId}"
 
 
+_given_out: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the work root."""
-    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _given_out.append(f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}")
+    return _given_out[-1]
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def work_only_here(spark: SparkSession) -> Iterator[None]:
+    """Delete, in the end, what the work folder gets inside the block."""
+    before = len(_given_out)
+    try:
+        yield
+    finally:
+        for path in _given_out[before:]:
+            _delete(spark, path)
+        del _given_out[before:]
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -47,8 +70,7 @@ def discard(df: DataFrame) -> None:
     files = df.inputFiles()
     folder = files[0].rsplit("/", 1)[0] if files else ""
     if f"/{re.sub(r'^[a-z0-9]+:/*', '', work_folder(spark)).lstrip('/')}/" in folder:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
 
 
 def use_all_cores(scan: DataFrame) -> DataFrame:
@@ -62,5 +84,4 @@ def use_all_cores(scan: DataFrame) -> DataFrame:
 
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application wrote, once no DataFrame needs it any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, work_folder(spark))

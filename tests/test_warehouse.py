@@ -1,12 +1,14 @@
 import csv
 import datetime as dt
 from difflib import get_close_matches
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyward import fixed_values as fx
 from tallyward.plans import core, staging, warehouse
+from tallyward.session import work_folder
 from tallyward.sources.tables import TABLES, create_layers, read_table, write_table
 from tallyward.streaming.incremental import incremental_incidents
 
@@ -76,8 +78,21 @@ def folders(tmp_path):
     return str(incidents), str(dictionaries)
 
 
+def work_files(spark):
+    return {p for p in Path(work_folder(spark)).rglob("*") if p.is_file()}
+
+
 def test_files_to_core(spark, folders):
+    before = work_files(spark)
     loads = warehouse.run(spark, *folders)
+    assert work_files(spark) <= before
+    months = spark.table("schema_mart.acidentes_por_mes").collect()
+    assert {(r.month, r.tipo_acidente, r.n) for r in months} == {(dt.date(2025, 1, 1), "TÍPICO", 3), (None, "TÍPICO", 1)}
+    places = {tuple(r) for r in spark.table("schema_mart.acidentes_por_municipio").collect()}
+    assert places == {("SÃO PAULO", 3), ("DESCONHECIDO", 1)}
+    diseases = {tuple(r) for r in spark.table("schema_mart.acidentes_por_doenca").collect()}
+    assert diseases == {("FERIDA", 3), ("DESCONHECIDO", 1)}
+    assert spark.table("schema_mart.acidentes_por_idade").agg(F.sum("n")).first()[0] == 4
     stats = {r[0].rsplit("/", 1)[1]: r for r in loads["acidente_trabalho"].stats.collect()}
     assert {n: (r.n_read, r.n_loaded) for n, r in stats.items()} == {
         "a.csv": (6, 6), "b.csv": (1, 1), "c.csv": (2, 0),

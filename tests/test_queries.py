@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entries
 from compare import normal
+from tallyward.checks.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -19,7 +20,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", entries.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, db, name):
     got = entries.queries()[name](spark, FOLDER).toPandas()
     want = db.execute(entries.oracle_sql()[name]).df()

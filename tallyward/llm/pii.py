@@ -9,7 +9,7 @@ its tag from the window in which it lies deepest. Spans of the patterns always s
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -60,9 +60,12 @@ def _valid_ip(text: str) -> bool:
     return all(len(p) <= 3 and int(p) <= 255 for p in parts)
 
 
+def _card_sized(text: str) -> bool:
+    return 14 <= len(re.sub("[^0-9]", "", text)) <= 19
+
+
 def _valid_card(text: str) -> bool:
-    digits = re.sub("[^0-9]", "", text)
-    return 14 <= len(digits) <= 19 and luhn(digits)
+    return _card_sized(text) and luhn(re.sub("[^0-9]", "", text))
 
 
 def _valid_phone(text: str) -> bool:
@@ -76,11 +79,15 @@ Span = tuple[int, int, int]
 
 def base_spans(text: str) -> tuple[list[Span], list[Span]]:
     """``(start, kind number, end)`` of the leftmost matches of each kind, in order: those that pass
-    their check, and those that do not."""
+    their check, and those that do not. Two digits are a match of a card's pattern; without as many
+    as a card has they are no card that failed, and in neither list."""
     spans, refused = [(a, 0, b) for a, b in _emails(text)], []
     for kind, pattern, valid in _CHECKED:
         for m in pattern.finditer(text):
-            (spans if valid(m.group()) else refused).append((m.start(), kind, m.end()))
+            if valid(m.group()):
+                spans.append((m.start(), kind, m.end()))
+            elif kind != 2 or _card_sized(m.group()):
+                refused.append((m.start(), kind, m.end()))
     return sorted(spans), sorted(refused)
 
 
@@ -304,9 +311,11 @@ def learn(docs: DataFrame, text: str = "text") -> Tagger | None:
     return train(codes, tags)
 
 
-def added_spans(text: str, starts: list[int], decoded: np.ndarray, taken: list[Span]) -> list[Span]:
-    """Spans of the tagger that touch none in ``taken``, from decoded windows of one text: neither
-    those found already nor matches that failed a check."""
+def added_spans(
+    text: str, starts: list[int], decoded: np.ndarray, taken: list[Span], refused: Iterable[Span] = ()
+) -> list[Span]:
+    """Spans of the tagger that touch none in ``taken``, those found already, and none of their own
+    kind in ``refused``, the matches that failed a check; from decoded windows of one text."""
     tags, depth = {}, {}
     for start, row in zip(starts, decoded):
         for k in range(min(WINDOW, len(text) - start)):
@@ -314,6 +323,7 @@ def added_spans(text: str, starts: list[int], decoded: np.ndarray, taken: list[S
             if deep > depth.get(at, -1):
                 depth[at], tags[at] = deep, int(row[k])
     busy = {i for a, _, b in taken for i in range(a, b)}
+    failed = {(k, i) for a, k, b in refused for i in range(a, b)}
     spans, open_at, kind = [], None, None
     for at in [*sorted(tags), None]:
         tag = tags[at] if at is not None else 0
@@ -325,7 +335,9 @@ def added_spans(text: str, starts: list[int], decoded: np.ndarray, taken: list[S
             open_at, kind = at, tag // 2
         last = at
     return [
-        s for s in spans if not any(i in busy for i in range(s[0], s[2])) and TRIGGER.search(text, s[0], s[2])
+        s
+        for s in spans
+        if not any(i in busy or (s[1], i) in failed for i in range(s[0], s[2])) and TRIGGER.search(text, s[0], s[2])
     ]
 
 
@@ -361,7 +373,7 @@ def find(docs: DataFrame, tagger: Tagger | None, text: str = "text") -> DataFram
                     rows += [_cut(codes, start) for start in own]
             decoded, at, found = decode(rows), 0, []
             for value, own, (spans, refused) in zip(values, starts, both):
-                more = added_spans(value, own, decoded[at : at + len(own)], [*spans, *refused])
+                more = added_spans(value, own, decoded[at : at + len(own)], spans, refused)
                 found.append(sorted([*spans, *more]))
                 at += len(own)
             return [pa.array([[(KINDS[k], a, b) for a, k, b in row] for row in s], kind) for s in (base, found)]

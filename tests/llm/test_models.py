@@ -159,3 +159,27 @@ def test_added_spans_stay_off_others():
     row[0, 4], row[0, 5:12], row[0, 16], row[0, 17:24] = 5, 6, 7, 8
     assert pii.added_spans(text, [0], row, []) == [(4, 2, 12), (16, 3, 24)]
     assert pii.added_spans(text, [0], row, [(11, 1, 13)]) == [(16, 3, 24)]
+
+
+def test_a_failed_match_blocks_only_its_own_kind():
+    text = "call 030 1234567, card 4111 1111 1111 1112" + " " * 22
+    spans, refused = pii.base_spans(text)
+    assert spans == [] and refused == [(23, 2, 42)]
+    row = np.zeros((1, pii.WINDOW), np.int8)
+    row[0, 5], row[0, 6:16], row[0, 23], row[0, 24:42] = 7, 8, 5, 6
+    assert pii.added_spans(text, [0], row, spans, refused) == [(5, 3, 16)]
+
+
+def test_the_tagger_adds_a_phone_without_plus(spark):
+    """A tagger that knows such phones from its examples."""
+    pick, codes, tags = random.Random(3), np.full((600, pii.WINDOW), -1), np.zeros((600, pii.WINDOW), np.int64)
+    phone = lambda: f"0{pick.randrange(20, 99)} {pick.randrange(10**6, 10**7)}"
+    for i in range(600):
+        begin = f"{prose(pick, 4)[:20]} call "
+        number = phone()
+        text = f"{begin}{number} or room {pick.randrange(99)}"[: pii.WINDOW]
+        codes[i, : len(text)] = pii._classes(text)
+        tags[i, : len(text)] = pii._tags(len(text), [(len(begin), 3, len(begin) + len(number))])
+    text = f"{prose(pick, 4)[:20]} call 030 1234567 or room 12"
+    found = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), pii.train(codes, tags)).first()
+    assert found.base_spans == [] and [tuple(s) for s in found.spans] == [("phone", text.index("030"), text.index("030") + 11)]

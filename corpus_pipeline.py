@@ -31,8 +31,9 @@ def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id."""
-    return near.deduplicate(docs).select(*docs.columns)
+    """One document of each group of near duplicates, that with the smallest id. Documents are linked
+    if 0.8 or more of their five-word shingles are the same."""
+    return near.deduplicate(docs, percent=80).select(*docs.columns)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

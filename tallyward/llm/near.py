@@ -1,11 +1,11 @@
 """Near-duplicate documents: MinHash signatures, a multi-index Hamming join, exact confirmation.
 
-A signature is ``SYMBOLS`` minimum hashes cut to ``BITS`` bits. Two texts are candidates if their
-signatures differ in at most ``ERRORS`` symbols. The signature is split into ``CHUNKS`` chunks: by
-the pigeonhole principle one chunk of such a pair has at most one error, so every chunk is
-indexed once for each place of that error, with the place left out. Texts with one and the same
-shingle set are one node. Candidates must also agree in a longer signature, and are confirmed on
-their full sets.
+A signature is minimum hashes cut to ``BITS`` bits, split into chunks of ``WIDTH``. Two texts are
+candidates if their signatures differ in less than two symbols a chunk: by the pigeonhole principle
+one chunk of such a pair has at most one error, so every chunk is indexed once for each place of
+that error, with the place left out. Texts with one and the same shingle set are one node.
+Candidates must also agree in a longer signature, and are confirmed on their full sets. The number
+of chunks and of errors in the longer signature follow the similarity asked for.
 
 Texts that share a frequent passage share keys without being similar. Of those, only pairs that
 have one of their rarest shingles in common can be links, and only they are compared.
@@ -14,6 +14,7 @@ have one of their rarest shingles in common can be links, and only they are comp
 from __future__ import annotations
 
 from hashlib import blake2b
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +27,33 @@ from tallyward.llm.text import INK_BYTES, LOWER, add_columns, binary_array, mix,
 from tallyward.session import discard, materialise
 
 SHINGLE = 5
-SYMBOLS, BITS, CHUNKS = 40, 16, 10
+SYMBOLS, BITS, CHUNKS = 40, 16, 10  # the least; lower similarities have more chunks
+WIDTH = SYMBOLS // CHUNKS
 ERRORS = 2 * CHUNKS - 1  # one error for each chunk, and one less than a second for each
 
 CHECKS = 128  # symbols of one byte in the longer signature
-MAX_CHECK_ERRORS = 42  # a link of similarity 0.85 has more with probability 1e-8
+MAX_LOSS = 2.5e-7  # probability that a signature loses a link at the border
 COUNTERS = 1 << 20  # of the shingle frequencies that are broadcast
 
-# A link of similarity 0.85 differs in a symbol with probability 0.15, so that more than ERRORS
-# of 40 symbols differ with probability 1e-7.
 _SEEDS = mix(np.arange(1, CHECKS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
+def loss(symbols: int, errors: int, percent: int) -> float:
+    """Probability that a pair of similarity ``percent`` differs in more than ``errors`` symbols."""
+    same = percent / 100
+    return sum(comb(symbols, k) * (1 - same) ** k * same ** (symbols - k) for k in range(errors + 1, symbols + 1))
+
+
+def permitted(percent: int) -> tuple[int, int]:
+    """Chunks of the index and errors of the longer signature that lose hardly any link."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be above 0 and at most 100")
+    fits = [c for c in range(CHUNKS, CHECKS // WIDTH + 1) if loss(WIDTH * c, 2 * c - 1, percent) <= MAX_LOSS]
+    if not fits:
+        raise ValueError(f"the index cannot find all pairs of similarity {percent} percent")
+    return fits[0], next(e for e in range(CHECKS + 1) if loss(CHECKS, e, percent) <= MAX_LOSS)
+
+
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct shingle hashes of each text, one text after the other, and where each
     text's begin. Fewer words than ``size`` are one shingle."""
@@ -66,30 +82,30 @@ def signatures(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(symbols) & np.uint64((1 << BITS) - 1)
 
 
-def index_keys(symbols: np.ndarray) -> np.ndarray:
+def index_keys(symbols: np.ndarray, count: int = CHUNKS) -> np.ndarray:
     """For each row, chunk and place in the chunk, a key of the chunk without that place."""
-    width = SYMBOLS // CHUNKS
-    chunks = symbols[:, :SYMBOLS].reshape(-1, CHUNKS, width)
+    chunks = symbols[:, : WIDTH * count].reshape(-1, count, WIDTH)
     keys = np.zeros(chunks.shape, np.uint64)
-    for left_out in range(width):
-        for place in range(width):
+    for left_out in range(WIDTH):
+        for place in range(WIDTH):
             if place != left_out:
                 keys[:, :, left_out] = (keys[:, :, left_out] << np.uint64(BITS)) | chunks[:, :, place]
-    slot = np.arange(SYMBOLS, dtype=np.uint64).reshape(CHUNKS, width)
-    return mix(keys | (slot << np.uint64(BITS * (width - 1)))).reshape(-1, SYMBOLS)
+    slot = np.arange(WIDTH * count, dtype=np.uint64).reshape(count, WIDTH)
+    return mix(keys | (slot << np.uint64(BITS * (WIDTH - 1)))).reshape(-1, WIDTH * count)
 
 
-def describe(docs: DataFrame, text: str = "text") -> DataFrame:
+def describe(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFrame:
     """``docs`` plus ``n_shingles``, ``set_key`` (a digest of the shingle set, null if it is empty),
     ``index_keys`` and ``checks``, the longer signature."""
+    count = permitted(percent)[0]
 
     def make():
         def work(texts: pa.Array) -> list[pa.Array]:
             flat, bounds = shingle_sets(texts)
             sizes = np.diff(bounds)
             symbols = signatures(flat, bounds)
-            keys, some = index_keys(symbols).view(np.int64), np.concatenate(([0], np.cumsum(sizes > 0)))
-            lists = pa.ListArray.from_arrays(pa.array(some * SYMBOLS, pa.int32()), pa.array(keys.ravel(), pa.int64()))
+            keys, some = index_keys(symbols, count).view(np.int64), np.concatenate(([0], np.cumsum(sizes > 0)))
+            lists = pa.ListArray.from_arrays(pa.array(some * WIDTH * count, pa.int32()), pa.array(keys.ravel(), pa.int64()))
             checks = binary_array(symbols.astype(np.uint8).ravel(), some * CHECKS)
             return [pa.array(sizes, pa.int64()), _digests(flat, bounds), lists, checks]
 
@@ -124,15 +140,16 @@ def _add_sets(docs: DataFrame) -> DataFrame:
     return add_columns(docs, make, fields)
 
 
-def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose longer signatures differ little enough."""
+    errors = permitted(percent)[1]
     left = nodes.select(F.col("node").alias("a"), F.col("checks").alias("x"))
     right = nodes.select(F.col("node").alias("b"), F.col("checks").alias("y"))
 
     def run(batches):
         for batch in batches:
             x, y = (_all_bytes(batch.column(c)).reshape(-1, CHECKS) for c in ("x", "y"))
-            near = (x != y).sum(1) <= MAX_CHECK_ERRORS
+            near = (x != y).sum(1) <= errors
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, pairs.schema)
@@ -222,7 +239,7 @@ def near_duplicates(
     never a component's name; it is kept only if no id is reachable. Other columns are not used.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-    described = materialise(describe(rows).drop("text"), "described")
+    described = materialise(describe(rows, percent=percent).drop("text"), "described")
     return _label(rows, described, percent).select(
         F.col("_id").alias(doc_id),
         "n_shingles",
@@ -249,7 +266,7 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     sets = materialise(sets, "sets")
     labels = link(
         shared,
-        lambda pairs: _confirm(materialise(_alike(pairs, wanted), "alike"), sets, percent),
+        lambda pairs: _confirm(materialise(_alike(pairs, wanted, percent), "alike"), sets, percent),
         lambda nodes: _rare_shingles(sets, nodes, percent),
     )
     placed = described.drop("index_keys", "checks").withColumnRenamed("set_key", "node").join(labels, "node", "left")
@@ -269,7 +286,7 @@ def deduplicate(
     key = F.md5(F.concat_ws(":", F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("-")), F.col(doc_id).cast("string")))
     marked = docs.withColumn("_row", key)
     rows = marked.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), "_row")
-    described = materialise(describe(rows).drop("text"), "described")
+    described = materialise(describe(rows, percent=percent).drop("text"), "described")
     placed = _label(rows.drop("_row"), described, percent).filter("node is not null")
     chosen = placed.groupBy("component").agg(F.min_by("_row", F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_row"))
     empty = described.filter("set_key is null").select("_row")

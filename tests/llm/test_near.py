@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tallyward.llm import near
 from tallyward.llm.linking import components, link, shared_groups
 
@@ -106,3 +107,27 @@ def test_links_survive_a_bad_representative(spark):
     labels = dict(link(shared, verify).collect())
     assert [labels.get(n) for n in range(10)] == [0, 0, 0, 0, 4, 4, 4, 7, None, 7]
     assert len(seen) == len(set(seen)) and all(a < b for a, b in seen)
+
+
+def test_the_stage_links_from_four_fifths_on(spark):
+    """Copies of 100 words with 2 or 3 others: similarity 0.81 (86 of 106) and 0.73 (81 of 111)."""
+    pick, rows = random.Random(12), []
+    for n in range(80):
+        words = [pick.choice(WORDS) for _ in range(100)]
+        rows.append((2 * n, " ".join(words)))
+        for k, at in enumerate((20, 50, 80)[: 2 + n % 2]):
+            words[at] = f"other{k}"
+        rows.append((2 * n + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in corpus_pipeline.remove_near_duplicates(spark, docs, "").collect())
+    assert kept == sorted(r[0] for r in brute(rows, 80) if r[3]) and len(kept) == 120
+
+
+def test_permitted_errors_follow_the_similarity():
+    assert near.permitted(85) == (near.CHUNKS, 42)
+    for percent in (75, 80, 85, 95):
+        chunks, errors = near.permitted(percent)
+        assert near.loss(4 * chunks, 2 * chunks - 1, percent) <= near.MAX_LOSS >= near.loss(near.CHECKS, errors, percent)
+    for percent in (0, 50, 101):
+        with pytest.raises(ValueError):
+            near.permitted(percent)

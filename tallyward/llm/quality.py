@@ -2,8 +2,8 @@
 
 Each text is measured by column expressions. Measures of all texts go into quantile sketches per
 language and source, which merge from task to task; the fences that they give replace fixed
-cutoffs and are joined to the texts. Sketches of a source merge into those of its language for
-groups too small to have fences of their own.
+cutoffs and are joined to the texts. Sketches of a source merge into those of its language, and
+those of languages into that of all texts, for groups too small to have fences of their own.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ BLANKS, SYMBOLS = " \t\n\u000b\f\r", "#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 10, 20  # base rules: words, percent of words in repeated windows
 WINDOW = 5
 
-#: Measures with a fence: name and the least distance that a fence has from the quartile.
-MEASURES = {"word_length": 4.0, "symbol_share": 0.05, "dup_line_share": 0.5}
+#: Measures with a fence: name and the distance of the fence from the quartiles where these are
+#: equal, so that they give none.
+MEASURES = {"word_length": 0.5, "symbol_share": 0.05, "dup_line_share": 0.3}
 SPREAD = 6.0  # fences are so many interquartile ranges outside the quartiles
 MIN_GROUP = 50  # texts; a smaller group takes the fences of its language, then those of all
 
@@ -110,7 +111,7 @@ def fences(measured: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """Lower and upper fence of each measure, a row for each language and source.
 
     Sketches are made once per language and source; merging those of a language serves its groups
-    that are too small.
+    that are too small, and merging all of them serves languages that are too small.
     """
     groups = (
         measured.select(F.col(lang).alias("_lang"), F.col(source).alias("_source"), *[c.alias(m) for m, c in shares(text).items()])
@@ -119,17 +120,22 @@ def fences(measured: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     )
     groups = materialise(groups, "sketches")
     whole = groups.groupBy(F.col("_lang").alias("_of")).agg(
-        *[F.kll_merge_agg_double(m).alias(f"{m}_all") for m in MEASURES]
+        F.sum("_n").alias("_n_lang"), *[F.kll_merge_agg_double(m).alias(f"{m}_lang") for m in MEASURES]
     )
-    both = groups.join(whole, F.col("_lang").eqNullSafe(F.col("_of")))
+    every = groups.agg(*[F.kll_merge_agg_double(m).alias(f"{m}_all") for m in MEASURES])
+    both = groups.join(whole, F.col("_lang").eqNullSafe(F.col("_of"))).crossJoin(every)
     columns = []
     for name, least in MEASURES.items():
-        sketch = F.when(F.col("_n") >= MIN_GROUP, F.col(name)).otherwise(F.col(f"{name}_all"))
+        sketch = (
+            F.when(F.col("_n") >= MIN_GROUP, F.col(name))
+            .when(F.col("_n_lang") >= MIN_GROUP, F.col(f"{name}_lang"))
+            .otherwise(F.col(f"{name}_all"))
+        )
         filled = F.kll_sketch_get_n_double(sketch) > 0
         low, high = (
             F.when(filled, F.kll_sketch_get_quantile_double(sketch, F.lit(q))) for q in (0.25, 0.75)
         )
-        reach = F.greatest(SPREAD * (high - low), F.lit(least))
+        reach = F.when(high > low, SPREAD * (high - low)).otherwise(F.lit(least))
         columns.append(F.struct((low - reach).alias("low"), (high + reach).alias("high")).alias(f"_{name}"))
     return both.select("_lang", "_source", *columns)
 

@@ -121,3 +121,15 @@ def test_fences_of_small_groups_come_from_the_language(docs):
         for name, least in quality.MEASURES.items():
             fence = r[f"_{name}"]
             assert fence.low is None or fence.high - fence.low >= 2 * least - 1e-9
+
+
+def test_fences_follow_the_quartiles(spark):
+    """Word lengths of 5.0 to 5.2; a text of 8.5 is far outside, a language of 2 texts has the fences of all."""
+    text = lambda long: " ".join(f"{'abcdef'[k % 6]}{k:0{5 if k < long else 4}d}" for k in range(20))
+    rows = [(n, text(n % 5), "en", f"s{n % 2}") for n in range(200)]
+    odd = [(900, " ".join(f"abcd{k:04d}" + "x" * (k % 2) for k in range(20)), "en", "s0")]
+    odd += [(901 + k, " ".join(f"abcdefgh{k}{i:03d}" for i in range(20)), "rare", "s0") for k in range(2)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality.judge(docs).collect()}
+    assert not kept[900] and sum(kept[n] for n in range(200)) == 200
+    assert not kept[901] and not kept[902]

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tallyward.session import materialise
 
 MAX_RULES = 1_000  # rules are part of the plan
-DAMPING, ROUNDS = 0.85, 10
+DAMPING = 0.85
+TOLERANCE = 1e-7  # rounds end when none gives a host more than this part of its score
+ROUNDS = 100  # DAMPING to this power is below the tolerance: rounds that a graph without longer ways needs
 MAX_DISTRUST = 0.5  # of a host's trust and distrust together
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,11 +77,13 @@ def host_links(judged: DataFrame, html: str) -> DataFrame:
     return links.union(names).union(names.select("target", "source", "weight"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """``(host, trust, distrust)`` from ``seeds`` of ``(host, trust, distrust)``, each summing to 1.
 
     Trust follows the links and distrust goes against them; a host passes on the damped part of
-    what it has in proportion to the weights. What reaches a host without links ends there.
+    what it has in proportion to the weights. What reaches a host without links ends there. A round
+    passes on what came in the round before; rounds go on until what came is no more than
+    ``tolerance`` of any host's score, so that no host is left that scores have yet to reach.
     """
     ways = links.select("source", "target", "weight", F.lit(True).alias("forward")).union(
         links.select(F.col("target"), F.col("source"), F.col("weight"), F.lit(False))
@@ -93,18 +97,27 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFram
         "host-links",
     )
     seeds = materialise(seeds, "seeds")
-    start = seeds.select("host", ((1 - DAMPING) * F.col("trust")).alias("trust"), ((1 - DAMPING) * F.col("distrust")).alias("distrust"))
-    scores = start
-    for _ in range(rounds):
-        have = scores.withColumnRenamed("host", "source")
+    start = [((1 - DAMPING) * F.col(kind)) for kind in ("trust", "distrust")]
+    scores = seeds.select(
+        "host", *[c.alias(n) for c, n in zip(start * 2, ("trust", "distrust", "new_trust", "new_distrust"))]
+    )
+    while True:
+        have = scores.select(F.col("host").alias("source"), "new_trust", "new_distrust").filter("new_trust + new_distrust > 0")
         given = ways.join(have, "source").select(
             "host",
-            F.when(F.col("forward"), DAMPING * F.col("share") * F.col("trust")).otherwise(0.0).alias("trust"),
-            F.when(F.col("forward"), 0.0).otherwise(DAMPING * F.col("share") * F.col("distrust")).alias("distrust"),
+            F.when(F.col("forward"), DAMPING * F.col("share") * F.col("new_trust")).otherwise(0.0).alias("trust"),
+            F.when(F.col("forward"), 0.0).otherwise(DAMPING * F.col("share") * F.col("new_distrust")).alias("distrust"),
+        )
+        given = given.filter("trust + distrust > 0").withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
+        none = F.lit(0.0)
+        known = scores.withColumns({"new_trust": none, "new_distrust": none})
+        scores = known.union(given).groupBy("host").agg(
+            *[F.sum(c).alias(c) for c in ("trust", "distrust", "new_trust", "new_distrust")]
         )
-        scores = start.union(given).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         scores = materialise(scores, "scores")
-    return scores
+        moving = (F.col("new_trust") > tolerance * F.col("trust")) | (F.col("new_distrust") > tolerance * F.col("distrust"))
+        if scores.filter(moving).isEmpty():
+            return scores.select("host", "trust", "distrust")
 
 
 def judge(

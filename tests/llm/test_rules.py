@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tallyward.llm import quality, urls
@@ -133,3 +134,25 @@ def test_fences_follow_the_quartiles(spark):
     kept = {r.doc_id: r.kept for r in quality.judge(docs).collect()}
     assert not kept[900] and sum(kept[n] for n in range(200)) == 200
     assert not kept[901] and not kept[902]
+
+
+def test_scores_reach_the_end_of_a_chain_and_converge(spark):
+    """A chain of 30 hosts from a blocked one, and a host that trust reaches sooner than distrust."""
+    chain = [(f"c{i + 1}", f"c{i}", 1.0) for i in range(30)]
+    ring = [("a", "b", 1.0), ("b", "a", 1.0), ("b", "c", 3.0), ("c", "a", 1.0)]
+    seeds = [("c0", 0.0, 0.5), ("a", 1.0, 0.0), ("b", 0.0, 0.5)]
+    got = urls.spread(
+        spark.createDataFrame(chain + ring, "source string, target string, weight double"),
+        spark.createDataFrame(seeds, "host string, trust double, distrust double"),
+    ).collect()
+    found = {r.host: (r.trust, r.distrust) for r in got}
+    for i in range(31):
+        assert found[f"c{i}"] == pytest.approx((0.0, 0.15 * 0.5 * 0.85**i))
+    hosts = "abc"
+    for k, ways in ((0, ring), (1, [(b, a, w) for a, b, w in ring])):
+        system = np.eye(3)
+        for a, b, w in ways:
+            system[hosts.index(b), hosts.index(a)] -= 0.85 * w / sum(x for s, _, x in ways if s == a)
+        start = [0.15 * dict((h, s) for h, *s in seeds).get(h, (0, 0))[k] for h in hosts]
+        for h, want in zip(hosts, np.linalg.solve(system, start)):
+            assert found[h][k] == pytest.approx(want)

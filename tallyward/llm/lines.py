@@ -22,7 +22,7 @@ from tallyward.session import materialise
 
 THRESHOLD = 1  # edits
 PARTS = 8  # of which one is left out
-CHARS_PER_EDIT = 20  # a line may have one edit for so many characters; shorter lines stay as they are
+CHARS_PER_EDIT = 20  # a line may have one edit for so many characters; shorter lines must be equal
 
 
 def segments(length: Column, count: int) -> list[tuple[Column, Column]]:
@@ -158,10 +158,11 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``(_row, _id, place, line)`` of every line that is long enough."""
+def _occurrences(docs: DataFrame, doc_id: str, text: str, short: bool) -> DataFrame:
+    """``(_row, _id, place, line)`` of every line that is long enough, or, if ``short``, not blank."""
     lines = docs.select("_row", F.col(doc_id).alias("_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("place", "line"))
-    return lines.filter(F.length("line") >= CHARS_PER_EDIT)
+    long = F.length("line") >= CHARS_PER_EDIT
+    return lines.filter(long | F.col("line").rlike(r"[^\x20\x09-\x0D]") if short else long)
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -171,21 +172,21 @@ def row_key(doc_id: str, text: str) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, short: bool = False
 ) -> DataFrame:
     """``docs`` with each line of a class but its first left out, plus ``n_lines``, ``n_removed`` and
     ``removed``: number (from 0) of each line left out, and id and line of the one that stays.
 
     Lines are what line feeds separate. Two are linked if they are at most ``threshold`` edits apart
-    (one edit for every 20 characters of the shorter, so that shorter lines are never touched);
-    classes are what links connect, over all documents. The first line of a class is that of the
+    and have 20 characters for each edit; shorter lines stay, or, with ``short``, are linked if they
+    are equal and not blank. Classes are what links connect, over all documents. The first line of a class is that of the
     smallest id, then the smallest line number; null ids come last. Rows of one id and one text are
     treated alike, so both keep a first line. A null text stays null and has no lines. Columns with
     the names of new ones are replaced.
     """
     new = ("n_lines", "n_removed", "removed")
     docs = docs.drop(*new).withColumn("_row", row_key(doc_id, text))
-    found = _occurrences(docs, doc_id, text)
+    found = _occurrences(docs, doc_id, text, short)
     node = F.xxhash64("line", F.md5(F.col("line").cast("binary")))
     order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("place").alias("place"))
     places = materialise(found.select("_row", "_id", "place", node.alias("node")), "lines")

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyward.llm import lines
 
 
@@ -138,3 +139,11 @@ def test_very_long_lines_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, long), (2, long[:500] + long[501:]), (3, long + "xy")], "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in lines.dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0}
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_short_lines_must_be_equal(spark):
+    texts = ["all rights reserved\nfirst\n\n \t", "ALL rights reserved\n全部の権利\n\n", None, "全部の権利\nall rights reserved\n \t\nfirs"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.remove_lines(spark, docs, "").collect()}
+    assert got == {0: texts[0], 1: texts[1], 2: None, 3: " \t\nfirs"}
+    assert all(r.n_removed == 0 for r in lines.dedup_lines(docs).collect())

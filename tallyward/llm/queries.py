@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import decontaminate, language, lines, near, pii, quality, substrings, tokens, toxicity, urls
+from tallyward.llm import copies, decontaminate, language, lines, near, pii, quality, substrings, tokens, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,3 +258,22 @@ def token_digests(docs: DataFrame) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op11_exact_dedup")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return copies.find_copies(table(spark, folder, "documents"))
+
+
+SQL["op11_exact_dedup"] = r"""
+with bare as (
+    select doc_id, length(coalesce(text, '')) as n,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as t
+    from documents
+), ranked as (
+    select *, first_value(doc_id) over (partition by t order by n desc, doc_id) as keep_id,
+        count(*) over (partition by t) as group_size
+    from bare
+)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from ranked
+"""

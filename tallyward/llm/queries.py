@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import copies, decontaminate, language, lines, near, pii, quality, substrings, tokens, toxicity, urls
+from tallyward.llm import copies, decontaminate, language, lines, near, pii, quality, search, substrings, tokens, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -277,3 +277,43 @@ with bare as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from ranked
 """
+
+
+@query("op12_lexical_search")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op12_lexical_search"] = r"""
+with words as (
+    select doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from documents
+), sizes as (
+    select doc_id, len(w) as n from words where len(w) > 0
+), totals as (
+    select count(*) as docs, sum(n)::bigint as terms from sizes
+), queried as (
+    select item_id, term, count(*) as times
+    from (select item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+    group by all
+), counted as (
+    select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from words)
+    where term in (select term from queried) group by all
+), weighed as (
+    select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as weight
+    from counted, totals group by term, docs
+), scored as (
+    select item_id, doc_id, sum(times * weight
+        * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::bigint as score
+    from queried join counted using (term) join weighed using (term) join sizes using (doc_id), totals
+    group by item_id, doc_id
+), ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank
+    from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""

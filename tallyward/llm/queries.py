@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import copies, decontaminate, language, lines, near, pii, quality, search, substrings, tokens, toxicity, urls
+from tallyward.llm import alignment, copies, decontaminate, language, lines, near, pii, quality, search, substrings, tokens, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -317,3 +317,12 @@ with words as (
 )
 select item_id, rank, doc_id, score from ranked where rank <= 10
 """
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return alignment.align_tokenizers(docs, *paths).select("doc_id", *numbers, groups)

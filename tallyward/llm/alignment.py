@@ -13,7 +13,9 @@ broadcast; more are not: then documents send each of their pairs once to its cou
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count
@@ -26,16 +28,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.text import mix, pieces
+from tallyward.llm.text import binary_array, hash_slices, mix, pieces, ranges, utf8
 from tallyward.session import materialise
 
 MAX_FILE = 1 << 26  # bytes of a vocabulary file
+PIECE = 1 << 18  # bytes of texts, or of their ids, that a task handles at once
+MAX_KNOWN = 100_000  # pieces of text that a worker remembers, some 4 MB; those of one call come on top
+ROW = 8192  # bytes of pieces that are encoded in a row
 MAX_PAIRS = 1 << 22  # in the broadcast table, some 80 MB
 PAIRS_AT_ONCE = 1 << 21  # that a task counts before it hands them over
 SLICE = 1 << 16  # counters of a dense vector in one row
 FAN_IN = 32  # vectors added up at once
 
-
 # Vocabularies
 
 
@@ -60,12 +64,23 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level BPE of the ``tokenizers`` library; special tokens in texts are ordinary text."""
+    """A byte-level BPE of the ``tokenizers`` library; special tokens in texts are ordinary text.
+
+    ``cuts`` says that the library cuts every text before a space that follows an ASCII character
+    other than a space: so does the byte-level pattern, where nothing else touches the text.
+    """
 
     def __init__(self, file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
+        parts = json.loads(file)
+        split = parts.get("pre_tokenizer") or {}
+        self.cuts = (
+            (split.get("type"), split.get("add_prefix_space"), split.get("use_regex", True)) == ("ByteLevel", False, True)
+            and parts.get("normalizer") is None
+            and all(t["special"] for t in parts.get("added_tokens", []))
+        )
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.encode_special_tokens = True
         alphabet = _byte_alphabet()
@@ -81,38 +96,177 @@ class ByteLevel:
 
 
 class Pieces:
-    """A ``sentencepiece`` model, which puts a space before the text itself."""
+    """A ``sentencepiece`` model, which puts a space before the text itself.
+
+    ``cuts`` says that no piece has a space behind another character, so that none reaches over such
+    a place in a text.
+    """
 
     def __init__(self, file: bytes):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_proto=file)
+        pieces = self.model.id_to_piece(list(range(self.model.get_piece_size())))
+        self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.tokens = [
-            bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
-            for i, piece in enumerate(self.model.id_to_piece(list(range(self.model.get_piece_size()))))
+            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
-@lru_cache(maxsize=4)  # a worker process keeps them from task to task
-def tokenizer(file: bytes) -> ByteLevel | Pieces:
-    """JSON is a file of the ``tokenizers`` library, all else a ``sentencepiece`` model."""
-    return ByteLevel(file) if file.lstrip()[:1] == b"{" else Pieces(file)
+class Encoder:
+    """Ids of texts. Where the tokenizer cuts texts anyhow, each different piece is encoded once, in a row
+    with others, and remembered; those that were not met for longest go when there are too many.
 
+    Pieces are told apart by a hash. Whatever comes out is compared with the text, byte by byte.
+    """
+
+    def __init__(self, tokenizer: ByteLevel | Pieces):
+        self.tokenizer = tokenizer
+        self.length = np.array([len(t) for t in tokenizer.tokens], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(tokenizer.tokens), np.uint8)
+        # What is remembered: hashes in order, the ids of each, and when it was last met.
+        self.key, self.met = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.first, self.size, self.ids = (np.zeros(0, np.int64) for _ in range(3))
+        self.now = 0
+
+    def whole(self, text: str) -> list[int] | None:
+        """Ids of a space and the text; None if their bytes are not the same."""
+        ids = self.tokenizer.encode([text])[0]
+        same = b"".join(map(self.tokenizer.tokens.__getitem__, ids)) == b" " + text.encode()
+        return ids if same else None
+
+    def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some pieces and the number of each. Pieces that end like those before a cut are
+        encoded in rows; where a row does not come back, its pieces are encoded alone."""
+        size = end - start
+        inner = (_is_word(data[end - 1]) & (size <= ROW)).astype(np.int64)
+        order = np.argsort(1 - inner, kind="stable")
+        row = np.cumsum(np.where(inner[order] == 1, 0, 1))  # those that are not get rows of their own
+        before = np.cumsum(size[order] * inner[order])
+        row = row * (int(before[-1]) // ROW + 2) + before // ROW
+        counts, ids = np.zeros(len(start), np.int64), []
+        while len(order):
+            place, _ = ranges(start[order], size[order])
+            flat, ends = data[place], np.cumsum(size[order])
+            last = np.flatnonzero(np.concatenate((row[1:] != row[:-1], [True])))
+            edges = [0, *ends[last].tolist()]
+            texts = [flat[a + 1 : b].tobytes().decode() for a, b in zip(edges[:-1], edges[1:])]
+            coded = self.tokenizer.encode(texts)
+            again = []
+            begin = 0
+            for stop, codes in zip((last + 1).tolist(), coded):
+                codes = np.array(codes, np.int64)
+                tokens, pieces = np.cumsum(self.length[codes]), np.cumsum(size[order[begin:stop]])
+                at = np.searchsorted(tokens, pieces)
+                if stop - begin > 1 and (at[-1] >= len(codes) or (tokens[at] != pieces).any() or at[-1] + 1 < len(codes)):
+                    again.append(order[begin:stop])
+                else:
+                    at = at + 1 if stop - begin > 1 else np.array([len(codes)])
+                    counts[order[begin:stop]] = np.diff(at, prepend=0)
+                    ids.append((order[begin:stop], codes))
+                begin = stop
+            order = np.concatenate(again) if again else order[:0]
+            row = np.arange(len(order))
+        first = np.zeros(len(start), np.int64)
+        done = np.concatenate([o for o, _ in ids]) if ids else np.zeros(0, np.int64)
+        first[done] = np.cumsum(counts[done]) - counts[done]
+        flat = np.concatenate([c for _, c in ids]) if ids else np.zeros(0, np.int64)
+        return flat[ranges(first, counts)[0]], counts
+
+    def _remember(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The place of every piece among those remembered."""
+        self.now += 1
+        keys, where, piece = np.unique(hash_slices(data, start, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.key, keys)
+        known = at < len(self.key)
+        known[known] = self.key[at[known]] == keys[known]
+        self.met[at[known]] = self.now
+        if not known.all():
+            if len(self.key) > MAX_KNOWN:
+                keep = self.met >= np.sort(self.met)[len(self.met) // 2]
+                some, _ = ranges(self.first[keep], self.size[keep])
+                self.key, self.met, self.size, self.ids = self.key[keep], self.met[keep], self.size[keep], self.ids[some]
+                self.first = np.cumsum(self.size) - self.size
+            new = where[~known]
+            ids, size = self._encode(data, start[new], end[new])
+            order = np.argsort(key := np.concatenate((self.key, keys[~known])), kind="stable")
+            first = np.concatenate((self.first, len(self.ids) + np.cumsum(size) - size))
+            met = np.concatenate((self.met, np.full(len(new), self.now)))
+            self.key, self.first, self.met = key[order], first[order], met[order]
+            self.size, self.ids = np.concatenate((self.size, size))[order], np.concatenate((self.ids, ids))
+            at = np.searchsorted(self.key, keys)
+        return at[piece]
+
+    def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of texts that begin with a space, where each text's begin, and which texts have the bytes
+        of their ids; the others have no ids."""
+        docs = len(bounds) - 1
+        is_start = np.zeros(len(data), bool)
+        is_start[bounds[:-1][np.diff(bounds) > 0]] = True
+        if self.tokenizer.cuts and len(data) > 2:
+            word = _is_word(data)
+            is_start[1:-1] |= (data[1:-1] == 32) & word[:-2] & word[2:]
+        start = np.flatnonzero(is_start)
+        if not len(start):
+            return np.zeros(0, np.int64), np.zeros(docs + 1, np.int64), np.ones(docs, bool)
+        end = np.concatenate((start[1:], [len(data)]))
+        place = self._remember(data, start, end)
+        size = self.size[place]
+        ids = self.ids[ranges(self.first[place], size)[0]]
+        doc = np.searchsorted(bounds, start, "right") - 1
+        # Every piece must have the length of its tokens, and every byte must be the same.
+        ends = np.concatenate(([0], np.cumsum(self.length[ids])))
+        bytes_of = np.diff(ends[np.concatenate(([0], np.cumsum(size)))])
+        good = np.ones(docs, bool)
+        good[doc[bytes_of != end - start]] = False
+        token_doc = np.repeat(doc, size)
+        fine = good[token_doc]
+        theirs = self.data[ranges(self.start[ids[fine]], self.length[ids[fine]])[0]]
+        byte_doc = np.repeat(np.arange(docs), np.diff(bounds))
+        kept = good[byte_doc]
+        good[byte_doc[kept][theirs != data[kept]]] = False
+        if not good.all():
+            texts = {int(d): data[bounds[d] + 1 : bounds[d + 1]].tobytes().decode() for d in np.flatnonzero(~good)}
+            found = {d: self.whole(t) for d, t in texts.items()}
+            rest = good[token_doc]
+            parts = [ids[rest], *[np.array(i, np.int64) for i in found.values() if i is not None]]
+            owner = np.concatenate([token_doc[rest], *[np.full(len(i), d) for d, i in found.items() if i is not None]])
+            order = np.argsort(owner, kind="stable")
+            ids, token_doc = np.concatenate(parts)[order], owner[order]
+            good[[d for d, i in found.items() if i is not None]] = True
+        return ids, np.searchsorted(token_doc, np.arange(docs + 1)), good
+
+
+def _is_word(data: np.ndarray) -> np.ndarray:
+    return (data >= 0x21) & (data <= 0x7E)
 
-def tokenize(texts: list[str | None], a: ByteLevel | Pieces, b: ByteLevel | Pieces) -> tuple[list[list[int]], list[list[int]]]:
-    """The ids of every text by both; none for null and empty texts, and none where the bytes of either's
-    tokens are not a space and the text."""
-    some = [i for i, t in enumerate(texts) if t]
-    ids_a, ids_b = [[] for _ in texts], [[] for _ in texts]
-    chosen = [texts[i] for i in some]
-    for i, x, y in zip(some, a.encode(chosen), b.encode(chosen)):
-        whole = b" " + texts[i].encode()
-        if b"".join(map(a.tokens.__getitem__, x)) == whole and b"".join(map(b.tokens.__getitem__, y)) == whole:
-            ids_a[i], ids_b[i] = x, y
-    return ids_a, ids_b
+
+@lru_cache(maxsize=4)  # a worker process keeps them from task to task
+def encoder(file: bytes) -> Encoder:
+    """JSON is a file of the ``tokenizers`` library, all else a ``sentencepiece`` model."""
+    return Encoder(ByteLevel(file) if file.lstrip()[:1] == b"{" else Pieces(file))
+
+
+def tokenize(texts: pa.Array, a: Encoder, b: Encoder) -> list[pa.Array]:
+    """The packed ids of every text by both; none for null and empty texts, and none where the bytes of
+    either's tokens are not a space and the text."""
+    data, bounds = utf8(texts)
+    some = np.diff(bounds) > 0
+    data = np.insert(data, bounds[:-1][some], 32)
+    bounds = bounds + np.concatenate(([0], np.cumsum(some)))
+    coded = [e(data, bounds) for e in (a, b)]
+    good = coded[0][2] & coded[1][2]
+    out = []
+    for e, (ids, first, _) in zip((a, b), coded):
+        size = np.diff(first)
+        kept = ids[np.repeat(good, size)].astype(kind(len(e.length)))
+        ends = np.concatenate(([0], np.cumsum(size * good)))
+        out.append(binary_array(kept.view(np.uint8), kept.itemsize * ends))
+    return out
 
 
 # Alignment of the ids of a piece of the table
@@ -126,28 +280,36 @@ class Aligned(NamedTuple):
     cut_doc: np.ndarray
 
 
-def unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def kind(vocabulary: int) -> np.dtype:
+    """How the ids of a vocabulary are packed."""
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
+def unpack(column: pa.Array, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a column of packed ids, and where each document's begin."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return raw.view("<u4").astype(np.int64), (offsets - offsets[0]) // 4
+    packed = kind(vocabulary)
+    return raw.view(packed).astype(np.int64), (offsets - offsets[0]) // packed.itemsize
 
 
 def align(a: np.ndarray, first_a: np.ndarray, b: np.ndarray, length_a: np.ndarray, length_b: np.ndarray) -> Aligned:
     """Documents one after the other; both tokenizations of each have the same bytes."""
     end_a, end_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
-    ends = np.union1d(end_a, end_b)  # each stretch between two ends belongs to one token of each
-    both = np.intersect1d(end_a, end_b, assume_unique=True)
+    is_a, is_b = (np.zeros(int(end_a[-1]) + 1 if len(a) else 1, bool) for _ in range(2))
+    is_a[end_a] = is_b[end_b] = True
+    ends = np.flatnonzero(is_a | is_b)  # each stretch between two ends belongs to one token of each
+    cut_a, cut_b = is_a[ends], is_b[ends]
+    to_a, to_b = np.cumsum(cut_a), np.cumsum(cut_b)  # tokens that end there or before
     token_doc = np.repeat(np.arange(len(first_a) - 1), np.diff(first_a))
-    at_a = np.searchsorted(end_a, ends)
-    last_a = np.searchsorted(end_a, both)
+    at_a, both = to_a - cut_a, cut_a & cut_b
     return Aligned(
-        a[at_a] * len(length_b) + b[np.searchsorted(end_b, ends)],
+        a[at_a] * len(length_b) + b[to_b - cut_b],
         token_doc[at_a],
-        last_a + 1,
-        np.searchsorted(end_b, both) + 1,
-        token_doc[last_a],
+        to_a[both],
+        to_b[both],
+        token_doc[at_a[both]],
     )
 
 
@@ -234,8 +396,8 @@ def count_pairs(rows: DataFrame, length_a: np.ndarray, length_b: np.ndarray) ->
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], ["pair", "n"])
 
         for batch in batches:
-            for part in pieces(batch, "a_ids"):
-                (a, first_a), (b, _) = unpack(part.column("a_ids")), unpack(part.column("b_ids"))
+            for part in pieces(batch, "a_ids", PIECE // 2):
+                (a, first_a), (b, _) = unpack(part.column("a_ids"), len(length_a)), unpack(part.column("b_ids"), len(length_b))
                 held.append(distinct_pairs(align(a, first_a, b, length_a, length_b), vocabulary)[1])
                 size += len(held[-1])
                 if size >= PAIRS_AT_ONCE:
@@ -302,15 +464,34 @@ def pair_table(partial: DataFrame, pairs: DataFrame, length_a: np.ndarray, lengt
 _OUT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 
 
-def group_texts(a: np.ndarray, b: np.ndarray, docs: int, aligned: Aligned) -> list[str]:
+def group_texts(a: np.ndarray, b: np.ndarray, docs: int, aligned: Aligned) -> pa.Array:
     """``a1,a2|b1;a3|b2,b3``: the ids of every document's groups."""
-    names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    texts, at_a, at_b = [], 0, 0
-    for to_a, to_b in zip(aligned.cut_a.tolist(), aligned.cut_b.tolist()):
-        texts.append(f"{','.join(names_a[at_a:to_a])}|{','.join(names_b[at_b:to_b])}")
-        at_a, at_b = to_a, to_b
-    first = np.searchsorted(aligned.cut_doc, np.arange(docs + 1)).tolist()
-    return [";".join(texts[i:j]) for i, j in zip(first[:-1], first[1:])]
+    n, groups = len(a) + len(b), len(aligned.cut_a)
+    before_b = np.concatenate(([0], aligned.cut_b))
+    size_a, size_b = np.diff(aligned.cut_a, prepend=0), np.diff(aligned.cut_b, prepend=0)
+    group_a, group_b = np.repeat(np.arange(groups), size_a), np.repeat(np.arange(groups), size_b)
+    ids, mark = np.zeros(n, np.int64), np.full(n, ord(","), np.uint8)
+    ids[np.arange(len(a)) + before_b[group_a]] = a
+    ids[np.arange(len(b)) + aligned.cut_a[group_b]] = b
+    ends = aligned.cut_a + aligned.cut_b
+    mark[aligned.cut_a + before_b[:-1] - 1] = ord("|")
+    mark[ends - 1] = ord(";")
+    # One row of digits and a mark for each id; what stands before the first digit is left out.
+    width = len(str(int(ids.max(initial=0))))
+    rows, used = np.zeros((n, width + 1), np.uint8), np.ones((n, width + 1), bool)
+    left = ids
+    for k in range(width - 1, -1, -1):
+        rows[:, k] = left % 10 + ord("0")
+        left = left // 10
+        if k:
+            used[:, k - 1] = left > 0
+    rows[:, width] = mark
+    group_first = np.searchsorted(aligned.cut_doc, np.arange(docs + 1))
+    last = ends[group_first[1:][np.diff(group_first) > 0] - 1] - 1
+    used[last, width] = False  # no mark behind a document's last group
+    size = np.concatenate(([0], np.cumsum(used.sum(1))))
+    bounds = size[np.concatenate(([0], ends))[group_first]]
+    return binary_array(rows[used], bounds).cast(pa.string())
 
 
 def _describe(rows: DataFrame, length_a: np.ndarray, length_b: np.ndarray, table: PairTable | None) -> DataFrame:
@@ -323,9 +504,9 @@ def _describe(rows: DataFrame, length_a: np.ndarray, length_b: np.ndarray, table
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length_a, length_b, table = shared.value
         for batch in batches:
-            for part in pieces(batch, "a_ids"):
+            for part in pieces(batch, "a_ids", PIECE // 2):
                 docs = part.num_rows
-                (a, first_a), (b, first_b) = unpack(part.column("a_ids")), unpack(part.column("b_ids"))
+                (a, first_a), (b, first_b) = unpack(part.column("a_ids"), len(length_a)), unpack(part.column("b_ids"), len(length_b))
                 found = align(a, first_a, b, length_a, length_b)
                 n_groups, n_links = (np.bincount(d, minlength=docs) for d in (found.cut_doc, found.link_doc))
                 looked_up = [None, None]
@@ -336,7 +517,7 @@ def _describe(rows: DataFrame, length_a: np.ndarray, length_b: np.ndarray, table
                     looked_up = [np.bincount(found.link_doc[table.best[at]], minlength=docs), np.diff(sums[first])]
                 columns = [np.diff(first_a), np.diff(first_b), n_groups, n_links, *looked_up]
                 arrays = [pa.nulls(docs, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns]
-                groups = pa.array(group_texts(a, b, docs, found), pa.string())
+                groups = group_texts(a, b, docs, found)
                 yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in kept], *arrays, groups], names)
 
     return rows.mapInArrow(run, schema)
@@ -350,8 +531,8 @@ def _describe_by_join(rows: DataFrame, length_a: np.ndarray, length_b: np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length_a, length_b = lengths.value
         for batch in batches:
-            for part in pieces(batch, "a_ids"):
-                (a, first_a), (b, _) = unpack(part.column("a_ids")), unpack(part.column("b_ids"))
+            for part in pieces(batch, "a_ids", PIECE // 2):
+                (a, first_a), (b, _) = unpack(part.column("a_ids"), len(length_a)), unpack(part.column("b_ids"), len(length_b))
                 doc, pair, times = distinct_pairs(align(a, first_a, b, length_a, length_b), vocabulary)
                 numbers = part.column("_row").to_numpy()[doc]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (numbers, pair, times)], ["_row", "pair", "times"])
@@ -389,7 +570,7 @@ def align_tokenizers(
     """
     spark = docs.sparkSession
     files = spark.sparkContext.broadcast((read_file(spark, path_a), read_file(spark, path_b)))
-    length_a, length_b = (np.array([len(t) for t in tokenizer(f).tokens], np.int64) for f in files.value)
+    length_a, length_b = (encoder(f).length for f in files.value)
     if len(length_a) * len(length_b) >= 1 << 45:
         raise ValueError("the vocabularies have too many pairs")
     new = {c.lower() for c in [*_OUT, "a_ids", "b_ids", "_row"]}
@@ -400,12 +581,11 @@ def align_tokenizers(
     schema = T.StructType([*[f for f in plain.schema.fields if f.name != "_text"], *packed])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = (tokenizer(f) for f in files.value)
+        a, b = (encoder(f) for f in files.value)
         for batch in batches:
-            for part in pieces(batch, "_text"):
-                ids = tokenize(part.column("_text").to_pylist(), a, b)
-                columns = [pa.array([np.array(i, "<u4").tobytes() for i in side], pa.binary()) for side in ids]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *columns], schema.names)
+            for part in pieces(batch, "_text", PIECE):
+                ids = tokenize(part.column("_text"), a, b)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carried], *ids], schema.names)
 
     # Ids are written once; rows are numbered as they are written, so that the numbers stay.
     rows = materialise(plain.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "token-ids")

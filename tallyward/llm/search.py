@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.text import LOWER, WORD_BYTES, Words, pieces, split_words, utf8
+from tallyward.llm.text import LOWER, WORD_BYTES, Words, pieces, ranges, split_words, utf8
 from tallyward.session import materialise
 
 K = 10
@@ -104,12 +104,6 @@ def build_index(rows: list[tuple[int, bytes, int]], items: int) -> Index:
     )
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the given ranges, one range after the other, and where each begins there."""
-    begin = np.cumsum(size) - size
-    return np.arange(int(size.sum())) - np.repeat(begin - start, size), begin
-
-
 def term_counts(index: Index, data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(text number, term number, times)`` of the indexed terms in the texts, by text. A term is
     found by its hash and confirmed by its bytes."""
@@ -120,8 +114,8 @@ def term_counts(index: Index, data: np.ndarray, words: Words) -> tuple[np.ndarra
     size = words.end - words.start
     hit = np.flatnonzero((index.key[at] == words.key) & (index.length[at] == size))
     if len(hit):
-        ours, begin = _ranges(words.start[hit], size[hit])
-        theirs, _ = _ranges(index.start[at[hit]], size[hit])
+        ours, begin = ranges(words.start[hit], size[hit])
+        theirs, _ = ranges(index.start[at[hit]], size[hit])
         hit = hit[np.logical_and.reduceat(data[ours] == index.data[theirs], begin)]
     text = np.searchsorted(words.first, hit, "right") - 1
     pairs, times = np.unique(text * n + at[hit], return_counts=True)
@@ -207,7 +201,7 @@ def _add_scores(heaps: Heaps, index: Index, ids: np.ndarray, text: np.ndarray, t
             last = max(np.searchsorted(text, text[full]), np.searchsorted(text, text[at], "right"))
         some, first = slice(at, int(last)), int(text[at])
         size = index.first[term[some] + 1] - index.first[term[some]]
-        posting, _ = _ranges(index.first[term[some]], size)
+        posting, _ = ranges(index.first[term[some]], size)
         cell = np.repeat(text[some] - first, size) * index.items + index.item[posting]
         value = np.repeat(impact[some], size) * index.times[posting]
         cells = int(text[last - 1] - first + 1) * index.items

@@ -91,6 +91,17 @@ def split_words(data: np.ndarray, bounds: np.ndarray, alphabet: np.ndarray) -> W
     return Words(start, end, _hash(data, start, end), first)
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the given ranges, one range after the other, and where each begins there."""
+    begin = np.cumsum(size) - size
+    return np.arange(int(size.sum())) - np.repeat(begin - start, size), begin
+
+
+def hash_slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice."""
+    return _hash(data, start, end)
+
+
 def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     key = np.zeros(len(start), np.uint64)
     size = end - start

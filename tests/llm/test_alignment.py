@@ -3,7 +3,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -109,15 +112,53 @@ def test_equals_brute_force(spark, rows, options):
     assert {(r.doc_id, *[r[c] for c in alignment._OUT]) for r in got} == brute_force(rows) and len(got) == len(rows)
 
 
-def test_texts_that_do_not_come_back_have_no_tokens():
-    class Lossy:
-        tokens = [b" ", b"a"]
+class Letters:
+    """Knows a space and the letter a; others come out as a."""
 
-        def encode(self, texts):
-            return [[0] + [1] * len(t) for t in texts]
+    tokens = [b" ", b"a"]
 
-    same, other = Lossy(), Lossy()
-    assert alignment.tokenize(["aa", "ab", None, ""], same, other) == ([[0, 1, 1], [], [], []], [[0, 1, 1], [], [], []])
+    def __init__(self, cuts):
+        self.cuts = cuts
+
+    def encode(self, texts):
+        return [[int(c != " ") for c in " " + t] for t in texts]
+
+
+def lists(column):
+    return [np.frombuffer(p, "<u2").tolist() for p in column.to_pylist()]
+
+
+@pytest.mark.parametrize("cuts", [False, True])
+def test_texts_that_do_not_come_back_have_no_tokens(cuts):
+    a, b = alignment.Encoder(Letters(cuts)), alignment.Encoder(Letters(False))
+    texts = pa.array(["aa aa", "aa ab", "ba aa", None, "", "  ", "é aaa", "a"])
+    want = [[0, 1, 1, 0, 1, 1], [], [], [], [], [0, 0, 0], [], [0, 1]]
+    for _ in range(2):
+        assert list(map(lists, alignment.tokenize(texts, a, b))) == [want, want]
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    found = [alignment.encoder(alignment.read_file(None, path)) for path in (A, B)]
+    assert all(e.tokenizer.cuts for e in found)
+    return found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab' s1.,!~ \t\n\u00a0\u3000éß中🙂\u0301▁<>") | st.characters(exclude_categories=["Cs"]), max_size=40), max_size=4))
+def test_remembered_pieces_give_the_ids_of_whole_texts(encoders, texts):
+    texts = texts + [" ".join(texts) + "a", None]
+    want = [[e.whole(t) if t else [] for t in texts] for e in encoders]
+    good = [x is not None and y is not None for x, y in zip(*want)]
+    got = alignment.tokenize(pa.array(texts, pa.string()), *encoders)
+    assert [lists(c) for c in got] == [[i if g else [] for i, g in zip(side, good)] for side in want]
+
+
+def test_hashes_that_meet_do_no_harm(monkeypatch):
+    monkeypatch.setattr(alignment, "hash_slices", lambda data, start, end: np.zeros(len(start), np.uint64))
+    e = alignment.Encoder(alignment.encoder(alignment.read_file(None, A)).tokenizer)
+    texts = ["one two three", "two", "", "one"]
+    assert lists(alignment.tokenize(pa.array(texts), e, e)[0]) == [e.whole(t) if t else [] for t in texts]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 5000])
@@ -152,6 +193,7 @@ def test_small_steps_change_nothing(spark, rows, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = {tuple(r) for r in alignment.align_tokenizers(docs, A, B).collect()}
     monkeypatch.setattr(alignment, "PAIRS_AT_ONCE", 50)
+    monkeypatch.setattr(alignment, "MAX_KNOWN", 5)
     assert {tuple(r) for r in alignment.align_tokenizers(docs, A, B).collect()} == want
 
 

@@ -19,6 +19,12 @@ def _partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fits_broadcast(side: DataFrame) -> bool:
+    """Whether the planner, by the sizes that it knows, sends the side whole to every task."""
+    limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
 def hot_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, parts)`` of the values above a partition's share of the rows; written.
 
@@ -49,11 +55,15 @@ def attach(
 ) -> DataFrame:
     """``rows`` plus ``{new name: side column}``, NULL where ``side`` has no such key.
 
-    Rows of hot values, and rows without a key, are dealt out in parts; the side's rows of those
-    values are repeated once for each part. A key that the side has several times gives a row for
-    each. Names must not clash. ``rows`` is read once to find hot values and once for the join, so
-    it should be written if it is dear; ``hot`` has them if they were found for several columns.
+    A side that the planner broadcasts is joined as it is. Beside a larger one rows of hot values, and
+    rows without a key, are dealt out in parts; the side's rows of those values are repeated once for
+    each part. A key that the side has several times gives a row for each. Names must not clash.
+    Beside a large side ``rows`` is read once to find hot values and once for the join, so it should
+    be written if it is dear; ``hot`` has them if they were found for several columns.
     """
+    side = side.select(col(key).alias("_key"), *[col(c).alias(a) for a, c in columns.items()])
+    if fits_broadcast(side):  # no row of a hot value moves
+        return rows.join(side, col(column) == F.col("_key"), "left").drop("_key")
     hot = hot_values(rows, [column]) if hot is None else hot
     # At most as many rows as there are shuffle partitions.
     hot = F.broadcast(hot.filter(F.col("column") == column).select("value", "parts"))
@@ -64,7 +74,6 @@ def attach(
     )
     marked = rows.join(hot, col(column).cast("string") == F.col("value"), "left")
     marked = marked.withColumn("_part", part).drop("value", "parts")
-    side = side.select(col(key).alias("_key"), *[col(c).alias(a) for a, c in columns.items()])
     parts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("parts"), F.lit(1)).cast("long") - 1)
     dealt = (
         side.join(hot, F.col("_key").cast("string") == F.col("value"), "left")

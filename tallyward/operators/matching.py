@@ -1,187 +1,271 @@
 """Fuzzy join: free text onto the closest entry of a dictionary.
 
-The rows are first reduced to distinct values, and values that are entries need no search.
-The others are matched exactly (no candidate is skipped unless it provably cannot win):
-
-1. Similarity cannot reach the cutoff when lengths differ too much, so a value goes only to
-   the *bands* of entry lengths it can match: an equi-join on the band.
-2. A band is cut into blocks of entries, and the values of a band into chunks, by hash. A task
-   sees one chunk against one block, both of bounded size whatever the size or the skew of the
-   inputs, and gives back one winner per value: pairs are never rows.
-3. The best winner per value is taken by a grouped max, and the mapping is joined back.
-
-The dictionary is never collected or broadcast by force; it may be as large as the values.
+The rows are first reduced to distinct values. The dictionary becomes an inverted index: posting
+lists of characters and of pairs of neighbouring characters (the second time that a text has one, it
+is another token). A value is searched in two rounds, and no entry is skipped unless it provably
+cannot win:
+
+1. Its rare pairs lead to one promising entry, whose similarity is a lower bound of the best.
+2. Only entries whose upper bound reaches it are admitted. The bound follows from the two lengths,
+   the shared characters and the shared pairs, which the posting lists count for all entries at once.
+   The longest common subsequence lowers it further; what is left is scored in falling order of the
+   bound, until the bound is below the best score found.
+
+Values do not shuffle for this. The index is broadcast, of at most ``MAX_ENTRIES`` entries and
+``MAX_CHARACTERS`` characters. A larger dictionary goes out in several such blocks, one pass over the
+values for each and round: first all blocks give a lower bound, then all admit what can beat it.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.fixed_values import MATCH_CUTOFF
 from tallyward.operators.attach import attach
 from tallyward.session import materialise
 
-ENTRIES_PER_BLOCK = 1024
-# Chunks grow from the small to the large size once there are enough of them to keep every
-# task busy: larger chunks mean fewer copies of the entries.
-SMALL_CHUNK, LARGE_CHUNK = 256, 4096
-
-_BLOCK = ["band", "block", "chunk"]
-_RESULT = "value string, entry string, score double"
-
-# Shortest/longest ratio of two lengths that can still reach a cutoff.
-_LENGTH_RATIO: dict[str, Callable[[float], float]] = {
-    "ratio": lambda cutoff: cutoff / (2 - cutoff),  # 2 * shorter / (shorter + longer)
-    "levenshtein": lambda cutoff: cutoff,  # 1 - (longer - shorter) / longer
-}
-
-
-def _band(length: Column, width: float) -> Column:
-    return F.floor(F.log(F.greatest(length, F.lit(1))) / F.lit(math.log(width))).cast("int")
-
-
-def _place(
-    values: DataFrame, entries: DataFrame, length_ratio: float
-) -> tuple[DataFrame, DataFrame]:
-    """Values and entries with the (band, block, chunk) cells in which they meet."""
-    width = max(2.0, 1 / length_ratio)  # at most 31 bands, a value reaches about three
-    length = F.length("value")
-    # One step of slack on both ends keeps rounding harmless.
-    low, high = F.floor(length * length_ratio), F.ceil(length / length_ratio) + 1
-    banded = entries.withColumn("band", _band(F.length("entry"), width))
-    routed = values.withColumn(
-        "band", F.explode(F.sequence(_band(low, width), _band(high, width)))
-    )
-
-    def per_band(df: DataFrame, pieces: Callable[[Column], Column], name: str) -> DataFrame:
-        # One row per band, at most 31: a proven bound for the broadcast.
-        n = pieces(F.count(F.lit(1))).cast("int")
-        return F.broadcast(df.groupBy("band").agg(n.alias(name)))
-
-    enough = 4 * int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = per_band(banded, lambda n: F.ceil(n / ENTRIES_PER_BLOCK), "blocks")
-    chunks = per_band(
-        routed,
-        lambda n: F.greatest(
-            F.least(F.ceil(n / SMALL_CHUNK), F.lit(enough)), F.ceil(n / LARGE_CHUNK)
-        ),
-        "chunks",
-    )
-
-    def piece_of(column: str, count: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.col(count)).cast("int")
-
-    def every(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    def both(df: DataFrame) -> DataFrame:
-        return df.join(blocks, "band").join(chunks, "band")
-
-    placed_values = both(routed).withColumn("chunk", piece_of("value", "chunks"))
-    placed_entries = both(banded).withColumn("block", piece_of("entry", "blocks"))
-    return (
-        placed_values.withColumn("block", every("blocks")).select(*_BLOCK, "value"),
-        placed_entries.withColumn("chunk", every("chunks")).select(*_BLOCK, "entry"),
-    )
-
-
-def _shared_characters(values: list[str], entries: list[str]) -> np.ndarray:
-    """Characters that each value and entry have in common, counting repeats."""
-    shared = np.zeros((len(values), len(entries)), dtype=np.int32)
-    for ch in set("".join(values)) & set("".join(entries)):
-        ours = np.array([v.count(ch) for v in values], dtype=np.int32)
-        theirs = np.array([e.count(ch) for e in entries], dtype=np.int32)
-        shared += np.minimum.outer(ours, theirs)
-    return shared
+MAX_ENTRIES = 20_000
+MAX_CHARACTERS = 2_000_000
+_RARE = 16  # a pair is rare that fewer than one in so many entries have
+_LANE = 63  # characters of a value that fit a machine word
+
+_RESULT = "value string, entry string, score double, scored long"
+
+
+def _tokens(text: str) -> tuple[list[tuple], list[tuple]]:
+    """Characters and pairs of a text, each with the number of its earlier occurrences."""
+    result: tuple[list[tuple], list[tuple]] = ([], [])
+    for tokens, grams in zip(result, (text, [text[i : i + 2] for i in range(len(text) - 1)])):
+        seen: dict[str, int] = {}
+        for gram in grams:
+            n = seen[gram] = seen.get(gram, 0) + 1
+            tokens.append((gram, n))
+    return result
+
+
+class Index:
+    """Entries with the posting lists of their characters and pairs."""
+
+    def __init__(self, entries: list[str]):
+        self.entries = entries
+        self.place = {e: i for i, e in enumerate(entries)}
+        self.sizes = np.array([len(e) for e in entries], np.int64)
+        self.lists: tuple[dict, dict] = ({}, {})
+        for i, entry in enumerate(entries):
+            for lists, tokens in zip(self.lists, _tokens(entry)):
+                for token in tokens:
+                    lists.setdefault(token, []).append(i)
+        for lists in self.lists:
+            for token, members in lists.items():
+                lists[token] = np.array(members, np.int32)
+        self.codes = None
+
+    def shared(self, kind: int, tokens: list[tuple], most: float = np.inf) -> np.ndarray:
+        """How many of the tokens each entry has; tokens of ``most`` entries or more are left out."""
+        lists = [m for t in tokens if (m := self.lists[kind].get(t)) is not None and len(m) < most]
+        return np.bincount(np.concatenate(lists), minlength=len(self.entries)) if lists else np.zeros(len(self.entries), np.int64)
+
+    def columns(self, chosen: np.ndarray) -> np.ndarray:
+        """The code points of some entries, a row for each position; -1 behind an entry's end."""
+        if self.codes is None:
+            points = np.frombuffer("".join(self.entries).encode("utf-32-le"), np.int32)
+            self.codes = points, np.cumsum(self.sizes) - self.sizes
+        points, start = self.codes
+        at = np.arange(int(self.sizes[chosen].max(initial=0)))[:, None]
+        inside = at < self.sizes[chosen]
+        return np.where(inside, points[np.minimum(start[chosen] + at, len(points) - 1)], -1)
+
+
+def _masks(value: str, codes: np.ndarray) -> np.ndarray:
+    """For each code the places where the value has it, as bits."""
+    bits: dict[int, int] = {}
+    for i, ch in enumerate(value):
+        bits[ord(ch)] = bits.get(ord(ch), 0) | 1 << i
+    known = np.array(sorted(bits), np.int64)
+    masks = np.array([bits[c] for c in known.tolist()], np.uint64)
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return np.where(known[at] == codes, masks[at], np.uint64(0))
+
+
+def _common_subsequences(value: str, index: Index, chosen: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences with some entries, all at once by bit-parallel rows."""
+    if len(value) > _LANE:
+        return np.array([_common_subsequence(value, index.entries[i]) for i in chosen.tolist()], np.int64)
+    full = np.uint64((1 << len(value)) - 1)
+    row = np.full(len(chosen), full, np.uint64)
+    for mask in _masks(value, index.columns(chosen)):
+        hit = row & mask
+        row = ((row + hit) | (row - hit)) & full
+    return len(value) - np.bitwise_count(row).astype(np.int64)
 
 
-def _common_subsequence(positions: dict[str, int], width: int, other: str) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
-    row = full = (1 << width) - 1
+def _common_subsequence(value: str, other: str) -> int:
+    positions: dict[str, int] = {}
+    for i, ch in enumerate(value):
+        positions[ch] = positions.get(ch, 0) | (1 << i)
+    row = full = (1 << len(value)) - 1
     for ch in other:
         hit = row & positions.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
-    return width - row.bit_count()
-
-
-def _best_by_ratio(cutoff: float):
-    """Winner per value in one cell. Both bounds are upper bounds of the ratio, so an entry
-    they rule out is neither better than, nor tied with, the best one."""
-
-    def best(values_in: pd.DataFrame, entries_in: pd.DataFrame) -> pd.DataFrame:
-        values, entries = values_in["value"].tolist(), entries_in["entry"].tolist()
-        winners = []
-        if values and entries:
-            sizes = np.array([len(e) for e in entries])
-            shared = _shared_characters(values, entries)
-            matcher = SequenceMatcher()
-            for value, common in zip(values, shared):
-                total = sizes + len(value)
-                bounds = 2.0 * common / total
-                positions: dict[str, int] = {}
-                for i, ch in enumerate(value):
-                    positions[ch] = positions.get(ch, 0) | (1 << i)
-                matcher.set_seq2(value)
-                score, winner = cutoff, ""
-                for j in np.argsort(-bounds, kind="stable"):
-                    if bounds[j] < score:
-                        break
-                    entry = entries[j]
-                    common_run = _common_subsequence(positions, len(value), entry)
-                    if 2.0 * common_run / total[j] < score:
-                        continue
-                    matcher.set_seq1(entry)
-                    if (found := (matcher.ratio(), entry)) >= (score, winner):
-                        score, winner = found
-                if winner:
-                    winners.append((value, winner, score))
-        return pd.DataFrame(winners, columns=["value", "entry", "score"])
-
-    return best
-
-
-def _score_by_ratio(values: DataFrame, entries: DataFrame, cutoff: float) -> DataFrame:
-    # Fixed partition count: cells are tiny in bytes but heavy to score, so they must not be
-    # coalesced by size.
-    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        values.repartition(n, *_BLOCK)
-        .groupBy(*_BLOCK)
-        .cogroup(entries.repartition(n, *_BLOCK).groupBy(*_BLOCK))
-        .applyInPandas(_best_by_ratio(cutoff), _RESULT)
-    )
+    return len(value) - row.bit_count()
+
+
+def _distance(value: str, other: str) -> int:
+    """Edit distance, by bit-parallel columns."""
+    if not value or not other:
+        return len(value) or len(other)
+    positions: dict[str, int] = {}
+    for i, ch in enumerate(value):
+        positions[ch] = positions.get(ch, 0) | (1 << i)
+    full, last = (1 << len(value)) - 1, 1 << len(value) - 1
+    up, down, distance = full, 0, len(value)
+    for ch in other:
+        same = positions.get(ch, 0)
+        across = (((same & up) + up) ^ up) | same | down
+        more, less = down | ~(across | up) & full, up & across
+        distance += bool(more & last) - bool(less & last)
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        up, down = less | ~(across | more) & full, more & across
+    return distance
 
 
-def _score_by_levenshtein(values: DataFrame, entries: DataFrame, cutoff: float) -> DataFrame:
-    # A block is one row with a bounded array of entries; scoring stays in the JVM.
-    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = entries.groupBy(*_BLOCK).agg(F.collect_list("entry").alias("entries"))
-
-    def score(e: Column) -> Column:
-        longer = F.greatest(F.length("value"), F.length(e))
-        # Distances beyond the limit, which cannot reach the cutoff, are given up early as -1.
-        limit = F.ceil((1 - cutoff) * longer).cast("int")
-        distance = F.call_function("levenshtein", F.col("value"), e, limit)
-        return F.when(distance >= 0, 1 - distance / longer)
-
-    scored = F.transform("entries", lambda e: F.struct(score(e).alias("score"), e.alias("entry")))
-    return (
-        values.repartition(n, *_BLOCK)
-        .join(blocks, _BLOCK)
-        .select("value", F.array_max(scored).alias("best"))
-        .filter(F.col("best.score") >= cutoff)
-        .select("value", "best.entry", "best.score")
-    )
+class Ratio:
+    """Twice the characters in matching blocks over both lengths.
 
+    Blocks of n characters have n - 1 pairs. Between two blocks at least one character is left over,
+    so there is at most one block more than characters left over: M matched characters of both
+    lengths' sum T leave shared pairs >= M - (T - 2 M + 1).
+    """
 
-_SCORERS = {"ratio": _score_by_ratio, "levenshtein": _score_by_levenshtein}
+    def __init__(self, value: str):
+        self.value = value
+        self.matcher: SequenceMatcher | None = None
+
+    def bounds(self, sizes: np.ndarray, characters: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        total = sizes + len(self.value)
+        return 2.0 * np.minimum(characters, (pairs + total + 1) // 3) / np.maximum(total, 1)
+
+    def lowered(self, index: Index, chosen: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        common = _common_subsequences(self.value, index, chosen)
+        return 2.0 * common / (index.sizes[chosen] + len(self.value))
+
+    def score(self, entry: str) -> float:
+        if self.matcher is None:
+            self.matcher = SequenceMatcher(None, "", self.value)
+        self.matcher.set_seq1(entry)
+        return self.matcher.ratio()
+
+
+class Levenshtein:
+    """One less the edit distance over the longer length. An edit changes two pairs at most."""
+
+    def __init__(self, value: str):
+        self.value = value
+
+    def bounds(self, sizes: np.ndarray, characters: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        longer = np.maximum(sizes, len(self.value))
+        edits = np.maximum(longer - characters, -((pairs + 1 - longer) // 2))
+        return 1 - edits / np.maximum(longer, 1)
+
+    def lowered(self, index: Index, chosen: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        # Of the longer text no more characters stay than a common subsequence has.
+        longer = np.maximum(index.sizes[chosen], len(self.value))
+        edits = longer - _common_subsequences(self.value, index, chosen)
+        return np.minimum(bounds, 1 - edits / longer)
+
+    def score(self, entry: str) -> float:
+        return 1 - _distance(self.value, entry) / max(len(self.value), len(entry))
+
+
+_SCORERS = {"ratio": Ratio, "levenshtein": Levenshtein}
+Best = tuple[float, str]  # a score and the entry that has it, "" below the cutoff
+
+
+def first_round(index: Index, measure: Ratio | Levenshtein, best: Best) -> tuple[Best, int]:
+    """The score of one promising entry, and how many were scored."""
+    value = measure.value
+    if value in index.place:
+        return max(best, (1.0, value)), 0
+    pairs = _tokens(value)[1]
+    shared = index.shared(1, pairs, max(2.0, len(index.entries) / _RARE))
+    if not shared.any():
+        return best, 0
+    most = np.flatnonzero(shared == shared.max())
+    nearest = most[np.argmin(np.abs(index.sizes[most] - len(value)))]
+    entry = index.entries[nearest]
+    return max(best, (measure.score(entry), entry)), 1
+
+
+def second_round(index: Index, measure: Ratio | Levenshtein, best: Best) -> tuple[Best, int]:
+    """The best of ``best`` and all entries, and how many were scored."""
+    if best[0] == 1.0:  # nothing but the value itself
+        return best, 0
+    characters, pairs = _tokens(measure.value)
+    bounds = measure.bounds(index.sizes, index.shared(0, characters), index.shared(1, pairs))
+    chosen = np.flatnonzero(bounds >= best[0])
+    if not len(chosen):
+        return best, 0
+    tighter = np.minimum(bounds[chosen], measure.lowered(index, chosen, bounds[chosen]))
+    scored = 0
+    for k in np.argsort(-tighter, kind="stable").tolist():
+        if tighter[k] < best[0]:
+            break
+        entry = index.entries[chosen[k]]
+        if tighter[k] == best[0] and entry <= best[1]:
+            continue  # a tie at most, which goes to the greater entry
+        best = max(best, (measure.score(entry), entry))
+        scored += 1
+    return best, scored
+
+
+def _pass(values: DataFrame, index: Index, scorer: str, rounds: tuple) -> DataFrame:
+    """Some rounds against one block, for values with the best that they have found so far."""
+    shared = values.sparkSession.sparkContext.broadcast(index)
+    measure = _SCORERS[scorer]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = shared.value
+        for batch in batches:
+            rows = []
+            for value, entry, score, scored in batch.itertuples(index=False):
+                best, mine = (score, entry), measure(value)
+                for one in rounds:
+                    best, n = one(index, mine, best)
+                    scored += n
+                rows.append((value, best[1], best[0], scored))
+            yield pd.DataFrame(rows, columns=["value", "entry", "score", "scored"])
+
+    return values.mapInPandas(run, _RESULT)
+
+
+def search(values: DataFrame, entries: DataFrame, cutoff: float, scorer: str) -> DataFrame:
+    """``(value, entry, score, scored)`` of all values; the entry is empty if none reaches the cutoff,
+    and ``scored`` says how many entries the value was compared with in full."""
+    entries = entries.filter("entry <> ''")
+    # Values are few bytes and much work: they go to all tasks, whatever their size.
+    tasks = 2 * int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = [F.lit("").alias("entry"), F.lit(float(cutoff)).alias("score"), F.lit(0).cast("long").alias("scored")]
+    started = values.filter("value <> ''").repartition(tasks).select("value", *start)
+    some = [r.entry for r in entries.limit(MAX_ENTRIES + 1).collect()]
+    if len(some) <= MAX_ENTRIES and sum(map(len, some)) <= MAX_CHARACTERS:
+        return _pass(started, Index(sorted(some)), scorer, (first_round, second_round)) if some else started
+    entries = materialise(entries, "entries")
+    size = entries.agg(F.count("entry").alias("n"), F.sum(F.length("entry")).alias("characters")).first()
+    # Blocks are half full on average, so that none holds more than it may.
+    blocks = 2 * max(-(-size.n // MAX_ENTRIES), -(-size.characters // MAX_CHARACTERS))
+    block = F.pmod(F.xxhash64("entry"), F.lit(blocks))
+    for one in (first_round, second_round):
+        for b in range(blocks):
+            index = Index(sorted(r.entry for r in entries.filter(block == b).collect()))
+            if index.entries:
+                started = materialise(_pass(started, index, scorer, (one,)), "matched")
+    return started
 
 
 def match_values(
@@ -194,27 +278,11 @@ def match_values(
     """``(value, entry, score)`` for every value that has an entry at or above the cutoff.
 
     ``values`` and ``entries`` each have one column of distinct, non-null texts named
-    ``value`` and ``entry``. Ties go to the lexicographically greatest entry.
+    ``value`` and ``entry``. Ties go to the lexicographically greatest entry. Empty texts match nothing.
     """
     if not 0 < cutoff <= 1:
         raise ValueError("cutoff must be above 0 and at most 1")
-    known = F.col("entry").isNotNull().alias("known")
-    values = materialise(
-        values.join(entries, F.col("value") == F.col("entry"), "left").select("value", known),
-        "values",
-    )
-    same = values.filter("known").select(
-        "value", F.col("value").alias("entry"), F.lit(1.0).alias("score")
-    )
-    searched = values.filter("not known").select("value")
-    placed = _place(searched, entries, _LENGTH_RATIO[scorer](cutoff))
-    best = (
-        _SCORERS[scorer](*placed, cutoff)
-        .groupBy("value")
-        .agg(F.max(F.struct("score", "entry")).alias("best"))
-        .select("value", "best.entry", "best.score")
-    )
-    return same.unionByName(best)
+    return search(values, entries, cutoff, scorer).filter("entry <> ''").drop("scored")
 
 
 def canonical_map(
@@ -232,12 +300,7 @@ def canonical_map(
     if protected := list(protected):
         values = values.filter(~F.col("value").isin(*protected))
     entries = dictionary.select(F.upper(entry).alias("entry")).filter(F.col("entry").isNotNull())
-    mapping = match_values(
-        values.distinct(),
-        materialise(entries.distinct(), "entries"),
-        cutoff=cutoff,
-        scorer=scorer,
-    )
+    mapping = match_values(values.distinct(), entries.distinct(), cutoff=cutoff, scorer=scorer)
     return materialise(mapping, "mapping")
 
 

@@ -1,7 +1,7 @@
 import random
 from difflib import SequenceMatcher, get_close_matches
 
-import pandas as pd
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -65,12 +65,64 @@ def test_ratio_equals_the_standard_matcher(spark, cutoff):
 TEXTS = st.lists(st.text("AB CÉ", min_size=1, max_size=12), min_size=1, max_size=8, unique=True)
 
 
+def best_of(values, entries, cutoff, measure=matching.Ratio):
+    index, found = matching.Index(sorted(entries)), {}
+    for value in values:
+        best = (cutoff, "")
+        for one in (matching.first_round, matching.second_round):
+            best, _ = one(index, measure(value), best)
+        if best[1]:
+            found[value] = best[::-1]
+    return found
+
+
 @settings(max_examples=300, deadline=None)
 @given(values=TEXTS, entries=TEXTS, cutoff=st.sampled_from([0.1, 0.3, 0.5, 0.8, 1.0]))
 def test_pruning_is_exact(values, entries, cutoff):
-    cell = matching._best_by_ratio(cutoff)
-    best = cell(pd.DataFrame({"value": values}), pd.DataFrame({"entry": entries}))
-    assert {v: (e, s) for v, e, s in best.itertuples(index=False)} == expected(values, entries, cutoff)
+    assert best_of(values, entries, cutoff) == expected(values, entries, cutoff)
+
+
+@settings(max_examples=300, deadline=None)
+@given(values=TEXTS, entries=TEXTS, cutoff=st.sampled_from([0.1, 0.5, 0.8]))
+def test_pruning_by_edits_is_exact(values, entries, cutoff):
+    want = {}
+    for v in values:
+        score, e = max((1 - edit_distance(v, e) / max(len(v), len(e)), e) for e in entries)
+        if score >= cutoff:
+            want[v] = (e, score)
+    assert best_of(values, entries, cutoff, matching.Levenshtein) == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(a=st.text("abcdé日", max_size=90), b=st.text("abcdé日", max_size=90))
+def test_edit_distance(a, b):
+    assert matching._distance(a, b) == edit_distance(a, b)
+
+
+@settings(max_examples=200, deadline=None)
+@given(value=st.text("abc日", min_size=1, max_size=80), entries=st.lists(st.text("abc日x", min_size=1, max_size=30), min_size=1, max_size=6))
+def test_common_subsequences_of_many_entries(value, entries):
+    index = matching.Index(entries)
+    got = matching._common_subsequences(value, index, np.arange(len(entries)))
+    assert got.tolist() == [matching._common_subsequence(value, e) for e in entries]
+
+
+def test_few_pairs_are_scored(spark):
+    """20,000 values against 5,000 entries: a hundred million pairs, of which few are compared in full."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("ABCDEFGHILMNOPRSTU", k=rng.randint(4, 9))) for _ in range(3000)]
+    entries = sorted({" ".join(rng.choices(words, k=rng.randint(2, 4))) for _ in range(5000)})
+    values = set()
+    while len(values) < 20_000:
+        entry = rng.choice(entries)
+        at = rng.randrange(len(entry))
+        values.add(rng.choice([entry[:at] + entry[at + 1 :], entry[:at] + "X" + entry[at:], entry[: max(8, 2 * len(entry) // 3)]]))
+    found = matching.search(*frames(spark, values, entries), 0.3, "ratio")
+    n, scored = found.selectExpr("count(*)", "sum(scored)").first()
+    assert n == len(values) and scored < 3 * n < n * len(entries) / 1000
+    some = rng.sample(sorted(values), 15)
+    got = {r.value: (r.entry, r.score) for r in found.filter(F.col("value").isin(some)).collect()}
+    assert got == expected(some, entries, 0.3)
 
 
 def test_long_values_and_ties(spark):
@@ -81,14 +133,16 @@ def test_long_values_and_ties(spark):
     assert result(match_values(*frames(spark, values, entries))) == expected(values, entries, 0.3)
 
 
-def test_many_cells_give_the_same_result(spark, monkeypatch):
+@pytest.mark.parametrize("scorer", ["ratio", "levenshtein"])
+def test_many_blocks_give_the_same_result(spark, monkeypatch, scorer):
     rng = random.Random(9)
     entries = phrases(rng, 60)
-    values = [dirty(rng, rng.choice(entries)) for _ in range(90)]
-    monkeypatch.setattr(matching, "ENTRIES_PER_BLOCK", 5)
-    monkeypatch.setattr(matching, "SMALL_CHUNK", 2)
-    monkeypatch.setattr(matching, "LARGE_CHUNK", 4)
-    assert result(match_values(*frames(spark, values, entries))) == expected(values, entries, 0.3)
+    values = [dirty(rng, rng.choice(entries)) for _ in range(90)] + ["DESCONHECIDO"]
+    want = result(match_values(*frames(spark, values, entries), scorer=scorer))
+    monkeypatch.setattr(matching, "MAX_ENTRIES", 15)
+    assert result(match_values(*frames(spark, values, entries), scorer=scorer)) == want
+    if scorer == "ratio":
+        assert want == expected(values, entries, 0.3)
 
 
 def edit_distance(a, b):
@@ -102,8 +156,7 @@ def edit_distance(a, b):
 
 @pytest.mark.parametrize("cutoff", [0.3, 0.7])
 def test_levenshtein_equals_brute_force(spark, monkeypatch, cutoff):
-    monkeypatch.setattr(matching, "ENTRIES_PER_BLOCK", 7)
-    monkeypatch.setattr(matching, "SMALL_CHUNK", 9)
+    monkeypatch.setattr(matching, "MAX_CHARACTERS", 300)
     rng = random.Random(10)
     entries = sorted(set(phrases(rng, 40)))
     values = sorted({dirty(rng, rng.choice(entries)) for _ in range(60)})
@@ -141,7 +194,7 @@ def test_plan_has_no_cross_join(spark):
     values, entries = frames(spark, ["AB", "AC"], ["ABC"])
     plan = match_values(values, entries)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "FlatMapCoGroupsInPandas" in plan
+    assert "MapInPandas" in plan and "Join" not in plan
 
 
 def test_join_beside_a_large_mapping(spark):

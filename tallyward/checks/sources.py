@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +14,9 @@ from tallyward.checks.registry import query, table
 from tallyward.operators.attach import attach
 from tallyward.operators.paging import page
 from tallyward.plans import staging
-from tallyward.session import work_path
+from tallyward.session import materialise, work_path
 from tallyward.sources.delimited import FAULT, ORIGINAL, SOURCE, scan
+from tallyward.sources.keyed import KEYS, append_new_keys
 from tallyward.sources.tables import write_table
 
 _HOT_KEY = "case when l_partkey % 5 = 0 then null when l_partkey % 5 < 4 then l_suppkey % 200 else l_orderkey end"
@@ -49,9 +52,56 @@ def _(spark, folder):
     early = F.col("c_custkey") % 3 == 0
     for part in (customers.filter(early), customers.filter(~early)):
         write_table(part, name, columns=columns)
-    return spark.table(name).agg(
+    result = spark.table(name).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"), F.min("id").alias("least")
     )
+    return _without_table(result, name)
+
+
+def _without_table(result, *names):
+    """The result, written, after its tables are gone."""
+    written = materialise(result, "result")
+    for name in names:
+        result.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return written
+
+
+# The first delivery has some rows twice and some without a key; the second repeats others inside, and
+# brings some that the first has loaded or set aside.
+_DELIVERIES = {
+    1: ["o_orderkey % 3 <> 0", "o_orderkey % 3 <> 0 and o_orderkey % 11 = 1"],
+    2: ["o_orderkey % 3 = 0", "o_orderkey % 3 = 0 and o_orderkey % 13 = 2", "o_orderkey % 3 <> 0 and o_orderkey % 5 = 0"],
+}
+_KEY = "case when o_orderkey % 17 = 4 then null else o_orderkey end"
+_DELIVERED = {
+    n: " union all ".join(f"select {_KEY} as key, o_custkey as place from orders where {part}" for part in parts)
+    for n, parts in _DELIVERIES.items()
+}
+
+
+@query(
+    "pk_across_loads",
+    f"""with one as (select *, count(*) over (partition by key) as n from ({_DELIVERED[1]})),
+    two as (select *, count(*) over (partition by key) as n from ({_DELIVERED[2]})),
+    held as (select key from one where n = 1 and key is not null)
+    select 1 as load, key, place, case when key is null then 'missing key' when n > 1 then 'repeated key' end as reason
+    from one union all
+    select 2, key, place, case when key is null then 'missing key'
+      when key in (select key from held) then 'the table has this key' when n > 1 then 'repeated key' end
+    from two""",
+)
+def _(spark, folder):
+    """Two deliveries into one table; its key holds over both."""
+    name = f"tallyward_checks.t{uuid.uuid4().hex}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallyward_checks")
+    orders, parts = table(spark, folder, "orders"), []
+    for n, wanted in _DELIVERIES.items():
+        rows = [orders.filter(w).select(F.expr(_KEY).alias("key"), F.col("o_custkey").alias("place")) for w in wanted]
+        split = append_new_keys(reduce(DataFrame.unionByName, rows), name, ["key"])
+        load = F.lit(n).alias("load")
+        parts.append(split.violations.select(load, "key", "place", "reason"))
+        parts.append(split.valid.select(load, "key", "place", F.lit(None).cast("string").alias("reason")))
+    return _without_table(reduce(DataFrame.unionByName, parts), name, f"{name}_{KEYS}")
 
 
 _WIDE = "c_custkey % 10 = 3"

@@ -16,6 +16,7 @@ from tallyward.operators.attach import attach
 from tallyward.plans import core, staging
 from tallyward.session import materialise, use_all_cores, work_path
 from tallyward.streaming.incremental import clean_stream, load_new_files
+from tallyward.streaming.repeats import drop_stream_repeats
 
 # Raw incident columns, by the table that they are made from.
 RAW = {
@@ -217,3 +218,23 @@ def _(spark, folder):
         .groupBy("event_type", "user_id")
         .agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest"))
     )
+
+
+_REPEATS = "event_id % 7 = 0"
+_LATER = "timestamp '2024-01-16 00:00:00'"
+
+
+@query("stream_dedup", "select event_id, ts, user_id, event_type from events")
+def _(spark, folder):
+    """Two runs of one stream. Both deliveries have repeats, the second also of the first's last hours."""
+    root, target, progress = (work_path(spark, label) for label in ("delivered", "single", "progress"))
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type")
+    events = events.withColumn("at", F.col("ts").cast("timestamp"))
+    early = F.expr(f"ts < {_LATER}")
+    last = early & F.expr(f"ts >= {_LATER} - interval 12 hours and event_id % 3 = 0")
+    for n, wanted in enumerate(([early, early & F.expr(_REPEATS)], [~early, ~early & F.expr(_REPEATS), last])):
+        for k, rows in enumerate(wanted):
+            events.filter(rows).write.parquet(f"{root}/{n}/{k}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(root)
+        drop_stream_repeats(stream, ["event_id"], "at", "1 day", target, progress)
+    return spark.read.parquet(target).drop("at")

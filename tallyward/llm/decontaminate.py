@@ -22,6 +22,7 @@ from tallyward.session import materialise
 
 WINDOW = 13
 MAX_WINDOWS = 500_000  # windows in one broadcast, some 50 MB
+PIECE = 1 << 18  # bytes of texts handled at once: their words and windows take many times that
 
 _RUNS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
@@ -128,7 +129,7 @@ def _scan(docs: DataFrame, windows: list, text: str) -> DataFrame:
         T.StructField("hit_runs", _RUNS),
         T.StructField("hit_items", T.ArrayType(T.StringType())),
     ]
-    return add_columns(docs, make, fields, text)
+    return add_columns(docs, make, fields, text, piece=PIECE)
 
 
 def _merged(a: Column, b: Column) -> Column:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.session import materialise
 
 Verify = Callable[[DataFrame], DataFrame]
+Admit = Callable[[Column, Column], Column]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -63,12 +64,14 @@ def shared_groups(groups: DataFrame) -> DataFrame:
     return materialise(found.join(sizes, "key"), "groups")
 
 
-def link(shared: DataFrame, verify: Verify, refine: Verify | None = None) -> DataFrame:
+def link(shared: DataFrame, verify: Verify, refine: Verify | None = None, admit: Admit | None = None) -> DataFrame:
     """``(node, component)`` of all nodes that verified links within the groups connect.
 
     ``shared`` comes from ``shared_groups``; ``verify`` takes distinct candidate pairs ``(a, b)``,
     a < b, and returns those that are links. ``refine`` may give narrower groups ``(key, node)`` for
     nodes whose groups did not end in one component; any two of them that are linked must share one.
+    These may tell more ``about`` a node's place in a group, from which ``admit`` says of two members
+    whether they can be linked: at least one group of any two that are must admit them.
     """
     # The member that meets most others is the best one to compare all with.
     fame = shared.groupBy("node").agg(F.sum("size").alias("fame"))
@@ -81,21 +84,32 @@ def link(shared: DataFrame, verify: Verify, refine: Verify | None = None) -> Dat
     seen = materialise(seen, "pairs")
     labels = components(materialise(verify(seen), "links"))
     mixed = _mixed(shared, labels)
+    allowed = F.lit(True)
     if refine:
         narrow = shared_groups(refine(materialise(mixed.select("node").distinct(), "apart")))
         mixed = _mixed(narrow, labels)
+        if admit:
+            allowed = admit(F.col("about_a"), F.col("about_b"))
+    if "about" not in mixed.columns:
+        mixed = mixed.withColumn("about", F.lit(0))
     # Members that stay apart meet one of the main component in each group, another one in each, so
     # that hardly any is left for the comparison with all.
     apart = mixed.filter("component <> main")
-    chosen = mixed.filter("component = main").groupBy("key").agg(F.max_by("node", F.xxhash64("key", "node")).alias("b"))
-    pairs = _pairs(apart.select("key", F.col("node").alias("a")).join(chosen, "key").select("a", "b"))
+    chosen = mixed.filter("component = main").groupBy("key").agg(
+        F.max_by(F.struct("node", "about"), F.xxhash64("key", "node")).alias("chosen")
+    )
+    chosen = chosen.select("key", F.col("chosen.node").alias("b"), F.col("chosen.about").alias("about_b"))
+    met = apart.select("key", F.col("node").alias("a"), F.col("about").alias("about_a")).join(chosen, "key")
+    pairs = _pairs(met.filter(allowed).select("a", "b"))
     pairs = materialise(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
     labels, grown = _grow(labels, verify(pairs))
     if grown:
-        mixed = _mixed(mixed.select("key", "node"), labels)
-    others = mixed.filter("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    rest = others.join(mixed.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key")
-    rest = _pairs(rest.filter("ca <> cb").select("a", "b")).join(seen.union(pairs), ["a", "b"], "left_anti")
+        mixed = _mixed(mixed.select("key", "node", "about"), labels)
+    others = mixed.filter("component <> main")
+    others = others.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("about").alias("about_a"))
+    rest = mixed.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("about").alias("about_b"))
+    rest = others.join(rest, "key").filter((F.col("ca") != F.col("cb")) & allowed)
+    rest = _pairs(rest.select("a", "b")).join(seen.union(pairs), ["a", "b"], "left_anti")
     return _grow(labels, verify(materialise(rest, "pairs")))[0]
 
 
@@ -109,9 +123,10 @@ def _grow(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def _mixed(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(key, node, component, main)`` of the groups that have several components."""
+    """``(key, node, component, main)`` of the groups that have several components, and ``about``."""
+    also = [c for c in groups.columns if c == "about"]
     placed = groups.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
+        "key", "node", *also, F.coalesce("component", "node").alias("component")
     )
     placed = materialise(placed, "placed")
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))

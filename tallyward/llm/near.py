@@ -8,17 +8,19 @@ Candidates must also agree in a longer signature, and are confirmed on their ful
 of chunks and of errors in the longer signature follow the similarity asked for.
 
 Texts that share a frequent passage share keys without being similar. Of those, only pairs that
-have one of their rarest shingles in common can be links, and only they are compared.
+have one of their rarest shingles in common can be links, and only if at the first of these enough
+shingles are left in both sets; only such pairs are compared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from hashlib import blake2b
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,7 @@ ERRORS = 2 * CHUNKS - 1  # one error for each chunk, and one less than a second
 
 CHECKS = 128  # symbols of one byte in the longer signature
 MAX_LOSS = 2.5e-7  # probability that a signature loses a link at the border
+PIECE = 1 << 18  # bytes of texts handled at once: their shingles take many times that
 COUNTERS = 1 << 20  # of the shingle frequencies that are broadcast
 
 _SEEDS = mix(np.arange(1, CHECKS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -117,7 +120,7 @@ def describe(docs: DataFrame, text: str = "text", percent: int = 85) -> DataFram
         T.StructField("index_keys", T.ArrayType(T.LongType())),
         T.StructField("checks", T.BinaryType()),
     ]
-    return add_columns(docs, make, fields, text)
+    return add_columns(docs, make, fields, text, piece=PIECE)
 
 
 def _digests(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -137,7 +140,7 @@ def _add_sets(docs: DataFrame) -> DataFrame:
         return work
 
     fields = [T.StructField("node", T.BinaryType()), T.StructField("shingles", T.BinaryType())]
-    return add_columns(docs, make, fields)
+    return add_columns(docs, make, fields, piece=PIECE)
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -160,8 +163,19 @@ def _all_bytes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8)
 
 
+def _enough_left(percent: int) -> Callable[[Column, Column], Column]:
+    """Whether two sets can be similar whose first common shingle, in the order of rarity, this is."""
+
+    def admit(a: Column, b: Column) -> Column:
+        common = F.least(a["size"] - a["place"], b["size"] - b["place"])
+        return 100 * common >= percent * (a["size"] + b["size"] - common)
+
+    return admit
+
+
 def _rare_shingles(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``(key, node)`` of each set's rarest shingles, as many as two similar sets must overlap in.
+    """``(key, node, about)`` of each set's rarest shingles, as many as two similar sets must overlap in;
+    ``about`` has the place of the shingle in the set's order and the set's size.
 
     Any one order of all shingles is right; frequencies, counted into a table of fixed size, make
     it one that puts the shingles of frequent passages last.
@@ -186,18 +200,20 @@ def _rare_shingles(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     def choose(batches):
         table = shared.value
         for batch in batches:
-            keys, owners = [], []
+            keys, owners, places, sizes = [], [], [], []
             for node, packed in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist()):
                 shingles = np.frombuffer(packed, np.uint64)
                 order = np.lexsort((shingles, table[_slots(shingles)]))
                 keys.append(shingles[order[: len(shingles) + (-percent * len(shingles)) // 100 + 1]].view(np.int64))
                 owners += [node] * len(keys[-1])
+                places.append(np.arange(len(keys[-1])))
+                sizes.append(np.full(len(keys[-1]), len(shingles)))
             if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(owners, pa.binary())], ["key", "node"]
-                )
+                about = [pa.array(np.concatenate(c), pa.int64()) for c in (places, sizes)]
+                columns = [pa.array(np.concatenate(keys)), pa.array(owners, pa.binary()), pa.StructArray.from_arrays(about, ["place", "size"])]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "about"])
 
-    return wanted.mapInArrow(choose, "key long, node binary")
+    return wanted.mapInArrow(choose, "key long, node binary, about struct<place: long, size: long>")
 
 
 def _slots(shingles: np.ndarray) -> np.ndarray:
@@ -268,6 +284,7 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         shared,
         lambda pairs: _confirm(materialise(_alike(pairs, wanted, percent), "alike"), sets, percent),
         lambda nodes: _rare_shingles(sets, nodes, percent),
+        _enough_left(percent),
     )
     placed = described.drop("index_keys", "checks").withColumnRenamed("set_key", "node").join(labels, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))

@@ -154,6 +154,7 @@ def add_columns(
     fields: list[T.StructField],
     text: str = "text",
     also: tuple[str, ...] = (),
+    piece: int = PIECE_BYTES,
 ) -> DataFrame:
     """``docs`` plus columns computed from a text column, a bounded piece at a time.
 
@@ -169,7 +170,7 @@ def add_columns(
     def run(batches):
         work = make()
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, piece):
                 out = work(part.column(text), *[part.column(c) for c in also])
                 names = [*passed, *[f.name for f in fields]]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in passed], *out], names)

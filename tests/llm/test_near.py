@@ -131,3 +131,42 @@ def test_permitted_errors_follow_the_similarity():
     for percent in (0, 50, 101):
         with pytest.raises(ValueError):
             near.permitted(percent)
+
+
+def test_many_texts_around_one_passage(spark):
+    """2,000 texts share a passage, copies of one of them differ more and more."""
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [passage + [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(0, 60))] for _ in range(1200)]
+    base = passage + [f"b{i}" for i in range(140)]
+    for _ in range(800):
+        copy = list(base)
+        for at in rng.sample(range(len(base)), rng.randint(0, 9)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts.append(copy)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()}
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    holders = {}
+    for i, s in enumerate(sets):
+        for shingle in s:
+            holders.setdefault(shingle, []).append(i)
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, s in enumerate(sets):
+        shared = {}
+        for shingle in s:
+            for j in holders[shingle]:
+                if j < i:
+                    shared[j] = shared.get(j, 0) + 1
+        for j, n in shared.items():
+            if 100 * n >= 85 * (len(s) + len(sets[j]) - n):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    assert got == {i: root(i) for i in range(len(texts))} and len(set(got.values())) > 1000

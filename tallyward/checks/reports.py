@@ -6,8 +6,10 @@ from tallyward.checks.registry import query, table
 from tallyward.fixed_values import UNKNOWN
 from tallyward.functions.text import clean_text
 from tallyward.operators.attach import attach
-from tallyward.plans import marts
+from tallyward.plans import marts, report_state
 from tallyward.plans.adhoc import run_sql
+from tallyward.session import work_path
+from tallyward.sources.tables import replace_partitions
 
 _PARAM = """select o_orderpriority, count(*) as n, min(o_totalprice) as lowest
     from {orders} where o_orderstatus = {status} and o_totalprice >= {price}
@@ -108,3 +110,52 @@ def _(spark, folder):
     return marts.deduplicate(
         documents, [F.md5("text").alias("digest"), F.col("lang")], F.min("doc_id").alias("doc_id")
     )
+
+
+@query(
+    "mart_cube",
+    """select c_nationkey, c_mktsegment, o_orderstatus, count(*) as n,
+      grouping_id(c_nationkey, c_mktsegment, o_orderstatus) as level
+    from orders join customer on c_custkey = o_custkey group by cube (c_nationkey, c_mktsegment, o_orderstatus)""",
+)
+def _(spark, folder):
+    counts = table(spark, folder, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    placed = attach(counts, "o_custkey", customers, "c_custkey", {"c_nationkey": "c_nationkey", "c_mktsegment": "c_mktsegment"})
+    return marts.cube(placed.filter("c_nationkey is not null"), ["c_nationkey", "c_mktsegment", "o_orderstatus"], "orders")
+
+
+@query(
+    "mart_incremental",
+    """select cast(date_trunc('month', o_orderdate) as date) as month, o_orderstatus, count(*) as n,
+      count(*) filter (o_orderpriority = '1-URGENT') as n_urgent
+    from orders group by 1, 2""",
+)
+def _(spark, folder):
+    """Three loads, the second of them first with other rows and then again."""
+    path, orders = work_path(spark, "state"), table(spark, folder, "orders")
+    by = {"month": F.trunc(F.col("o_orderdate").cast("date"), "month"), "o_orderstatus": F.col("o_orderstatus")}
+    flags = {"urgent": F.col("o_orderpriority") == "1-URGENT"}
+    for load, wanted in ((1, "= 0"), (2, "<> 0"), (2, "= 1"), (3, "= 2")):
+        counts = report_state.partial_counts(orders.filter(f"o_orderkey % 3 {wanted}"), by, flags)
+        report_state.record(counts, path, load)
+    return report_state.report(spark, path, counts.schema)
+
+
+_RELOADED = "year(o_orderdate) in (1994, 1996)"
+
+
+@query(
+    "reload_year",
+    f"""select o_orderkey, cast(year(o_orderdate) as integer) as year,
+      case when {_RELOADED} then 2 else 1 end as delivery
+    from orders where not ({_RELOADED}) or o_orderkey % 5 <> 0""",
+)
+def _(spark, folder):
+    """All years are delivered once, two of them again with fewer rows."""
+    path, orders = work_path(spark, "years"), table(spark, folder, "orders")
+    rows = orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.lit(1).alias("delivery"))
+    replace_partitions(rows, path, ["year"])
+    again = orders.filter(f"{_RELOADED} and o_orderkey % 5 <> 0")
+    replace_partitions(again.select("o_orderkey", F.year("o_orderdate").alias("year"), F.lit(2).alias("delivery")), path, ["year"])
+    return spark.read.schema(rows.schema).parquet(path)

@@ -72,6 +72,17 @@ def rate(rows: DataFrame, group: Column, flag: Column, positive: Sequence[str])
     )
 
 
+def cube(rows: DataFrame, by: Sequence[str], counted: str | None = None) -> DataFrame:
+    """Rows for every combination of the columns, with all subtotals and the total.
+
+    ``level`` tells a subtotal from a group whose value is missing: it has a bit for each column, the
+    first one highest, that is set where the row is a total over that column. Rows are counted once
+    by all columns before they multiply, so subtotals cost groups and not rows.
+    """
+    counts = rows.groupBy(*by).agg(_total(counted).alias("_n"))
+    return counts.cube(*by).agg(F.sum("_n").alias("n"), F.grouping_id().cast("long").alias("level"))
+
+
 def age_in_years(born: Column, at: Column) -> Column:
     """Completed years; an unknown date or one before birth gives NULL."""
     years = F.floor(F.months_between(at.cast("date"), born.cast("date")) / 12).cast("int")

@@ -103,6 +103,15 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write a folder of Parquet files by partitions; only partitions that ``df`` has are replaced.
+
+    Files of the others stay as they are, so a rerun of one year costs that year.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
+
+
 def append_files(df: DataFrame, path: str) -> None:
     """Append to a folder of Parquet files."""
     df.write.mode("append").parquet(path)

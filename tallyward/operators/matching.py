@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -229,19 +229,21 @@ def _pass(values: DataFrame, index: Index, scorer: str, rounds: tuple) -> DataFr
     shared = values.sparkSession.sparkContext.broadcast(index)
     measure = _SCORERS[scorer]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             rows = []
-            for value, entry, score, scored in batch.itertuples(index=False):
+            for value, entry, score, scored in zip(*[column.to_pylist() for column in batch.columns]):
                 best, mine = (score, entry), measure(value)
                 for one in rounds:
                     best, n = one(index, mine, best)
                     scored += n
                 rows.append((value, best[1], best[0], scored))
-            yield pd.DataFrame(rows, columns=["value", "entry", "score", "scored"])
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["value", "entry", "score", "scored"])
 
-    return values.mapInPandas(run, _RESULT)
+    return values.mapInArrow(run, _RESULT)
 
 
 def search(values: DataFrame, entries: DataFrame, cutoff: float, scorer: str) -> DataFrame:

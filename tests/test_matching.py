@@ -194,7 +194,7 @@ def test_plan_has_no_cross_join(spark):
     values, entries = frames(spark, ["AB", "AC"], ["ABC"])
     plan = match_values(values, entries)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "MapInPandas" in plan and "Join" not in plan
+    assert "MapInArrow" in plan and "Join" not in plan
 
 
 def test_join_beside_a_large_mapping(spark):

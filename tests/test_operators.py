@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyward.operators.attach import attach, hot_values
 from tallyward.operators.dimensions import dense_keys, lookup, with_unknown
+from tallyward.operators import paging
 from tallyward.operators.paging import page
 from tallyward.operators.quality import (
     count_violations,
@@ -181,3 +182,23 @@ def test_reports(spark):
     assert values(marts.top_k(df, "uf", "agent", 1)) == [("RJ", "a", 1, 1), ("SP", "b", 2, 1)]
     dim = spark.createDataFrame([("SP", "São Paulo"), ("MG", "Minas")], "uf string, name string")
     assert values(marts.by_dimension(df, "uf", dim, "uf", "name", "?")) == [("?", 1), ("São Paulo", 3)]
+
+
+@pytest.mark.parametrize("at_once", [100_000, 40])
+def test_pages_at_any_depth(spark, monkeypatch, at_once):
+    monkeypatch.setattr(paging, "SKIPPED_AT_MOST", at_once)
+    rows = [(None if i % 50 == 0 else i * 7 % 31, f"{i:04}", "wide") for i in range(900)]
+    df = spark.createDataFrame(rows, "a int, `b.c` string, w string").repartition(6)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for limit, offset in ((10, 0), (25, 437), (30, 880), (5, 2000), (900, 0)):
+        got = [tuple(r) for r in page(df, ["a", "b.c"], limit, offset).collect()]
+        assert got == ordered[offset : offset + limit]
+
+
+def test_a_page_writes_nothing_and_reads_keys_first(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(paging, "SKIPPED_AT_MOST", 100)
+    spark.range(5000).selectExpr("(id * 37) % 5000 as k", "repeat('x', 50) as w").write.parquet(str(tmp_path / "t"))
+    result = page(spark.read.parquet(str(tmp_path / "t")), ["k"], 20, 3000)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k" in plan and "Exchange" not in plan.split("TakeOrdered")[0]
+    assert [r.k for r in result.collect()] == list(range(3000, 3020))

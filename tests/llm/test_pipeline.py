@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_operators_are_registered():
     names = entries.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 @pytest.fixture(scope="module")

@@ -17,7 +17,7 @@ from tallyward.plans import staging
 from tallyward.session import materialise, work_path
 from tallyward.sources.delimited import FAULT, ORIGINAL, SOURCE, scan
 from tallyward.sources.keyed import KEYS, append_new_keys
-from tallyward.sources.tables import write_table
+from tallyward.sources.tables import create_table, read_table, write_table
 
 _HOT_KEY = "case when l_partkey % 5 = 0 then null when l_partkey % 5 < 4 then l_suppkey % 200 else l_orderkey end"
 
@@ -159,15 +159,43 @@ def _(spark, folder):
     from customer where c_custkey % 2 = 0""",
 )
 def _(spark, folder):
-    """Of two deliveries the one with faults is set aside whole; faulty rows keep their text."""
+    """Of two deliveries the one with faults is set aside whole; faulty rows keep their text.
+
+    Both are as many files as there are partitions; blocks of keys are dealt out whole, so that every
+    file of the second has a fault.
+    """
     root, rows = work_path(spark, "halves"), table(spark, folder, "customer")
-    _deliver(rows.filter("c_custkey % 2 = 1").coalesce(1), f"{root}/odd", "c_custkey", "1")
+    _deliver(rows.filter("c_custkey % 2 = 1"), f"{root}/odd", "c_custkey", "1")
     bad = "case when c_custkey % 10 = 0 then '12x' else '3' end"
-    _deliver(rows.filter("c_custkey % 2 = 0").coalesce(1), f"{root}/even", "c_custkey", bad)
+    even = rows.filter("c_custkey % 2 = 0").repartition(F.expr("c_custkey div 100"))
+    _deliver(even, f"{root}/even", "c_custkey", bad)
     load = staging.load_files(spark, f"{root}/*/*.csv", ";", {}, _CODED)
     return load.rejected.select("key", F.col(ORIGINAL).alias("text"))
 
 
+_PLACES = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("municipio_uf", T.StringType())])
+
+
+@query(
+    "varchar_table",
+    """select cast(c_custkey as integer) as place, substr(c_mktsegment, 1, 2) as municipio_uf from customer
+    where c_custkey % 3 <> 1""",
+)
+def _(spark, folder):
+    """Of three deliveries one has texts over their length and is set aside; the table would refuse them."""
+    name, root = f"tallyward_checks.t{uuid.uuid4().hex}", work_path(spark, "states")
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallyward_checks")
+    create_table(spark, name, _PLACES, {"municipio_uf": 2})
+    customers = table(spark, folder, "customer")
+    for n in range(3):
+        state = F.substring("c_mktsegment", 1, 3 if n == 1 else 2).alias("municipio_uf")
+        rows = customers.filter(F.col("c_custkey") % 3 == n).select(F.col("c_custkey").alias("place"), state)
+        write_delimited(rows, f"{root}/{n}", ";")
+    load = staging.load_files(spark, f"{root}/*/*.csv", ";", {}, _PLACES)
+    staging.table_rows(load).write.insertInto(name)
+    return _without_table(read_table(spark, name, ["place", "municipio_uf"]), name)
+
+
 @query(
     "file_stats",
     """select 'full' as delivery, count(*) as n_read, cast(0 as bigint) as n_faulty, count(*) as n_loaded
@@ -176,8 +204,8 @@ def _(spark, folder):
 def _(spark, folder):
     """A file that has only a header has its line in the statistics too."""
     root, rows = work_path(spark, "stats"), table(spark, folder, "customer")
-    _deliver(rows.coalesce(1), f"{root}/full", "c_custkey", "1")
+    _deliver(rows, f"{root}/full", "c_custkey", "1")
     _deliver(rows.limit(0), f"{root}/header", "c_custkey", "1")
     stats = staging.load_files(spark, f"{root}/*/*.csv", ";", {}, _CODED).stats
     delivery = F.regexp_extract(SOURCE, "(full|header)/[^/]*$", 1).alias("delivery")
-    return stats.select(delivery, "n_read", "n_faulty", "n_loaded")
+    return stats.groupBy(delivery).agg(*[F.sum(c).alias(c) for c in ("n_read", "n_faulty", "n_loaded")])

@@ -1,6 +1,7 @@
 """Stage and core of the incident fact, and incremental loads."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from tallyward.checks.registry import query, table
 from tallyward.checks.scalars import date_sql, date_text
 from tallyward.functions.text import clean_text
 from tallyward.operators.attach import attach
-from tallyward.plans import core, staging
+from tallyward.plans import core, marts, staging
+from tallyward.plans.star import incident_star
 from tallyward.session import materialise, use_all_cores, work_path
-from tallyward.streaming.incremental import clean_stream, load_new_files
+from tallyward.streaming.incremental import clean_stream, incremental_incidents, load_new_files
 from tallyward.streaming.repeats import drop_stream_repeats
 
 # Raw incident columns, by the table that they are made from.
@@ -142,6 +144,103 @@ def incident_core(spark, folder):
     return core.split_tagged(tagged).valid
 
 
+def _diseases(spark, folder) -> DataFrame:
+    """Diseases for the codes of some incidents, not of all."""
+    codes = table(spark, folder, "lineitem").filter("l_linenumber <= 5").select("l_returnflag", "l_linenumber").distinct()
+    code = F.concat("l_returnflag", F.col("l_linenumber").cast("string"))
+    return core.disease(codes.select(code.alias("cid10_codigo"), F.concat(F.lit("doença "), code).alias("cid10_descricao")))
+
+
+_DISEASES_SQL = """select distinct l_returnflag || cast(l_linenumber as varchar) as code,
+    'DOENÇA ' || l_returnflag || cast(l_linenumber as varchar) as disease from lineitem where l_linenumber <= 5"""
+_PLACES_SQL = """select c_custkey + 100000 as code, upper(c_name) as place from customer
+    union all select 0, 'DESCONHECIDO'"""
+
+
+def _numbered(spark, folder, text: str, name: str) -> DataFrame:
+    """The distinct texts of parts, numbered in the order of the first part that has each."""
+    entries = table(spark, folder, "part").groupBy(F.col(text).alias(name)).agg(F.min("p_partkey").alias("code"))
+    return core.dictionary(entries, "code", name)
+
+
+def _ids_sql(text: str) -> str:
+    return f"""select upper({text}) as entry, cast(min(id) as integer) as id
+    from (select {text}, row_number() over (order by min(p_partkey)) as id from part group by {text}) group by 1"""
+
+
+@query(
+    "incident_star",
+    f"""with fact as ({_core_sql()}), agents as ({_ids_sql("p_name")}), natures as ({_ids_sql("p_type")}),
+    places as ({_PLACES_SQL}), diseases as ({_DISEASES_SQL})
+  select fact.*, coalesce(agents.id, 0) as agente_id, coalesce(natures.id, 0) as natureza_id,
+    coalesce(place, 'DESCONHECIDO') as municipio_ibge_descricao, coalesce(disease, 'DESCONHECIDO') as cid10_descricao
+  from fact left join agents on agents.entry = agente_causador_acidente
+    left join natures on natures.entry = natureza_lesao
+    left join places on places.code = municipio_empregador left join diseases on diseases.code = cid_10_codigo""",
+)
+def _(spark, folder):
+    places, _, _ = dimensions(spark, folder)
+    agents = _numbered(spark, folder, "p_name", "agente_descricao")
+    natures = _numbered(spark, folder, "p_type", "natureza_descricao")
+    return incident_star(incident_core(spark, folder), places, agents, natures, _diseases(spark, folder))
+
+
+_AGE_SQL = """select case when age is null then 'DESCONHECIDO' when age < 18 then '0-17' when age < 25 then '18-24'
+      when age < 35 then '25-34' when age < 45 then '35-44' when age < 60 then '45-59' else '60+' end as faixa
+    from (select case when data_acidente >= data_nascimento then date_sub('year', data_nascimento, data_acidente) end as age
+      from fact)"""
+
+
+@query(
+    "incident_marts",
+    f"""with fact as materialized ({_core_sql()}), places as ({_PLACES_SQL}), diseases as ({_DISEASES_SQL})
+  select 'acidentes_por_mes' as report, strftime(date_trunc('month', data_acidente), '%Y-%m-%d') as of, tipo_acidente as item,
+    count(*) as n, cast(null as bigint) as n_positive, cast(null as integer) as rank from fact group by 2, 3
+  union all select 'acidentes_por_municipio', coalesce(place, 'DESCONHECIDO'), null, count(*), null, null
+    from fact left join places on code = municipio_empregador group by 2
+  union all select 'acidentes_por_doenca', coalesce(disease, 'DESCONHECIDO'), null, count(*), null, null
+    from fact left join diseases on code = cid_10_codigo group by 2
+  union all select 'obitos_por_agente', agente_causador_acidente, null, count(*),
+    count(*) filter (indica_obito_acidente = 'SIM'), null from fact group by 2
+  union all select 'acidentes_por_idade', faixa, null, count(*), null, null
+    from ({_AGE_SQL}) group by 2
+  union all select 'agentes_por_tipo', tipo_acidente, agente_causador_acidente, n, null, cast(place as integer)
+    from (select *, row_number() over (partition by tipo_acidente order by n desc, agente_causador_acidente) as place
+      from (select tipo_acidente, agente_causador_acidente, count(*) as n from fact group by 1, 2)) where place <= 10""",
+)
+def _(spark, folder):
+    """All report tables of the incident fact, one below the other."""
+    places, _, _ = dimensions(spark, folder)
+    reports = marts.incident_reports(incident_core(spark, folder), places, _diseases(spark, folder))
+    names = {"month": "of", "label": "of", "faixa": "of"}
+    for_report = {
+        "obitos_por_agente": {"agente_causador_acidente": "of"},
+        "agentes_por_tipo": {"tipo_acidente": "of", "agente_causador_acidente": "item"},
+        "acidentes_por_mes": {"month": "of", "tipo_acidente": "item"},
+    }
+    columns = {"of": "string", "item": "string", "n": "long", "n_positive": "long", "rank": "int"}
+    parts = []
+    for name, report in reports.items():
+        report = report.withColumnsRenamed(for_report.get(name, names))
+        cells = [(F.col(c) if c in report.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
+        parts.append(report.select(F.lit(name).alias("report"), *cells))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("incremental_incidents", _core_sql())
+def _(spark, folder):
+    """The raw incidents as files in two deliveries, a load after each: the fact of one load of all."""
+    root, target, progress = (work_path(spark, label) for label in ("delivered", "fact", "progress"))
+    raw = materialise(raw_incidents(spark, folder), "raw-incidents")
+    raw = raw.select(
+        [(F.col(c) if c in _RAW_TEXT else F.lit(None)).cast("string").alias(h) for h, c in fx.INCIDENT_HEADERS.items()]
+    )
+    first = F.coalesce(F.col("Sexo") == "F", F.lit(False))
+    places, agents, natures = (materialise(dim, "dimension") for dim in dimensions(spark, folder))
+    for delivery in (raw.filter(first), raw.filter(~first)):
+        write_delimited(delivery, f"{root}/{uuid.uuid4().hex}", ";")
+        incremental_incidents(spark, f"{root}/*", target, progress, places, agents, natures)
+    return spark.read.parquet(f"{target}/fact").select(fx.CORE_INCIDENT.names)
 
 
 def _stage_sql() -> str:

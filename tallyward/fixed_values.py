@@ -34,8 +34,6 @@ WHITE_SPACE = (
 # Tried in this order; the day comes first.
 DATE_FORMATS = ("d/M/yyyy", "yyyy/M/d", "yyyy-M-d", "yyyy/M")
 
-AGE_EDGES = (18, 25, 35, 45, 60)  # where the age bands of the reports begin
-
 MATCH_CUTOFF = 0.3
 
 AGE_EDGES = (18, 25, 35, 45, 60)  # where the age bands of the reports begin

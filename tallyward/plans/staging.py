@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +34,8 @@ def load_files(
     Faults are a line with too many cells, a column the table does not have, a text in an
     integer column, a text over its length, and (with ``key``) a missing or repeated key. Rejected
     rows with a fault keep their original text; statistics have a line for files without rows too.
-    Parsed once into Parquet; checks and results read that. ``strict`` raises instead.
+    Parsed once into Parquet; checks and results read that. Faulty rows are counted while they are
+    written, so that a load without any is not searched for them. ``strict`` raises instead.
     """
     rows = scan(
         spark, pattern, sep, renames=renames, expected=table, lineage=True, **scan_options
@@ -47,7 +49,9 @@ def load_files(
     raw = rows.withColumn("_raw", original(cells)).withColumn(FAULT, F.coalesce(FAULT, *long_texts))
     landed = typed(raw, table, FAULT)
     text = F.coalesce(ORIGINAL, F.when(F.col(FAULT).isNotNull(), F.col("_raw")))
-    landed = materialise(landed.withColumn(ORIGINAL, text).drop("_raw"), "landed")
+    counted = Observation(f"landed-{uuid.uuid4().hex}")
+    landed = landed.withColumn(ORIGINAL, text).drop("_raw").observe(counted, F.count(FAULT).alias("n_faulty"))
+    landed = materialise(landed, "landed")
     if key:
         repeated = F.when(F.col("_repeated"), F.lit(f"{key} is not a key"))
         landed = (
@@ -55,7 +59,8 @@ def load_files(
             .withColumn(FAULT, F.coalesce(FAULT, repeated))
             .drop("_repeated")
         )
-    load = isolate(landed, files=list_files(spark, pattern))
+    clean = not key and counted.get["n_faulty"] == 0
+    load = isolate(landed, files=list_files(spark, pattern), clean=clean)
     if strict and (fault := load.stats.filter("n_faulty > 0").first()):
         raise ValueError(f"{fault[SOURCE]}: {fault.reason}")
     return load

@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.session import discard, materialise
+
 _NO_SEPARATOR = "\x01"  # makes the reader hand back whole lines
 
 
@@ -85,7 +87,8 @@ def layouts(
 ) -> list[Layout]:
     """Files grouped by their column names, found in one scan of all of them.
 
-    Files without any line are in no group. If all agree, the group is ``source`` itself.
+    Files without any line are in no group. If all agree, the group is ``source`` itself, and no file
+    names are gathered.
     """
     if not files:
         return []
@@ -95,17 +98,19 @@ def layouts(
     )
     at_start = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
     open_quotes = F.lit(False) if multi_line else _ends_in_quotes(F.col("line"), sep)
-    found = (
+    found = materialise(
         lines.select("line", F.col("_metadata.file_path").alias("file"), at_start.alias("at"), open_quotes.alias("open"))
         .groupBy("file")
-        .agg(F.min_by("line", "at").alias("header"), F.max("open").alias("open"))
-        .groupBy("header", "open")
-        .agg(F.array_sort(F.collect_list("file")).alias("files"))
-        .collect()
+        .agg(F.min_by("line", "at").alias("header"), F.max("open").alias("open")),
+        "headers",
     )
+    kinds = {(r.header, r.open): (split_header(r.header, sep), r.open) for r in found.select("header", "open").distinct().collect()}
+    if len(set(kinds.values())) == 1 and isinstance(source, str):
+        discard(found)
+        names, quotes = next(iter(kinds.values()))
+        return [Layout(names, source, quotes)]
     groups: dict[tuple, list[str]] = defaultdict(list)
-    for row in found:
-        groups[split_header(row.header, sep), row.open].extend(unquote(path) for path in row.files)
-    if len(groups) == 1 and isinstance(source, str):
-        return [Layout(*key[:1], source, key[1]) for key in groups]
+    for row in found.toLocalIterator():
+        groups[kinds[row.header, row.open]].append(unquote(row.file))
+    discard(found)
     return [Layout(names, [literal(p) for p in sorted(paths)], quotes) for (names, quotes), paths in sorted(groups.items())]

@@ -43,15 +43,22 @@ def with_all_files(stats: DataFrame, files: list[str], source: str = SOURCE) ->
 
 
 def isolate(
-    rows: DataFrame, source: str = SOURCE, fault: str = FAULT, files: list[str] | None = None
+    rows: DataFrame,
+    source: str = SOURCE,
+    fault: str = FAULT,
+    files: list[str] | None = None,
+    clean: bool = False,
 ) -> Load:
     """Split by source. ``rows`` should already be written, since it is read three times.
 
     The list of faulty sources is written too: one row per file, so the planner knows its
-    size and broadcasts it when small. The rows then never shuffle on the source.
+    size and broadcasts it when small. The rows then never shuffle on the source. If the write
+    counted no faulty row (``clean``), rows are not marked at all.
     """
     stats = load_stats(rows, source, fault)
     stats = materialise(stats if files is None else with_all_files(stats, files, source), "load-stats")
+    if clean:
+        return Load(rows, rows.filter(F.lit(False)), stats)
     faulty = stats.filter("n_faulty > 0").select(source, F.lit(True).alias("_faulty"))
     marked = attach(rows, source, faulty, source, {"_faulty": "_faulty"})
     return Load(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,14 @@ TABLES = {
 }
 
 
+# A text column with a limit, by layer. The unknown word may stand in a core column of a shorter one.
+LENGTHS = {
+    fx.STAGE: fx.STAGE_MAX_LENGTHS,
+    fx.CORE: {c: max(n, len(fx.UNKNOWN)) for c, n in fx.CORE_MAX_LENGTHS.items()},
+}
+
+LAST_ID = "tallyward.last_id"  # property of a table: the largest row id that it was given
+
 PARTITIONS = {f"{fx.CORE}.acidente_trabalho": ["ano"]}  # so that dated reports read their years
 
 
@@ -44,16 +53,32 @@ def location(spark: SparkSession, name: str) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir')}/{layer}.db/{table}"
 
 
+def create_table(
+    spark: SparkSession,
+    name: str,
+    columns: T.StructType,
+    lengths: Mapping[str, int] | None = None,
+    partitions: Iterable[str] = (),
+) -> None:
+    """A typed table of the catalog, if it does not exist yet.
+
+    Text columns in ``lengths`` are ``varchar(n)``: the catalog refuses a longer text, whoever writes it.
+    """
+    lengths, partitions = lengths or {}, list(partitions)
+    kinds = ", ".join(
+        f"`{f.name}` " + (f"varchar({lengths[f.name]})" if f.name in lengths else f.dataType.simpleString()) for f in columns
+    )
+    parts = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    path = location(spark, name).replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({kinds}) USING parquet {parts} LOCATION '{path}'")
+
+
 def create_layers(spark: SparkSession) -> None:
     """The three layer databases and the ten tables, where they do not exist yet."""
     for layer in (fx.STAGE, fx.CORE, fx.MART):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     for name, columns in TABLES.items():
-        if not spark.catalog.tableExists(name):
-            kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-            parts = f"PARTITIONED BY ({', '.join(PARTITIONS[name])})" if name in PARTITIONS else ""
-            path = location(spark, name).replace("'", "\\'")
-            spark.sql(f"CREATE TABLE {name} ({kinds}) USING parquet {parts} LOCATION '{path}'")
+        create_table(spark, name, columns, LENGTHS.get(name.split(".")[0]), PARTITIONS.get(name, ()))
 
 
 def with_defaults(df: DataFrame, columns: T.StructType, after: int = 0) -> DataFrame:
@@ -86,21 +111,39 @@ def write_table(
 ) -> None:
     """Append to (or overwrite) a table of the catalog, by column name.
 
-    Row ids go on from the largest in the table, so they stay unique over appends.
+    Row ids go on from the largest that the table was given, so they stay unique over appends. It is
+    kept as a property of the table and found while rows are written: an append reads no old row.
+    The tables of the layers keep their types and lengths when they are overwritten. Two appends to
+    one table must not run at once.
     """
     spark = df.sparkSession
-    exists = mode == "append" and spark.catalog.tableExists(name)
+    there = spark.catalog.tableExists(name)
+    exists = mode == "append" and there
     columns = columns or TABLES.get(name) or (spark.table(name).schema if exists else df.schema)
-    after = spark.table(name).agg(F.max("id")).first()[0] if exists and "id" in columns.names else None
-    writer = (
-        conform(with_defaults(df, columns, after or 0), columns)
-        .write.mode(mode)
-        .format("parquet")
-        .option("path", location(spark, name))
-    )
-    if name in PARTITIONS:
-        writer = writer.partitionBy(*PARTITIONS[name])
-    writer.saveAsTable(name)
+    numbered = "id" in columns.names and isinstance(columns["id"].dataType, (T.LongType, T.IntegerType))
+    after = last_id(spark, name) if exists and numbered else 0
+    rows = conform(with_defaults(df, columns, after), columns)
+    written = Observation(f"ids-{uuid.uuid4().hex}")
+    if numbered:
+        rows = rows.observe(written, F.max("id").alias("last"))
+    if there and name in TABLES:
+        rows.write.insertInto(name, overwrite=mode == "overwrite")
+    else:
+        writer = rows.write.mode(mode).format("parquet").option("path", location(spark, name))
+        if name in PARTITIONS:
+            writer = writer.partitionBy(*PARTITIONS[name])
+        writer.saveAsTable(name)
+    if numbered:
+        last = max(after, written.get["last"] or 0)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{LAST_ID}' = '{last}')")
+
+
+def last_id(spark: SparkSession, name: str) -> int:
+    """The largest row id that a table was given; read from its rows only if no mark was kept."""
+    marks = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if LAST_ID in marks:
+        return int(marks[LAST_ID])
+    return spark.table(name).agg(F.max("id")).first()[0] or 0
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:

@@ -75,6 +75,15 @@ def test_one_job_for_all_headers(spark, tmp_path):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_clean_loads_are_not_searched(spark, tmp_path):
+    """Without a faulty row nothing is marked or joined; with one, its file is left out."""
+    load = staging.load_files(spark, write(tmp_path, one="a;b\n1;x\n", two="a;b\n2;y\n"), ";", {}, TABLE)
+    plan = load.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and load.rejected.isEmpty() and load.stats.count() == 2
+    load = staging.load_files(spark, write(tmp_path, two="a;b\nq;y\n"), ";", {}, TABLE)
+    assert rows(staging.table_rows(load).select("a")) == [(1,)] and load.rejected.count() == 1
+
+
 def test_named_files_must_exist(spark, tmp_path):
     write(tmp_path, **{"cat[2025] {a}": "a\n1\n", "cat2": "a\n2\n"})
     named = [f"{tmp_path}/cat[2025] {{a}}.csv", f"{tmp_path}/cat2.csv"]

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tallyward import fixed_values as fx
 from tallyward.plans import core, staging, warehouse
+from tallyward.plans.star import incident_star
 from tallyward.session import work_folder
-from tallyward.sources.tables import TABLES, create_layers, read_table, write_table
+from tallyward.sources.tables import LAST_ID, TABLES, create_layers, last_id, read_table, write_table
 from tallyward.streaming.incremental import incremental_incidents
 
 AGENTS = ["Escada móvel", "Serra circular, máquina", "Prensa", "Ácido sulfúrico", "Rua e estrada"]
@@ -227,3 +228,55 @@ def test_incremental_equals_batch(spark, folders, tmp_path):
     assert rows(load()) == rows(second)
     stats = spark.read.parquet(f"{target}/stats")
     assert stats.agg(F.sum("n_read"), F.sum("n_loaded")).first() == (10, 8)
+
+
+def test_the_catalog_refuses_longer_texts(spark, folders):
+    """Also after a load has overwritten the tables."""
+    create_layers(spark)
+    warehouse.to_stage(spark, *folders)
+    rows = spark.createDataFrame([(7, 8, "a", "b", "SPX")], "x int, y int, a string, b string, uf string")
+    columns = dict(zip(rows.columns, fx.STAGE_MUNICIPALITY.names))
+    name = "schema_stage.municipio"
+    before = spark.table(name).count()
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        write_table(rows.withColumnsRenamed(columns), name)
+    write_table(rows.withColumnsRenamed(columns).withColumn("municipio_uf", F.lit("SP")), name)
+    assert spark.table(name).count() == before + 1
+
+
+def test_an_append_reads_no_old_rows(spark):
+    name = "schema_stage.numbered"
+    create_layers(spark)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = spark.range(1).selectExpr("id", "id as v", "1 as w").schema
+    write_table(spark.range(5).select(F.col("id").alias("v"), F.lit(1).alias("w")), name, columns=columns)
+    assert last_id(spark, name) == 5
+    for file in spark.table(name).inputFiles():  # what is gone cannot be read
+        Path(file.removeprefix("file:")).unlink()
+    spark.catalog.refreshTable(name)
+    write_table(spark.range(3).select(F.col("id").alias("v"), F.lit(2).alias("w")), name)
+    assert sorted(r.id for r in spark.table(name).collect()) == [6, 7, 8] and last_id(spark, name) == 8
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{LAST_ID}')")
+    assert last_id(spark, name) == 8
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_star_keeps_every_row_once(spark):
+    fact = spark.createDataFrame(
+        [("A", "N", 1, "X1"), ("A", None, 2, None), ("Z", "N", None, "x9"), ("A", "N", 1, "X1")],
+        "agente_causador_acidente string, natureza_lesao string, municipio_empregador int, cid_10_codigo string",
+    )
+    agents = spark.createDataFrame([(3, "A"), (2, "A"), (9, None)], "id int, agente_descricao string")
+    natures = spark.createDataFrame([(5, "N")], "id int, natureza_descricao string")
+    places = spark.createDataFrame([(1, "P"), (1, "Q")], "municipio_ibge_codigo int, municipio_ibge_descricao string")
+    diseases = spark.createDataFrame([(" x1", "D")], "cid10_codigo string, cid10_descricao string")
+    for limit in ("10485760", "-1"):  # broadcast, and hot values dealt out
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            star = incident_star(fact, places, agents, natures, diseases)
+            got = sorted(tuple(r)[4:] for r in star.collect())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        unknown = fx.UNKNOWN
+        assert got == sorted([(2, 5, "P", "D"), (2, 0, unknown, unknown), (0, 5, unknown, unknown), (2, 5, "P", "D")])
+    assert incident_star(fact.limit(0), places, agents, natures, diseases).isEmpty()

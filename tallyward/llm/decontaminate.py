@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.text import LOWER, WORD_BYTES, add_columns, pieces, split_words, utf8, window_keys
+from tallyward.llm.text import LOWER, WORD_BYTES, add_columns, fresh, pieces, split_words, utf8, window_keys
 from tallyward.session import materialise
 
 WINDOW = 13
@@ -163,7 +163,7 @@ def find_contamination(
     consecutive words of an item, or all words of a shorter one); ``hit_items``, the ids of the
     items with such windows as sorted strings; ``n_hit``; ``contaminated`` if hit words are at
     least a twentieth of the words. Null and empty texts have no words and no hits. Items without
-    an id or without words match nothing; repeated items and repeated documents each count as
+    an id or without words match nothing; long texts are read whole, a piece of rows at a time; repeated items and repeated documents each count as
     they stand. With an empty benchmark nothing is hit. Columns of these names are replaced.
     """
     windows = benchmark_windows(benchmark, item, item_text, window)
@@ -174,18 +174,18 @@ def find_contamination(
     else:
         windows = materialise(windows, "benchmark-windows")
         block = F.pmod(F.xxhash64("digest"), F.lit(2 * blocks))
-        marked = None
+        marked, runs, items = None, fresh("_runs", docs), fresh("_items", docs)
         for i in range(2 * blocks):  # half full on average, so that none holds more than it may
             rows = [tuple(r) for r in windows.filter(block == i).collect()]
             if marked is None:
                 marked = materialise(_scan(docs, rows, text), "scanned")
                 continue
-            before = marked.withColumnsRenamed({"hit_runs": "_runs", "hit_items": "_items"})
+            before = marked.withColumnsRenamed({"hit_runs": runs, "hit_items": items})
             after = _scan(before, rows, text)
             marked = materialise(
-                after.withColumn("hit_runs", _merged(F.col("hit_runs"), F.col("_runs")))
-                .withColumn("hit_items", F.array_sort(F.array_union("hit_items", "_items")))
-                .drop("_runs", "_items"),
+                after.withColumn("hit_runs", _merged(F.col("hit_runs"), F.col(runs)))
+                .withColumn("hit_items", F.array_sort(F.array_union("hit_items", items)))
+                .drop(runs, items),
                 "scanned",
             )
     n_hit = F.aggregate("hit_runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])

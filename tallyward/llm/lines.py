@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.linking import link, shared_groups
+from tallyward.llm.text import fresh
 from tallyward.session import materialise
 
 THRESHOLD = 1  # edits
@@ -158,9 +159,9 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _occurrences(docs: DataFrame, doc_id: str, text: str, short: bool) -> DataFrame:
+def _occurrences(docs: DataFrame, row: str, doc_id: str, text: str, short: bool) -> DataFrame:
     """``(_row, _id, place, line)`` of every line that is long enough, or, if ``short``, not blank."""
-    lines = docs.select("_row", F.col(doc_id).alias("_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("place", "line"))
+    lines = docs.select(F.col(row).alias("_row"), F.col(doc_id).alias("_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("place", "line"))
     long = F.length("line") >= CHARS_PER_EDIT
     return lines.filter(long | F.col("line").rlike(r"[^\x20\x09-\x0D]") if short else long)
 
@@ -185,8 +186,10 @@ def dedup_lines(
     the names of new ones are replaced.
     """
     new = ("n_lines", "n_removed", "removed")
-    docs = docs.drop(*new).withColumn("_row", row_key(doc_id, text))
-    found = _occurrences(docs, doc_id, text, short)
+    docs = docs.drop(*new)
+    row, kept_columns = fresh("_row", docs), docs.columns
+    docs = docs.withColumn(row, row_key(doc_id, text))
+    found = _occurrences(docs, row, doc_id, text, short)
     node = F.xxhash64("line", F.md5(F.col("line").cast("binary")))
     order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("place").alias("place"))
     places = materialise(found.select("_row", "_id", "place", node.alias("node")), "lines")
@@ -211,15 +214,15 @@ def dedup_lines(
     heads = materialise(classes.join(heads, "class").select("node", "head"), "classes")
     later = places.join(heads, "node").filter(~order.eqNullSafe(F.col("head")))
     entry = F.struct(F.col("place").alias("line"), F.col("head.id").alias("first_id"), F.col("head.place").alias("first_line"))
-    removed = later.groupBy("_row").agg(F.array_sort(F.collect_set(entry)).alias("removed"))
+    removed = later.groupBy(F.col("_row").alias(row)).agg(F.array_sort(F.collect_set(entry)).alias("removed"))
 
-    joined = docs.join(materialise(removed, "removed-lines"), "_row", "left")
+    joined = docs.join(materialise(removed, "removed-lines"), row, "left")
     all_lines = F.split(F.col(text), "\n", -1)
     gone = F.transform("removed", lambda r: r["line"])
     kept = _let(gone, lambda g: F.filter(all_lines, lambda _, i: ~F.array_contains(g, i)))
     shorter = F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        *[shorter.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != "_row"],
+        *[shorter.alias(c) if c == text else F.col(f"`{c}`") for c in kept_columns],
         F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         "removed",

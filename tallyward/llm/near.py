@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.llm.linking import link, shared_groups
-from tallyward.llm.text import INK_BYTES, LOWER, add_columns, binary_array, mix, split_words, utf8, window_keys
+from tallyward.llm.text import INK_BYTES, LOWER, add_columns, binary_array, fresh, mix, split_words, utf8, window_keys
 from tallyward.session import discard, materialise
 
 SHINGLE = 5
@@ -301,11 +301,12 @@ def deduplicate(
     smallest text digest where one id has several texts of a group. Rows without a shingle all stay.
     """
     key = F.md5(F.concat_ws(":", F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("-")), F.col(doc_id).cast("string")))
-    marked = docs.withColumn("_row", key)
-    rows = marked.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), "_row")
+    row = fresh("_row", docs)
+    marked = docs.withColumn(row, key)
+    rows = marked.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), F.col(row).alias("_row"))
     described = materialise(describe(rows, percent=percent).drop("text"), "described")
     placed = _label(rows.drop("_row"), described, percent).filter("node is not null")
     chosen = placed.groupBy("component").agg(F.min_by("_row", F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_row"))
-    empty = described.filter("set_key is null").select("_row")
-    one = marked.join(chosen, "_row", "left_semi").dropDuplicates(["_row"])
-    return one.unionByName(marked.join(empty, "_row", "left_semi")).drop("_row")
+    empty = described.filter("set_key is null").select(F.col("_row").alias(row))
+    one = marked.join(chosen.withColumnRenamed("_row", row), row, "left_semi").dropDuplicates([row])
+    return one.unionByName(marked.join(empty, row, "left_semi")).drop(row)

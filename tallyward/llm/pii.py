@@ -1,9 +1,12 @@
 """Personal data in texts: patterns with checks, and a character tagger for what they miss.
 
 The tagger is a bidirectional LSTM over characters with CRF transitions, trained in numpy on the
-driver from windows around labelled spans, a bounded number of them. It reads overlapping windows
-of the places that can hold personal data at all; each window is decoded, and each character takes
-its tag from the window in which it lies deepest. Spans of the patterns always stay.
+driver from windows around labelled spans, a bounded number of them. The spans are labelled by the
+patterns, once as they stand and once rewritten in a form that the patterns do not read: a phone
+without its plus, an address with a spelled-out or spaced ``@``, other separators. The tagger reads
+overlapping windows of the places that can hold personal data at all; each window is decoded, and
+each character takes its tag from the window in which it lies deepest. Spans of the patterns always
+stay.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,7 @@ MAX_WINDOWS = 4_000  # learned from
 HIDDEN, EMBEDDING, CLASSES = 16, 12, 100
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 #: A span has one of these, so windows far from them need no reading.
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|[(\[{]at[)\]}]")
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -91,6 +95,41 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
     return sorted(spans), sorted(refused)
 
 
+# How spans are rewritten: for each kind pairs of a pattern and what takes its place, all of one form.
+_FORMS = (
+    [
+        [("@", " [at] "), (r"\.", " [dot] ")], [("@", "(at)"), (r"\.(?=[^.]*$)", "(dot)")],
+        [("@", " @ ")], [("@", " (at) ")], [("@", "[at]")],
+    ],
+    [[(r"\.", "[.]")], [(r"\.", " . ")], [(r"\.", "(.)")], [(r"\.", "-")]],
+    [[(r"[ -]", ""), (r"([0-9]{4})(?=[0-9])", sep)] for sep in (r"\1.", r"\1/", r"\1_")],
+    [
+        [(r"^\+", "")], [(r"^\+", "00")], [(r"^\+", ""), (r"[ ().-]+", "/")],
+        [(r"^\+", "00"), (r"[ ().-]+", "-")], [(r"^\+[0-9]{1,2}[ .-]*\(?", "0")],
+    ],
+)
+
+
+def altered(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its spans in forms that the patterns do not read, and where they are then.
+
+    The form follows a hash of the span, so that a rerun makes the same ones. Of overlapping spans
+    the first is rewritten and the others are left out.
+    """
+    parts, moved, at, size = [], [], 0, 0
+    for start, kind, end in spans:
+        if start < at:
+            continue
+        own, forms = text[start:end], _FORMS[kind]
+        for pattern, other in forms[crc32(own.encode("utf-8", "surrogatepass")) % len(forms)]:
+            own = re.sub(pattern, other, own)
+        parts += [text[at:start], own]
+        size += start - at
+        moved.append((size, kind, size + len(own)))
+        size, at = size + len(own), end
+    return "".join([*parts, text[at:]]), moved
+
+
 def _classes(text: str) -> np.ndarray:
     """A number below ``CLASSES`` for each character: itself in ASCII, else what sort it is."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -139,52 +178,63 @@ class Tagger(NamedTuple):
             make(0, 0.2, (1 + 2 * HIDDEN, TAGS)), np.zeros((TAGS, TAGS)), np.zeros(TAGS),
         )
 
-    def _pass(self, x: np.ndarray, weights: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
-        """Hidden states over time (first axis); padding leaves the state as it is."""
-        steps, n, _ = x.shape
-        h, c = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
-        states, saved = np.zeros((steps, n, HIDDEN)), []
-        for t in range(steps):
-            joined = np.concatenate([np.ones((n, 1)), x[t], h], 1)
-            z = joined @ weights
-            i, f, o = (_sigmoid(z[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
-            g = np.tanh(z[:, 3 * HIDDEN :])
-            on = mask[t][:, None]
+    def _both(self) -> np.ndarray:
+        return np.stack([self.forward, self.backward])
+
+    def _pass(self, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
+        """Hidden states, time x direction x windows x hidden; padding leaves a state as it is.
+
+        Both directions run in one loop, the second over the windows read from their end.
+        """
+        weights = self._both()
+        inner = weights[:, 1 + EMBEDDING :]
+        gates = x @ weights[:, 1 : 1 + EMBEDDING] + weights[:, :1]
+        h, c = np.zeros((*x.shape[1:3], HIDDEN)), np.zeros((*x.shape[1:3], HIDDEN))
+        states, saved = np.zeros((*x.shape[:3], HIDDEN)), []
+        for t in range(len(x)):
+            z = gates[t] + h @ inner
+            z[..., : 3 * HIDDEN] = _sigmoid(z[..., : 3 * HIDDEN])
+            z[..., 3 * HIDDEN :] = np.tanh(z[..., 3 * HIDDEN :])
+            i, f, o, g = (z[..., k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
             new = f * c + i * g
-            saved.append((joined, i, f, o, g, c, new, on))
+            flat, on = np.tanh(new), mask[t][..., None]
+            saved.append((h, c, i, f, o, g, flat, on))
             c = np.where(on, new, c)
-            h = np.where(on, o * np.tanh(new), h)
+            h = np.where(on, o * flat, h)
             states[t] = h
         return states, saved
 
-    def _back(self, weights: np.ndarray, saved: list, d_states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        d_weights = np.zeros_like(weights)
-        d_x = np.zeros((len(saved), d_states.shape[1], EMBEDDING))
+    def _back(self, x: np.ndarray, saved: list, d_states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients by the weights of both directions and by what they read."""
+        weights = self._both()
+        inner = weights[:, 1 + EMBEDDING :].swapaxes(1, 2)
+        d_gates = np.zeros((*d_states.shape[:3], 4 * HIDDEN))
         d_h = d_c = np.zeros(d_states.shape[1:])
         for t in reversed(range(len(saved))):
-            joined, i, f, o, g, before, new, on = saved[t]
+            _, before, i, f, o, g, flat, on = saved[t]
             d_h = d_h + d_states[t]
-            tanh = np.tanh(new)
-            d_new = np.where(on, d_h * o * (1 - tanh**2) + d_c, 0)
-            d_z = np.concatenate(
-                [d_new * g * i * (1 - i), d_new * before * f * (1 - f),
-                 np.where(on, d_h * tanh * o * (1 - o), 0), d_new * i * (1 - g**2)], 1
-            )
-            d_weights += joined.T @ d_z
-            d_joined = d_z @ weights.T
-            d_x[t] = d_joined[:, 1 : 1 + EMBEDDING]
-            d_h = np.where(on, 0, d_h) + d_joined[:, 1 + EMBEDDING :]
+            live = np.where(on, d_h, 0)
+            d_new = live * o * (1 - flat**2) + np.where(on, d_c, 0)
+            d_z = d_gates[t]
+            d_z[..., :HIDDEN] = d_new * g * i * (1 - i)
+            d_z[..., HIDDEN : 2 * HIDDEN] = d_new * before * f * (1 - f)
+            d_z[..., 2 * HIDDEN : 3 * HIDDEN] = live * flat * o * (1 - o)
+            d_z[..., 3 * HIDDEN :] = d_new * i * (1 - g**2)
+            d_h = np.where(on, 0, d_h) + d_z @ inner
             d_c = np.where(on, d_new * f, d_c)
-        return d_weights, d_x
+        hidden = np.stack([s[0] for s in saved])
+        read = np.concatenate([np.ones((*x.shape[:3], 1)), x, hidden], 3)
+        d_weights = np.stack([np.tensordot(read[:, k], d_gates[:, k], ((0, 1), (0, 1))) for k in range(2)])
+        return d_weights, d_gates @ weights[:, 1 : 1 + EMBEDDING].swapaxes(1, 2)
 
     def emissions(self, windows: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Scores of the tags, time x windows x tags, for rows of classes (-1: padding)."""
         mask = (windows >= 0).T
         x = self.embedding[np.maximum(windows, 0).T]
-        ahead, saved_ahead = self._pass(x, self.forward, mask)
-        back, saved_back = self._pass(x[::-1], self.backward, mask[::-1])
-        joined = np.concatenate([np.ones((*mask.shape, 1)), ahead, back[::-1]], 2)
-        return joined @ self.output, (mask, joined, saved_ahead, saved_back)
+        x = np.stack([x, x[::-1]], 1)
+        states, saved = self._pass(x, np.stack([mask, mask[::-1]], 1))
+        joined = np.concatenate([np.ones((*mask.shape, 1)), states[:, 0], states[::-1, 1]], 2)
+        return joined @ self.output, (mask, joined, x, saved)
 
     def decode(self, windows: np.ndarray) -> np.ndarray:
         """The best tag sequence of each window (Viterbi)."""
@@ -206,9 +256,9 @@ class Tagger(NamedTuple):
 
     def gradient(self, windows: np.ndarray, tags: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean negative log likelihood of the tags, and its gradient by each parameter."""
-        scores, (mask, joined, saved_ahead, saved_back) = self.emissions(windows)
+        scores, (mask, joined, x, saved) = self.emissions(windows)
         steps, n, _ = scores.shape
-        tags, here = tags.T, np.arange(n)
+        tags = tags.T
         alpha, beta = np.zeros_like(scores), np.zeros_like(scores)
         alpha[0] = self.begin + scores[0]
         for t in range(1, steps):
@@ -219,24 +269,22 @@ class Tagger(NamedTuple):
             beta[t] = np.where(mask[t + 1][:, None], new, beta[t + 1])
         total = _logsumexp(alpha[-1], 1)
         d_scores = np.exp(alpha + beta - total[None, :, None])
-        d_begin, d_transition = d_scores[0].sum(0), np.zeros_like(self.transition)
-        loss = total - self.begin[tags[0]] - scores[0][here, tags[0]]
-        np.add.at(d_begin, tags[0], -1)
-        for t in range(1, steps):
-            on = mask[t]
-            both = alpha[t - 1][:, :, None] + self.transition + (scores[t] + beta[t])[:, None, :]
-            d_transition += np.exp(both[on] - total[on][:, None, None]).sum(0)
-            np.add.at(d_transition, (tags[t - 1][on], tags[t][on]), -1)
-            loss = loss - np.where(on, self.transition[tags[t - 1], tags[t]] + scores[t][here, tags[t]], 0)
-        for t in range(steps):
-            d_scores[t][here, tags[t]] -= 1
+        own = np.take_along_axis(scores, tags[:, :, None], 2)[:, :, 0] * mask
+        loss = total - self.begin[tags[0]] - own.sum(0)
+        loss = loss - (self.transition[tags[:-1], tags[1:]] * mask[1:]).sum(0)
+        d_begin = d_scores[0].sum(0) - np.bincount(tags[0], minlength=TAGS)
+        both = alpha[:-1, :, :, None] + self.transition + (scores + beta)[1:, :, None, :]
+        d_transition = np.exp(both[mask[1:]] - np.broadcast_to(total, mask[1:].shape)[mask[1:]][:, None, None]).sum(0)
+        np.subtract.at(d_transition, (tags[:-1][mask[1:]], tags[1:][mask[1:]]), 1)
+        np.subtract.at(d_scores, (*np.indices(tags.shape), tags), 1)
         d_scores *= mask[:, :, None]
-        d_output = np.einsum("tni,tnj->ij", joined, d_scores)
+        d_output = np.tensordot(joined, d_scores, ((0, 1), (0, 1)))
         d_joined = d_scores @ self.output.T
-        d_forward, d_x = self._back(self.forward, saved_ahead, d_joined[:, :, 1 : 1 + HIDDEN])
-        d_backward, d_back = self._back(self.backward, saved_back, d_joined[::-1, :, 1 + HIDDEN :])
-        d_embedding = np.zeros_like(self.embedding)
-        np.add.at(d_embedding, np.maximum(windows, 0).T, (d_x + d_back[::-1]) * mask[:, :, None])
+        d_states = np.stack([d_joined[:, :, 1 : 1 + HIDDEN], d_joined[::-1, :, 1 + HIDDEN :]], 1)
+        (d_forward, d_backward), d_x = self._back(x, saved, d_states)
+        d_read = (d_x[:, 0] + d_x[::-1, 1]) * mask[:, :, None]
+        picked = np.eye(CLASSES)[np.maximum(windows, 0).T]
+        d_embedding = np.tensordot(picked, d_read, ((0, 1), (0, 1)))
         parts = [d_embedding, d_forward, d_backward, d_output, d_transition, d_begin]
         return float(loss.mean()), [p / n for p in parts]
 
@@ -272,17 +320,20 @@ def _cut(codes: np.ndarray, start: int) -> np.ndarray:
 
 
 def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(codes, tags)`` of the windows near triggers, tagged by the pattern spans."""
+    """``(codes, tags)`` of the windows near triggers, tagged by the pattern spans; texts with spans
+    come twice, the second time with their spans rewritten."""
 
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text"):
                 codes_out, tags_out = [], []
                 for value in part.column("text").to_pylist():
-                    starts = window_starts(value or "")
-                    if starts:
-                        codes, tags = _classes(value), _tags(len(value), base_spans(value)[0])
-                        for start in starts:
+                    if not TRIGGER.search(value or ""):
+                        continue
+                    spans = base_spans(value)[0]
+                    for own, marks in [(value, spans), altered(value, spans)] if spans else [(value, spans)]:
+                        codes, tags = _classes(own), _tags(len(own), marks)
+                        for start in window_starts(own):
                             codes_out.append(codes[start : start + WINDOW].astype(np.uint8).tobytes())
                             tags_out.append(tags[start : start + WINDOW].tobytes())
                 yield pa.RecordBatch.from_arrays(
@@ -294,14 +345,18 @@ def labelled_windows(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def learn(docs: DataFrame, text: str = "text") -> Tagger | None:
     """A tagger from at most ``MAX_WINDOWS`` windows: half with a span and half without, chosen by
-    hash over all texts. Without any window there is nothing to learn."""
+    hash over all texts. Without any window there is nothing to learn. Only windows whose hash is
+    below a bound, some twice as many as are wanted, are sent to be sorted."""
     windows = labelled_windows(docs.filter(F.col(text).rlike("[0-9@]")), text).distinct()
     windows = materialise(windows, "pii-windows")
     order = F.xxhash64("codes"), F.col("codes"), F.col("tags")
-    marked = F.regexp_replace(F.hex("tags"), "0", "") != ""
+    marked, half = F.regexp_replace(F.hex("tags"), "0", "") != "", MAX_WINDOWS // 2
+    counts = windows.agg(F.count_if(marked).alias("with"), F.count_if(~marked).alias("without")).first()
     rows = []
-    for part in (windows.filter(marked), windows.filter(~marked)):
-        rows += part.orderBy(*order).limit(MAX_WINDOWS // 2).collect()
+    for part, total in ((windows.filter(marked), counts["with"]), (windows.filter(~marked), counts["without"])):
+        if total > 4 * half:
+            part = part.filter(order[0] < F.lit(int(2.0**64 * 2 * half / total) - 2**63))
+        rows += part.orderBy(*order).limit(half).collect()
     if not rows:
         return None
     codes, tags = np.full((len(rows), WINDOW), -1, np.int64), np.zeros((len(rows), WINDOW), np.int64)

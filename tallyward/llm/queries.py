@@ -76,7 +76,7 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
     coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
     coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from words left join covered using (doc_id) left join named using (doc_id)
-""".replace("\\", "\\")
+"""
 
 
 @query("op2_repeated_substrings")
@@ -205,7 +205,7 @@ from documents d left join removed using (doc_id) left join kept k on k.doc_id =
 @query("op8_quality_rules")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return quality.judge(docs).drop("text", "lang", "source")
+    return quality.judge(docs, columns=["doc_id"])
 
 
 @query("op9_near_duplicates")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.llm.text import add_columns, binary_array, mix, pieces, utf8
+from tallyward.llm.text import add_columns, binary_array, fresh, mix, pieces, utf8
 from tallyward.session import discard, materialise
 
 SPAN = 400  # bytes that must repeat
@@ -194,11 +194,6 @@ def repeated_windows(runs: list[bytes], weights: list[int], span: int = SPAN) ->
     return [repeated[b : b + s - span + 1] for b, s in zip(begin.tolist(), size.tolist())]
 
 
-def _stretches(mask: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
-    return [(a, b - a) for a, b in edges.reshape(-1, 2).tolist()]
-
-
 _RUN = "key binary, start int, n int, shift int, anchor long, run long"
 _KINDS = {"binary": pa.binary(), "int": pa.int32(), "long": pa.int64()}
 
@@ -353,7 +348,8 @@ def remove_repeats(
     the same text included; strings are judged on the input and never cross texts. ``removed_spans``
     are the maximal runs of such bytes, ``kept`` is the rest as bytes. All copies go, so repeated
     rows and ties are treated alike. Null and empty texts, and those shorter than ``span``, lose
-    nothing. Columns with the names of new ones are replaced.
+    nothing; a long one is read in overlapping parts. Columns with the names of new ones are replaced,
+    all others stay whatever their names.
     """
     fields = [
         T.StructField("n_bytes", T.LongType()),
@@ -365,22 +361,23 @@ def remove_repeats(
         ),
         T.StructField("kept", T.BinaryType()),
     ]
-    keyed = docs.drop(*[f.name for f in fields]).withColumn("_key", _text_key(F.col(text)))
-    texts = keyed.filter(F.octet_length(text) >= span).select(F.col("_key").alias("key"), F.col(text).alias("text"))
+    own, listed = fresh("_key", docs), fresh("_spans", docs)
+    keyed = docs.drop(*[f.name for f in fields]).withColumn(own, _text_key(F.col(text)))
+    texts = keyed.filter(F.octet_length(text) >= span).select(F.col(own).alias("key"), F.col(text).alias("text"))
     runs = materialise(_runs_of(texts, span, gram), "runs")
     spans = None
     for part in _resolve(texts, runs, SHORT_RUN, span, max_runs):
         found = part.select("key", "start", (F.col("start") + F.col("n") + span - 1).alias("end"))
         spans = found if spans is None else spans.union(found)
-    spans = spans.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    joined = keyed.join(materialise(spans, "spans"), F.col("_key") == F.col("key"), "left").drop("_key", "key")
+    spans = spans.groupBy(F.col("key").alias(own)).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(listed))
+    joined = keyed.join(materialise(spans, "spans"), own, "left").drop(own)
 
     def work(texts: pa.Array, found: pa.Array) -> list[pa.Array]:
         rows = []
-        for value, own in zip(texts.to_pylist(), found.to_pylist()):
+        for value, cover in zip(texts.to_pylist(), found.to_pylist()):
             raw = (value or "").encode()
             gone = np.zeros(len(raw) + 1, np.int32)
-            for s in own or []:
+            for s in cover or []:
                 gone[s["start"]] += 1
                 gone[s["end"]] -= 1
             mask = np.cumsum(gone[:-1]) > 0
@@ -391,7 +388,7 @@ def remove_repeats(
         kinds = [pa.int64(), pa.int64(), pa.int64(), pair, pa.binary()]
         return [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)]
 
-    return add_columns(joined, lambda: work, fields, text, ("_spans",)).drop("_spans")
+    return add_columns(joined, lambda: work, fields, text, (listed,)).drop(listed)
 
 
 def _text_key(text: Column) -> Column:

@@ -148,6 +148,14 @@ def binary_array(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
 Work = Callable[..., list[pa.Array]]
 
 
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def add_columns(
     docs: DataFrame,
     make: Callable[[], Work],
@@ -174,5 +182,6 @@ def add_columns(
                 out = work(part.column(text), *[part.column(c) for c in also])
                 names = [*passed, *[f.name for f in fields]]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in passed], *out], names)
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     return kept.mapInArrow(run, schema)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallyward.llm import decontaminate as dc
 
@@ -56,3 +57,12 @@ def test_nothing_to_find(spark, tables):
     docs, bench = tables
     assert {r.n_hit for r in dc.find_contamination(docs, bench.limit(0)).collect()} == {0}
     assert dc.find_contamination(docs.limit(0), bench).count() == 0
+
+
+def test_other_columns_stay(tables):
+    docs, bench = tables
+    odd = docs.withColumns({n: F.lit("own") for n in ("_runs", "_items", "_Runs_", "windows", "hit_items")})
+    for size in (dc.MAX_WINDOWS, 3):
+        marked = dc.find_contamination(odd, bench, max_windows=size)
+        assert found(marked) == WANT
+        assert {(r["_runs"], r["_items"], r["_Runs_"], r["windows"]) for r in marked.collect()} == {("own",) * 4}

@@ -147,3 +147,10 @@ def test_short_lines_must_be_equal(spark):
     got = {r.doc_id: r.text for r in corpus_pipeline.remove_lines(spark, docs, "").collect()}
     assert got == {0: texts[0], 1: texts[1], 2: None, 3: " \t\nfirs"}
     assert all(r.n_removed == 0 for r in lines.dedup_lines(docs).collect())
+
+
+def test_a_column_of_a_helpers_name_stays(spark):
+    line = "one line of text that is long enough"
+    docs = spark.createDataFrame([(1, line, "a"), (2, f"{line}\nrest", "b"), (3, None, "c")], "doc_id long, text string, _row string")
+    got = sorted((r.doc_id, r.text, r["_row"], r.n_removed) for r in lines.dedup_lines(docs).collect())
+    assert got == [(1, line, "a", 0), (2, "rest", "b", 1), (3, None, "c", 0)]

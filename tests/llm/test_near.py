@@ -170,3 +170,9 @@ def test_many_texts_around_one_passage(spark):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
     assert got == {i: root(i) for i in range(len(texts))} and len(set(got.values())) > 1000
+
+
+def test_a_column_of_a_helpers_name_stays(spark):
+    text = " ".join(WORDS[:60])
+    docs = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, None, "c")], "doc_id long, text string, _row string")
+    assert sorted(tuple(r) for r in near.deduplicate(docs).select("doc_id", "_row").collect()) == [(1, "a"), (3, "c")]

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyward.llm import quality, urls
 from tallyward.llm.queries import RULES
@@ -116,12 +117,58 @@ def test_measures_and_verdicts(docs):
 
 
 def test_fences_of_small_groups_come_from_the_language(docs):
-    rows = {(r["_lang"], r["_source"]): r for r in quality.fences(quality.measure(docs), "text", "lang", "source").collect()}
-    assert rows["lone", "z"]["_word_length"].low is not None and ("en", "s1") in rows and (None, "s0") in rows
+    rows = {(r.group_lang, r.group_source): r for r in quality.fences(quality.measure(docs)).collect()}
+    assert rows["lone", "z"].word_length.low is not None and ("en", "s1") in rows and (None, "s0") in rows
     for r in rows.values():
-        for name, least in quality.MEASURES.items():
-            fence = r[f"_{name}"]
-            assert fence.low is None or fence.high - fence.low >= 2 * least - 1e-9
+        for name in quality.MEASURES:
+            assert r[name].low is None or (r[name].reach > 0 and r[name].high >= r[name].low)
+
+
+def test_fences_equal_exact_quantiles(spark):
+    """Sketches of so few texts are exact, so fences equal those from sorted values; the group of
+    three texts takes those of its language."""
+    pick, rows = random.Random(11), []
+    for n in range(180):
+        words = ["abcdefgh"[: pick.randrange(3, 8)] + str(k) for k in range(pick.randrange(20, 40))]
+        for _ in range(pick.choice([0, 0, 0, 0, 0, 0, 1, 2])):
+            words[pick.randrange(len(words))] += "#"
+        rows.append((n, "\n".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9)), "en", "small" if n < 3 else f"s{n % 2}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    at = lambda values, q: sorted(values)[max(0, -int(-q * len(values) // 1) - 1)]
+    for r in quality.fences(quality.measure(docs)).collect():
+        texts = [t for _, t, _, source in rows if r.group_source in ("small", source)]
+        counts = [measured(t) for t in texts]
+        n_lines = [t.count("\n") + 1 for t in texts]
+        shares = {
+            "word_length": ([c[1] / c[0] for c in counts], [c[0] for c in counts]),
+            "symbol_share": ([c[2] / c[1] for c in counts], [c[1] for c in counts]),
+            "dup_line_share": ([c[3] / m for c, m in zip(counts, n_lines)], n_lines),
+        }
+        for name, (values, sizes) in shares.items():
+            low, mid, high, tail = (at(values, q) for q in (0.25, 0.5, 0.75, 0.9))
+            reach = quality.SPREAD * (high - low if high > low else max(tail - mid, 1 / at(sizes, 0.5)))
+            assert (r[name].low, r[name].high, r[name].reach) == pytest.approx((low, high, reach)), name
+
+
+def test_a_few_symbols_fail_no_short_text_and_many_fail_a_long_one(spark):
+    words = lambda n: " ".join(f"wo{k:04d}" for k in range(n))
+    rows = [(n, f"{words(40)} wo{n + 5000}", "en", "s") for n in range(100)]
+    odd = [(900, f"{words(11)} ###### wo9999", "en", "s"), (901, f"{words(40)} {' '.join(['###k#!'] * 4)}", "en", "s"),
+           (902, f"{words(4000)} ######", "en", "s")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality.judge(docs).collect()}
+    assert all(kept[n] for n in range(100)) and kept[900] and kept[902] and not kept[901]
+    assert quality.shares().keys() == quality.MEASURES.keys()
+
+
+def test_quality_takes_any_other_columns(docs):
+    names = ["row", "group_lang", "word_length", "_counts", "N_LINES", "symbol_share", "n", "of"]
+    odd = docs.withColumns({n: F.lit("own") for n in names})
+    found = quality.judge(odd)
+    assert [c for c in found.columns if c in names] == [n for n in names if n != "N_LINES"]
+    assert found.count() == 410 and {r.word_length for r in found.collect()} == {"own"}
+    assert quality.judge(odd, columns=["doc_id", "of"]).columns == ["doc_id", "of", *quality.NEW]
+    assert quality.judge(odd.limit(0)).count() == 0
 
 
 def test_fences_follow_the_quartiles(spark):

@@ -96,3 +96,14 @@ def test_one_long_text_in_segments(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert ss.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_copies_of_one_text_and_any_other_columns(spark):
+    """A thousand copies, and columns with the names of helpers."""
+    texts = ["the same words again and again, all of them" for _ in range(1000)] + [None, "", "alone as a text can be", "x" * 3000]
+    rows = [(i, t, "own", "own", "own") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, _spans string, _key string")
+    found = {r.doc_id: r for r in ss.remove_repeats(docs, span=SPAN, gram=GRAM).collect()}
+    assert len(found) == len(rows) and {(r.key, r["_spans"], r["_key"]) for r in found.values()} == {("own",) * 3}
+    for (i, *_), want in zip(rows, brute(texts, SPAN)):
+        assert (found[i].n_bytes, found[i].n_removed, found[i].n_spans, found[i].kept) == want

@@ -6,13 +6,14 @@ number and content; every line probes the lengths up to its own with the few sub
 edits left and right of a segment allow. Candidates are verified by a bit-parallel edit distance
 within the band of the threshold.
 
-Many lines may share a segment and little else. At one edit those that did not end in one class are
-indexed again by all but one of several parts, since the edit is in one part only.
+Many lines may share a segment and little else. Those that did not end in one class are indexed again
+by all but ``t`` of several parts, since ``t`` edits are in ``t`` parts at most.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from itertools import combinations, groupby, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,51 +22,92 @@ from tallyward.llm.linking import link, shared_groups
 from tallyward.llm.text import fresh
 from tallyward.session import materialise
 
-THRESHOLD = 1  # edits
-PARTS = 8  # of which one is left out
-CHARS_PER_EDIT = 20  # a line may have one edit for so many characters; shorter lines must be equal
+LENGTHS = (20, 60, 240)  # characters from which a line may have one, two, three edits; shorter ones must be equal
+PARTS = (8, 6, 5)  # of which one, two, three are left out
 
+Way = tuple[tuple[int, int], ...]  # parts of a line, and how far each may have moved in a longer one
 
-def segments(length: Column, count: int) -> list[tuple[Column, Column]]:
-    """Start (from 0) and length of each of ``count`` segments, the last ones the longer."""
-    short = (length / count).cast("int")
-    longer = length - short * count
-    result = []
-    for i in range(count):
-        before = F.greatest(longer - (count - i), F.lit(0))
-        result.append((short * i + before, short + F.when(F.lit(count - i) <= longer, 1).otherwise(0)))
-    return result
 
+def allowed_edits(length: Column, lengths: Sequence[int]) -> Column:
+    return sum((F.when(length >= least, 1).otherwise(0) for least in lengths), F.lit(0))
 
-def _key(length: Column, number: int, text: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), text)
 
+def measured(line: Column) -> list[Column]:
+    """``line``, its ``size`` and ``ascii_bytes``, which are null for a line that is not ASCII.
 
-def segment_keys(line: Column, size: Column, threshold: int) -> Column:
-    """Keys of a line's own segments and of its probes for lines up to ``threshold`` shorter."""
-    lists = []
-    for edits in range(1, threshold + 1):
+    Of bytes, substrings are found without counting characters.
+    """
+    ascii_only = F.octet_length(line) == F.length(line)
+    return [line.alias("line"), F.length(line).alias("size"), F.when(ascii_only, line.cast("binary")).alias("ascii_bytes")]
+
+
+def segment_keys(lengths: Sequence[int]) -> Column:
+    """Keys of a ``measured`` line's own segments and of its probes for the shorter lines within reach."""
+
+    def probes(edits: int, less: int) -> list[Way]:
+        ways = []
+        for i in range(edits + 1):
+            right = edits - i  # edits that may lie behind the segment, as many as i before it
+            for shift in range(max(-i, less - right), min(i, less + right) + 1):
+                if less or shift >= 0:  # of two lines of one length, one probes the other
+                    ways.append(((i, shift),))
+        return ways
+
+    return _keys(probes, lengths, [edits + 1 for edits in range(1, len(lengths) + 1)])
+
+
+def part_keys(lengths: Sequence[int]) -> Column:
+    """Keys of a ``measured`` line without some of its parts, and of its probes for the shorter lines
+    within reach."""
+    return _keys(lambda edits, less: _left_parts(PARTS[edits - 1], edits, less), lengths, PARTS)
+
+
+def _keys(probes: Callable[[int, int], list[Way]], lengths: Sequence[int], counts: Sequence[int]) -> Column:
+    """A key for each way to look for a line that is shorter by ``less``, if ``edits`` are allowed at its
+    length: of that length, which parts are looked at, and what they hold. Ways without shifts for
+    ``less = 0`` are the line's own keys.
+
+    The filter, which passes all, keeps Spark from compiling the many expressions into one method that is
+    too large for the JVM to make fast.
+    """
+    lists = ["cast(array() as array<bigint>)"]
+    for edits, count in zip(range(1, len(lengths) + 1), counts):
         for less in range(edits + 1):
-            length, keys = size - less, []
-            allowed = F.least(F.lit(threshold), (length / CHARS_PER_EDIT).cast("int"))
-            for i, (start, width) in enumerate(segments(length, edits + 1)):
-                right = edits - i  # edits that may lie behind the segment, as many as i before it
-                for shift in range(max(-i, less - right), min(i, less + right) + 1):
-                    if less or shift >= 0:  # of two lines of one length, one probes the other
-                        keys.append(_key(length, i, F.substring(line, start + shift + 1, width)))
-            lists.append(F.when(allowed == edits, F.array(*keys)).otherwise(F.array().cast("array<bigint>")))
-    return F.concat(*lists)
-
-
-def part_keys(line: Column, size: Column) -> Column:
-    """Keys of a line without each of its parts, and of its probes for lines one character shorter."""
-    keys = []
-    for less in (0, 1):
-        for i, (start, width) in enumerate(segments(size - less, PARTS)):
-            end = start + width + less + 1
-            rest = F.substring(line, end, size)
-            keys.append(F.xxhash64(size - less, F.lit(i), F.substring(line, F.lit(1), start), rest))
-    return F.array(*keys)
+            length, ways = f"(size - {less})", probes(edits, less)
+            upper = f"and {length} < {lengths[edits]}" if edits < len(lengths) else ""
+            of_bytes, of_text = (
+                ", ".join(_key(way, length, count, piece) for way in ways)
+                for piece in ("substring(ascii_bytes, {}, {})", "cast(substring(line, {}, {}) as binary)")
+            )
+            lists.append(
+                f"case when {length} >= {lengths[edits - 1]} {upper} then"
+                f" if(ascii_bytes is null, array({of_text}), array({of_bytes})) else array() end"
+            )
+    return F.filter(F.expr(f"concat({', '.join(lists)})"), lambda key: key.isNotNull())
+
+
+def _key(way: Way, length: str, count: int, piece: str) -> str:
+    """SQL of one key; neighbouring parts are one piece."""
+    pieces = []
+    for _, together in groupby(enumerate(way), lambda p: p[1][0] - p[0]):
+        parts = [p for _, p in together]
+        start, end = (f"({length} * {i} div {count})" for i in (parts[0][0], parts[-1][0] + 1))
+        pieces.append(piece.format(f"int({start} + {1 + parts[0][1]})", f"int({end} - {start})"))
+    names = ",".join(str(i) for i, _ in way)
+    return f"xxhash64({length}, '{names}', {', '.join(pieces)})"
+
+
+def _left_parts(count: int, edits: int, less: int) -> list[Way]:
+    """The ways to leave out ``edits`` of ``count`` parts of a line: each part that is left, and how far it
+    may have moved in a line that is longer by ``less``."""
+    ways = set()
+    for out in combinations(range(count), edits):
+        for grown in product(range(-edits, edits + 1), repeat=edits):
+            if sum(grown) == less and sum(abs(g) for g in grown) <= edits:
+                moved = dict(zip(out, grown))
+                shifts = [sum(g for part, g in moved.items() if part < i) for i in range(count)]
+                ways.add(tuple((i, shifts[i]) for i in range(count) if i not in moved))
+    return sorted(ways)
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -159,11 +201,11 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _occurrences(docs: DataFrame, row: str, doc_id: str, text: str, short: bool) -> DataFrame:
-    """``(_row, _id, place, line)`` of every line that is long enough, or, if ``short``, not blank."""
+def _occurrences(docs: DataFrame, row: str, doc_id: str, text: str, lengths: Sequence[int]) -> DataFrame:
+    """``(_row, _id, place, line)`` of every line that is not blank, or long enough for an edit."""
     lines = docs.select(F.col(row).alias("_row"), F.col(doc_id).alias("_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("place", "line"))
-    long = F.length("line") >= CHARS_PER_EDIT
-    return lines.filter(long | F.col("line").rlike(r"[^\x20\x09-\x0D]") if short else long)
+    inked = F.col("line").rlike(r"[^\x20\x09-\x0D]")
+    return lines.filter(inked | (allowed_edits(F.length("line"), lengths) > 0))
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -173,30 +215,33 @@ def row_key(doc_id: str, text: str) -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, short: bool = False
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lengths: Sequence[int] = LENGTHS
 ) -> DataFrame:
     """``docs`` with each line of a class but its first left out, plus ``n_lines``, ``n_removed`` and
     ``removed``: number (from 0) of each line left out, and id and line of the one that stays.
 
-    Lines are what line feeds separate. Two are linked if they are at most ``threshold`` edits apart
-    and have 20 characters for each edit; shorter lines stay, or, with ``short``, are linked if they
-    are equal and not blank. Classes are what links connect, over all documents. The first line of a class is that of the
+    Lines are what line feeds separate. Two are linked if they are equal, or at most as many edits apart
+    as the shorter one's length allows: one from ``lengths[0]`` characters on, two from ``lengths[1]``
+    on, and so on, at most three. Blank lines below ``lengths[0]`` characters stay. Lines of any length
+    are compared whole. Classes are what links connect, over all documents. The first line of a class is that of the
     smallest id, then the smallest line number; null ids come last. Rows of one id and one text are
     treated alike, so both keep a first line. A null text stays null and has no lines. Columns with
     the names of new ones are replaced.
     """
+    if len(lengths) > len(PARTS) or list(lengths) != sorted(lengths) or any(n < 16 for n in lengths):
+        raise ValueError("lengths must be at most three, ascending, from 16 on")
     new = ("n_lines", "n_removed", "removed")
     docs = docs.drop(*new)
     row, kept_columns = fresh("_row", docs), docs.columns
     docs = docs.withColumn(row, row_key(doc_id, text))
-    found = _occurrences(docs, row, doc_id, text, short)
+    found = _occurrences(docs, row, doc_id, text, lengths)
     node = F.xxhash64("line", F.md5(F.col("line").cast("binary")))
     order = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("place").alias("place"))
     places = materialise(found.select("_row", "_id", "place", node.alias("node")), "lines")
     firsts = materialise(places.groupBy("node").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
 
-    keys = found.select(
-        node.alias("node"), F.explode(segment_keys(F.col("line"), F.length("line"), threshold)).alias("key")
+    keys = found.select(node.alias("node"), *measured(F.col("line"))).select(
+        "node", F.explode(segment_keys(lengths)).alias("key")
     )
     shared = shared_groups(keys)
     wanted = materialise(shared.select("node").distinct(), "wanted")
@@ -204,10 +249,10 @@ def dedup_lines(
     lines = materialise(lines.groupBy("node").agg(F.min("line").alias("line")), "line-texts")
 
     def narrow(nodes: DataFrame) -> DataFrame:
-        key = F.explode(part_keys(F.col("line"), F.length("line"))).alias("key")
-        return lines.join(nodes, "node", "left_semi").select(key, "node")
+        apart = lines.join(nodes, "node", "left_semi").select("node", *measured(F.col("line")))
+        return apart.select(F.explode(part_keys(lengths)).alias("key"), "node")
 
-    labels = link(shared, lambda pairs: _verify(pairs, lines, threshold), narrow if threshold == 1 else None)
+    labels = link(shared, lambda pairs: _verify(pairs, lines, lengths), narrow)
 
     classes = firsts.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")
@@ -229,15 +274,15 @@ def dedup_lines(
     )
 
 
-def _verify(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
+def _verify(pairs: DataFrame, lines: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """The pairs of lines that are close enough."""
     left = lines.select(F.col("node").alias("a"), F.col("line").alias("la"))
     right = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"))
     both = pairs.join(left, "a").join(right, "b")
     swap = F.length("la") > F.length("lb")
     short, long = F.when(swap, F.col("lb")).otherwise(F.col("la")), F.when(swap, F.col("la")).otherwise(F.col("lb"))
-    allowed = F.least(F.lit(threshold), (F.length("short") / CHARS_PER_EDIT).cast("int"))
+    allowed = allowed_edits(F.length("short"), lengths)
     close = F.lit(False)
-    for edits in range(1, threshold + 1):
+    for edits in range(1, len(lengths) + 1):
         close = F.when(allowed == edits, edits_within(F.col("short"), F.col("long"), edits)).otherwise(close)
     return both.select("a", "b", short.alias("short"), long.alias("long")).filter(close).select("a", "b")

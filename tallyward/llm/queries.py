@@ -158,23 +158,34 @@ with recursive lines as (
 ), texts as (
     select line, length(line) as n, min({'id': doc_id, 'place': place}) as first,
         row_number() over (order by line) as node
-    from lines where length(line) >= 20 group by line
-), halves as (
-    select node, line, n, n as m, substr(line, 1, n // 2) as front, substr(line, n // 2 + 1) as back from texts
-    union all
-    select node, line, n, n - 1, substr(line, 1, (n - 1) // 2), substr(line, (n - 1) // 2 + 2) from texts
+    from lines where length(line) >= 20 or regexp_matches(line, '[^\x20\x09-\x0D]') group by line
+), reach as (
+    select n as m, (n >= 20)::int + (n >= 60)::int + (n >= 240)::int as k
+    from (select unnest(range(20, max(n) + 1)) as n from texts)
+), segments as (
+    select m, k, i, (i * m) // (k + 1) as begin, ((i + 1) * m) // (k + 1) - (i * m) // (k + 1) as size
+    from (select m, k, unnest(range(0, k + 1)) as i from reach)
 ), met as (
-    select a.node as x, b.node as y, a.line as s, b.line as t, b.n - a.n as more
-    from halves a join halves b on a.n = a.m and b.m = a.m and a.front = b.front and a.node <> b.node
+    select distinct a.node as x, b.node as y, k
+    from (select node, m, i, substr(line, begin + 1, size) as part from texts join segments on m = n) a
+    join (
+        select node, m, k, i, substr(line, begin + shift + 1, size) as part
+        from (select *, unnest(range(-k, k + 1)) as shift from texts join segments on n - m between 0 and k)
+        where begin + shift >= 0
+    ) b using (m, i, part)
+    where a.node <> b.node
+), walk(x, y, s, t, edits) as (
+    select x, y, a.line, b.line, k from met join texts a on a.node = x join texts b on b.node = y
     union
-    select a.node, b.node, a.line, b.line, b.n - a.n
-    from halves a join halves b on a.n = a.m and b.m = a.m and a.back = b.back and a.node <> b.node
-), compared as (
-    select *, list_position(list_transform(list_zip(string_split(s, ''), string_split(t, '')),
-        lambda c: c[1] = c[2]), false) as p
-    from met
+    select x, y, substr(s, p + 1 + ds), substr(t, p + 1 + dt), edits - 1
+    from (
+        select *, coalesce(list_position(list_transform(list_zip(string_split(s, ''), string_split(t, '')),
+            lambda c: c[1] = c[2]), false) - 1, least(length(s), length(t))) as p
+        from walk where edits > 0 and s <> t
+    ), (values (1, 1), (0, 1), (1, 0)) as moves(ds, dt)
+    where abs(length(s) - ds - length(t) + dt) < edits
 ), links as (
-    select x, y from compared where p is null or substr(s, p + 1 - more) = substr(t, p + 1)
+    select distinct x, y from walk where s = t
 ), both_ways as (
     select x, y from links union select y, x from links
 ), reached(node, other) as (

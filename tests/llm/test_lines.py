@@ -10,6 +10,13 @@ import corpus_pipeline
 from tallyward.llm import lines
 
 
+LENGTHS = (20, 40, 60)  # one edit for twenty characters, so that short texts have several
+
+
+def allowed(size, lengths):
+    return sum(size >= least for least in lengths)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -39,14 +46,19 @@ def test_close_lines_share_a_key(spark):
         size, edits = pick.choice([40, 41, 59, 60, 61, 83]), pick.choice([1, 2, 3])
         one = [pick.choice("abcdefgh") for _ in range(size)]
         two = list(one)
-        for _ in range(min(edits, size // 20)):
+        for _ in range(min(edits, allowed(size, LENGTHS))):
             at, kind = pick.randrange(len(two)), pick.randrange(3)
             two[at : at + (kind != 1)] = ["x"] if kind < 2 else []
-        if min(len(one), len(two)) // 20 >= min(edits, size // 20):
+        if allowed(min(len(one), len(two)), LENGTHS) >= min(edits, allowed(size, LENGTHS)):
             rows.append((n, "".join(one), "".join(two)))
     df = spark.createDataFrame(rows, "n int, a string, b string")
-    key = lambda c: lines.segment_keys(F.col(c), F.length(c), 3)
-    assert df.select(F.arrays_overlap(key("a"), key("b")).alias("met")).filter("met").count() == len(rows) > 200
+    assert shared_keys(df, lines.segment_keys(LENGTHS)) == shared_keys(df, lines.part_keys(LENGTHS)) == len(rows) > 200
+
+
+def shared_keys(df, keys):
+    """How many rows have texts ``a`` and ``b`` with a common key."""
+    a, b = (df.select("n", *lines.measured(F.col(c))).select("n", keys.alias(c)) for c in "ab")
+    return a.join(b, "n").filter(F.arrays_overlap("a", "b")).count()
 
 
 def test_lines_one_edit_apart_share_a_part_key(spark):
@@ -56,10 +68,10 @@ def test_lines_one_edit_apart_share_a_part_key(spark):
         two = list(one)
         at, kind = pick.randrange(len(two)), pick.randrange(3)
         two[at : at + (kind != 1)] = ["x"] if kind < 2 else []
-        rows.append((n, "".join(one), "".join(two)))
+        if len(two) >= 20:  # shorter ones may have no edit
+            rows.append((n, "".join(one), "".join(two)))
     df = spark.createDataFrame(rows, "n int, a string, b string")
-    key = lambda c: lines.part_keys(F.col(c), F.length(c))
-    assert df.filter(F.arrays_overlap(key("a"), key("b"))).count() == 300
+    assert shared_keys(df, lines.part_keys((20,))) == len(rows) > 280
 
 
 def test_many_lines_that_share_half(spark):
@@ -68,14 +80,18 @@ def test_many_lines_that_share_half(spark):
     rows += [(200 + n, rows[n][1][:70] + "?" + rows[n][1][71:]) for n in range(0, 120, 10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.text, r.n_lines, [tuple(x) for x in r.removed or []]) for r in lines.dedup_lines(docs).collect()]
-    assert sorted(got, key=repr) == brute(rows, 1) and sum(len(g[3]) for g in got) == 12
+    assert sorted(got, key=repr) == brute(rows, lines.LENGTHS) and sum(len(g[3]) for g in got) == 12
+
+
+def counts(line, lengths):
+    return len(line) >= lengths[0] or bool(line.strip(" \t\n\v\f\r"))
 
 
-def brute(rows, threshold):
+def brute(rows, lengths):
     found = {}
     for doc, text in rows:
         for i, line in enumerate([] if text is None else text.split("\n")):
-            if len(line) >= 20:
+            if counts(line, lengths):
                 found.setdefault(line, []).append((doc is None, doc if doc is not None else 0, i))
     label = {x: x for x in found}
 
@@ -87,7 +103,8 @@ def brute(rows, threshold):
     texts = list(found)
     for i, a in enumerate(texts):
         for b in texts[:i]:
-            if abs(len(a) - len(b)) <= threshold and distance(a, b) <= min(threshold, min(len(a), len(b)) // 20):
+            edits = allowed(min(len(a), len(b)), lengths)
+            if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
                 label[find(a)] = find(b)
     first = {}
     for line, places in found.items():
@@ -98,7 +115,7 @@ def brute(rows, threshold):
         gone = []
         for i, line in enumerate(all_lines):
             place = (doc is None, doc if doc is not None else 0, i)
-            if len(line) >= 20 and first[find(line)] != place:
+            if counts(line, lengths) and first[find(line)] != place:
                 head = first[find(line)]
                 gone.append((i, None if head[0] else head[1], head[2]))
         left = {g[0] for g in gone}
@@ -116,28 +133,28 @@ def rows():
         some = []
         for _ in range(pick.randrange(5)):
             line = list(pick.choice(base))
-            for _ in range(pick.choice([0, 0, 1, 2])):
+            for _ in range(pick.choice([0, 0, 1, 2, 3])):
                 line[pick.randrange(len(line))] = pick.choice("xyz")
             some.append("".join(line))
         rows.append((n, "\n".join(some)))
     return rows + [(90, None), (91, ""), (92, "\n\n"), (None, base[3] + "\n" + "q" * 30), (93, "q" * 30), rows[3], rows[4]]
 
 
-@pytest.mark.parametrize("threshold", [1, 2])
-def test_lines_equal_brute_force(spark, rows, threshold):
+@pytest.mark.parametrize("lengths", [(20,), (20, 40), LENGTHS])
+def test_lines_equal_brute_force(spark, rows, lengths):
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, removed int")
     got = [
         (r.doc_id, r.text, r.n_lines, [tuple(x) for x in r.removed or []])
-        for r in lines.dedup_lines(docs.repartition(3), threshold=threshold).collect()
+        for r in lines.dedup_lines(docs.repartition(3), lengths=lengths).collect()
     ]
     assert all(r.n_removed == len(r.removed or []) for r in lines.dedup_lines(docs).collect())
-    assert sorted(got, key=repr) == brute(rows, threshold)
+    assert sorted(got, key=repr) == brute(rows, lengths)
 
 
 def test_very_long_lines_and_empty_tables(spark):
     long = "".join(hashlib.sha256(bytes([i % 251, i // 251])).hexdigest() for i in range(600))
-    docs = spark.createDataFrame([(1, long), (2, long[:500] + long[501:]), (3, long + "xy")], "doc_id long, text string")
-    assert {r.doc_id: r.n_removed for r in lines.dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0}
+    docs = spark.createDataFrame([(1, long), (2, long[:500] + long[501:]), (3, long + "wxyz"), (4, "pq" + long + "r")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in lines.dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0, 4: 1}
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
@@ -146,7 +163,6 @@ def test_short_lines_must_be_equal(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.text for r in corpus_pipeline.remove_lines(spark, docs, "").collect()}
     assert got == {0: texts[0], 1: texts[1], 2: None, 3: " \t\nfirs"}
-    assert all(r.n_removed == 0 for r in lines.dedup_lines(docs).collect())
 
 
 def test_a_column_of_a_helpers_name_stays(spark):

@@ -7,7 +7,8 @@ edits left and right of a segment allow. Candidates are verified by a bit-parall
 within the band of the threshold.
 
 Many lines may share a segment and little else. Those that did not end in one class are indexed again
-by all but ``t`` of several parts, since ``t`` edits are in ``t`` parts at most.
+by all but ``t`` of several parts, since ``t`` edits are in ``t`` parts at most; of those that meet
+there, only lines that have nearly as many of each of a few letters are compared.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from tallyward.session import materialise
 
 LENGTHS = (20, 60, 240)  # characters from which a line may have one, two, three edits; shorter ones must be equal
 PARTS = (8, 6, 5)  # of which one, two, three are left out
+COUNTED = "etaoinsrhldu "  # characters that are counted in each line: an edit changes two of the counts at most
 
 Way = tuple[tuple[int, int], ...]  # parts of a line, and how far each may have moved in a longer one
 
@@ -110,6 +112,22 @@ def _left_parts(count: int, edits: int, less: int) -> list[Way]:
     return sorted(ways)
 
 
+def _counts(line: Column) -> Column:
+    """A line's size and how often it has each of a few characters."""
+    each = [F.length(line) - F.length(F.translate(line, c, "")) for c in COUNTED]
+    return F.struct(F.length(line).alias("size"), *[n.alias(f"n{i}") for i, n in enumerate(each)])
+
+
+def _near_counts(lengths: Sequence[int]) -> Callable[[Column, Column], Column]:
+    """Whether lines with these counts can be as close as their lengths allow."""
+
+    def admit(a: Column, b: Column) -> Column:
+        apart = sum((F.abs(a[f"n{i}"] - b[f"n{i}"]) for i in range(len(COUNTED))), F.lit(0))
+        return apart <= 2 * allowed_edits(F.least(a["size"], b["size"]), lengths)
+
+    return admit
+
+
 def common_prefix(a: Column, b: Column) -> Column:
     """How many characters two texts begin with in common, by ever smaller steps."""
     shorter = F.least(F.length(a), F.length(b))
@@ -246,13 +264,14 @@ def dedup_lines(
     shared = shared_groups(keys)
     wanted = materialise(shared.select("node").distinct(), "wanted")
     lines = found.select(node.alias("node"), "line").join(wanted, "node", "left_semi")
-    lines = materialise(lines.groupBy("node").agg(F.min("line").alias("line")), "line-texts")
+    lines = lines.groupBy("node").agg(F.min("line").alias("line"))
+    lines = materialise(lines.select("node", "line", _counts(F.col("line")).alias("about")), "line-texts")
 
     def narrow(nodes: DataFrame) -> DataFrame:
-        apart = lines.join(nodes, "node", "left_semi").select("node", *measured(F.col("line")))
-        return apart.select(F.explode(part_keys(lengths)).alias("key"), "node")
+        apart = lines.join(nodes, "node", "left_semi").select("node", "about", *measured(F.col("line")))
+        return apart.select(F.explode(part_keys(lengths)).alias("key"), "node", "about")
 
-    labels = link(shared, lambda pairs: _verify(pairs, lines, lengths), narrow)
+    labels = link(shared, lambda pairs: _verify(pairs, lines, lengths), narrow, _near_counts(lengths))
 
     classes = firsts.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")
@@ -276,9 +295,9 @@ def dedup_lines(
 
 def _verify(pairs: DataFrame, lines: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """The pairs of lines that are close enough."""
-    left = lines.select(F.col("node").alias("a"), F.col("line").alias("la"))
-    right = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"))
-    both = pairs.join(left, "a").join(right, "b")
+    left = lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("about").alias("xa"))
+    right = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("about").alias("xb"))
+    both = pairs.join(left, "a").join(right, "b").filter(_near_counts(lengths)(F.col("xa"), F.col("xb")))
     swap = F.length("la") > F.length("lb")
     short, long = F.when(swap, F.col("lb")).otherwise(F.col("la")), F.when(swap, F.col("la")).otherwise(F.col("lb"))
     allowed = allowed_edits(F.length("short"), lengths)

@@ -23,8 +23,9 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with lines left out that repeat an earlier one; ``n_chars`` follows the text."""
-    cut = lines.dedup_lines(docs)
+    """All documents, with lines left out that repeat an earlier one, equal or, from 20 characters on, one
+    edit apart; ``n_chars`` follows the text."""
+    cut = lines.dedup_lines(docs, lengths=lines.LENGTHS[:1])
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)

@@ -13,7 +13,7 @@ from tallyward.checks.matches import MISSPELT, RATIO_SQL, closest_sql
 from tallyward.checks.registry import query, table
 from tallyward.checks.scalars import date_sql, date_text
 from tallyward.functions.text import clean_text
-from tallyward.operators.attach import attach
+from tallyward.operators.attach import attach, fits_broadcast, hot_values
 from tallyward.plans import core, marts, staging
 from tallyward.plans.star import incident_star
 from tallyward.session import materialise, use_all_cores, work_path
@@ -59,18 +59,26 @@ _KEYS = {
 
 
 def raw_incidents(spark, folder) -> DataFrame:
-    """Raw columns are made before the joins, on the table that has them."""
+    """Raw columns are made before the joins, on the table that has them.
+
+    Customers meet the orders, which are fewer than the lines and have the same keys; then lines meet both
+    other tables, whose hot keys are found in one pass over the lines as they are read.
+    """
     rows = {
         name: table(spark, folder, name).select(
             *_KEYS[name], *[F.expr(text).alias(column) for column, text in columns.items()]
         )
         for name, columns in RAW.items()
     }
+    ordered = {name: name for name in [*RAW["orders"], *RAW["customer"]]}
+    wanted = {name: name for name in RAW["customer"]}
+    orders = attach(rows["orders"], "o_custkey", rows["customer"], "c_custkey", wanted)
+    sides = {"l_orderkey": (orders, "o_orderkey", ordered), "l_partkey": (rows["part"], "p_partkey", {name: name for name in RAW["part"]})}
     incidents = use_all_cores(rows["lineitem"])
-    for column, side in (("l_orderkey", "orders"), ("o_custkey", "customer"), ("l_partkey", "part")):
-        key, *links = _KEYS[side]
-        found = {name: name for name in [*links, *RAW[side]]}
-        incidents = attach(incidents, column, rows[side], key, found)
+    large = [column for column, (side, *_) in sides.items() if not fits_broadcast(side)]
+    hot = hot_values(rows["lineitem"], large) if large else None
+    for column, (side, key, found) in sides.items():
+        incidents = attach(incidents, column, side, key, found, hot)
     return incidents.select([name for columns in RAW.values() for name in columns])
 
 
@@ -139,7 +147,7 @@ def _core_sql() -> str:
 @query("incident_core", _core_sql())
 def incident_core(spark, folder):
     places, agents, natures = dimensions(spark, folder)
-    stage = use_all_cores(materialise(raw_incidents(spark, folder), "stage"))
+    stage = raw_incidents(spark, folder)  # written once, cleaned
     tagged = core.incidents(stage, places, agents, natures)
     return core.split_tagged(tagged).valid
 

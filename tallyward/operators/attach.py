@@ -13,6 +13,7 @@ from tallyward.session import materialise
 # A value is hot when it has more rows than a shuffle partition's share. Its rows are dealt out
 # in so many parts for each share, which level out over the partitions.
 _PARTS = 16
+_BUCKETS = 1 << 16  # of hashed values, counted first
 
 
 def _partitions(rows: DataFrame) -> int:
@@ -28,19 +29,40 @@ def fits_broadcast(side: DataFrame) -> bool:
 def hot_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, parts)`` of the values above a partition's share of the rows; written.
 
-    One pass over the columns, counted before the shuffle. A column has fewer such values than
-    there are shuffle partitions, however large the rows are.
+    A first pass over the columns counts buckets of hashed values, a fixed number, so its shuffle does not
+    grow with the rows. Values are counted themselves in buckets above a share only, if there are any: a
+    column has fewer of those than shuffle partitions, and of such values, however large the rows are.
     """
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]
     )
-    counts = rows.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))  # a row for each column
-    share = F.col("total") / _partitions(rows)
-    hot = (
-        counts.join(F.broadcast(totals), "column")
-        .filter(F.col("value").isNotNull() & (F.col("n") > share))
-        .select("column", "value", F.ceil(_PARTS * F.col("n") / share).cast("int").alias("parts"))
+    places = {c: i for i, c in enumerate(columns)}
+    bucket = F.pmod(F.xxhash64("value"), F.lit(_BUCKETS))
+    # Numbers alone: the first pass runs over every cell.
+    hashed = [
+        F.struct(F.lit(i).alias("place"), F.when(col(c).isNotNull(), F.pmod(F.xxhash64(col(c).cast("string")), F.lit(_BUCKETS))).alias("bucket"))
+        for c, i in places.items()
+    ]
+    buckets = rows.select(F.inline(F.array(*hashed))).groupBy("place", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    totals = buckets.groupBy("place").agg(F.sum("n").alias("total"))  # a row for each column
+    full = (
+        buckets.join(F.broadcast(totals), "place")
+        .filter(F.col("bucket").isNotNull() & (F.col("n") > F.col("total") / _partitions(rows)))
+        .collect()
+    )
+    if not full:
+        return rows.sparkSession.createDataFrame([], "column string, value string, parts int")
+    names = list(columns)
+    searched = F.lit(False)
+    for column in sorted({names[r.place] for r in full}):
+        mine = [r.bucket for r in full if names[r.place] == column]
+        searched = searched | ((F.col("column") == column) & bucket.isin(*mine))
+    total = F.create_map(*[F.lit(x) for r in {(r.place, r.total) for r in full} for x in (names[r[0]], r[1])])
+    counts = rows.select(F.inline(cells)).filter(F.col("value").isNotNull() & searched)
+    counts = counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    share = total[F.col("column")] / _partitions(rows)
+    hot = counts.filter(F.col("n") > share).select(
+        "column", "value", F.ceil(_PARTS * F.col("n") / share).cast("int").alias("parts")
     )
     return materialise(hot, "hot-values")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyward.fixed_values import UNKNOWN
 from tallyward.operators.attach import attach
+from tallyward.session import materialise
 
 
 class Split(NamedTuple):
@@ -56,6 +57,17 @@ def fk_flag(df: DataFrame, column: str, dim: DataFrame, key: str, flag: str) ->
     return found.withColumn(flag, F.col(column).isNotNull() & F.col("_found").isNull()).drop("_found")
 
 
+def missing_references(df: DataFrame, column: str, dim: DataFrame, key: str) -> DataFrame:
+    """The written distinct values of a column that are missing from ``dim``.
+
+    Values fold before they shuffle. ``df`` is read once for this, so it should be written if it is dear;
+    the result is small where few references are wrong, and its size is known.
+    """
+    values = df.select(F.col(column).alias("_value")).filter("_value is not null").distinct()
+    missing = values.join(dim.select(F.col(key).alias("_key")), F.col("_value") == F.col("_key"), "left_anti")
+    return materialise(missing, "missing-references")
+
+
 def fk_split(df: DataFrame, column: str, dim: DataFrame, key: str) -> Split:
     """Rows whose reference exists (or is NULL), and the orphans."""
     return _split(fk_flag(df, column, dim, key, "_orphan"), "_orphan")

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from tallyward.operators.attach import attach, hot_values
 from tallyward.operators.dimensions import dense_keys, lookup, with_unknown
+from tallyward.operators import attach as attaching
 from tallyward.operators import paging
 from tallyward.operators.paging import page
 from tallyward.operators.quality import (
     count_violations,
     fk_flag,
     fk_split,
+    missing_references,
     pk_violations,
     split_on_pk,
     tag,
@@ -202,3 +204,22 @@ def test_a_page_writes_nothing_and_reads_keys_first(spark, monkeypatch, tmp_path
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(k" in plan and "Exchange" not in plan.split("TakeOrdered")[0]
     assert [r.k for r in result.collect()] == list(range(3000, 3020))
+
+
+def test_hot_values_equal_counts_and_single_values_are_not_grouped(spark, monkeypatch):
+    rows = spark.range(1000).select(
+        F.col("id").alias("single"),
+        F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 5 > 0, F.col("id")).alias("skewed"),
+    )
+    written = []
+    monkeypatch.setattr(attaching, "materialise", lambda df, label: written.append(label) or df)
+    assert attaching.hot_values(rows, ["single"]).collect() == [] and written == []
+    hot = attaching.hot_values(rows, ["single", "skewed"]).collect()
+    assert [tuple(r) for r in hot] == [("skewed", "7", 33)] and written == ["hot-values"]
+
+
+def test_missing_references(spark):
+    rows = spark.createDataFrame([(1,), (1,), (2,), (2,), (3,), (None,)], "place int")
+    dim = spark.createDataFrame([(1,), (1,), (None,)], "code int")
+    found = missing_references(rows, "place", dim, "code").collect()
+    assert sorted(r[0] for r in found) == [2, 3]

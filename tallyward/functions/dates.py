@@ -23,11 +23,15 @@ def _shape(fmt: str) -> str:
 
 
 def parse_date(c: Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """The first format that reads the trimmed text; NULL when none does.
+    """The first format that reads the trimmed text; NULL when none does."""
+    return trimmed_date(strip(c), formats)
+
+
+def trimmed_date(text: Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
+    """The same of a text without white space at its ends.
 
     The shape test comes first, since a failed parse costs an exception per row.
     """
-    text = strip(c)
     return F.coalesce(
         *[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats]
     )

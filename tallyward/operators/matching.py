@@ -307,14 +307,18 @@ def canonical_map(
 
 
 def apply_map(
-    rows: DataFrame, column: str, mapping: DataFrame, score_column: str | None = None
+    rows: DataFrame,
+    column: str,
+    mapping: DataFrame,
+    score_column: str | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Replace ``column`` by its entry in a mapping; values without one stay as they are.
 
     The mapping is a written table of known size: the planner broadcasts a small one, and the
-    rows do not shuffle.
+    rows do not shuffle. ``hot`` are the column's hot values, if they are known.
     """
-    joined = attach(rows, column, mapping, "value", {"_entry": "entry", "_score": "score"})
+    joined = attach(rows, column, mapping, "value", {"_entry": "entry", "_score": "score"}, hot)
     joined = joined.withColumn(column, F.coalesce("_entry", column))
     if score_column:
         joined = joined.withColumn(score_column, F.col("_score"))

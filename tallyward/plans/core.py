@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward import fixed_values as fx
-from tallyward.functions.dates import parse_date
+from tallyward.functions.dates import trimmed_date
 from tallyward.functions.numbers import (
     blank_to_null,
     drop_check_digit,
@@ -16,10 +16,11 @@ from tallyward.functions.numbers import (
     not_an_int,
     strict_int,
 )
-from tallyward.functions.text import clean_text, default_code, leading_code
+from tallyward.functions.text import clean_text, default_code, known_text, leading_code, strip_ends
+from tallyward.operators.attach import attach, fits_broadcast, hot_values
 from tallyward.operators.dimensions import dense_keys, with_unknown
 from tallyward.operators.matching import apply_map, canonical_map
-from tallyward.operators.quality import Split, fk_flag, split_on_pk, tag, too_long
+from tallyward.operators.quality import Split, missing_references, split_on_pk, tag, too_long
 from tallyward.operators.shape import subset
 from tallyward.session import materialise
 
@@ -52,22 +53,27 @@ def disease(stage: DataFrame) -> DataFrame:
 
 
 def clean_incidents(stage: DataFrame) -> DataFrame:
-    """The fact columns that exist, cleaned; one projection, no shuffle.
+    """The fact columns that exist, cleaned; no shuffle.
+
+    A text that several tests look at is a column of a projection below them, so it is made once.
 
     ``_bad_place`` and ``_bad_activity`` mark texts that should hold an integer and do not.
     """
     place, activity = "municipio_empregador", "cnae_empregador_codigo"
     fact = subset(stage, fx.CORE_INCIDENT.names)
     kinds = dict(fact.dtypes)
-    cleaned = {c: clean_text(F.col(c)) for c in fx.INCIDENT_TEXTS if c in kinds}
-    cleaned |= {c: parse_date(F.col(c)) for c in fx.INCIDENT_DATES if c in kinds}
+    texts = [c for c in fx.INCIDENT_TEXTS if c in kinds]
+    dates = [c for c in fx.INCIDENT_DATES if c in kinds]
+    fact = fact.withColumns({c: F.trim(F.col(c).cast("string")) for c in (*texts, *dates)})
+    fact = fact.withColumns({c: F.upper(strip_ends(F.col(c))) for c in texts} | {c: strip_ends(F.col(c)) for c in dates})
+    cleaned = {c: known_text(F.col(c)) for c in texts} | {c: trimmed_date(F.col(c)) for c in dates}
     if kinds.get(activity) == "string":
         cleaned[activity] = blank_to_null(F.col(activity))
     fact = fact.withColumns(cleaned)
     marks = {"_bad_place": F.lit(False), "_bad_activity": F.lit(False)}
     if place in kinds:
-        code = strict_int(default_code(leading_code(F.col(place))))
-        fact = fact.withColumn(place, code)
+        for step in (leading_code, default_code, strict_int):
+            fact = fact.withColumn(place, step(F.col(place)))
         marks["_bad_place"] = F.col(place).isNull()
     if kinds.get(activity) == "string":
         marks["_bad_activity"] = not_an_int(F.col(activity))
@@ -86,25 +92,31 @@ def incidents(
 ) -> DataFrame:
     """The incident fact with a ``violations`` array (empty for rows that may load).
 
-    ``protected=()`` also matches the unknown word against the dictionaries.
+    ``protected=()`` also matches the unknown word against the dictionaries. Rows are cleaned once and
+    written; what the mappings, the reference check and the joins read of them are columns of that.
     """
     protected = tuple(protected)
-    fact = clean_incidents(stage)
+    fact = materialise(clean_incidents(stage), "cleaned")
     dictionaries = {
         "agente_causador_acidente": (agent_dim, "agente_descricao"),
         "natureza_lesao": (nature_dim, "natureza_descricao"),
     }
-    # Each mapping reads one column of the stage; only then are the rows joined, once.
+    # Each mapping reads one column of the cleaned rows; only then are they joined, once.
     mappings = {
         column: canonical_map(fact, column, dim, text, cutoff=cutoff, protected=protected)
         for column, (dim, text) in dictionaries.items()
         if column in fact.columns
     }
+    place = "municipio_empregador"
+    nowhere = missing_references(fact, place, municipality_dim, "municipio_ibge_codigo")
+    nowhere = nowhere.withColumn("_found", F.lit(True))
+    # Hot values are looked for before any join, in all columns whose side is large.
+    large = [c for c, side in {**mappings, place: nowhere}.items() if not fits_broadcast(side)]
+    hot = hot_values(fact, large) if large else None
     for column, mapping in mappings.items():
-        fact = apply_map(fact, column, mapping)
-    fact = fk_flag(
-        fact, "municipio_empregador", municipality_dim, "municipio_ibge_codigo", "_no_place"
-    )
+        fact = apply_map(fact, column, mapping, hot=hot)
+    fact = attach(fact, place, nowhere, "_value", {"_no_place": "_found"}, hot)
+    fact = fact.withColumn("_no_place", F.col("_no_place").isNotNull())
     rules = {
         f"{column} too long": too_long(F.col(column), limit)
         for column, limit in fx.CORE_MAX_LENGTHS.items()

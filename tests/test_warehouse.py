@@ -7,6 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward import fixed_values as fx
+from tallyward.functions.dates import parse_date
+from tallyward.functions.numbers import municipality_code
+from tallyward.functions.text import clean_text
 from tallyward.plans import core, staging, warehouse
 from tallyward.plans.star import incident_star
 from tallyward.session import work_folder
@@ -280,3 +283,37 @@ def test_star_keeps_every_row_once(spark):
         unknown = fx.UNKNOWN
         assert got == sorted([(2, 5, "P", "D"), (2, 0, unknown, unknown), (0, 5, unknown, unknown), (2, 5, "P", "D")])
     assert incident_star(fact.limit(0), places, agents, natures, diseases).isEmpty()
+
+
+def test_incidents_are_cleaned_once(spark):
+    """Also ends that are no blanks, and codes, are read as the plain functions read them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    texts = [" escada movel ", " Prensa ", "\tnan\n", "", "  ", None, "é", "Serra　", "31/02/2025", "\x1c05/1/2025 "]
+    rows = spark.createDataFrame(
+        [(t, t, t, p) for t, p in zip(texts, ["1-a", " 2 -b", " 3-c", "x", None, "nan", "4", "5-", "1-a", "99-z"])],
+        "agente_causador_acidente string, sexo string, data_acidente string, municipio_empregador string",
+    )
+    stage = rows.withColumn("agente_causador_acidente", counted("agente_causador_acidente"))
+    places = spark.createDataFrame([(i, str(i)) for i in range(6)], "municipio_ibge_codigo int, municipio_ibge_descricao string")
+    agents = spark.createDataFrame([(a.upper(),) for a in AGENTS], "agente_descricao string")
+    natures = spark.createDataFrame([(n.upper(),) for n in NATURES], "natureza_descricao string")
+    got = core.incidents(stage, places, agents, natures).collect()
+    assert seen.value == len(texts)
+    want = rows.select(
+        clean_text(F.col("sexo")).alias("sexo"),
+        parse_date(F.col("data_acidente")).alias("data_acidente"),
+        municipality_code(F.col("municipio_empregador")).alias("place"),
+    ).collect()
+
+    def order(found):
+        return sorted(map(str, found))
+
+    assert order((r.sexo, r.data_acidente, r.municipio_empregador) for r in got) == order(map(tuple, want))
+    wrong = "municipio_empregador not in municipio"
+    assert [r.municipio_empregador for r in got if wrong in r.violations] == [99]

@@ -15,13 +15,9 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE_SPACE))
 
 
-def strip_ends(c: Column) -> Column:
-    """The same as ``strip``, faster where printable ASCII stands at both ends of most texts.
-
-    Looks at ``c`` several times, so it should be a column, best one without blanks at its ends.
-    """
-    plain = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
-    return F.when(plain, c).otherwise(strip(c))
+def upper_text(c: Column) -> Column:
+    """Trimmed upper-case text."""
+    return F.upper(strip(c.cast("string")))
 
 
 def known_text(text: Column) -> Column:
@@ -31,7 +27,7 @@ def known_text(text: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Trimmed upper-case text; empty, missing and unclassified become the unknown word."""
-    return known_text(F.upper(strip(c.cast("string"))))
+    return known_text(upper_text(c))
 
 
 def missing_to_null(c: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:

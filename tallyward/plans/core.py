@@ -16,7 +16,7 @@ from tallyward.functions.numbers import (
     not_an_int,
     strict_int,
 )
-from tallyward.functions.text import clean_text, default_code, known_text, leading_code, strip_ends
+from tallyward.functions.text import clean_text, default_code, known_text, leading_code, strip, upper_text
 from tallyward.operators.attach import attach, fits_broadcast, hot_values
 from tallyward.operators.dimensions import dense_keys, with_unknown
 from tallyward.operators.matching import apply_map, canonical_map
@@ -64,8 +64,7 @@ def clean_incidents(stage: DataFrame) -> DataFrame:
     kinds = dict(fact.dtypes)
     texts = [c for c in fx.INCIDENT_TEXTS if c in kinds]
     dates = [c for c in fx.INCIDENT_DATES if c in kinds]
-    fact = fact.withColumns({c: F.trim(F.col(c).cast("string")) for c in (*texts, *dates)})
-    fact = fact.withColumns({c: F.upper(strip_ends(F.col(c))) for c in texts} | {c: strip_ends(F.col(c)) for c in dates})
+    fact = fact.withColumns({c: upper_text(F.col(c)) for c in texts} | {c: strip(F.col(c)) for c in dates})
     cleaned = {c: known_text(F.col(c)) for c in texts} | {c: trimmed_date(F.col(c)) for c in dates}
     if kinds.get(activity) == "string":
         cleaned[activity] = blank_to_null(F.col(activity))

@@ -1,20 +1,19 @@
 """Line dedup: lines that differ by a few edits, found by a segment-partition join.
 
-Only DataFrame functions are used. A line that may have ``t`` edits is cut into ``t + 1`` segments:
-one of them is untouched in any line within that distance. Segments are indexed by line length,
-number and content; every line probes the lengths up to its own with the few substrings that the
-edits left and right of a segment allow. Candidates are verified by a bit-parallel edit distance
-within the band of the threshold.
+Only DataFrame functions are used. A line that may have ``t`` edits has ``t + 1`` segments, placed
+from its start and from its end: one of them is untouched in any line within that distance, and
+hardly moved (see ``segment_keys``). Segments are indexed by a step of the line's length, number and
+content. Candidates are verified by an edit distance within the band of the threshold.
 
 Many lines may share a segment and little else. Those that did not end in one class are indexed again
-by all but ``t`` of several parts, since ``t`` edits are in ``t`` parts at most; of those that meet
-there, only lines that have nearly as many of each of a few letters are compared.
+by a segment and counts of a few letters: ``t`` edits change these by ``2 t`` in all, so of
+``2 t + 1`` groups of counts one is the same. Of lines that meet there, only those whose counts are as
+close as that are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import combinations, groupby, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +23,14 @@ from tallyward.llm.text import fresh
 from tallyward.session import materialise
 
 LENGTHS = (20, 60, 240)  # characters from which a line may have one, two, three edits; shorter ones must be equal
-PARTS = (8, 6, 5)  # of which one, two, three are left out
-COUNTED = "etaoinsrhldu "  # characters that are counted in each line: an edit changes two of the counts at most
-
-Way = tuple[tuple[int, int], ...]  # parts of a line, and how far each may have moved in a longer one
+STEPS = (8, 16, 16)  # of lengths that are indexed alike, with one, two, three edits
+COUNTED = "etaoinsrhlduc "  # characters that are counted in each half of a line
+WORDS = ("w0", "w1", "w2", "w3")  # long integers of seven counts, seven bits each in a byte
+LANES = (  # bytes of all words together, of which one group at least is the same after one, two, three edits
+    ((0, 1), (2, 3), (4, 5, 6)),
+    ((0,), (1,), (2,), (3, 4), (5, 6)),
+    ((0,), (1,), (2,), (3,), (4,), (5,), (6,)),
+)
 
 
 def allowed_edits(length: Column, lengths: Sequence[int]) -> Column:
@@ -44,174 +47,148 @@ def measured(line: Column) -> list[Column]:
 
 
 def segment_keys(lengths: Sequence[int]) -> Column:
-    """Keys of a ``measured`` line's own segments and of its probes for the shorter lines within reach."""
-
-    def probes(edits: int, less: int) -> list[Way]:
-        ways = []
-        for i in range(edits + 1):
-            right = edits - i  # edits that may lie behind the segment, as many as i before it
-            for shift in range(max(-i, less - right), min(i, less + right) + 1):
-                if less or shift >= 0:  # of two lines of one length, one probes the other
-                    ways.append(((i, shift),))
-        return ways
-
-    return _keys(probes, lengths, [edits + 1 for edits in range(1, len(lengths) + 1)])
+    """Keys of a ``measured`` line's segments, for its own length and for the shorter lines within reach."""
+    return F.flatten(F.transform(_steps(lengths), lambda step: F.transform(step["keys"], lambda k: k["key"])))
 
 
 def part_keys(lengths: Sequence[int]) -> Column:
-    """Keys of a ``measured`` line without some of its parts, and of its probes for the shorter lines
-    within reach."""
-    return _keys(lambda edits, less: _left_parts(PARTS[edits - 1], edits, less), lengths, PARTS)
+    """Keys of a ``measured`` line's segments, each with a group of counts."""
+    return F.transform(_narrow_keys(lengths), lambda k: k["key"])
 
 
-def _keys(probes: Callable[[int, int], list[Way]], lengths: Sequence[int], counts: Sequence[int]) -> Column:
-    """A key for each way to look for a line that is shorter by ``less``, if ``edits`` are allowed at its
-    length: of that length, which parts are looked at, and what they hold. Ways without shifts for
-    ``less = 0`` are the line's own keys.
+def _steps(lengths: Sequence[int]) -> Column:
+    """For each step of lengths that a ``measured`` line is indexed with: its least length ``least``, the
+    ``edits`` allowed, whether it is the line's ``own``, and ``keys`` with ``place`` and ``key``.
 
-    The filter, which passes all, keeps Spark from compiling the many expressions into one method that is
-    too large for the JVM to make fast.
+    Two lines meet in the step of the shorter one: a longer one is indexed with each step that its
+    length less the edits reaches into, which are two at most.
+
+    With ``t`` edits the segments are ``t + 1`` parts of the least length of the step, so they do not
+    overlap; the first half is placed from the line's start, the others from its end. If the outer
+    ones have an edit each, at most ``t - 2`` are left for the inner ones, and for ``t`` up to three one
+    inner segment is untouched with at most one edit between it and its end of the line. So it has
+    moved by one at most: leaving out its last and its first character tells both cases.
     """
-    lists = ["cast(array() as array<bigint>)"]
-    for edits, count in zip(range(1, len(lengths) + 1), counts):
-        for less in range(edits + 1):
-            length, ways = f"(size - {less})", probes(edits, less)
-            upper = f"and {length} < {lengths[edits]}" if edits < len(lengths) else ""
-            of_bytes, of_text = (
-                ", ".join(_key(way, length, count, piece) for way in ways)
-                for piece in ("substring(ascii_bytes, {}, {})", "cast(substring(line, {}, {}) as binary)")
-            )
-            lists.append(
-                f"case when {length} >= {lengths[edits - 1]} {upper} then"
-                f" if(ascii_bytes is null, array({of_text}), array({of_bytes})) else array() end"
-            )
-    return F.filter(F.expr(f"concat({', '.join(lists)})"), lambda key: key.isNotNull())
-
-
-def _key(way: Way, length: str, count: int, piece: str) -> str:
-    """SQL of one key; neighbouring parts are one piece."""
-    pieces = []
-    for _, together in groupby(enumerate(way), lambda p: p[1][0] - p[0]):
-        parts = [p for _, p in together]
-        start, end = (f"({length} * {i} div {count})" for i in (parts[0][0], parts[-1][0] + 1))
-        pieces.append(piece.format(f"int({start} + {1 + parts[0][1]})", f"int({end} - {start})"))
-    names = ",".join(str(i) for i, _ in way)
-    return f"xxhash64({length}, '{names}', {', '.join(pieces)})"
-
-
-def _left_parts(count: int, edits: int, less: int) -> list[Way]:
-    """The ways to leave out ``edits`` of ``count`` parts of a line: each part that is left, and how far it
-    may have moved in a line that is longer by ``less``."""
-    ways = set()
-    for out in combinations(range(count), edits):
-        for grown in product(range(-edits, edits + 1), repeat=edits):
-            if sum(grown) == less and sum(abs(g) for g in grown) <= edits:
-                moved = dict(zip(out, grown))
-                shifts = [sum(g for part, g in moved.items() if part < i) for i in range(count)]
-                ways.add(tuple((i, shifts[i]) for i in range(count) if i not in moved))
-    return sorted(ways)
-
-
-def _counts(line: Column) -> Column:
-    """A line's size and how often it has each of a few characters."""
-    each = [F.length(line) - F.length(F.translate(line, c, "")) for c in COUNTED]
-    return F.struct(F.length(line).alias("size"), *[n.alias(f"n{i}") for i, n in enumerate(each)])
-
-
-def _near_counts(lengths: Sequence[int]) -> Callable[[Column, Column], Column]:
-    """Whether lines with these counts can be as close as their lengths allow."""
-
-    def admit(a: Column, b: Column) -> Column:
-        apart = sum((F.abs(a[f"n{i}"] - b[f"n{i}"]) for i in range(len(COUNTED))), F.lit(0))
-        return apart <= 2 * allowed_edits(F.least(a["size"], b["size"]), lengths)
-
-    return admit
-
-
-def common_prefix(a: Column, b: Column) -> Column:
-    """How many characters two texts begin with in common, by ever smaller steps."""
-    shorter = F.least(F.length(a), F.length(b))
-
-    def longer(done: Column, step: Column) -> Column:
-        fits = done + step <= shorter
-        same = F.substring(a, done + 1, step) == F.substring(b, done + 1, step)
-        return F.when(fits & same, done + step).otherwise(done)
-
-    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(27, -1, -1)]), F.lit(0), longer)
+    steps = []
+    for edits, least in enumerate(lengths, 1):
+        width = STEPS[edits - 1]
+        most = f"least(size, {lengths[edits] - 1})" if edits < len(lengths) else "size"
+        reached = f"greatest(size - {edits}, {least})"
+        own, low = (f"({least} + ({n} - {least}) div {width} * {width})" for n in (most, reached))
+        there = f"{most} >= {reached}"
+        steps.append(_step(own, edits, f"{there}", f"size = {most}"))
+        steps.append(_step(low, edits, f"{there} and {low} < {own}", "false"))
+    # The filter keeps Spark from compiling the many expressions into one method that is too large
+    # for the JVM to make fast.
+    return F.filter(F.expr(f"array({', '.join(steps)})"), lambda step: step.isNotNull())
+
+
+def _step(least: str, edits: int, there: str, own: str) -> str:
+    of_bytes, of_text = (
+        ", ".join(_segments(least, edits, piece))
+        for piece in ("substring(ascii_bytes, {}, {})", "cast(substring(line, {}, {}) as binary)")
+    )
+    keys = f"if(ascii_bytes is null, array({of_text}), array({of_bytes}))"
+    return (
+        f"case when {there} then named_struct('least', int({least}), 'edits', {edits}, 'own', {own},"
+        f" 'keys', {keys}) end"
+    )
 
 
-def edits_within(a: Column, b: Column, threshold: int) -> Column:
-    """True if two texts are at most ``threshold`` edits apart, for ``len(a) <= len(b)``.
+def _segments(least: str, edits: int, piece: str) -> list[str]:
+    keys = []
+    for i in range(edits + 1):
+        begin, end = (f"int({least} * {k} div {edits + 1})" for k in (i, i + 1))
+        if 2 * i > edits:  # placed from the end
+            begin, end = (f"(size - int({least}) + {at})" for at in (begin, end))
+        moves = min(i, edits - i)
+        for move in range(moves + 1):
+            part = piece.format(f"{begin} + {1 + move}", f"{end} - {begin} - {moves}")
+            keys.append(f"named_struct('place', {i}, 'key', xxhash64({least}, {i}, {part}))")
+    return keys
+
+
+def _mask(lanes: Sequence[int], byte: int) -> int:
+    return sum(byte << (8 * lane) for lane in lanes)
+
+
+def _narrow_keys(lengths: Sequence[int]) -> Column:
+    """``key`` and ``about`` of a ``measured`` line's segments, each with each group of its counts."""
+
+    def with_counts(step: Column) -> Column:
+        return _let(F.struct(step.alias("step"), _counts(step["least"]).alias("n")), expanded)
+
+    def expanded(p: Column) -> Column:
+        by_edits = F.lit(None)
+        for edits in range(1, len(lengths) + 1):
+            keys = F.flatten(F.array(*[one_group(p, edits, g) for g in range(2 * edits + 1)]))
+            by_edits = F.when(p["step"]["edits"] == edits, keys).otherwise(by_edits)
+        return by_edits
+
+    def one_group(p: Column, edits: int, g: int) -> Column:
+        groups, own = LANES[edits - 1], p["step"]["own"]
+        counts = [p["n"][w].bitwiseAND(F.lit(_mask(groups[g], 0x7F))) for w in WORDS]
+        before = _mask([lanes[0] for lanes in groups[:g] if len(lanes) == 1], 0x80)
+        about = [F.lit(edits).alias("edits"), own.alias("own"), F.lit(before).cast("long").alias("before")]
+        about = F.struct(*about, *[p["n"][w].alias(w) for w in WORDS])
+        return F.transform(
+            p["step"]["keys"], lambda k: F.struct(F.xxhash64(k["key"], F.lit(g), *counts).alias("key"), about.alias("about"))
+        )
+
+    return F.flatten(F.transform(_steps(lengths), with_counts))
+
+
+def _counts(least: Column) -> Column:
+    """How often a ``measured`` line has each of a few characters in its first and in its last half of
+    ``least`` characters, modulo 128, packed into ``WORDS``."""
+    half = F.floor(least / 2).cast("int")
+    first = F.substring(F.col("line"), F.lit(1), half)
+    last = F.substring(F.col("line"), F.col("size") - half + 1, half)
 
-    What both begin and end with is cut off first. The column of the edit matrix is two bit
-    vectors, of steps up and of steps down, that cover only the ``2 * threshold + 1`` rows around
-    the diagonal and move down by one row each time, until the score cannot come back.
+    def packed(halves: Column) -> Column:
+        words = []
+        for i, name in enumerate(WORDS):
+            half, seven = halves["first" if i < 2 else "last"], COUNTED[7 * (i % 2) : 7 * (i % 2) + 7]
+            word = F.lit(0).cast("long")
+            for lane, c in enumerate(seven):
+                left = F.length(F.replace(half, F.lit(c), F.lit("")))
+                n = (F.length(half) - left).bitwiseAND(127).cast("long")
+                word = word.bitwiseOR(F.shiftleft(n, 8 * lane))
+            words.append(word.alias(name))
+        return F.struct(*words)
+
+    return _let(F.struct(first.alias("first"), last.alias("last")), packed)
+
+
+def _apart(a: Column, b: Column) -> Column:
+    """At most how much two lines' counts differ in all, by seven at once.
+
+    In each byte it is the way around the circle of 128, whichever is shorter. The bytes' sum is
+    taken modulo 255, so it is never too large.
     """
+    low, one, top = (F.lit(_mask(range(7), byte)) for byte in (0x7F, 0x01, 0x80))
 
-    def without_start(p: Column) -> Column:
-        x, y = F.substring(p["a"], p["n"] + 1, F.length(p["a"])), F.substring(p["b"], p["n"] + 1, F.length(p["b"]))
-        tail = common_prefix(F.reverse(x), F.reverse(y))
-        return F.struct(x.alias("a"), y.alias("b"), tail.alias("n"))
-
-    def without_end(p: Column) -> Column:
-        x = F.substring(p["a"], F.lit(1), F.length(p["a"]) - p["n"])
-        y = F.substring(p["b"], F.lit(1), F.length(p["b"]) - p["n"])
-        return F.struct(x.alias("a"), y.alias("b"))
-
-    whole = F.struct(a.alias("a"), b.alias("b"), common_prefix(a, b).alias("n"))
-    middle = _let(whole, lambda p: _let(without_start(p), without_end))
-    close = _let(middle, lambda p: _banded(p["a"], p["b"], threshold))
-    return F.when(F.length(b) - F.length(a) > threshold, False).otherwise(close)
-
-
-def _banded(a: Column, b: Column, threshold: int) -> Column:
-    width = 2 * threshold + 1
-    full = (1 << width) - 1
-    m, n = F.length(a), F.length(b)
-
-    def run(x: Column, y: Column) -> Column:
-        def step(state: Column, j: Column) -> Column:
-            c = F.get(y, j - 1)
-            equal = [
-                F.when(F.get(x, j - threshold + k - 1) == c, F.lit(1 << k)).otherwise(F.lit(0))
-                for k in range(width)
-            ]
-            match = equal[0]
-            for e in equal[1:]:
-                match = match.bitwiseOR(e)
-            # Along the last row the score falls by one in each of the few columns left at most.
-            moved = _let(F.struct(match.alias("pm"), state.alias("s"), j.alias("j")), column)
-            return F.when(state["score"] > 2 * threshold + n - m, state).otherwise(moved)
-
-        def column(v: Column) -> Column:
-            pm, up, down = v["pm"], v["s"]["up"], v["s"]["down"]
-            flat = (pm.bitwiseAND(up) + up).bitwiseXOR(up).bitwiseOR(pm).bitwiseOR(down).bitwiseAND(F.lit(full))
-            return _let(F.struct(flat.alias("d0"), v.alias("v")), finish)
-
-        def finish(w: Column) -> Column:
-            flat, v = w["d0"], w["v"]
-            up, down, j, score = v["s"]["up"], v["s"]["down"], v["j"], v["s"]["score"]
-            right = down.bitwiseOR(F.lit(full) - flat.bitwiseOR(up))
-            left = up.bitwiseAND(flat)
-            half = F.shiftright(flat, 1)
-            # Down the lowest diagonal until the last row, then along that row.
-            bit = F.lit(full + 1) / F.lit(2)
-            low = F.when(flat.bitwiseAND(bit.cast("int")) == 0, 1).otherwise(0)
-            row = F.pow(F.lit(2), m - j + threshold).cast("int")
-            along = F.when(right.bitwiseAND(row) != 0, 1).otherwise(0) - F.when(left.bitwiseAND(row) != 0, 1).otherwise(0)
-            return F.struct(
-                left.bitwiseOR(F.lit(full) - half.bitwiseOR(right)).alias("up"),
-                half.bitwiseAND(right).alias("down"),
-                (score + F.when(j <= m - threshold, low).otherwise(along)).alias("score"),
-            )
-
-        start = F.struct(
-            F.lit(full - ((1 << threshold) - 1)).alias("up"), F.lit(0).alias("down"), F.lit(threshold).alias("score")
-        )
-        return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["score"] <= threshold)
+    def word(x: Column, y: Column) -> Column:
+        minus = x.bitwiseOR(top) - y
+        far = F.shiftright(minus, 6).bitwiseAND(one)
+        return (minus.bitwiseXOR(F.shiftleft(far, 7) - far).bitwiseAND(low) + far) % 255
 
-    banded = _let(F.split(a, ""), lambda x: _let(F.split(b, ""), lambda y: run(x, y)))
-    return F.when(m <= threshold, F.levenshtein(a, b) <= threshold).otherwise(banded)
+    return sum((word(a[w], b[w]) for w in WORDS[1:]), word(a[WORDS[0]], b[WORDS[0]]))
+
+
+def _near_counts(a: Column, b: Column) -> Column:
+    """Whether of two lines that meet the shorter one is in its own step, their counts are as close as
+    the edits allow, and they did not meet by an earlier group of one byte."""
+    differ = a[WORDS[0]].bitwiseXOR(b[WORDS[0]])
+    for w in WORDS[1:]:
+        differ = differ.bitwiseOR(a[w].bitwiseXOR(b[w]))
+    new = (differ + F.lit(_mask(range(7), 0x7F))).bitwiseAND(a["before"]) == a["before"]
+    return (a["own"] | b["own"]) & (_apart(a, b) <= 2 * a["edits"]) & new
+
+
+def edits_within(a: Column, b: Column, threshold: int) -> Column:
+    """True if two texts are at most ``threshold`` edits apart; computed only within that band."""
+    return F.levenshtein(a, b, threshold) >= 0
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -246,7 +223,7 @@ def dedup_lines(
     treated alike, so both keep a first line. A null text stays null and has no lines. Columns with
     the names of new ones are replaced.
     """
-    if len(lengths) > len(PARTS) or list(lengths) != sorted(lengths) or any(n < 16 for n in lengths):
+    if len(lengths) > len(STEPS) or list(lengths) != sorted(lengths) or any(n < 16 for n in lengths):
         raise ValueError("lengths must be at most three, ascending, from 16 on")
     new = ("n_lines", "n_removed", "removed")
     docs = docs.drop(*new)
@@ -265,13 +242,13 @@ def dedup_lines(
     wanted = materialise(shared.select("node").distinct(), "wanted")
     lines = found.select(node.alias("node"), "line").join(wanted, "node", "left_semi")
     lines = lines.groupBy("node").agg(F.min("line").alias("line"))
-    lines = materialise(lines.select("node", "line", _counts(F.col("line")).alias("about")), "line-texts")
+    lines = materialise(lines, "line-texts")
 
     def narrow(nodes: DataFrame) -> DataFrame:
-        apart = lines.join(nodes, "node", "left_semi").select("node", "about", *measured(F.col("line")))
-        return apart.select(F.explode(part_keys(lengths)).alias("key"), "node", "about")
+        apart = lines.join(nodes, "node", "left_semi").select("node", *measured(F.col("line")))
+        return apart.select("node", F.explode(_narrow_keys(lengths)).alias("k")).select("k.key", "node", "k.about")
 
-    labels = link(shared, lambda pairs: _verify(pairs, lines, lengths), narrow, _near_counts(lengths))
+    labels = link(shared, lambda pairs: _verify(pairs, lines, lengths), narrow, _near_counts)
 
     classes = firsts.join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     heads = classes.groupBy("class").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")
@@ -295,9 +272,9 @@ def dedup_lines(
 
 def _verify(pairs: DataFrame, lines: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """The pairs of lines that are close enough."""
-    left = lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("about").alias("xa"))
-    right = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("about").alias("xb"))
-    both = pairs.join(left, "a").join(right, "b").filter(_near_counts(lengths)(F.col("xa"), F.col("xb")))
+    left = lines.select(F.col("node").alias("a"), F.col("line").alias("la"))
+    right = lines.select(F.col("node").alias("b"), F.col("line").alias("lb"))
+    both = pairs.join(left, "a").join(right, "b")
     swap = F.length("la") > F.length("lb")
     short, long = F.when(swap, F.col("lb")).otherwise(F.col("la")), F.when(swap, F.col("la")).otherwise(F.col("lb"))
     allowed = allowed_edits(F.length("short"), lengths)

@@ -170,3 +170,23 @@ def test_a_column_of_a_helpers_name_stays(spark):
     docs = spark.createDataFrame([(1, line, "a"), (2, f"{line}\nrest", "b"), (3, None, "c")], "doc_id long, text string, _row string")
     got = sorted((r.doc_id, r.text, r["_row"], r.n_removed) for r in lines.dedup_lines(docs).collect())
     assert got == [(1, line, "a", 0), (2, "rest", "b", 1), (3, None, "c", 0)]
+
+
+def test_a_line_has_few_keys(spark):
+    """With up to three edits: twelve keys at most, where exact lengths took 24 for 240 characters."""
+    df = spark.createDataFrame([(n, "x" * n) for n in range(20, 300)], "n int, line string")
+    sized = df.select(*lines.measured(F.col("line"))).select("size", F.size(lines.segment_keys(lines.LENGTHS)).alias("k"))
+    found = {r["size"]: r.k for r in sized.collect()}
+    assert max(found.values()) <= 12 and found[30] == 2 and found[70] == 4 and found[250] == 6
+
+
+def test_only_lines_with_close_counts_meet(spark):
+    """Copies of a line with another word each share segments and parts, but are not compared in pairs."""
+    base = "".join(random.Random(5).choice("etaoins rhldu") for _ in range(300))
+    rows = [(n, base[: 3 * n] + chr(97 + n % 5) * 9 + base[3 * n + 9 :]) for n in range(40, 70)]
+    docs = spark.createDataFrame(rows, "n int, line string")
+    keys = docs.select("n", *lines.measured(F.col("line"))).select("n", F.explode(lines._narrow_keys(lines.LENGTHS)).alias("k"))
+    a, b = (keys.select(F.col("n").alias(c), "k.key", F.col("k.about").alias(f"about_{c}")) for c in "xy")
+    met = a.join(b, "key").filter("x < y")
+    close = met.filter(lines._near_counts(F.col("about_x"), F.col("about_y"))).select("x", "y").distinct().count()
+    assert close < met.select("x", "y").distinct().count() / 2

@@ -37,6 +37,7 @@ CHECKS = 128  # symbols of one byte in the longer signature
 MAX_LOSS = 2.5e-7  # probability that a signature loses a link at the border
 PIECE = 1 << 18  # bytes of texts handled at once: their shingles take many times that
 COUNTERS = 1 << 20  # of the shingle frequencies that are broadcast
+ID_BITS = 1 << 26  # of the ids whose texts are fetched, broadcast as at most 8 MB
 
 _SEEDS = mix(np.arange(1, CHECKS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
@@ -276,8 +277,9 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     # Texts are fetched by id, once for each set; an id that has several texts fetches them all.
     wanted = materialise(nodes.select("node", "least", "checks").join(shared, "node", "left_semi"), "wanted")
     discard(nodes)
-    ids = wanted.select(F.col("least").alias("_wanted")).distinct()
-    texts = rows.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("text")
+    ids = materialise(wanted.select(F.col("least").alias("_wanted")).distinct(), "wanted-ids")
+    some = _maybe_in(rows, "_id", ids, "_wanted")
+    texts = some.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("text")
     sets = _add_sets(texts).drop("text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     sets = materialise(sets, "sets")
     labels = link(
@@ -292,6 +294,22 @@ def _label(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     return placed.join(names, "component", "left").withColumn("name", F.coalesce("name", "_id"))
 
 
+def _maybe_in(rows: DataFrame, column: str, ids: DataFrame, wanted: str) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not among ``ids``: what meets them by id then
+    hardly shuffles other texts. The ids' bits are broadcast, a fixed number of them."""
+
+    def place(c: str) -> tuple[Column, Column]:
+        slot = F.pmod(F.xxhash64(c), F.lit(ID_BITS))
+        return F.shiftright(slot, 15).alias("bucket"), slot.bitwiseAND(32767).alias("bit")
+
+    bits = ids.select(*place(wanted)).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bits = F.broadcast(materialise(bits, "id-bits"))
+    bucket, bit = place(column)
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1
+    return rows.join(bits, bucket == F.col("bucket")).filter(is_set).select(*rows.columns)
+
+
 def deduplicate(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85
 ) -> DataFrame:

@@ -176,3 +176,10 @@ def test_a_column_of_a_helpers_name_stays(spark):
     text = " ".join(WORDS[:60])
     docs = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, None, "c")], "doc_id long, text string, _row string")
     assert sorted(tuple(r) for r in near.deduplicate(docs).select("doc_id", "_row").collect()) == [(1, "a"), (3, "c")]
+
+
+def test_other_texts_are_left_out_before_the_join(spark):
+    docs = spark.createDataFrame([(n, "a") for n in range(5000)] + [(None, "b"), (7, "c")], "_id long, text string")
+    wanted = spark.createDataFrame([(7,), (4000,), (None,)], "_wanted long")
+    left = [(r["_id"], r.text) for r in near._maybe_in(docs, "_id", wanted, "_wanted").collect()]
+    assert {(7, "a"), (7, "c"), (4000, "a"), (None, "b")} <= set(left) and len(left) < 50

@@ -85,14 +85,12 @@ def _steps(lengths: Sequence[int]) -> Column:
 
 def _step(least: str, edits: int, there: str, own: str) -> str:
     of_bytes, of_text = (
-        ", ".join(_segments(least, edits, piece))
+        ", ".join(_segments("v", edits, piece))
         for piece in ("substring(ascii_bytes, {}, {})", "cast(substring(line, {}, {}) as binary)")
     )
     keys = f"if(ascii_bytes is null, array({of_text}), array({of_bytes}))"
-    return (
-        f"case when {there} then named_struct('least', int({least}), 'edits', {edits}, 'own', {own},"
-        f" 'keys', {keys}) end"
-    )
+    step = f"named_struct('least', v, 'edits', {edits}, 'own', {own}, 'keys', {keys})"
+    return f"case when {there} then get(transform(array(int({least})), v -> {step}), 0) end"
 
 
 def _segments(least: str, edits: int, piece: str) -> list[str]:
@@ -100,7 +98,7 @@ def _segments(least: str, edits: int, piece: str) -> list[str]:
     for i in range(edits + 1):
         begin, end = (f"int({least} * {k} div {edits + 1})" for k in (i, i + 1))
         if 2 * i > edits:  # placed from the end
-            begin, end = (f"(size - int({least}) + {at})" for at in (begin, end))
+            begin, end = (f"(size - {least} + {at})" for at in (begin, end))
         moves = min(i, edits - i)
         for move in range(moves + 1):
             part = piece.format(f"{begin} + {1 + move}", f"{end} - {begin} - {moves}")

@@ -14,8 +14,8 @@ from tallyward.sources.isolation import isolate, load_stats
 from tallyward.sources.tables import append_files
 
 
-def write_delimited(df: DataFrame, path: str, sep: str) -> None:
-    df.write.csv(
+def write_delimited(df: DataFrame, path: str, sep: str, **options) -> None:
+    df.write.options(**options).csv(
         path, sep=sep, header=True, encoding="ISO-8859-1", escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

@@ -16,7 +16,7 @@ from tallyward.functions.text import clean_text
 from tallyward.operators.attach import attach, fits_broadcast, hot_values
 from tallyward.plans import core, marts, staging
 from tallyward.plans.star import incident_star
-from tallyward.session import materialise, use_all_cores, work_path
+from tallyward.session import discard, materialise, shuffles_go, use_all_cores, work_path
 from tallyward.streaming.incremental import clean_stream, incremental_incidents, load_new_files
 from tallyward.streaming.repeats import drop_stream_repeats
 
@@ -58,22 +58,28 @@ _KEYS = {
 }
 
 
-def raw_incidents(spark, folder) -> DataFrame:
+def raw_incidents(spark, folder, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Raw columns are made before the joins, on the table that has them.
 
     Customers meet the orders, which are fewer than the lines and have the same keys; then lines meet both
-    other tables, whose hot keys are found in one pass over the lines as they are read.
+    other tables, whose hot keys are found in one pass over the lines as they are read. Parts come first, since
+    they add fewer columns to what the second join shuffles. ``part=(i, n)`` gives the lines of the orders in
+    the i-th of n groups by hash; together the groups have every line once.
     """
+    tables = {name: table(spark, folder, name) for name in RAW}
+    i, n = part
+    if n > 1:
+        for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+            group = F.pmod(F.xxhash64(F.col(key).cast("double")), F.lit(n))  # equal keys of any two types agree
+            tables[name] = tables[name].filter(group == i)
     rows = {
-        name: table(spark, folder, name).select(
-            *_KEYS[name], *[F.expr(text).alias(column) for column, text in columns.items()]
-        )
+        name: tables[name].select(*_KEYS[name], *[F.expr(text).alias(column) for column, text in columns.items()])
         for name, columns in RAW.items()
     }
     ordered = {name: name for name in [*RAW["orders"], *RAW["customer"]]}
     wanted = {name: name for name in RAW["customer"]}
     orders = attach(rows["orders"], "o_custkey", rows["customer"], "c_custkey", wanted)
-    sides = {"l_orderkey": (orders, "o_orderkey", ordered), "l_partkey": (rows["part"], "p_partkey", {name: name for name in RAW["part"]})}
+    sides = {"l_partkey": (rows["part"], "p_partkey", {name: name for name in RAW["part"]}), "l_orderkey": (orders, "o_orderkey", ordered)}
     incidents = use_all_cores(rows["lineitem"])
     large = [column for column, (side, *_) in sides.items() if not fits_broadcast(side)]
     hot = hot_values(rows["lineitem"], large) if large else None
@@ -235,19 +241,42 @@ def _(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+# Above so many bytes of lines a join shuffles a part of them at a time; a fourth of them is less than what the
+# loads need beside the files.
+LINES_AT_ONCE, MOST_PARTS = 128 << 20, 4
+
+# Text files are packed, which costs little at this level, and kept so small that each is one task's work.
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000}
+
+
+def _written_incidents(spark, folder) -> DataFrame:
+    """The raw incidents, written part by part: what a join shuffles is gone before the next begins."""
+    path = work_path(spark, "raw-incidents")
+    lines = table(spark, folder, "lineitem")
+    size = int(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = max(1, min(-(-size // LINES_AT_ONCE), MOST_PARTS))
+    for i in range(n):
+        rows = raw_incidents(spark, folder, (i, n))
+        with shuffles_go(spark):
+            rows.write.parquet(f"{path}/part={i}")
+    return spark.read.schema(rows.schema).parquet(f"{path}/part=*")
+
+
 @query("incremental_incidents", _core_sql())
 def _(spark, folder):
     """The raw incidents as files in two deliveries, a load after each: the fact of one load of all."""
     root, target, progress = (work_path(spark, label) for label in ("delivered", "fact", "progress"))
-    raw = materialise(raw_incidents(spark, folder), "raw-incidents")
-    raw = raw.select(
+    raw = _written_incidents(spark, folder)
+    texts = raw.select(
         [(F.col(c) if c in _RAW_TEXT else F.lit(None)).cast("string").alias(h) for h, c in fx.INCIDENT_HEADERS.items()]
     )
     first = F.coalesce(F.col("Sexo") == "F", F.lit(False))
     places, agents, natures = (materialise(dim, "dimension") for dim in dimensions(spark, folder))
-    for delivery in (raw.filter(first), raw.filter(~first)):
-        write_delimited(delivery, f"{root}/{uuid.uuid4().hex}", ";")
-        incremental_incidents(spark, f"{root}/*", target, progress, places, agents, natures)
+    write_delimited(texts.filter(first), f"{root}/{uuid.uuid4().hex}", ";", **_PACKED)
+    incremental_incidents(spark, f"{root}/*", target, progress, places, agents, natures, names="*.csv.gz")
+    write_delimited(texts.filter(~first), f"{root}/{uuid.uuid4().hex}", ";", **_PACKED)
+    discard(raw)
+    incremental_incidents(spark, f"{root}/*", target, progress, places, agents, natures, names="*.csv.gz")
     return spark.read.parquet(f"{target}/fact").select(fx.CORE_INCIDENT.names)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyward import fixed_values as fx
 from tallyward.plans import core, staging
+from tallyward.session import discard, work_only_here
 from tallyward.sources.tables import TABLES, conform, with_defaults
 
 # Layout of the built-in file listing source; the content column is never read here.
@@ -45,9 +46,12 @@ def load_new_files(
     checkpoint: str,
     load: Callable[[list[str], int], None],
     files_per_batch: int = 1000,
+    names: str = "*.csv",
 ) -> None:
     """Call ``load(paths, batch)`` for the files that arrived since the last run.
 
+    ``names`` are those of the files; Spark's readers unpack ``*.csv.gz``, a file in one task.
+
     The stream carries file names only; ``load`` scans the files as a batch job, so headers
     go by name and faulty files are set aside just as in a full load. Spark's checkpoint
     remembers the files. A batch may be repeated after a failure, with the same number.
@@ -61,7 +65,7 @@ def load_new_files(
     (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", names)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select("path")
@@ -82,28 +86,34 @@ def incremental_incidents(
     agent_dim: DataFrame,
     nature_dim: DataFrame,
     files_per_batch: int = 1000,
+    names: str = "*.csv",
 ) -> None:
     """New incident files through stage and core into ``target``.
 
     Each batch overwrites its own sub-folder, so a repeated batch leaves no copies:
-    ``fact/batch=N``, ``violations/batch=N``, ``rejected/batch=N`` and ``stats/batch=N``.
+    ``fact/batch=N``, ``violations/batch=N``, ``rejected/batch=N`` and ``stats/batch=N``. Each written
+    step is deleted when the next one stands, so that at most two of them are there at a time.
     """
+    columns = TABLES[f"{fx.CORE}.acidente_trabalho"]
 
     def load(paths: list[str], batch: int) -> None:
-        staged = staging.incidents(spark, paths)
-        tagged = core.incidents(
-            staging.table_rows(staged), municipality_dim, agent_dim, nature_dim
-        )
-        checked = core.split_tagged(tagged)
-        columns = TABLES[f"{fx.CORE}.acidente_trabalho"]
-        # Ids of a batch follow its number, so a repeated batch has the same ones.
-        fact = conform(with_defaults(checked.valid, columns, batch << 40), columns)
-        for name, df in {
-            "fact": fact,
-            "violations": checked.violations,
-            "rejected": staged.rejected,
-            "stats": staged.stats,
-        }.items():
+        def put(name: str, df: DataFrame) -> None:
             df.write.mode("overwrite").parquet(f"{target}/{name}/batch={batch}")
 
-    load_new_files(spark, folder, checkpoint, load, files_per_batch)
+        with work_only_here(spark):
+            staged = staging.incidents(spark, paths)
+            put("rejected", staged.rejected)
+            put("stats", staged.stats)
+            tagged = core.incidents(
+                staging.table_rows(staged), municipality_dim, agent_dim, nature_dim
+            )
+            discard(staged.rows)  # the cleaned rows are written
+            checked = core.split_tagged(tagged)
+            discard(tagged)
+            put("violations", checked.violations)
+            # Ids of a batch follow its number, so a repeated batch has the same ones.
+            fact = conform(with_defaults(checked.valid, columns, batch << 40), columns)
+            discard(checked.valid)  # they are written with their places
+            put("fact", fact)
+
+    load_new_files(spark, folder, checkpoint, load, files_per_batch, names)

@@ -1,3 +1,5 @@
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -42,6 +44,33 @@ def test_only_own_tables_are_discarded(spark, tmp_path):
         gone.count()
 
 
+def test_all_tables_of_a_plan_are_discarded(spark):
+    kept, left, right = (session.materialise(spark.range(3), label) for label in ("kept", "left", "right"))
+    session.discard(left.join(right, "id"))
+    assert kept.count() == 3
+    for gone in (left, right):
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            gone.count()
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    """At the end of the job, not when the driver's memory is collected; the setting is as before."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def shuffled():
+        return {p for folder in folders for p in Path(str(folder)).rglob("shuffle_*")}
+
+    before, setting = shuffled(), spark.conf.get(session._SHUFFLES_GO)
+    rows = spark.range(1000).repartition(3, "id")
+    written = session.materialise(rows, "dealt")
+    for _ in range(50):  # executors delete them a little later
+        if not (new := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not new and spark.conf.get(session._SHUFFLES_GO) == setting
+    assert written.count() == rows.count() == 1000
+
+
 def test_work_can_be_cleared(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "work_folder", lambda _: str(tmp_path / "work"))
     session.materialise(spark.range(3), "gone")

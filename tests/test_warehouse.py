@@ -1,5 +1,6 @@
 import csv
 import datetime as dt
+import gzip
 from difflib import get_close_matches
 from pathlib import Path
 
@@ -7,13 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward import fixed_values as fx
+from tallyward.checks import warehouse as checks
 from tallyward.functions.dates import parse_date
 from tallyward.functions.numbers import municipality_code
 from tallyward.functions.text import clean_text
 from tallyward.plans import core, staging, warehouse
 from tallyward.plans.star import incident_star
-from tallyward.session import work_folder
+from tallyward.session import materialise, work_folder
 from tallyward.sources.tables import LAST_ID, TABLES, create_layers, last_id, read_table, write_table
+from tallyward.streaming import incremental
 from tallyward.streaming.incremental import incremental_incidents
 
 AGENTS = ["Escada móvel", "Serra circular, máquina", "Prensa", "Ácido sulfúrico", "Rua e estrada"]
@@ -233,6 +236,82 @@ def test_incremental_equals_batch(spark, folders, tmp_path):
     assert stats.agg(F.sum("n_read"), F.sum("n_loaded")).first() == (10, 8)
 
 
+def test_incremental_steps_go_when_the_next_one_stands(spark, folders, tmp_path, monkeypatch):
+    """Also with a faulty file; dimensions, and files that others wrote, stay. The deliveries are packed."""
+    incident_folder, dictionary_folder = folders
+    for path in Path(incident_folder).glob("*.csv"):
+        with gzip.open(f"{path}.gz", "wb") as out:
+            out.write(path.read_bytes())
+        path.unlink()
+    (tmp_path / "incidents" / "not_named.csv").write_text("x\n1\n")
+    places = materialise(
+        core.municipality(staging.table_rows(staging.municipalities(spark, dictionary_folder))).valid, "dimension"
+    )
+    agents, natures = (
+        materialise(spark.createDataFrame([(t.upper(),) for t in texts], f"{name} string"), "dimension")
+        for texts, name in ((AGENTS, "agente_descricao"), (NATURES, "natureza_descricao"))
+    )
+    before, seen = work_files(spark), {}
+
+    def watched(module, name):
+        plain = getattr(module, name)
+
+        def run(*args, **kwargs):
+            new = work_files(spark) - before
+            seen.setdefault(name, set()).update(p.relative_to(work_folder(spark)).parts[0].rsplit("-", 1)[0] for p in new)
+            return plain(*args, **kwargs)
+
+        monkeypatch.setattr(module, name, run)
+
+    watched(core, "split_tagged")
+    watched(incremental, "with_defaults")
+    target, checkpoint = str(tmp_path / "target"), str(tmp_path / "checkpoint")
+    for _ in range(2):
+        incremental_incidents(
+            spark, incident_folder, target, checkpoint, places, agents, natures, files_per_batch=2, names="*.csv.gz"
+        )
+        assert work_files(spark) == before
+        with gzip.open(f"{incident_folder}/d.csv.gz", "wb") as out:
+            write_incidents(tmp_path / "d.csv", [incident(natureza_lesao="corte")])
+            out.write((tmp_path / "d.csv").read_bytes())
+    assert "cleaned" in seen["split_tagged"] and "landed" not in seen["split_tagged"]
+    assert "checked" in seen["with_defaults"] and not {"landed", "cleaned", "mapping"} & seen["with_defaults"]
+    assert spark.read.parquet(f"{target}/fact").count() == 5
+    assert spark.read.parquet(f"{target}/violations").count() == 3
+    assert spark.read.parquet(f"{target}/rejected").count() == 2
+    stats = spark.read.parquet(f"{target}/stats")
+    assert stats.agg(F.sum("n_read"), F.sum("n_loaded")).first() == (10, 8)
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_raw_incidents_in_parts_are_all_of_them(spark, tmp_path, monkeypatch, broadcast):
+    """Keys are of two types, absent, NULL, or there twice."""
+    lines = [(k, p, s, n, "A", "O", dt.datetime(1995, 1, 1 + n)) for n, (k, p, s) in enumerate(
+        [(1, 1, 1), (1, 2, 2), (2, 1, 3), (3, None, 4), (None, 2, 5), (None, None, 6), (99, 98, 7), (4, 2, 8), (5, 1, 9), (5, 1, 9)]
+    )]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "part": ([(1, "hot bolt", "LARGE", 9, "B1"), (2, "blue ring", "SMALL", 4, "B2"), (2, "blue nut", "SMALL", 4, "B2")], "p_partkey long, p_name string, p_type string, p_size int, p_brand string"),
+        "orders": ([(k, c, "F" if k % 2 else "O", "1-URGENT", dt.datetime(1990, 2, k)) for k, c in ((1, 1), (2, 2), (3, None), (4, 7), (5, 1), (5, 2))] + [(None, 1, "F", "2-HIGH", None)], "o_orderkey int, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"),
+        "customer": ([(1, "Customer#1", "BUILDING"), (2, "Customer#2", None)], "c_custkey long, c_name string, c_mktsegment string"),
+    }
+    for name, (rows, kinds) in tables.items():
+        spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        whole = checks.raw_incidents(spark, str(tmp_path))
+        want = sorted(map(str, whole.collect()))
+        assert len(want) == 15  # one line more for each repeated key
+        parts = [sorted(map(str, checks.raw_incidents(spark, str(tmp_path), (i, 3)).collect())) for i in range(3)]
+        assert sorted(sum(parts, [])) == want and sum(map(bool, parts)) > 1
+        monkeypatch.setattr(checks, "LINES_AT_ONCE", 1)
+        written = checks._written_incidents(spark, str(tmp_path))
+        assert written.columns == whole.columns and sorted(map(str, written.collect())) == want
+        assert len({file.rsplit("/", 2)[1] for file in written.inputFiles()}) == checks.MOST_PARTS
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_the_catalog_refuses_longer_texts(spark, folders):
     """Also after a load has overwritten the tables."""
     create_layers(spark)

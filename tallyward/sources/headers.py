@@ -6,16 +6,18 @@ import csv
 import re
 from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.session import discard, materialise
 
 _NO_SEPARATOR = "\x01"  # makes the reader hand back whole lines
+_HASHES = ("_hash", "_other_hash")  # of a line
 
 
 class Layout(NamedTuple):
@@ -78,6 +80,15 @@ def _ends_in_quotes(line: Column, sep: str) -> Column:
     return odd & rest.rlike(f'(^|{sep})"')
 
 
+def _lines(spark: SparkSession, files: list[str], encoding: str) -> DataFrame:
+    """Whole lines, with two hashes that together have 128 bits."""
+    lines = spark.read.csv(
+        [literal(path) for path in files],
+        schema="line string", sep=_NO_SEPARATOR, quote="", encoding=encoding,
+    )
+    return lines.withColumns({name: F.xxhash64(F.lit(seed), F.col("line")) for seed, name in enumerate(_HASHES)})
+
+
 def layouts(
     spark: SparkSession,
     source: str | Sequence[str],
@@ -89,29 +100,31 @@ def layouts(
     """Files grouped by their column names, found in one scan of all of them.
 
     Files without any line are in no group. If all agree, the group is ``source`` itself, and no file
-    names are gathered.
+    names are gathered. The scan keeps numbers only: with texts Spark would sort every line. The text of a
+    header is then read from one of the files that begin with it.
     """
     if not files:
         return []
-    lines = spark.read.csv(
-        [literal(path) for path in files],
-        schema="line string", sep=_NO_SEPARATOR, quote="", encoding=encoding,
-    )
     at_start = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
     open_quotes = F.lit(False) if multi_line else _ends_in_quotes(F.col("line"), sep)
     found = materialise(
-        lines.select("line", F.col("_metadata.file_path").alias("file"), at_start.alias("at"), open_quotes.alias("open"))
+        _lines(spark, files, encoding)
+        .select(*_HASHES, F.col("_metadata.file_path").alias("file"), at_start.alias("at"), open_quotes.alias("open"))
         .groupBy("file")
-        .agg(F.min_by("line", "at").alias("header"), F.max("open").alias("open")),
+        .agg(*[F.min_by(h, "at").alias(h) for h in _HASHES], F.max("open").alias("open")),
         "headers",
     )
-    kinds = {(r.header, r.open): (split_header(r.header, sep), r.open) for r in found.select("header", "open").distinct().collect()}
+    kinds = {}
+    for *hashes, quotes, file in found.groupBy(*_HASHES, "open").agg(F.min("file")).collect():
+        same = reduce(lambda a, b: a & b, [F.col(h) == value for h, value in zip(_HASHES, hashes)])
+        header = _lines(spark, [unquote(file)], encoding).filter(same).first().line
+        kinds[(*hashes, quotes)] = (split_header(header, sep), quotes)
     if len(set(kinds.values())) == 1 and isinstance(source, str):
         discard(found)
         names, quotes = next(iter(kinds.values()))
         return [Layout(names, source, quotes)]
     groups: dict[tuple, list[str]] = defaultdict(list)
     for row in found.toLocalIterator():
-        groups[kinds[row.header, row.open]].append(unquote(row.file))
+        groups[kinds[(*(row[h] for h in _HASHES), row.open)]].append(unquote(row.file))
     discard(found)
     return [Layout(names, [literal(p) for p in sorted(paths)], quotes) for (names, quotes), paths in sorted(groups.items())]

@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -6,6 +8,7 @@ from tallyward.operators.shape import rename, subset, typed
 from tallyward.session import materialise
 from tallyward.sources.delimited import FAULT, ORIGINAL, SOURCE, scan
 from tallyward.plans import staging
+from tallyward.sources import headers
 from tallyward.sources.headers import layouts, list_files, split_header, unique_names
 from tallyward.sources.isolation import isolate
 
@@ -75,6 +78,34 @@ def test_one_job_for_all_headers(spark, tmp_path):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_lines_are_not_sorted_for_their_headers(spark, tmp_path, monkeypatch):
+    """The scan of all lines is a hash aggregate; headers are right in files of several blocks, packed or not."""
+    plans, write_out = [], headers.materialise
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write_out(df, label)
+
+    monkeypatch.setattr(headers, "materialise", watched)
+    long = "".join(f"{i};x\n" for i in range(200))
+    path = write(tmp_path, a="\na;b\n" + long, b="b;a\n" + long, c="a;b\n", d='a;b\n1;"open\n', empty="", **{"e f": "a;b\n1;2\n"})
+    with gzip.open(tmp_path / "g.csv.gz", "wt") as out:
+        out.write("b;a\n" + long)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        files = list_files(spark, f"{path}*")
+        found = layouts(spark, f"{path}*", files, ";", "ISO-8859-1")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(plans) == 1 and "Sort" not in plans[0]
+    got = [(names, [p.rsplit("/", 1)[1] for p in paths], quotes) for names, paths, quotes in found]
+    assert sorted(got) == [
+        (("a", "b"), ["a.csv", "c.csv", "e f.csv"], False), (("a", "b"), ["d.csv"], True), (("b", "a"), ["b.csv", "g.csv.gz"], False),
+    ]
+
+
 def test_clean_loads_are_not_searched(spark, tmp_path):
     """Without a faulty row nothing is marked or joined; with one, its file is left out."""
     load = staging.load_files(spark, write(tmp_path, one="a;b\n1;x\n", two="a;b\n2;y\n"), ";", {}, TABLE)
